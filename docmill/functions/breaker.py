@@ -1,0 +1,68 @@
+"""The breaker's rules for one client, applied to calls in order.
+
+A small helper for tasks: Spark orders, partitions and shuffles the calls. The
+window is checked only when a failure is recorded. While half-open every call
+goes through; a rejection of the document records nothing.
+"""
+
+from __future__ import annotations
+
+from collections import deque
+from dataclasses import dataclass, field
+
+SUCCESS, FAILURE, REJECTION = "success", "service_failure", "business_rejection"
+CLOSED, OPEN, HALF_OPEN = "closed", "open", "half_open"
+
+
+@dataclass(frozen=True)
+class Settings:
+    window: int = 20
+    rate: float = 0.5
+    open_ms: int = 10_000
+    enabled: bool = True
+
+
+@dataclass
+class Breaker:
+    settings: Settings
+    mode: str = CLOSED
+    until_ms: int = 0
+    recent: deque = field(default_factory=deque)
+
+    @classmethod
+    def restore(cls, settings: Settings, saved: tuple | None) -> Breaker:
+        if saved is None:
+            return cls(settings)
+        mode, until_ms, recent = saved
+        return cls(settings, mode, int(until_ms), deque(bool(x) for x in recent))
+
+    def saved(self) -> tuple:
+        return self.mode, self.until_ms, tuple(self.recent)
+
+    def call(self, at_ms: int, outcome: str) -> bool:
+        """Take one call; False when it is refused."""
+        if not self.settings.enabled:
+            return True
+        if self.mode == OPEN:
+            if at_ms < self.until_ms:
+                return False
+            self.mode = HALF_OPEN
+        if outcome == REJECTION:
+            return True
+        failed = outcome == FAILURE
+        if self.mode == HALF_OPEN:
+            if failed:
+                self._trip(at_ms)
+            else:
+                self.mode, self.recent = CLOSED, deque()
+            return True
+        self.recent.append(failed)
+        if len(self.recent) > self.settings.window:
+            self.recent.popleft()
+        full = len(self.recent) == self.settings.window
+        if failed and full and sum(self.recent) / len(self.recent) >= self.settings.rate:
+            self._trip(at_ms)
+        return True
+
+    def _trip(self, at_ms: int) -> None:
+        self.mode, self.until_ms = OPEN, at_ms + self.settings.open_ms

@@ -1,0 +1,69 @@
+"""The breaker on a live call log."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from docmill.functions.breaker import Breaker, Settings
+from docmill.session import STATE_STORE
+
+_STATE = "mode string, until_ms long, recent array<boolean>"
+
+
+class _BreakerPerClient(StatefulProcessor):
+    def __init__(self, settings: Settings) -> None:
+        self.settings = settings
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("breaker", _STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        saved = self.state.get() if self.state.exists() else None
+        machine = Breaker.restore(self.settings, saved)
+        calls = pd.concat(list(rows)).sort_values(["at_ms", "ts", "call_id"], kind="stable")
+        admitted, states = [], []
+        for at, outcome in zip(calls["at_ms"], calls["outcome"]):
+            admitted.append(machine.call(int(at), outcome))
+            states.append(machine.mode)
+        mode, until_ms, recent = machine.saved()
+        self.state.update((mode, until_ms, list(recent)))
+        yield pd.DataFrame(
+            {
+                "client_id": [key[0]] * len(calls),
+                "call_id": calls["call_id"].to_numpy(),
+                "outcome": calls["outcome"].to_numpy(),
+                "at_ms": calls["at_ms"].to_numpy(),
+                "admitted": admitted,
+                "state_after": states,
+            }
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def breaker_stream(calls: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Replay calls (client_id, ts, call_id, outcome) as they arrive.
+
+    State per client is one window of flags. A task holds one client's calls of
+    one micro-batch; ``maxFilesPerTrigger`` at the source bounds that.
+    """
+    from pyspark.sql import functions as F
+
+    calls.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    kinds = dict(calls.dtypes)
+    return (
+        calls.withColumn("at_ms", F.unix_millis("ts"))
+        .groupBy("client_id")
+        .transformWithStateInPandas(
+            statefulProcessor=_BreakerPerClient(settings),
+            outputStructType=f"client_id {kinds['client_id']}, call_id {kinds['call_id']}, "
+            "outcome string, at_ms long, admitted boolean, state_after string",
+            outputMode="Append",
+            timeMode="None",
+        )
+    )
