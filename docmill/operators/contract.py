@@ -59,7 +59,7 @@ def parse_results(log: DataFrame) -> DataFrame:
     """Bodies of successful conversions as result columns.
 
     Unknown fields are ignored, missing ones take their defaults. A body that
-    does not parse gives ``error_code`` ``bad_response``.
+    does not parse gives ``error_code`` ``bad_response`` and no result.
     """
     parsed = (
         log.filter((F.col("endpoint") == "convert") & (F.col("raw_status") == 200))
@@ -69,7 +69,12 @@ def parse_results(log: DataFrame) -> DataFrame:
     bad = _unparsable(F.col("_parsed"))
     return (
         parsed.withColumn("error_code", F.when(bad, "bad_response"))
-        .withColumns(_result_columns(F.col("_parsed")))
+        .withColumns(
+            {
+                name: F.when(F.col("error_code").isNull(), value)
+                for name, value in _result_columns(F.col("_parsed")).items()
+            }
+        )
         .drop("_parsed")
     )
 

@@ -42,12 +42,15 @@ NOW = "2024-01-20 00:00:00"
 RETENTION_MS = 5 * 86_400_000
 
 
-def query(fn: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(tune(spark), sf_dir.rstrip("/"))
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(tune(spark), sf_dir.rstrip("/"))
 
-    QUERIES[fn.__name__] = run
-    return fn
+        QUERIES[name] = run
+        return fn
+
+    return register
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,14 +68,14 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks --------------------------------------------------------
 
 
-@query
-def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("read_documents")
+def _read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = intake.with_size(inputs.documents(spark, sf_dir))
     return docs.select("input_ordinal", "filename", "size_bytes")
 
 
-@query
-def read_response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("read_response_log")
+def _read_response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "responses")
     inputs.response_log(spark, sf_dir).write.json(path)
     return responses.read_response_log(spark, path).select(
@@ -86,8 +89,8 @@ def read_response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stream_documents")
+def _stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = inputs.table(spark, sf_dir, "documents").schema
     stream = sources.stream_documents(
         spark, sf_dir, schema, "doc_id", "text", inputs.text_name(), "documents.parquet"
@@ -96,16 +99,16 @@ def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.run_to_table(rows, "documents-stream")
 
 
-@query
-def write_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("write_routed")
+def _write_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routed")
     outcomes = outcome_summary(convert_batch(inputs.mixed_corpus(spark, sf_dir)))
     sinks.write_routed(outcomes.select("input_ordinal", "class", "route"), path)
     return sinks.read_routed(spark, path)
 
 
-@query
-def store_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("store_results")
+def _store_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and documents stored in two rounds; the second finds some keys there."""
     path = scratch_path(spark, "store")
     corpus = intake.variant_key(inputs.optioned_documents(spark, sf_dir))
@@ -122,11 +125,10 @@ def store_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def write_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("write_assets")
+def _write_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "assets")
-    results = contract.parse_results(inputs.conversion_log(spark, sf_dir))
-    sinks.write_assets(assets.assets(results), path)
+    sinks.write_assets(assets.assets(_results(spark, sf_dir)), path)
     return spark.read.parquet(path).select(
         "request_id",
         "asset_id",
@@ -139,42 +141,42 @@ def write_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- intake ---------------------------------------------------------------------
 
 
-@query
-def normalise_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("normalise_documents")
+def _normalise_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = intake.normalise_documents(inputs.named_documents(spark, sf_dir))
     return docs.select("input_ordinal", "filename", "safe_filename", "request_id")
 
 
-@query
-def reject_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("reject_empty")
+def _reject_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = intake.reject_empty(inputs.documents_with_gaps(spark, sf_dir))
     return docs.select(
         "input_ordinal", F.coalesce("size_bytes", F.lit(0)).alias("size_bytes"), "class"
     )
 
 
-@query
-def size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("size_gate")
+def _size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = intake.size_gate(inputs.documents(spark, sf_dir), max_bytes=2000)
     return docs.select("input_ordinal", "size_bytes", "class", "http_status", "retryable")
 
 
-@query
-def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("fingerprint")
+def _fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.fingerprint(inputs.documents(spark, sf_dir)).select(
         "input_ordinal", "content_sha256"
     )
 
 
-@query
-def variant_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("variant_key")
+def _variant_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.variant_key(inputs.optioned_documents(spark, sf_dir)).select(
         "input_ordinal", "variant_key"
     )
 
 
-@query
-def sniff_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("sniff_format")
+def _sniff_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.sniff_format(inputs.signed_documents(spark, sf_dir)).select(
         "input_ordinal", "filename", "format", "format_source"
     )
@@ -183,8 +185,8 @@ def sniff_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- deduplication and reuse -------------------------------------------------------
 
 
-@query
-def single_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("single_flight")
+def _single_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = intake.variant_key(intake.normalise_documents(inputs.documents(spark, sf_dir)))
     shared = reuse.single_flight(docs, lambda work: convert.html_to_markdown(work, "content"))
     return shared.select(
@@ -192,13 +194,13 @@ def single_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def single_flight_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("single_flight_report")
+def _single_flight_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reuse.single_flight_report(intake.variant_key(inputs.documents(spark, sf_dir)))
 
 
-@query
-def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("cache_lookup")
+def _cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against a store of those in English."""
     docs = intake.variant_key(inputs.optioned_documents(spark, sf_dir))
     earlier = docs.filter(F.col("filename") == "en.txt")
@@ -206,8 +208,8 @@ def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reuse.cache_lookup(docs, store).select("input_ordinal", "cache_hit", "stored_chars")
 
 
-@query
-def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stream_dedup")
+def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _event_stream(spark, sf_dir).withColumn(
         "variant_key", F.concat_ws(":", F.col("user_id").cast("string"), "event_type")
     )
@@ -218,22 +220,22 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- conversion ------------------------------------------------------------------------
 
 
-@query
-def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("html_to_markdown")
+def _html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert.html_to_markdown(inputs.table(spark, sf_dir, "pages")).select(
         "page_id", "markdown"
     )
 
 
-@query
-def csv_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("csv_to_markdown")
+def _csv_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert.csv_to_markdown(inputs.csv_documents(spark, sf_dir)).select(
         "doc_id", "markdown"
     )
 
 
-@query
-def batch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("convert_batch")
+def _batch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """convert_batch over pages and documents, with a store of the English ones."""
     corpus = inputs.mixed_corpus(spark, sf_dir)
     keyed = intake.variant_key(corpus.filter(F.col("filename") == "en.csv"))
@@ -248,16 +250,16 @@ def batch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("options", "size_bytes")
 
 
-@query
-def convert_batch_without_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("convert_batch_without_store")
+def _convert_batch_without_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = convert_batch(inputs.mixed_corpus(spark, sf_dir))
     return outcome_summary(
         outcomes.withColumn("markdown_sha256", F.sha2(as_bytes(F.col("result.markdown")), 256))
     ).drop("options", "size_bytes")
 
 
-@query
-def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("convert_stream")
+def _stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """convert_stream over documents that arrive as CSV, plain and damaged files."""
     schema = inputs.table(spark, sf_dir, "documents").schema
     stream = sources.document_columns(
@@ -281,8 +283,8 @@ def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def empty_result_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("empty_result_gate")
+def _empty_result_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages, a fifth of them without any text."""
     blank = F.lit("<html><body><p> &nbsp; </p>\n<br></body></html>")
     emptied = inputs.table(spark, sf_dir, "pages").withColumn(
@@ -295,31 +297,31 @@ def empty_result_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- responses --------------------------------------------------------------------------
 
 
-@query
-def parse_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("parse_results")
+def _parse_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.parse_results(inputs.conversion_log(spark, sf_dir)).select(
         "request_id",
         F.sha2("markdown", 256).alias("markdown_sha256"),
         "format",
         "elapsed_ms",
         "input_bytes",
-        F.size("assets").cast("long").alias("assets"),
+        F.array_size("assets").cast("long").alias("assets"),
         "cache_hit",
-        F.size("headers_footers").cast("long").alias("headers_footers"),
+        F.array_size("headers_footers").cast("long").alias("headers_footers"),
         "headers_footers_stripped",
         "error_code",
     )
 
 
-@query
-def parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("parse_errors")
+def _parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.parse_errors(inputs.response_log(spark, sf_dir)).select(
         "request_id", "endpoint", "raw_status", "error_code", "reason"
     )
 
 
-@query
-def classify_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("classify_outcomes")
+def _classify_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.classify_outcomes(inputs.response_log(spark, sf_dir)).select(
         "request_id",
         "endpoint",
@@ -333,8 +335,8 @@ def classify_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def classify_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("classify_jobs")
+def _classify_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.classify_jobs(inputs.job_events(_events(spark, sf_dir))).select(
         "event_id",
         "job_id",
@@ -348,15 +350,15 @@ def classify_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def parse_retry_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("parse_retry_after")
+def _parse_retry_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.parse_retry_after(inputs.response_log(spark, sf_dir)).select(
         "request_id", "retry_after", "retry_after_s"
     )
 
 
-@query
-def route(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("route")
+def _route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routes of classified responses; a third try was the last one."""
     outcomes = contract.classify_outcomes(inputs.response_log(spark, sf_dir))
     return contract.route(outcomes, exhausted=F.col("attempt_no") >= 3).select(
@@ -364,13 +366,13 @@ def route(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def resolve_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("resolve_attempts")
+def _resolve_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.resolve_attempts(inputs.attempts(_events(spark, sf_dir)))
 
 
-@query
-def retry_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("retry_plan")
+def _retry_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.retry_plan(inputs.failures(_events(spark, sf_dir)), max_attempts=5).select(
         "request_id",
         "attempt_no",
@@ -387,29 +389,30 @@ def retry_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.parse_results(inputs.conversion_log(spark, sf_dir))
+    parsed = contract.parse_results(inputs.conversion_log(spark, sf_dir))
+    return parsed.filter(F.col("error_code").isNull())
 
 
-@query
-def list_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("assets")
+def _list_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assets.assets(_results(spark, sf_dir))
     return rows.withColumn("data_bytes", F.octet_length("data").cast("long")).drop(
         "data", "placements"
     )
 
 
-@query
-def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("placements")
+def _placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assets.placements(assets.assets(_results(spark, sf_dir)))
 
 
-@query
-def enrichable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("enrichable_counts")
+def _enrichable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assets.enrichable_counts(_results(spark, sf_dir))
 
 
-@query
-def markdown_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("markdown_blocks")
+def _markdown_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = sections.markdown_blocks(inputs.structured_markdown(spark, sf_dir))
     return blocks.select(
         "doc_id",
@@ -420,13 +423,13 @@ def markdown_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def image_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("image_placements")
+def _image_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.image_placements(inputs.structured_markdown(spark, sf_dir))
 
 
-@query
-def section_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("section_summary")
+def _section_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     markdown = convert.html_to_markdown(inputs.table(spark, sf_dir, "pages"))
     return sections.section_summary(sections.markdown_blocks(markdown, "page_id"), "page_id")
 
@@ -434,8 +437,8 @@ def section_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- headers, footers and pages ----------------------------------------------------------------
 
 
-@query
-def headers_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("headers_footers")
+def _headers_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         assets.headers_footers(_results(spark, sf_dir))
         .withColumns(
@@ -448,20 +451,20 @@ def headers_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def header_footer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("header_footer_texts")
+def _header_footer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assets.header_footer_texts(_results(spark, sf_dir)).withColumn(
         "texts", F.array_join("texts", "|")
     )
 
 
-@query
-def detect_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("detect_repeated_lines")
+def _detect_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.detect_repeated_lines(inputs.table(spark, sf_dir, "documents"), min_pages=5)
 
 
-@query
-def strip_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("strip_repeated_lines")
+def _strip_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.table(spark, sf_dir, "documents")
     found = pages.detect_repeated_lines(docs, min_pages=5)
     return pages.strip_repeated_lines(docs, found).select(
@@ -469,16 +472,16 @@ def strip_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def select_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("select_pages")
+def _select_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.table(spark, sf_dir, "documents")
     return pages.select_pages(docs, "0-40, 77,100-90,x,500-100000000", "doc_id").select(
         "doc_id", "source"
     )
 
 
-@query
-def select_pages_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("select_pages_by_row")
+def _select_pages_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language has its own selection."""
     docs = inputs.table(spark, sf_dir, "documents")
     spec = (
@@ -489,14 +492,14 @@ def select_pages_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select_pages(docs, spec, "doc_id").select("doc_id", "lang")
 
 
-@query
-def cap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("cap_pages")
+def _cap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.table(spark, sf_dir, "documents")
     return pages.cap_pages(docs, 20, "source", "doc_id").select("doc_id", "source")
 
 
-@query
-def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("rendered_pages")
+def _rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         assets.rendered_pages(inputs.render_log(spark, sf_dir))
         .withColumn("data_sha256", F.sha2("data", 256))
@@ -507,27 +510,27 @@ def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- jobs ------------------------------------------------------------------------------------------
 
 
-@query
-def job_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("job_latest")
+def _job_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = jobs.job_latest(inputs.job_events(_events(spark, sf_dir)))
     return latest.withColumn("at_ms", F.unix_millis(F.col("ts").cast("timestamp"))).drop("ts")
 
 
-@query
-def job_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("job_durations")
+def _job_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.job_durations(inputs.job_events(_events(spark, sf_dir))).drop(
         "created_at", "started_at", "finished_at"
     )
 
 
-@query
-def job_deadlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("job_deadlines")
+def _job_deadlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.job_events(_events(spark, sf_dir))
     return jobs.job_deadlines(events, MAX_WAIT_MS, NOW, RETENTION_MS)
 
 
-@query
-def job_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("job_tracker")
+def _job_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = inputs.job_events(_event_stream(spark, sf_dir))
     tracked = job_stream.job_tracker(stream.select("job_id", "ts", "status"), MAX_WAIT_MS)
     return sinks.run_to_table(tracked, "jobs")
@@ -536,50 +539,50 @@ def job_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- observability ---------------------------------------------------------------------------------
 
 
-@query
-def outcome_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("outcome_metrics")
+def _outcome_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = outcome_summary(convert_batch(inputs.mixed_corpus(spark, sf_dir)))
     return metrics.outcome_metrics(outcomes)
 
 
-@query
-def latency_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("latency_metrics")
+def _latency_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.latency_metrics(inputs.timed_calls(_events(spark, sf_dir)))
 
 
-@query
-def windowed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("windowed_metrics")
+def _windowed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = _events(spark, sf_dir).withColumnRenamed("event_type", "class")
     windows = metrics.windowed_metrics(outcomes)
     return windows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
 
 
-@query
-def windowed_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("windowed_metrics_stream")
+def _windowed_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _event_stream(spark, sf_dir).withColumnRenamed("event_type", "class")
     windows = sinks.run_to_table(metric_stream.windowed_metrics(stream), "windows")
     return windows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
 
 
-@query
-def failure_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("failure_rate")
+def _failure_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.failure_rate(inputs.calls(_events(spark, sf_dir))).drop("ts")
 
 
-@query
-def breaker_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("breaker_replay")
+def _breaker_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.breaker_replay(inputs.calls(_events(spark, sf_dir)), BREAKER)
 
 
-@query
-def replay_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("breaker_stream")
+def _replay_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """breaker_stream over the events."""
     stream = inputs.calls(_event_stream(spark, sf_dir))
     return sinks.run_to_table(breaker_stream.breaker_stream(stream, BREAKER), "breaker")
 
 
-@query
-def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("reconcile")
+def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The client saw all but signups, the service all but errors."""
     log = _events(spark, sf_dir).select(
         F.concat_ws("-", F.col("user_id").cast("string"), F.floor("value").cast("string")).alias("request_id"),
