@@ -21,43 +21,53 @@ def _fields(text: Column) -> Column:
 
 
 def _opens_row(field: Column) -> Column:
-    return field.rlike(r"^[\r\n]")
+    return ~field.startswith(",")
 
 
-def _cell(field: Column) -> Column:
+def _value(raw: Column) -> Column:
     """A field's value: unquoted, kept on one line, pipes escaped."""
-    raw = F.regexp_replace(field, r"^(?:\r\n|\n|\r|,)", "")
-    inner = F.regexp_extract(raw, r'(?s)^"(.*)"[^"]*$', 1)
-    after = F.regexp_extract(raw, r'(?s)^".*"([^"]*)$', 1)
-    value = F.when(
-        raw.rlike(r'(?s)^".*"'), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), after)
-    ).otherwise(raw)
-    one_line = F.regexp_replace(F.trim(value), r"\r\n|\n|\r", "<br>")
-    return F.replace(one_line, F.lit("|"), F.lit("\\|"))
+    quoted = raw.startswith('"') & raw.endswith('"') & (F.length(raw) > 1)
+    inside = F.substring(raw, F.lit(2), F.length(raw) - 2)
+    with_rest = raw.startswith('"') & F.contains(F.substring(raw, F.lit(2), F.length(raw)), F.lit('"'))
+    value = (
+        F.when(quoted, F.replace(inside, F.lit('""'), F.lit('"')))
+        .when(
+            with_rest,
+            F.concat(
+                F.replace(F.regexp_extract(raw, r'(?s)^"(.*)"[^"]*$', 1), F.lit('""'), F.lit('"')),
+                F.regexp_extract(raw, r'(?s)^".*"([^"]*)$', 1),
+            ),
+        )
+        .otherwise(raw)
+    )
+    one_line = F.trim(value)
+    for found, put in (("\r\n", "<br>"), ("\n", "<br>"), ("\r", "<br>"), ("|", "\\|")):
+        one_line = F.replace(one_line, F.lit(found), F.lit(put))
+    return one_line
 
 
-def _table(fields: Column, ends: Column, width: Column) -> Column:
+def _table(cells: Column, opens: Column, ends: Column, width: Column) -> Column:
     header_width = F.element_at(ends, 1)
     header = F.concat(
-        F.transform(F.slice(fields, F.lit(1), header_width), _cell),
-        F.array_repeat(F.lit(""), width - header_width),
+        F.slice(cells, F.lit(1), header_width), F.array_repeat(F.lit(""), width - header_width)
     )
-    rows = F.array_join(
-        F.transform(
-            F.slice(fields, header_width + 1, F.size(fields)),
-            lambda f: F.concat(
-                F.when(_opens_row(f), F.lit(" |\n| ")).otherwise(F.lit(" | ")), _cell(f)
-            ),
+    rest = F.zip_with(
+        F.slice(cells, header_width + 1, F.size(cells)),
+        F.slice(opens, header_width + 1, F.size(cells)),
+        lambda cell, opened: F.concat(
+            F.when(opened, F.lit(" |\n| ")).otherwise(F.lit(" | ")), cell
         ),
-        "",
     )
+    rows = F.array_join(rest, "")
     return F.concat(
         F.lit("| "),
         F.array_join(header, " | "),
         F.lit(" |\n|"),
         F.repeat(F.lit(" --- |"), width),
-        F.when(rows != "", F.concat(F.substring(rows, F.lit(3), F.length(rows)), F.lit(" |")))
-        .otherwise(""),
+        F.when(
+            F.size(cells) > header_width,
+            F.concat(F.substring(rows, F.lit(3), F.length(rows)), F.lit(" |")),
+        ).otherwise(""),
     )
 
 
@@ -67,15 +77,14 @@ def with_csv_markdown(df: DataFrame, text: Column, out: str) -> DataFrame:
     The first row is the header, widened to the longest row so that no cell is
     lost. One projection per step: Spark then splits each text only once.
     """
+    opened_at = F.filter(
+        F.transform("_opens", lambda opened, i: F.when(opened, i)), lambda i: i.isNotNull()
+    )
+    raw = F.transform("_fields", lambda f: F.regexp_replace(f, r"^(?:\r\n|\n|\r|,)", ""))
     staged = (
         df.withColumn("_fields", F.when(text.isNotNull(), F.coalesce(_fields(text), F.array())))
-        .withColumn(
-            "_starts",
-            F.filter(
-                F.transform("_fields", lambda f, i: F.when(_opens_row(f), i)),
-                lambda i: i.isNotNull(),
-            ),
-        )
+        .withColumns({"_opens": F.transform("_fields", _opens_row), "_raw": raw})
+        .withColumns({"_starts": opened_at, "_cells": F.transform("_raw", _value)})
         .withColumn(
             "_ends",
             F.concat(
@@ -86,6 +95,7 @@ def with_csv_markdown(df: DataFrame, text: Column, out: str) -> DataFrame:
             "_width", F.array_max(F.zip_with("_starts", "_ends", lambda start, end: end - start))
         )
     )
-    fields, ends, width = F.col("_fields"), F.col("_ends"), F.col("_width")
-    table = F.when(F.size(fields) > 0, _table(fields, ends, width)).when(fields.isNotNull(), "")
-    return staged.withColumn(out, table).drop("_fields", "_starts", "_ends", "_width")
+    table = _table(F.col("_cells"), F.col("_opens"), F.col("_ends"), F.col("_width"))
+    return staged.withColumn(
+        out, F.when(F.size("_cells") > 0, table).when(F.col("_cells").isNotNull(), "")
+    ).drop("_fields", "_opens", "_raw", "_starts", "_cells", "_ends", "_width")

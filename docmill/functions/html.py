@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DROPPED = [
@@ -89,29 +89,37 @@ def _with_table_rule(segment: Column) -> Column:
     ).otherwise(segment)
 
 
+_ROWS = [
+    (r"(?i)</?t(?:head|body|foot)(?:\s[^>]*)?>", ""),
+    (r"(?i)\s*</t[hd]\s*>\s*", " |"),
+    (r"(?i)\s*<t[hd](?:\s[^>]*)?>\s*", " "),
+    (r"(?i)\s*</tr\s*>\s*", "\n"),
+    (r"(?i)\s*<tr(?:\s[^>]*)?>", "\n|"),
+]
+
+
 def _tables(text: Column) -> Column:
-    ruled = F.array_join(
-        F.transform(
-            F.split(text, r"(?i)<table(?=[\s>])"),
-            lambda s, i: F.when(i == 0, s).otherwise(F.concat(F.lit("<table"), _with_table_rule(s))),
-        ),
-        "",
+    ruled = F.transform(
+        F.split(text, r"(?i)<table(?=[\s>])"),
+        lambda s, i: F.when(i == 0, s).otherwise(F.concat(F.lit("<table"), _with_table_rule(s))),
+    )
+    has_table = F.locate("<table", F.lower(text)) > 0
+    return F.when(has_table, _rewrite(F.array_join(ruled, ""), _ROWS)).otherwise(text)
+
+
+def with_html_markdown(df: DataFrame, html: Column, out: str) -> DataFrame:
+    """Add the Markdown of each row's HTML; null HTML gives null.
+
+    One projection per step that reads its input more than once: Spark then
+    computes that input only once.
+    """
+    opened = _rewrite(html, [(p, "") for p in _DROPPED])
+    opened = _rewrite(F.regexp_replace(opened, r"\s+", " "), _INLINE)
+    closed = _rewrite(F.col("_ruled"), _STRUCTURE)
+    decoded = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), _ENTITIES, closed)
+    return (
+        df.withColumn("_html", opened)
+        .withColumn("_ruled", _tables(F.col("_html")))
+        .withColumn(out, _rewrite(decoded, _SPACING))
+        .drop("_html", "_ruled")
     )
-    rows = [
-        (r"(?i)</?t(?:head|body|foot)(?:\s[^>]*)?>", ""),
-        (r"(?i)\s*</t[hd]\s*>\s*", " |"),
-        (r"(?i)\s*<t[hd](?:\s[^>]*)?>\s*", " "),
-        (r"(?i)\s*</tr\s*>\s*", "\n"),
-        (r"(?i)\s*<tr(?:\s[^>]*)?>", "\n|"),
-    ]
-    return F.when(F.locate("<table", F.lower(text)) > 0, _rewrite(ruled, rows)).otherwise(text)
-
-
-def html_to_markdown(html: Column) -> Column:
-    text = _rewrite(html, [(p, "") for p in _DROPPED])
-    text = F.regexp_replace(text, r"\s+", " ")
-    text = _rewrite(text, _INLINE)
-    text = _tables(text)
-    text = _rewrite(text, _STRUCTURE)
-    text = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), _ENTITIES, text)
-    return _rewrite(text, _SPACING)

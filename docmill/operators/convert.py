@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docmill.functions import html
 from docmill.functions.delimited import with_csv_markdown
+from docmill.functions.html import with_html_markdown
 from docmill.functions.text import as_text, is_blank
 
 CONVERTIBLE = ("html", "csv")
 
 
 def html_to_markdown(df: DataFrame, source: str = "html", out: str = "markdown") -> DataFrame:
-    return df.withColumn(out, html.html_to_markdown(as_text(F.col(source))))
+    return with_html_markdown(df, as_text(F.col(source)), out)
 
 
 def csv_to_markdown(df: DataFrame, source: str = "content", out: str = "markdown") -> DataFrame:
@@ -26,11 +26,11 @@ def to_markdown(df: DataFrame, source: str = "content", out: str = "markdown") -
     def when_format(kind: str) -> Column:
         return F.when(F.col("format") == kind, as_text(F.col(source)))
 
-    page = F.when(F.col("format") == "html", html.html_to_markdown(as_text(F.col(source))))
+    tables = with_csv_markdown(df, when_format("csv"), "_table")
     return (
-        with_csv_markdown(df, when_format("csv"), "_table")
-        .withColumn(out, F.coalesce(page, F.col("_table")))
-        .drop("_table")
+        with_html_markdown(tables, when_format("html"), "_page")
+        .withColumn(out, F.coalesce("_page", "_table"))
+        .drop("_page", "_table")
     )
 
 

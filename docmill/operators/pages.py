@@ -16,25 +16,62 @@ from docmill.functions.text import non_blank
 SALTS = 256
 
 
-def normalised_line(line: Column) -> Column:
-    """Lines that differ only in numbers or spacing count as one."""
-    spaced = F.regexp_replace(F.trim(line), r"\s+", " ")
-    return F.regexp_replace(spaced, r"[0-9]+", "#")
+def normalised(text: Column) -> Column:
+    """Text in which lines that differ only in numbers or spacing look the same."""
+    return F.regexp_replace(F.regexp_replace(text, r"[ \t\x0B\f\r]+", " "), r"[0-9]+", "#")
 
 
-def is_page_number(normalised: Column) -> Column:
-    left = F.regexp_replace(F.lower(normalised), r"page|of|第|页|共|[\s/|.:·–—()\[\]-]", "")
+def _normalised_lines(text: str) -> Column:
+    return F.transform(F.split(normalised(F.col(text)), "\n"), lambda line: F.trim(line))
+
+
+def is_page_number(line: Column) -> Column:
+    left = F.regexp_replace(F.lower(line), r"page|of|第|页|共|[\s/|.:·–—()\[\]-]", "")
     return left.rlike("^#+$")
 
 
-def _lines(pages: DataFrame, group: str, page: str, text: str) -> DataFrame:
-    lines = F.split(text, "\n")
+def _salt(page: str, salts: int) -> Column:
+    return F.pmod(F.xxhash64(page), F.lit(salts)).cast("int")
+
+
+def _line_hashes(pages: DataFrame, group: str, page: str, text: str, salts: int) -> DataFrame:
+    """Distinct 64-bit hashes of each page's lines: what travels instead of text.
+
+    Equal hashes only make candidates; results always compare the text itself.
+    """
+    hashes = F.array_distinct(
+        F.transform(
+            F.filter(_normalised_lines(text), non_blank), lambda line: F.xxhash64(group, line)
+        )
+    )
+    return pages.select(
+        group, page, _salt(page, salts).alias("_salt"), F.explode(hashes).alias("_hash")
+    )
+
+
+def _lines(pages: DataFrame, group: str, page: str, text: str, salts: int) -> DataFrame:
     return (
-        pages.select(
-            group, page, F.size(lines).alias("_n"), F.posexplode(lines).alias("_pos", "_raw")
+        pages.withColumns(
+            {"_raw": F.split(text, "\n"), "_clean": _normalised_lines(text)}
+        )
+        .select(
+            group,
+            page,
+            _salt(page, salts).alias("_salt"),
+            F.size("_raw").alias("_n"),
+            F.posexplode(F.arrays_zip("_raw", "_clean")).alias("_pos", "_line"),
+        )
+        .select(
+            group,
+            page,
+            "_salt",
+            "_n",
+            "_pos",
+            F.col("_line._raw").alias("_raw"),
+            F.col("_line._clean").alias("normalised"),
         )
-        .withColumn("normalised", normalised_line(F.col("_raw")))
         .filter(non_blank(F.col("normalised")))
+        .withColumn("_hash", F.xxhash64(group, "normalised"))
     )
 
 
@@ -45,61 +82,69 @@ def detect_repeated_lines(
     group: str = "source",
     page: str = "doc_id",
     text: str = "text",
+    salts: int = SALTS,
 ) -> DataFrame:
     """Lines found on at least ``min_pages`` pages of a document.
 
     Gives the pages seen, their share of the document's pages, the most frequent
     original text (ties: the smallest text) and whether it is only a page number.
-    Equal lines are counted before any shuffle, so a line that is everywhere
-    costs a few rows per task.
+
+    Hashes of lines are counted first; only lines whose hash is on enough pages
+    are looked at as text. A line that is on every page is spread over the salts
+    of its pages and counted per task before any shuffle.
     """
-    lines = _lines(pages, group, page, text)
-    upper = F.sum((F.col("_pos") * 2 < F.col("_n")).cast("long"))
-    seen = (
-        lines.groupBy(group, "normalised", page)
-        .agg(F.count(F.lit(1)).alias("_lines"), upper.alias("_upper"))
-        .groupBy(group, "normalised")
+    candidates = (
+        _line_hashes(pages, group, page, text, salts)
+        .groupBy("_hash")
+        .agg(F.count(F.lit(1)).alias("_pages"), F.collect_set("_salt").alias("_salts"))
+        .filter(F.col("_pages") >= min_pages)
+        .select("_hash", F.explode("_salts").alias("_salt"))
+    )
+    per_page = (
+        _lines(pages, group, page, text, salts)
+        .join(candidates, ["_hash", "_salt"], "left_semi")
+        .groupBy(group, "normalised", "_raw", page)
         .agg(
-            F.count(F.lit(1)).alias("pages_seen"),
-            F.sum("_lines").alias("occurrences"),
-            F.sum("_upper").alias("_upper"),
+            F.count(F.lit(1)).alias("_lines"),
+            F.sum((F.col("_pos") * 2 < F.col("_n")).cast("long")).alias("_upper"),
         )
-        .filter(F.col("pages_seen") >= min_pages)
     )
-    total = pages.groupBy(group).agg(F.countDistinct(page).alias("_pages"))
-    wording = (
-        lines.groupBy(group, "normalised", "_raw")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    per_wording = per_page.groupBy(group, "normalised", "_raw").agg(
+        F.sum("_lines").alias("_lines"), F.sum("_upper").alias("_upper")
+    )
+    best = per_wording.groupBy(group, "normalised").agg(
+        F.min(F.struct((-F.col("_lines")).alias("rank"), "_raw"))["_raw"].alias("text"),
+        F.sum("_lines").alias("occurrences"),
+        F.sum("_upper").alias("_upper"),
+    )
+    seen = (
+        per_page.select(group, "normalised", page)
+        .distinct()
         .groupBy(group, "normalised")
-        .agg(F.min(F.struct((-F.col("_n")).alias("rank"), "_raw")).alias("_best"))
+        .agg(F.count(F.lit(1)).alias("pages_seen"))
+        .filter(F.col("pages_seen") >= min_pages)
     )
+    total = pages.groupBy(group).agg(F.countDistinct(page).alias("_pages"))
+    upper = F.col("_upper") * 2 >= F.col("occurrences")
     return (
-        seen.join(wording, [group, "normalised"])
+        seen.join(best, [group, "normalised"])
         .join(total, group)
         .withColumn("page_frequency", F.col("pages_seen") / F.col("_pages"))
         .filter(F.col("page_frequency") >= min_frequency)
         .select(
             group,
             "normalised",
-            F.col("_best._raw").alias("text"),
+            "text",
             "pages_seen",
             "page_frequency",
             "occurrences",
-            F.when(F.col("_upper") * 2 >= F.col("occurrences"), "header")
-            .otherwise("footer")
-            .alias("kind"),
-            F.when(F.col("_upper") * 2 >= F.col("occurrences"), "top")
-            .otherwise("bottom")
-            .alias("location"),
+            F.when(upper, "header").otherwise("footer").alias("kind"),
+            F.when(upper, "top").otherwise("bottom").alias("location"),
             is_page_number(F.col("normalised")).alias("page_number"),
         )
     )
 
 
-def _digest(normalised: Column) -> Column:
-    return F.sha2(normalised, 256)
-
-
 def strip_repeated_lines(
     pages: DataFrame,
     found: DataFrame,
@@ -110,49 +155,47 @@ def strip_repeated_lines(
 ) -> DataFrame:
     """Remove found lines; ``lines_stripped`` is null where none applied.
 
-    Only digests of lines travel: each page's distinct digests meet the found
-    ones, and the page drops its lines by the few digests that come back. The
-    text itself moves once, by page. ``page`` is unique over all documents.
-    Pages are salted, so a line that is on every page spreads as well; a found
-    line is repeated only for the salts of its own pages.
+    Only hashes of lines travel; a page gets back the few found lines it may
+    hold and drops those it does hold. The text moves once, by ``page``, which
+    is unique over all documents. Pages are salted, so a line that is on every
+    page spreads as well; a found line is repeated only for the salts of its
+    own pages.
     """
-    salt = F.pmod(F.xxhash64(page), F.lit(salts)).cast("int")
-    digests = F.array_distinct(
-        F.transform(
-            F.filter(F.split(text, "\n"), non_blank), lambda line: _digest(normalised_line(line))
-        )
-    )
-    on_page = pages.select(group, page, salt.alias("_salt"), F.explode(digests).alias("_digest"))
-    wanted = found.select(group, _digest(F.col("normalised")).alias("_digest"))
-    used = (
-        on_page.select(group, "_digest", "_salt")
-        .distinct()
-        .join(wanted, [group, "_digest"], "left_semi")
+    on_page = _line_hashes(pages, group, page, text, salts)
+    wanted = found.select(
+        group, "normalised", F.xxhash64(group, "normalised").alias("_hash")
     )
+    used = on_page.select(group, "_hash", "_salt").distinct().join(wanted, [group, "_hash"])
     hits = (
-        on_page.join(used, [group, "_digest", "_salt"], "left_semi")
+        on_page.join(used, [group, "_hash", "_salt"])
         .groupBy(page)
-        .agg(F.collect_list("_digest").alias("_hits"))
+        .agg(F.collect_list("normalised").alias("_found"))
     )
-    lines = F.split(text, "\n")
     kept = F.filter(
-        lines,
-        lambda line: ~non_blank(line)
-        | ~F.array_contains(F.col("_hits"), _digest(normalised_line(line))),
+        F.arrays_zip("_raw", "_clean"), lambda line: ~F.array_contains(F.col("_found"), line["_clean"])
     )
+    hit = F.col("_found").isNotNull()
     return (
-        pages.join(hits, page, "left")
-        .withColumn("_kept", F.when(F.col("_hits").isNotNull(), kept))
+        pages.join(hits.hint("shuffle_hash"), page, "left")
         .withColumns(
             {
-                "lines_stripped": (F.size(lines) - F.size("_kept")).cast("long"),
-                "stripped_text": F.coalesce(F.array_join("_kept", "\n"), F.col(text)),
+                "_raw": F.when(hit, F.split(text, "\n")),
+                "_clean": F.when(hit, _normalised_lines(text)),
             }
         )
-        .withColumn(
-            "lines_stripped", F.when(F.col("_hits").isNotNull(), F.col("lines_stripped"))
+        .withColumn("_kept", F.when(hit, kept))
+        .withColumns(
+            {
+                "lines_stripped": F.nullif(
+                    (F.size("_raw") - F.size("_kept")).cast("long"), F.lit(0).cast("long")
+                ),
+                "stripped_text": F.coalesce(
+                    F.array_join(F.transform("_kept", lambda line: line["_raw"]), "\n"),
+                    F.col(text),
+                ),
+            }
         )
-        .drop("_hits", "_kept")
+        .drop("_found", "_raw", "_clean", "_kept")
     )
 
 

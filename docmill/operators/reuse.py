@@ -38,6 +38,15 @@ def distinct_keys(
     )
 
 
+def with_content(docs: DataFrame, keys: DataFrame, id_col: str) -> DataFrame:
+    """The chosen rows with their content.
+
+    Ids are unique and spread evenly, so the narrow side of each partition fits a
+    hash table; content is streamed past it, neither sorted nor broadcast.
+    """
+    return docs.join(keys.hint("shuffle_hash"), id_col)
+
+
 def hand_back(
     rows: DataFrame,
     per_key: DataFrame,
@@ -69,7 +78,7 @@ def single_flight(
     row keeps its own request id; ``shared`` marks rows that did no work.
     """
     keys = distinct_keys(docs, key, id_col, salts)
-    work = docs.select(id_col, *content_cols).join(keys, id_col)
+    work = with_content(docs.select(id_col, *content_cols), keys, id_col)
     done = (
         convert(work)
         .drop(*content_cols, "calls")

@@ -68,7 +68,7 @@ def convert_batch(
         )
         hits = may_read.filter(F.col("_stored").isNotNull())
         todo = keys.join(store.select("variant_key"), "variant_key", "left_anti")
-    work = accepted.select(id_col, "content", "format").join(todo, id_col)
+    work = reuse.with_content(accepted.select(id_col, "content", "format"), todo, id_col)
     done = convert.to_markdown(work).select(
         "variant_key",
         "_salts",

@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from docmill import schemas
 from docmill.functions.options import options
-from docmill.sources.documents import document_columns, read_document_table
+from docmill.sources.documents import document_columns, read_document_table, spread
 
 DOCUMENT_OFFSET = 1_000_000_000_000
 
 
+KEYS = {"documents": "doc_id", "pages": "page_id", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), KEYS[name])
 
 
 def kind_of(number: Column, values: list) -> Column:

@@ -282,7 +282,7 @@ chained AS (
   SELECT *, concat_ws(' > ', {path}) AS heading_path FROM latest)"""
 
 
-_NORMALISED = r"regexp_replace(regexp_replace(trim(line), '[ \t\n\x0B\f\r]+', ' ', 'g'), '[0-9]+', '#', 'g')"
+_NORMALISED = r"trim(regexp_replace(regexp_replace(line, '[ \t\x0B\f\r]+', ' ', 'g'), '[0-9]+', '#', 'g'))"
 
 _REPEATED = rf"""
 WITH lines AS (

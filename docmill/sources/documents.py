@@ -42,6 +42,16 @@ def read_documents(
     return small.unionByName(large)
 
 
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table that comes in fewer splits than there are cores.
+
+    A large table has more splits than that and is left alone. ``key`` is unique,
+    so the parts are even and the same on every run.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+
+
 def read_document_table(
     spark: SparkSession,
     path: str,
@@ -52,7 +62,8 @@ def read_document_table(
     request_id: Column | None = None,
 ) -> DataFrame:
     """Documents kept in a Parquet table; only the named columns are read."""
-    return document_columns(spark.read.parquet(path), ordinal, content, filename, opts, request_id)
+    table = spread(spark.read.parquet(path), ordinal)
+    return document_columns(table, ordinal, content, filename, opts, request_id)
 
 
 def document_columns(
