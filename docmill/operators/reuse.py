@@ -24,16 +24,24 @@ def _salt(id_col: str, salts: int) -> Column:
 
 
 def distinct_keys(
-    df: DataFrame, key: str = "variant_key", id_col: str = "input_ordinal", salts: int = SALTS
+    df: DataFrame,
+    key: str = "variant_key",
+    id_col: str = "input_ordinal",
+    salts: int = SALTS,
+    same: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per key: its first row's id, its number of rows, its salts."""
+    """One row per key: its first row's id, its number of rows, its salts.
+
+    ``same`` names columns that are equal in all rows of a key; they are kept.
+    """
     return (
-        df.select(key, id_col, _salt(id_col, salts).alias("_salt"))
+        df.select(key, id_col, *same, _salt(id_col, salts).alias("_salt"))
         .groupBy(key)
         .agg(
             F.min(id_col).alias(id_col),
             F.count(F.lit(1)).alias("calls"),
             F.collect_set("_salt").alias("_salts"),
+            *[F.max(name).alias(name) for name in same],
         )
     )
 

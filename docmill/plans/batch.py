@@ -58,17 +58,21 @@ def convert_batch(
     (variant_key, markdown). A row that fails touches no other row.
     """
     ready = prepare(docs, id_col, max_bytes)
-    accepted = ready.filter(F.col("class").isNull())
-    keys = reuse.distinct_keys(accepted, "variant_key", id_col, salts)
+    # Content and name decide class and format, and both are in the key. Choosing
+    # keys after the aggregation keeps Spark from repeating the format tests in a
+    # filter on every row.
+    keys = (
+        reuse.distinct_keys(ready, "variant_key", id_col, salts, ("class", "format"))
+        .filter(F.col("class").isNull())
+        .drop("class", "calls")
+    )
     if store is None:
         todo, hits = keys, None
     else:
-        may_read = keys.join(
-            store.select("variant_key", F.col("markdown").alias("_stored")), "variant_key", "left"
-        )
-        hits = may_read.filter(F.col("_stored").isNotNull())
+        stored = store.select("variant_key", F.col("markdown").alias("_stored"))
+        hits = keys.join(stored, "variant_key")
         todo = keys.join(store.select("variant_key"), "variant_key", "left_anti")
-    work = reuse.with_content(accepted.select(id_col, "content", "format"), todo, id_col)
+    work = reuse.with_content(docs.select(id_col, "content"), todo, id_col)
     done = convert.to_markdown(work).select(
         "variant_key",
         "_salts",
