@@ -175,6 +175,7 @@ def classify_outcomes(log: DataFrame) -> DataFrame:
     from_rule = F.replace(
         F.col("rule_code"), F.lit("{n}"), F.coalesce(F.col("raw_status").cast("string"), F.lit(""))
     )
+    no_rule = F.when(F.col("rule_match").isNull(), "unexpected")
     from_status = F.col("_match").isin("5xx", "other")
     return matched.withColumns(
         {
@@ -183,7 +184,7 @@ def classify_outcomes(log: DataFrame) -> DataFrame:
                 F.coalesce("rule_status", "raw_status"),
             ),
             "error_code": F.when(F.col("_bad"), "bad_response").when(
-                ~ok, F.coalesce(from_rule, F.col("_code"), F.lit("unknown"))
+                ~ok, F.coalesce(from_rule, no_rule, F.col("_code"), F.lit("unknown"))
             ),
             "reason": F.when(ok, F.lit(None).cast("string"))
             .when(F.col("_bad"), "response not parsable")
