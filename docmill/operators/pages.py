@@ -14,6 +14,9 @@ from docmill.functions import pagespec
 from docmill.functions.text import non_blank
 
 SALTS = 256
+# Documents with at least this many pages are looked up in a broadcast table,
+# which has at most one row per million pages of the corpus.
+LARGE_DOCUMENT = 1_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -75,6 +78,20 @@ def _lines(pages: DataFrame, group: str, page: str, text: str, salts: int) -> Da
     )
 
 
+def _with_page_totals(lines: DataFrame, totals: DataFrame, group: str, large: int) -> DataFrame:
+    """Add ``_pages`` of each line's document without gathering a large one's lines."""
+    known = totals.filter(F.col("_pages") >= large).withColumnRenamed("_pages", "_known")
+    rest = totals.filter(F.col("_pages") < large).withColumn("_spread", F.lit(0).cast("long"))
+    spread = F.when(F.col("_known").isNull(), 0).otherwise(F.xxhash64("normalised"))
+    return (
+        lines.join(F.broadcast(known), group, "left")
+        .withColumn("_spread", spread)
+        .join(rest, [group, "_spread"], "left")
+        .withColumn("_pages", F.coalesce("_known", "_pages"))
+        .drop("_known", "_spread")
+    )
+
+
 def detect_repeated_lines(
     pages: DataFrame,
     min_pages: int = 2,
@@ -83,6 +100,7 @@ def detect_repeated_lines(
     page: str = "doc_id",
     text: str = "text",
     salts: int = SALTS,
+    large: int = LARGE_DOCUMENT,
 ) -> DataFrame:
     """Lines found on at least ``min_pages`` pages of a document.
 
@@ -100,35 +118,37 @@ def detect_repeated_lines(
         .filter(F.col("_pages") >= min_pages)
         .select("_hash", F.explode("_salts").alias("_salt"))
     )
+    in_upper_half = (F.col("_pos") * 2 < F.col("_n")).cast("long")
     per_page = (
         _lines(pages, group, page, text, salts)
         .join(candidates, ["_hash", "_salt"], "left_semi")
-        .groupBy(group, "normalised", "_raw", page)
+        .groupBy(group, "normalised", page)
+        .agg(F.collect_list("_raw").alias("_raws"), F.sum(in_upper_half).alias("_upper"))
+    )
+    # The first wording on each page stands for the page, so that one pass
+    # counts pages and wordings alike. A page holds no more lines than its text.
+    first = F.col("_at") == 0
+    seen = (
+        per_page.select(group, "normalised", "_upper", F.posexplode("_raws").alias("_at", "_raw"))
+        .groupBy(group, "normalised", "_raw")
         .agg(
             F.count(F.lit(1)).alias("_lines"),
-            F.sum((F.col("_pos") * 2 < F.col("_n")).cast("long")).alias("_upper"),
+            F.count_if(first).alias("_pages"),
+            F.sum(F.when(first, F.col("_upper")).otherwise(0)).alias("_upper"),
         )
-    )
-    per_wording = per_page.groupBy(group, "normalised", "_raw").agg(
-        F.sum("_lines").alias("_lines"), F.sum("_upper").alias("_upper")
-    )
-    best = per_wording.groupBy(group, "normalised").agg(
-        F.min(F.struct((-F.col("_lines")).alias("rank"), "_raw"))["_raw"].alias("text"),
-        F.sum("_lines").alias("occurrences"),
-        F.sum("_upper").alias("_upper"),
-    )
-    seen = (
-        per_page.select(group, "normalised", page)
-        .distinct()
         .groupBy(group, "normalised")
-        .agg(F.count(F.lit(1)).alias("pages_seen"))
+        .agg(
+            F.min(F.struct((-F.col("_lines")).alias("rank"), "_raw"))["_raw"].alias("text"),
+            F.sum("_pages").alias("pages_seen"),
+            F.sum("_lines").alias("occurrences"),
+            F.sum("_upper").alias("_upper"),
+        )
         .filter(F.col("pages_seen") >= min_pages)
     )
     total = pages.groupBy(group).agg(F.countDistinct(page).alias("_pages"))
     upper = F.col("_upper") * 2 >= F.col("occurrences")
     return (
-        seen.join(best, [group, "normalised"])
-        .join(total, group)
+        _with_page_totals(seen, total, group, large)
         .withColumn("page_frequency", F.col("pages_seen") / F.col("_pages"))
         .filter(F.col("page_frequency") >= min_frequency)
         .select(

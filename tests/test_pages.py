@@ -55,6 +55,8 @@ def test_repeated_lines_against_brute_force(spark, salts):
     found = pages.detect_repeated_lines(df, 4, salts=salts)
     got = {(r["source"], r["normalised"]): (r["pages_seen"], r["text"]) for r in found.collect()}
     assert got == want
+    large = pages.detect_repeated_lines(df, 4, salts=salts, large=50)
+    assert sorted(large.collect()) == sorted(found.collect())
     stripped = {r["doc_id"]: r["stripped_text"] for r in pages.strip_repeated_lines(df, found, salts=salts).collect()}
     for source, n, text in rows:
         kept = [l for l in text.split("\n") if (source, "".join("#" if c.isdigit() else c for c in l)) not in want]
