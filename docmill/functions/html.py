@@ -12,16 +12,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Comments, scripts and styles go before the head, whose end they might fake.
 _DROPPED = [
-    r"(?is)<!--.*?(?:-->|\z)",
-    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)",
-    r"(?is)<style\b[^>]*>.*?(?:</style\s*>|\z)",
+    r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|style\b[^>]*>.*?(?:</style\s*>|\z))",
     r"(?is)<head(?:\s[^>]*)?>.*?(?:</head\s*>|\z)",
 ]
 
 _BLOCKS = (
     "p|div|ul|ol|section|article|nav|header|footer|main|aside|blockquote|pre|form|table|hr|"
-    "dl|dt|dd|figure|figcaption|address|body|html"
+    "dl|dt|dd|figure|figcaption|address|body|html|h[1-6]"
 )
 
 _INLINE = [
@@ -29,22 +29,31 @@ _INLINE = [
     (r"(?i)<(?:i|em)(?:\s[^>]*)?>([^<]+)</(?:i|em)\s*>", "*$1*"),
     (r"(?i)<(?:b|strong)(?:\s[^>]*)?>([^<]+)</(?:b|strong)\s*>", "**$1**"),
     (r"(?i)<(?:i|em)(?:\s[^>]*)?>([^<]+)</(?:i|em)\s*>", "*$1*"),
+    (
+        r"""(?i)<a\b[^>]*\bhref=(?:"([^"]*)"|'([^']*)')[^>]*>([^<]*)</a\s*>""",
+        "[$3]($1$2)",
+    ),
+]
+
+_IMAGES = [
     (r'(?i)<img\b[^>]*\balt="([^"]*)"[^>]*\bsrc="([^"]*)"[^>]*>', "![$1]($2)"),
     (r'(?i)<img\b[^>]*\bsrc="([^"]*)"[^>]*\balt="([^"]*)"[^>]*>', "![$2]($1)"),
     (r'(?i)<img\b[^>]*\bsrc="([^"]*)"[^>]*>', "![]($1)"),
-    (r'(?i)<a\b[^>]*\bhref="([^"]*)"[^>]*>([^<]*)</a\s*>', "[$2]($1)"),
-    (r"(?i)<a\b[^>]*\bhref='([^']*)'[^>]*>([^<]*)</a\s*>", "[$2]($1)"),
 ]
 
+# A heading's level first becomes a mark, a control character no HTML text may
+# hold, so that one pattern finds all levels.
+_MARK = "\u0001"
+
 _STRUCTURE = [
-    *[(rf"(?i)<h{n}(?:\s[^>]*)?>\s*", "\n\n" + "#" * n + " ") for n in range(1, 7)],
-    (r"(?i)\s*</h[1-6]\s*>", "\n\n"),
+    (r"(?i)<h([1-6])(?:\s[^>]*)?>\s*", f"\n\n{_MARK}$1 "),
     (r"(?i)<li(?:\s[^>]*)?>\s*", "\n- "),
-    (r"(?i)\s*</li\s*>", ""),
     (rf"(?i)</?(?:{_BLOCKS})(?:\s[^>]*)?/?>", "\n\n"),
     (r"<[a-zA-Z/!?][^>]*>", ""),
 ]
 
+_HEADINGS = [(f"{_MARK}{n} ", "#" * n + " ") for n in range(1, 7)]
+
 # "&amp;" comes last, so that an escaped entity is decoded once.
 _ENTITIES = [
     ("&nbsp;", " "),
@@ -65,7 +74,6 @@ _ENTITIES = [
 _SPACING = [
     (r"[ \t]*\n[ \t]*", "\n"),
     (r"\n{3,}", "\n\n"),
-    (r"^[ \n]+|[ \n]+$", ""),
 ]
 
 
@@ -107,19 +115,28 @@ def _tables(text: Column) -> Column:
     return F.when(has_table, _rewrite(F.array_join(ruled, ""), _ROWS)).otherwise(text)
 
 
+def _images(text: Column) -> Column:
+    return F.when(text.rlike(r"(?i)<img\b"), _rewrite(text, _IMAGES)).otherwise(text)
+
+
+def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
+
+
 def with_html_markdown(df: DataFrame, html: Column, out: str) -> DataFrame:
     """Add the Markdown of each row's HTML; null HTML gives null.
 
-    One projection per step that reads its input more than once: Spark then
-    computes that input only once.
+    Each pattern is one pass over the text, so there are few, and what most
+    pages lack (images, tables) is looked for first. One projection per step
+    that reads its input more than once: Spark then computes that input only
+    once.
     """
-    opened = _rewrite(html, [(p, "") for p in _DROPPED])
-    opened = _rewrite(F.regexp_replace(opened, r"\s+", " "), _INLINE)
-    closed = _rewrite(F.col("_ruled"), _STRUCTURE)
-    decoded = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), _ENTITIES, closed)
+    opened = F.regexp_replace(_rewrite(html, [(p, "") for p in _DROPPED]), r"\s+", " ")
+    closed = _replaced(_rewrite(F.col("_ruled"), _STRUCTURE), _HEADINGS + _ENTITIES)
     return (
-        df.withColumn("_html", opened)
+        df.withColumn("_opened", opened)
+        .withColumn("_html", _rewrite(_images(F.col("_opened")), _INLINE))
         .withColumn("_ruled", _tables(F.col("_html")))
-        .withColumn(out, _rewrite(decoded, _SPACING))
-        .drop("_html", "_ruled")
+        .withColumn(out, F.btrim(_rewrite(closed, _SPACING), F.lit(" \n")))
+        .drop("_opened", "_html", "_ruled")
     )

@@ -19,7 +19,7 @@ def _html(source: str, key: str, column: str) -> str:
     """CTEs that end in ``md(<key>, markdown)`` for HTML without tables."""
     blocks = (
         "p|div|ul|ol|section|article|nav|header|footer|main|aside|blockquote|pre|form|table|hr|"
-        "dl|dt|dd|figure|figcaption|address|body|html"
+        "dl|dt|dd|figure|figcaption|address|body|html|h[1-6]"
     )
     steps = [
         (r"(?is)<!--.*?(?:-->|\z)", ""),
@@ -33,9 +33,7 @@ def _html(source: str, key: str, column: str) -> str:
         (r"(?i)<(?:i|em)(?:\s[^>]*)?>([^<]+)</(?:i|em)\s*>", r"*\1*"),
         (r'(?i)<a\b[^>]*\bhref="([^"]*)"[^>]*>([^<]*)</a\s*>', r"[\2](\1)"),
         *[(rf"(?i)<h{n}(?:\s[^>]*)?>\s*", "\n\n" + "#" * n + " ") for n in range(1, 7)],
-        (r"(?i)\s*</h[1-6]\s*>", "\n\n"),
         (r"(?i)<li(?:\s[^>]*)?>\s*", "\n- "),
-        (r"(?i)\s*</li\s*>", ""),
         (rf"(?i)</?(?:{blocks})(?:\s[^>]*)?/?>", "\n\n"),
         (r"<[a-zA-Z/!?][^>]*>", ""),
     ]
