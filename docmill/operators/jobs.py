@@ -104,9 +104,10 @@ def job_deadlines(
     The status is looked at before the deadline, so a finished job never times
     out; a finished job older than the retention is no longer known.
     """
-    at = F.lit(str(now)).cast("timestamp")
+    # In the column's own type, so that the filter reaches the scan.
+    at = F.lit(str(now)).cast(events.schema["ts"].dataType)
     per_job = (
-        events.filter(F.col("ts").cast("timestamp") <= at)
+        events.filter(F.col("ts") <= at)
         .groupBy("job_id")
         .agg(
             F.min("ts").alias("created_at"),

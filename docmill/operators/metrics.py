@@ -41,6 +41,10 @@ def outcome_metrics(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def _rank_name(rank: float) -> str:
+    return f"p{rank * 100:g}_ms".replace(".", "_")
+
+
 def latency_metrics(
     calls: DataFrame, by: tuple[str, ...] = ("class",), ranks: tuple[float, ...] = (0.5, 0.95, 0.99)
 ) -> DataFrame:
@@ -60,8 +64,9 @@ def latency_metrics(
     )
 
     def percentile(rank: float) -> Column:
-        reached = F.col("_upto") >= F.ceil(F.col("_all") * rank)
-        return F.min(F.when(reached, F.col("elapsed_ms"))).alias(f"p{round(rank * 100)}_ms")
+        # In whole thousandths: 0.95 itself is not a binary fraction.
+        reached = F.col("_upto") * 1000 >= F.col("_all") * round(rank * 1000)
+        return F.min(F.when(reached, F.col("elapsed_ms"))).alias(_rank_name(rank))
 
     total_ms = F.sum(F.col("elapsed_ms") * F.col("_n"))
     return placed.groupBy(*by).agg(
@@ -87,7 +92,7 @@ def latency_sketch(
         .select(
             *by,
             "calls",
-            *[F.col("_marks")[i].alias(f"p{round(r * 100)}_ms") for i, r in enumerate(ranks)],
+            *[F.col("_marks")[i].alias(_rank_name(r)) for i, r in enumerate(ranks)],
         )
     )
 
@@ -148,6 +153,10 @@ def failure_rate(
 _REPLAY_INPUT = ["client_id", "call_id", "outcome", "at_ms"]
 
 
+def _calls_of(batch: pd.DataFrame) -> Iterator[tuple]:
+    return zip(*(batch[name].tolist() for name in (BLOCK, "client_id", "outcome", "at_ms")))
+
+
 def breaker_replay(
     calls: DataFrame,
     settings: breaker.Settings = breaker.Settings(),
@@ -174,9 +183,7 @@ def breaker_replay(
         client, machine = None, None
         for batch in batches:
             admitted, states = [], []
-            for block, who, outcome, at in zip(
-                batch[BLOCK], batch["client_id"], batch["outcome"], batch["at_ms"]
-            ):
+            for block, who, outcome, at in _calls_of(batch):
                 if machine is None or who != client:
                     saved = entries.get(block) if machine is None else None
                     client, machine = who, breaker.Breaker.restore(settings, saved)
@@ -223,9 +230,7 @@ def _block_ends(
     def end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first, client, machine, block = None, None, None, None
         for batch in batches:
-            for number, who, outcome, at in zip(
-                batch[BLOCK], batch["client_id"], batch["outcome"], batch["at_ms"]
-            ):
+            for number, who, outcome, at in _calls_of(batch):
                 if machine is None:
                     first, block = who, number
                     client, machine = who, breaker.Breaker.restore(settings, entries.get(block))

@@ -136,11 +136,18 @@ def cache_lookup(
     )
 
 
-def cache_misses(docs: DataFrame, store: DataFrame, key: str = "variant_key") -> DataFrame:
-    """Rows still to be converted: not stored, or not allowed to use the store."""
-    return docs.join(
-        store.select(key).withColumn("_cached", F.lit(True)),
-        (docs[key] == store[key]) & ~bypasses_cache(docs["options"]),
-        "left_anti",
-    )
+def cache_misses(
+    docs: DataFrame,
+    store: DataFrame,
+    key: str = "variant_key",
+    id_col: str = "input_ordinal",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Rows still to be converted: not stored, or not allowed to use the store.
 
+    Keys and ids alone decide; whole rows are then picked by id.
+    """
+    narrow = docs.select(id_col, key, "options")
+    looked_up = cache_lookup(narrow, store.select(key), key, id_col, salts)
+    missing = looked_up.filter(~F.col("cache_hit")).select(id_col)
+    return docs.join(missing.hint("shuffle_hash"), id_col, "left_semi")

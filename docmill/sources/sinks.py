@@ -43,7 +43,8 @@ def store_results(
     if _has_rows(spark, store_path):
         stored = spark.read.parquet(store_path).select(key)
         fresh = fresh.join(stored, key, "left_anti")
-    storable.join(fresh.select(id_col), id_col, "left_semi").write.mode("append").parquet(store_path)
+    chosen = fresh.select(id_col).hint("shuffle_hash")
+    storable.join(chosen, id_col, "left_semi").write.mode("append").parquet(store_path)
 
 
 def _has_rows(spark: SparkSession, path: str) -> bool:
