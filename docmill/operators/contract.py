@@ -79,6 +79,44 @@ def parse_results(log: DataFrame) -> DataFrame:
     )
 
 
+def parse_jobs(log: DataFrame) -> DataFrame:
+    """Accepted submissions and status answers as job events.
+
+    A submission that the store could answer is already ``succeeded``. Times the
+    service sends as text become timestamps; ``ts`` is when the answer was seen.
+    """
+    endpoint, status, body = F.col("endpoint"), F.col("raw_status"), F.col("body")
+    submitted, asked = (endpoint == "submit") & (status == 202), (endpoint == "job_status") & (status == 200)
+    parsed = (
+        log.filter(submitted | asked)
+        .withColumns(
+            {
+                "_ticket": _parsed(F.when(submitted, body), schemas.JOB_SUBMIT),
+                "_state": _parsed(F.when(asked, body), schemas.JOB_STATUS),
+            }
+        )
+        .drop("body")
+        .filter(~F.when(submitted, _unparsable(F.col("_ticket"))).otherwise(_unparsable(F.col("_state"))))
+    )
+    error = F.col("_state.error")
+    return parsed.select(
+        "request_id",
+        F.coalesce("_ticket.job_id", "_state.job_id").alias("job_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.coalesce("_ticket.status", "_state.status").alias("status"),
+        F.col("_state.format").alias("format"),
+        F.coalesce("_ticket.cache_hit", "_state.result.cache_hit", F.lit(False)).alias("cache_hit"),
+        error["code"].alias("error_code"),
+        error["reason"].alias("error_reason"),
+        flag(error["retryable"]).alias("retryable"),
+        *[
+            F.col(f"_state.{name}").try_cast("timestamp").alias(name)
+            for name in ("created_at", "started_at", "finished_at")
+        ],
+        F.col("_state.result.markdown").alias("markdown"),
+    )
+
+
 def _with_detail(log: DataFrame) -> DataFrame:
     """Add ``_code`` and ``_reason`` of error bodies, null for other rows.
 
@@ -282,6 +320,11 @@ def resolve_attempts(
     )
 
 
+def due_retries(plan: DataFrame, now_ms: int) -> DataFrame:
+    """Planned retries whose earliest time has come; for the next batch run."""
+    return plan.filter(F.col("not_before_ms") <= now_ms)
+
+
 def retry_plan(
     failures: DataFrame,
     max_attempts: int = rules.RETRY_MAX_ATTEMPTS,

@@ -41,6 +41,29 @@ def outcome_metrics(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def service_counters(
+    outcomes: DataFrame, rendered_pages: DataFrame, job_states: DataFrame
+) -> DataFrame:
+    """Running totals by name and label: conversions, reuse, rendered pages, jobs.
+
+    ``rendered_pages`` has a row per page, ``job_states`` a row per job.
+    """
+
+    def counted(rows: DataFrame, name: str, label: Column) -> DataFrame:
+        return rows.groupBy(F.lit(name).alias("counter"), label.alias("label")).agg(
+            F.count(F.lit(1)).alias("total")
+        )
+
+    none = F.lit("")
+    return (
+        counted(outcomes, "convert_total", F.col("class"))
+        .unionByName(counted(outcomes.filter("cache_hit"), "cache_hits_total", none))
+        .unionByName(counted(outcomes.filter("shared"), "singleflight_shares_total", none))
+        .unionByName(counted(rendered_pages, "render_pages_total", F.col("media_type")))
+        .unionByName(counted(job_states, "jobs_total", F.col("status")))
+    )
+
+
 def _rank_name(rank: float) -> str:
     return f"p{rank * 100:g}_ms".replace(".", "_")
 

@@ -371,6 +371,44 @@ def job_events(events: DataFrame) -> DataFrame:
     )
 
 
+def job_log(events: DataFrame) -> DataFrame:
+    """The same jobs as submissions and status answers, as the service sends them."""
+    state = job_events(events)
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    ticket = F.to_json(F.struct("job_id", "status", F.when(F.col("event_id") % 3 == 0, True).alias("cache_hit")))
+    failed = F.col("status") == "failed"
+    answer = F.to_json(
+        F.struct(
+            "job_id",
+            "status",
+            "format",
+            stamp.alias("created_at"),
+            F.when(F.col("status") != "queued", stamp).alias("started_at"),
+            F.when(failed, F.lit("not a time")).alias("finished_at"),
+            F.when(
+                F.col("status") == "succeeded",
+                F.struct(F.col("job_id").alias("markdown"), (F.col("event_id") % 2 == 0).alias("cache_hit")),
+            ).alias("result"),
+            F.when(
+                failed,
+                F.struct(
+                    F.col("error_code").alias("code"),
+                    F.col("error_reason").alias("reason"),
+                    F.col("retryable").alias("retryable"),
+                ),
+            ).alias("error"),
+        )
+    )
+    submitted = F.col("status") == "queued"
+    return state.select(
+        F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("request_id"),
+        F.when(submitted, "submit").otherwise("job_status").alias("endpoint"),
+        F.when(submitted, 202).otherwise(200).cast("long").alias("raw_status"),
+        F.col("ts").cast("string").alias("ts"),
+        F.when(F.col("event_id") % 13 == 0, F.lit("{cut")).when(submitted, ticket).otherwise(answer).alias("body"),
+    )
+
+
 def attempts(events: DataFrame) -> DataFrame:
     """Four consecutive events are the tries of one request."""
     kind = F.col("event_type")

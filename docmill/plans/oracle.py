@@ -484,6 +484,17 @@ SELECT 'r' || doc_id AS request_id,
        CASE WHEN NOT bad AND doc_id % 2 = 0 THEN doc_id END AS headers_footers_stripped,
        CASE WHEN bad THEN 'bad_response' END AS error_code
 FROM d""",
+    "parse_jobs": _JOBS
+    + """
+SELECT 'r' || n AS request_id, job_id, epoch_us(ts) AS ts_us, status,
+       CASE WHEN status <> 'queued' THEN 'docx' END AS format,
+       CASE status WHEN 'queued' THEN n % 3 = 0 WHEN 'succeeded' THEN n % 2 = 0 ELSE false END AS cache_hit,
+       error_code, error_reason, retryable,
+       CASE WHEN status <> 'queued' THEN epoch_us(ts) // 1000000 END AS created_at_s,
+       CASE WHEN status <> 'queued' THEN epoch_us(ts) // 1000000 END AS started_at_s,
+       NULL::BIGINT AS finished_at_s,
+       CASE WHEN status = 'succeeded' THEN job_id END AS markdown
+FROM jobs WHERE n % 13 <> 0""",
     "parse_errors": _RESPONSES
     + """
 SELECT request_id, endpoint, raw_status, coalesce(code, 'unknown') AS error_code,
@@ -721,6 +732,20 @@ SELECT coalesce_format AS format, class, count(*) AS outcomes,
        GROUPING(coalesce_format, class)::BIGINT AS level
 FROM (SELECT *, coalesce(format, 'unknown') AS coalesce_format, class AS class0 FROM outcomes)
 GROUP BY ROLLUP (coalesce_format, class)""",
+    "service_counters": _batch(False)
+    + ",\n"
+    + _LATEST.strip().removeprefix("WITH")
+    + ",\n"
+    + _LINES.strip().removeprefix("WITH")
+    + """
+SELECT 'convert_total' AS counter, class AS label, count(*) AS total FROM outcomes GROUP BY class
+UNION ALL
+SELECT 'singleflight_shares_total', '', count(*) FROM outcomes WHERE shared HAVING count(*) > 0
+UNION ALL
+SELECT 'render_pages_total', CASE WHEN i % 2 = 0 THEN 'image/png' ELSE 'image/jpeg' END, count(*)
+FROM lines WHERE doc_id % 9 <> 0 GROUP BY 2
+UNION ALL
+SELECT 'jobs_total', status, count(*) FROM ranked WHERE pick = 1 GROUP BY status""",
     "latency_metrics": """
 WITH timed AS (SELECT event_type AS class, round(value * 100)::BIGINT AS elapsed_ms FROM events),
 ranked AS (

@@ -313,6 +313,18 @@ def _parse_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("parse_jobs")
+def _parse_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = contract.parse_jobs(inputs.job_log(_events(spark, sf_dir)))
+    times = {
+        f"{name}_s": F.unix_seconds(name) for name in ("created_at", "started_at", "finished_at")
+    }
+    return (
+        parsed.withColumns({**times, "ts_us": F.unix_micros("ts")})
+        .drop("created_at", "started_at", "finished_at", "ts")
+    )
+
+
 @query("parse_errors")
 def _parse_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.parse_errors(inputs.response_log(spark, sf_dir)).select(
@@ -545,6 +557,14 @@ def _outcome_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.outcome_metrics(outcomes)
 
 
+@query("service_counters")
+def _service_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = outcome_summary(convert_batch(inputs.mixed_corpus(spark, sf_dir)))
+    rendered = assets.rendered_pages(inputs.render_log(spark, sf_dir))
+    latest = jobs.job_latest(inputs.job_events(_events(spark, sf_dir)))
+    return metrics.service_counters(outcomes, rendered, latest)
+
+
 @query("latency_metrics")
 def _latency_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.latency_metrics(inputs.timed_calls(_events(spark, sf_dir)))
