@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from docmill import rules
 from docmill.functions import pagespec
+from docmill.functions.salts import SALTS, salt, salt_list, used_salts
 from docmill.functions.text import non_blank
 
-SALTS = 256
 # Documents with at least this many pages are looked up in a broadcast table,
 # which has at most one row per million pages of the corpus.
 LARGE_DOCUMENT = 1_000_000
@@ -33,10 +33,6 @@ def is_page_number(line: Column) -> Column:
     return left.rlike("^#+$")
 
 
-def _salt(page: str, salts: int) -> Column:
-    return F.pmod(F.xxhash64(page), F.lit(salts)).cast("int")
-
-
 def _line_hashes(pages: DataFrame, group: str, page: str, text: str, salts: int) -> DataFrame:
     """Distinct 64-bit hashes of each page's lines: what travels instead of text.
 
@@ -48,7 +44,7 @@ def _line_hashes(pages: DataFrame, group: str, page: str, text: str, salts: int)
         )
     )
     return pages.select(
-        group, page, _salt(page, salts).alias("_salt"), F.explode(hashes).alias("_hash")
+        group, page, salt(page, salts).alias("_salt"), F.explode(hashes).alias("_hash")
     )
 
 
@@ -60,7 +56,7 @@ def _lines(pages: DataFrame, group: str, page: str, text: str, salts: int) -> Da
         .select(
             group,
             page,
-            _salt(page, salts).alias("_salt"),
+            salt(page, salts).alias("_salt"),
             F.size("_raw").alias("_n"),
             F.posexplode(F.arrays_zip("_raw", "_clean")).alias("_pos", "_line"),
         )
@@ -111,12 +107,13 @@ def detect_repeated_lines(
     are looked at as text. A line that is on every page is spread over the salts
     of its pages and counted per task before any shuffle.
     """
+    noted = [bits.alias(name) for name, bits in used_salts("_salt", salts).items()]
     candidates = (
         _line_hashes(pages, group, page, text, salts)
         .groupBy("_hash")
-        .agg(F.count(F.lit(1)).alias("_pages"), F.collect_set("_salt").alias("_salts"))
+        .agg(F.count(F.lit(1)).alias("_pages"), *noted)
         .filter(F.col("_pages") >= min_pages)
-        .select("_hash", F.explode("_salts").alias("_salt"))
+        .select("_hash", F.explode(salt_list(salts)).alias("_salt"))
     )
     in_upper_half = (F.col("_pos") * 2 < F.col("_n")).cast("long")
     per_page = (

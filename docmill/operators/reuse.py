@@ -11,16 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmill.functions.options import bypasses_cache
-
-SALTS = 256
-
-
-def _salt(id_col: str, salts: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int")
+from docmill.functions.salts import SALTS, salt, salt_list, used_salts
 
 
 def distinct_keys(
@@ -34,15 +29,18 @@ def distinct_keys(
 
     ``same`` names columns that are equal in all rows of a key; they are kept.
     """
+    noted = used_salts("_salt", salts)
     return (
-        df.select(key, id_col, *same, _salt(id_col, salts).alias("_salt"))
+        df.select(key, id_col, *same, salt(id_col, salts).alias("_salt"))
         .groupBy(key)
         .agg(
             F.min(id_col).alias(id_col),
             F.count(F.lit(1)).alias("calls"),
-            F.collect_set("_salt").alias("_salts"),
             *[F.max(name).alias(name) for name in same],
+            *[bits.alias(name) for name, bits in noted.items()],
         )
+        .withColumn("_salts", salt_list(salts))
+        .drop(*noted)
     )
 
 
@@ -66,7 +64,7 @@ def hand_back(
     """Join one row per key (with ``_salts``) back to all rows of the key."""
     spread = per_key.withColumn("_salt", F.explode("_salts")).drop("_salts")
     return (
-        rows.withColumn("_salt", _salt(id_col, salts))
+        rows.withColumn("_salt", salt(id_col, salts))
         .join(spread, [key, "_salt"], how)
         .drop("_salt")
     )

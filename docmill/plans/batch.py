@@ -60,11 +60,18 @@ def convert_batch(
     ready = prepare(docs, id_col, max_bytes)
     # Content and name decide class and format, and both are in the key. Choosing
     # keys after the aggregation keeps Spark from repeating the format tests in a
-    # filter on every row.
+    # filter on every row; as a number, the format fits its hash aggregation.
+    number = F.lit(None).cast("int")
+    for i, kind in enumerate(convert.CONVERTIBLE, start=1):
+        number = F.when(F.col("format") == kind, i).otherwise(number)
+    numbered = ready.withColumn("_kind", F.when(F.col("class").isNull(), number))
     keys = (
-        reuse.distinct_keys(ready, "variant_key", id_col, salts, ("class", "format"))
-        .filter(F.col("class").isNull())
-        .drop("class", "calls")
+        reuse.distinct_keys(numbered, "variant_key", id_col, salts, ("_kind",))
+        .filter(F.col("_kind").isNotNull())
+        .withColumn(
+            "format", F.element_at(F.array(*[F.lit(k) for k in convert.CONVERTIBLE]), F.col("_kind"))
+        )
+        .drop("_kind", "calls")
     )
     if store is None:
         todo, hits = keys, None
