@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.functions.breaker import Settings
-from docmill.functions.options import options
 from docmill.functions.text import as_bytes
 from docmill.operators import (
     assets,

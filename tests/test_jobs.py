@@ -1,7 +1,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from docmill.operators import jobs
 from docmill.sources.sinks import run_to_table
