@@ -9,12 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docmill.llm.byte_bpe import encode_decode
-from docmill.llm.common import table
+from docmill.llm.common import crc32_of_id, table
+from docmill.llm.cube import mix
+from docmill.llm.int8_dedup import near_duplicates
+from docmill.llm.neighbours import vote_quality
+from docmill.llm.oracle import ORACLE_SQL
+from docmill.llm.quality_rules import quality_rules
+from docmill.llm.url_cascade import Rule, judge_urls
+from docmill.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -32,3 +38,51 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(
         table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     )
+
+
+@query("op4_warc")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+#: The rules of the registered query.
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+@query("op6_url_filters")
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op9_embedding_near_dedup")
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = vote_quality(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        learn_from="crc32(cast(coalesce(cast(_id AS string), '') AS binary)) % 5 <> 0",
+    )
+    held_out = (crc32_of_id() % 5 == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("distance")
+
+
+@query("op8_source_mixing")
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
