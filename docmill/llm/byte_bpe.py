@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain, pairwise
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -118,16 +119,14 @@ class ByteBPE:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def text_of(self, ids: list[int]) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(map(self.decimal.__getitem__, ids))
+
     def starts(self, text: str) -> list[int]:
         return [m.start() for m in self.pattern.finditer(text)]
 
 
-def _encoded(tokenizer: ByteBPE, texts: Iterator[str | None]) -> Iterator[tuple[int, str, bytes]]:
-    for text in texts:
-        ids = tokenizer.encode(text or "")
-        yield len(ids), ",".join(map(tokenizer.decimal.__getitem__, ids)), tokenizer.decode(ids)
-
-
 def encode_decode(
     docs: DataFrame,
     ranks_path: str,
@@ -137,9 +136,10 @@ def encode_decode(
     chunk_chars: int = CHUNK_CHARS,
     overlap_chars: int = OVERLAP_CHARS,
     with_ids: bool = False,
+    with_decoded: bool = False,
 ) -> DataFrame:
-    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and with
-    ``with_ids`` also ``ids`` (array) and ``decoded`` (binary).
+    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and on demand
+    ``ids`` (array) and ``decoded`` (binary).
 
     Null and empty texts have no tokens; both digests are those of nothing. Each
     repeated row is encoded for itself; null ids are kept. Other columns are not read.
@@ -150,38 +150,34 @@ def encode_decode(
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     fits = F.coalesce(F.length("_text"), F.lit(0)) <= chunk_chars
     id_type = docs.schema["_id"].dataType.simpleString()
-    extra = ", ids string, decoded binary" if with_ids else ""
+    extra = ["ids array<int>"] * with_ids + ["decoded binary"] * with_decoded
+    schema = ", ".join(
+        [f"_id {id_type}", "n_tokens long", "ids_sha256 string", "decoded_sha256 string", *extra]
+    )
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = ByteBPE(ranks_path, pattern)
         for batch in batches:
             rows = []
-            for row_id, (n, ids, decoded) in zip(
-                batch["_id"], _encoded(tokenizer, batch["_text"]), strict=True
-            ):
-                digests = hashlib.sha256(ids.encode()), hashlib.sha256(decoded)
-                row = (row_id, n, *[d.hexdigest() for d in digests])
-                rows.append((*row, ids, decoded) if with_ids else row)
-            yield _frame(rows, batch["_id"].dtype, with_ids)
-
-    schema = f"_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}"
+            for text in batch["_text"]:
+                ids = tokenizer.encode(text or "")
+                decoded = tokenizer.decode(ids)
+                digests = hashlib.sha256(tokenizer.text_of(ids).encode()), hashlib.sha256(decoded)
+                row = [len(ids), *[d.hexdigest() for d in digests]]
+                row += [np.array(ids, dtype=np.int32)] * with_ids + [decoded] * with_decoded
+                rows.append(row)
+            names = [x.split()[0] for x in schema.split(", ")]
+            columns = zip(*rows, strict=True) if rows else [[]] * (len(names) - 1)
+            out = dict(zip(names[1:], map(list, columns), strict=True))
+            yield pd.DataFrame({"_id": batch["_id"].reset_index(drop=True), **out})
+
     short = docs.filter(fits).mapInPandas(whole, schema)
     long = _long_texts(docs.filter(~fits), ranks_path, pattern, chunk_chars, overlap_chars)
-    if not with_ids:
-        long = long.drop("ids", "decoded")
-    out = short.unionByName(long).withColumnRenamed("_id", id_col)
-    if with_ids:
-        ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(
-            F.split("ids", ",").cast("array<int>")
-        )
-        out = out.withColumn("ids", ids)
-    return out
-
-
-def _frame(rows: list[tuple], id_dtype, with_ids: bool) -> pd.DataFrame:
-    names = ["_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    frame = pd.DataFrame(rows, columns=names + ["ids", "decoded"] * with_ids)
-    return frame.astype({"_id": id_dtype})
+    ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(
+        F.split("ids", ",").cast("array<int>")
+    )
+    long = long.withColumn("ids", ids).select(short.columns)
+    return short.unionByName(long).withColumnRenamed("_id", id_col)
 
 
 def _long_texts(
@@ -252,9 +248,12 @@ def _long_texts(
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = ByteBPE(ranks_path, pattern)
         for batch in batches:
-            done = list(_encoded(tokenizer, batch["_span"]))
-            batch = batch.drop(columns="_span")
-            yield batch.assign(**dict(zip(("n", "ids", "decoded"), zip(*done), strict=True)))
+            found = [tokenizer.encode(span) for span in batch["_span"]]
+            yield batch.drop(columns="_span").assign(
+                n=[len(ids) for ids in found],
+                ids=[tokenizer.text_of(ids) for ids in found],
+                decoded=[tokenizer.decode(ids) for ids in found],
+            )
 
     parts = spans.mapInPandas(
         encode, f"_row long, _id {id_type}, _k int, n long, ids string, decoded binary"

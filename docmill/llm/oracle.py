@@ -68,3 +68,53 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) A
        vec_id = coalesce(component_id, vec_id) AS kept
 FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN comp ON comp.node = vec_id
 """
+
+ORACLE_SQL["op2_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, list_aggregate(words[i:i+4], 'string_agg', ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS i
+        FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))
+), reach AS (
+  SELECT a AS node, a AS seen FROM links
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+), comp AS (
+  SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN comp ON node = w.doc_id
+"""
+
+ORACLE_SQL["op3_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), win AS (
+  SELECT doc_id, i, list_aggregate(words[i:i+12], 'string_agg', ' ') AS span
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS i FROM w)
+), f AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY span) AS first_id FROM win
+), gone AS (
+  SELECT DISTINCT doc_id, i + unnest(generate_series(0, 12)) AS i FROM f WHERE first_id < doc_id
+), t AS (
+  SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS i FROM w
+), k AS (
+  SELECT t.doc_id, count(*) FILTER (gone.i IS NOT NULL) AS n_removed,
+         string_agg(word, ' ' ORDER BY t.i) FILTER (gone.i IS NULL) AS kept
+  FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON k.doc_id = w.doc_id
+"""

@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from docmill.llm.byte_bpe import encode_decode
 from docmill.llm.common import crc32_of_id, table
 from docmill.llm.cube import mix
+from docmill.llm.debruijn import remove_repeats
 from docmill.llm.int8_dedup import near_duplicates
 from docmill.llm.neighbours import vote_quality
+from docmill.llm.ngram_lm import score_texts
 from docmill.llm.oracle import ORACLE_SQL
 from docmill.llm.quality_rules import quality_rules
+from docmill.llm.token_groups import jaccard_components
 from docmill.llm.url_cascade import Rule, judge_urls
 from docmill.llm.warc import archive_round_trip
 
@@ -86,3 +89,24 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_source_mixing")
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
+
+
+@query("op2_jaccard_join")
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("set_id")
+
+
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_texts(
+        table(spark, sf_dir, "documents"),
+        learn_from="crc32(cast(coalesce(cast(_id AS string), '') AS binary)) % 7 <> 2",
+    )
+    held_out = (crc32_of_id() % 7 == 2).alias("held_out")
+    names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", held_out, *names)
