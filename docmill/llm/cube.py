@@ -117,7 +117,7 @@ def _flights(units: DataFrame, blocks: dict[int, int], turn: int) -> DataFrame:
     spark = units.sparkSession
     schema = units.schema
     counts = spark.createDataFrame(sorted(blocks.items()), "_k int, _blocks int")
-    dealt = units.join(counts, "_k").withColumn(
+    dealt = units.join(F.broadcast(counts), "_k").withColumn(
         "_block", F.expr(f"pmod(xxhash64(_id, _size, _text, {turn}), _blocks)").cast("int")
     )
 
@@ -141,7 +141,7 @@ def mixed_units(sizes: DataFrame, weights: Sequence[float], times: float, block:
     units = written(
         sizes.groupBy("_source", "_id", "_size", "_text")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .join(sources.withColumnRenamed("_source", "_name"), F.expr("_source <=> _name"))
+        .join(F.broadcast(sources.withColumnRenamed("_source", "_name")), F.expr("_source <=> _name"))
         .withColumn("_whole", F.floor(want + _CLOSE))
         .withColumn("_p", F.greatest(want - F.col("_whole"), F.lit(0.0)))
         .select("_source", "_k", "_id", "_size", "_text", "_n", "_total", "_target", "_whole", "_p"),
