@@ -207,7 +207,8 @@ def estimates(stats: DataFrame, support: float = SUPPORT, steps: int = STEPS) ->
     scale = consistency(support, DIM)
     for _ in range(steps):
         away = stats.join(present, "_group").withColumn("_d", _distance())
-        near = away.groupBy("_group").agg(F.percentile_approx("_d", support, 1000).alias("_limit"))
+        limits = away.groupBy("_group").agg(F.percentile_approx("_d", support, 1000).alias("_limit"))
+        near = written(limits, "mcd-limits")  # read back, its size is known
         closest = away.join(near, "_group").filter("_d <= _limit")
         present = written(_inverted(closest.groupBy("_group").agg(*_moments()), scale), "mcd-step")
     return present
