@@ -35,7 +35,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     several later steps read is computed once, and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

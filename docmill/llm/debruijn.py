@@ -2,14 +2,15 @@
 
 1. Each window of k words has a minimiser, the least hash of its m-word runs. Only
    minimisers that occur in two documents can belong to a repeated window; they are
-   found from about a fifth as many rows as there are words.
+   found from about a fifth as many rows as there are words, and written as a sorted
+   set that tasks map into memory.
 2. Windows with such a minimiser become edges of the graph (from their first to their
    last k - 1 words), keyed by a fingerprint of 96 bits, with their coordinates. Of
    edges that occur in two documents the first occurrence is the source.
 3. Edges of a document join their sources; neighbours whose sources are neighbours,
    too, form a path without branches and compact into one span.
 4. The words at a span's source coordinates are digested and compared with the
-   span's own before any word is removed.
+   span's own before any result is returned.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.common import words, written
+from docmill.llm.levels import KeySet
 from docmill.llm.shingles import WordHashes, runs, sliding_min
 
 WINDOW = 13
@@ -56,8 +58,8 @@ def _check(window: int, run: int) -> None:
         raise ValueError("a run must not be longer than a window")
 
 
-def _repeated_minimisers(docs: DataFrame, window: int, run: int) -> DataFrame:
-    """(_id, _marks): per document the minimisers it shares with another."""
+def _repeated_minimisers(docs: DataFrame, window: int, run: int) -> KeySet:
+    """The minimisers that occur in two documents."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         prints = Fingerprints(window, run)
@@ -67,91 +69,91 @@ def _repeated_minimisers(docs: DataFrame, window: int, run: int) -> DataFrame:
             yield pd.DataFrame({"_m": np.concatenate([*found, np.zeros(0, np.int64)]), "_id": ids})
 
     marks = docs.filter("_id IS NOT NULL").select("_id", "_text").mapInPandas(emit, "_m long, _id long")
-    shared = marks.groupBy("_m").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).filter("lo < hi")
-    return (
-        marks.join(shared.select("_m"), "_m", "left_semi")
-        .groupBy("_id")
-        .agg(F.collect_set("_m").alias("_marks"))
-    )
+    ends = marks.groupBy("_m").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
+    return KeySet(ends.filter("lo < hi"), "_m", "repeated-minimisers")
 
 
-def _edges(candidates: DataFrame, window: int, run: int) -> DataFrame:
-    """(_f, _g, _id, _row, _at): the windows that may be repeated."""
+def _edges(docs: DataFrame, repeated: KeySet, window: int, run: int) -> DataFrame:
+    """(_f, _g, _id, _x, _at): the windows that may be repeated."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         prints = Fingerprints(window, run)
         for batch in batches:
-            parts = []
-            for row, doc, text, marks in zip(
-                batch["_row"], batch["_id"], batch["_text"], batch["_marks"], strict=True
-            ):
-                hashes = prints.hashes(text)
-                at = np.nonzero(np.isin(prints.minimisers(hashes), np.asarray(marks, np.int64)))[0]
-                f, g = prints.edges(hashes)
-                parts.append((f[at], g[at], np.full(len(at), doc), np.full(len(at), row), at))
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [[]] * 5
-            yield pd.DataFrame(dict(zip(("_f", "_g", "_id", "_row", "_at"), columns, strict=True)))
-
-    return candidates.select("_row", "_id", "_text", "_marks").mapInPandas(
-        emit, "_f long, _g int, _id long, _row long, _at int"
+            hashes = [prints.hashes(t) for t in batch["_text"]]
+            marks = [prints.minimisers(h) for h in hashes]
+            found = repeated.contains(np.concatenate([*marks, np.zeros(0, np.int64)]).view(np.uint64))
+            begin, parts = 0, []
+            for doc, x, own, mine in zip(batch["_id"], batch["_x"], hashes, marks, strict=True):
+                at = np.nonzero(found[begin : begin + len(mine)])[0]
+                begin += len(mine)
+                if len(at):
+                    f, g = prints.edges(own)
+                    parts.append((f[at], g[at], np.full(len(at), doc), np.full(len(at), x), at))
+            if parts:
+                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+                yield pd.DataFrame(dict(zip(("_f", "_g", "_id", "_x", "_at"), columns, strict=True)))
+
+    return docs.filter("_id IS NOT NULL").select("_id", "_x", "_text").mapInPandas(
+        emit, "_f long, _g int, _id long, _x int, _at int"
     )
 
 
 def _spans(edges: DataFrame) -> DataFrame:
-    """(_row, _at, _n, _src, _from): compacted paths of windows whose source lies in a
-    document with a smaller id; _n windows from word _at on equal those from word
-    _from of row _src on."""
-    place = F.struct("_id", "_row", "_at")
+    """(_id, _x, _at, _n, _sid, _sx, _from): compacted paths of windows whose source lies in
+    a document with a smaller id; _n windows from word _at on equal those from word
+    _from of the text (_sid, _sx) on."""
+    place = F.struct("_id", "_x", "_at")
     sources = (
         edges.groupBy("_f", "_g")
         .agg(F.min(place).alias("_s"), F.max("_id").alias("_last"))
         .filter("_s._id < _last")
-        .select("_f", "_g", F.col("_s._id").alias("_sid"), F.col("_s._row").alias("_src"), F.col("_s._at").alias("_from"))
+        .select(
+            "_f", "_g", F.expr("_s._id AS _sid"), F.expr("_s._x AS _sx"), F.expr("_s._at AS _from")
+        )
     )
     joined = edges.join(sources, ["_f", "_g"]).filter("_sid < _id")
-    steps = F.sort_array(F.collect_list(F.struct("_at", "_src", "_from")))
-    # A row's windows are as many as its words; a path ends where one of the three breaks.
-    paths = joined.groupBy("_row").agg(steps.alias("_w"))
+    steps = F.sort_array(F.collect_list(F.struct("_at", "_sid", "_sx", "_from")))
+    # A text's windows are as many as its words; a path ends where one of the four breaks.
+    paths = joined.groupBy("_id", "_x").agg(steps.alias("_w"))
+    names = ("_id", "_x", "_at", "_n", "_sid", "_sx", "_from")
 
     def compact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parts = []
-            for row, steps in zip(batch["_row"], batch["_w"], strict=True):
-                at, src, origin = (np.array([s[k] for s in steps]) for k in ("_at", "_src", "_from"))
+            for doc, x, steps in zip(batch["_id"], batch["_x"], batch["_w"], strict=True):
+                keys = ("_at", "_sid", "_sx", "_from")
+                at, sid, sx, origin = (np.array([s[k] for s in steps]) for k in keys)
                 new = np.ones(len(at), dtype=bool)
-                new[1:] = (np.diff(at) != 1) | (np.diff(src) != 0) | (np.diff(origin) != 1)
+                new[1:] = (np.diff(at) != 1) | (sid[1:] != sid[:-1]) | (sx[1:] != sx[:-1])
+                new[1:] |= np.diff(origin) != 1
                 head = np.nonzero(new)[0]
                 n = np.diff(np.append(head, len(at)))
-                parts.append((np.full(len(head), row), at[head], n, src[head], origin[head]))
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [[]] * 5
-            names = ("_row", "_at", "_n", "_src", "_from")
+                own = np.full(len(head), doc), np.full(len(head), x)
+                parts.append((*own, at[head], n, sid[head], sx[head], origin[head]))
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [[]] * 7
             yield pd.DataFrame(dict(zip(names, columns, strict=True)))
 
-    return paths.mapInPandas(compact, "_row long, _at int, _n int, _src long, _from int")
+    schema = "_id long, _x int, _at int, _n int, _sid long, _sx int, _from int"
+    return paths.mapInPandas(compact, schema)
+
+
+def _plain(span) -> dict:
+    return {k: span[k] for k in ("_at", "_n", "_sid", "_sx", "_from")}
 
 
 def _digest(own: list[bytes]) -> bytes:
     return hashlib.blake2b(b"\n".join(own), digest_size=16).digest()
 
 
-def _verified(spans: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
-    """Spans with the digest of the words at their source."""
-    asked = spans.groupBy("_src", "_from", "_n").agg(F.lit(1).alias("x"))
-    asked = asked.groupBy("_src").agg(F.collect_list(F.struct("_from", "_n")).alias("_asked"))
-    sources = candidates.select(F.col("_row").alias("_src"), "_text").join(asked, "_src")
-
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for src, text, asked in zip(batch["_src"], batch["_text"], batch["_asked"], strict=True):
-                own = words(text)
-                for x in asked:
-                    part = own[x["_from"] : x["_from"] + x["_n"] + window - 1]
-                    out.append((src, x["_from"], x["_n"], _digest(part)))
-            yield pd.DataFrame(out, columns=["_src", "_from", "_n", "_digest"])
-
-    digests = sources.mapInPandas(digest, "_src long, _from int, _n int, _digest binary")
-    return spans.join(digests, ["_src", "_from", "_n"])
+def _check_sources(digests: DataFrame) -> None:
+    """Compare each span with the words at its source; both were digested as they were read."""
+    own = digests.filter("_sid IS NOT NULL").withColumnRenamed("_digest", "_own")
+    source = digests.filter("_sid IS NULL").select(
+        F.col("_id").alias("_sid"), F.col("_x").alias("_sx"), F.col("_at").alias("_from"), "_n", "_digest"
+    )
+    known = own.join(source.distinct(), ["_sid", "_sx", "_from", "_n"], "left")
+    if known.filter("_digest IS NULL OR _digest <> _own").take(1):
+        raise ValueError("two windows of one fingerprint differ")
 
 
 def remove_repeats(
@@ -177,32 +179,23 @@ def remove_repeats(
     kept = F.struct(F.lit(1).alias("_one"), *[docs[c] for c in carried]).alias("_carried")
     id_type = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), kept)
-    marks = _repeated_minimisers(docs, window, run)
-    judged = docs.join(marks, "_id", "left")
-    # Text stays in this table only for documents with a repeated minimiser.
-    clean = F.col("_marks").isNull()
-    joined = F.coalesce(F.trim(F.regexp_replace("_text", r"[\x20\x09-\x0D]+", " ")), F.lit(""))
-    gaps = F.length(joined) - F.length(F.replace(joined, F.lit(" "), F.lit("")))
-    n_words = F.when(joined == "", 0).otherwise(gaps + 1).cast("long")
-    table = written(
-        judged.select(
-            F.monotonically_increasing_id().alias("_row"),
-            "_id",
-            "_carried",
-            "_marks",
-            (F.col("_text") if with_text else F.when(~clean, F.col("_text"))).alias("_text"),
-            F.when(clean, n_words).alias("n_words"),
-            F.when(clean, F.sha2(joined.cast("binary"), 256)).alias("kept_sha256"),
-        ),
-        "repeat-candidates",
+    docs = docs.withColumn("_x", F.hash("_text"))
+    repeated = _repeated_minimisers(docs, window, run)
+    edges = written(_edges(docs, repeated, window, run), "repeat-edges")
+    spans = written(_spans(edges), "repeat-spans")
+    # What each text is read for: its own spans (with their sources), and those of which it is one.
+    asked = spans.groupBy(F.col("_sid").alias("_id"), F.col("_sx").alias("_x"), F.col("_from").alias("_at"), "_n").agg(
+        F.lit(None).cast("long").alias("_sid"), F.lit(None).cast("int").alias("_sx"), F.lit(None).cast("int").alias("_from")
+    )
+    both = spans.unionByName(asked).groupBy("_id", "_x").agg(
+        F.collect_list(F.struct("_at", "_n", "_sid", "_sx", "_from")).alias("_spans")
     )
-    candidates = table.filter("_marks IS NOT NULL")
-    spans = written(_spans(_edges(candidates, window, run)), "repeat-spans")
-    checked = _verified(spans, candidates, window)
-    own = checked.groupBy("_row").agg(F.collect_list(F.struct("_at", "_n", "_digest")).alias("_spans"))
-    texts = candidates.select("_row", "_text", "_id", "_carried").join(own, "_row", "left")
-    schema = f"_row long, _id long, _carried {table.schema['_carried'].dataType.simpleString()}"
-    tail = "n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    both = both.select(F.col("_id").alias("_bid"), F.col("_x").alias("_bx"), "_spans")
+    texts = docs.join(both, F.expr("_id = _bid AND _x = _bx"), "left")
+    carried_type = docs.schema["_carried"].dataType.simpleString()
+    digest_type = "array<struct<_at:int,_n:int,_sid:bigint,_sx:int,_from:int,_digest:binary>>"
+    tail = f"n_words long, n_removed long, kept_sha256 string, _digests {digest_type}"
+    names = ["n_words", "n_removed", "kept_sha256", "_digests"] + ["kept_text"] * with_text
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -210,30 +203,30 @@ def remove_repeats(
             for text, spans in zip(batch["_text"], batch["_spans"], strict=True):
                 own = words(text)
                 gone = np.zeros(len(own) + 1, dtype=np.int64)
+                digests = []
                 for s in spans if spans is not None else ():
                     at, end = s["_at"], s["_at"] + s["_n"] + window - 1
-                    if _digest(own[at:end]) != bytes(s["_digest"]):
-                        raise ValueError("two windows of one fingerprint differ")
-                    gone[at] += 1
-                    gone[end] -= 1
+                    digests.append({**_plain(s), "_digest": _digest(own[at:end])})
+                    if s["_sid"] is not None:
+                        gone[at] += 1
+                        gone[end] -= 1
                 stay = np.cumsum(gone)[:-1] == 0
-                left = b" ".join(w for w, keep in zip(own, stay, strict=True) if keep)
-                row = (len(own), int((~stay).sum()), hashlib.sha256(left).hexdigest())
+                whole = bool(stay.all())
+                left = b" ".join(own if whole else [w for w, keep in zip(own, stay, strict=True) if keep])
+                row = [len(own), int((~stay).sum()), hashlib.sha256(left).hexdigest(), digests]
                 if with_text:
-                    whole = text if stay.all() else left.decode("utf-8", "surrogatepass")
-                    row = (*row, whole)
+                    row.append(text if whole else left.decode("utf-8", "surrogatepass"))
                 out.append(row)
-            names = [x.split()[0] for x in tail.split(", ")]
             done = pd.DataFrame(out, columns=names)
-            yield pd.concat([batch[["_row", "_id", "_carried"]].reset_index(drop=True), done], axis=1)
+            yield pd.concat([batch[["_id", "_x", "_carried"]].reset_index(drop=True), done], axis=1)
 
-    dealt = texts.select("_row", "_id", "_carried", "_text", "_spans").mapInPandas(cut, f"{schema}, {tail}")
-    rest = table.filter("_marks IS NULL").select(
-        "_row", "_id", "_carried", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256",
-        *[F.col("_text").alias("kept_text")] * with_text,
+    schema = f"_id long, _x int, _carried {carried_type}, {tail}" + ", kept_text string" * with_text
+    done = written(
+        texts.select("_id", "_x", "_carried", "_text", "_spans").mapInPandas(cut, schema), "repeat-free"
     )
-    out = dealt.unionByName(rest)
+    found = done.select("_id", "_x", F.explode("_digests").alias("_d")).select("_id", "_x", "_d.*")
+    _check_sources(found)
     columns = ["n_words", "n_removed", "kept_sha256"] + ["kept_text"] * with_text
-    return out.select(
+    return done.select(
         F.col("_id").cast(id_type).alias(id_col), *columns, *[F.col("_carried")[c].alias(c) for c in carried]
     )

@@ -16,38 +16,40 @@ it is read, by successor searches in the mapped levels.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.common import lower_ascii, written
 from docmill.llm.elias_fano import EliasFano, encode
-from docmill.session import scratch_path
+from docmill.llm.levels import (
+    NONE,
+    Level,
+    in_ranges,
+    mapped,
+    new_folder,
+    save,
+    segment,
+    unsigned_order,
+    write_segments,
+)
 
 #: The token behind each text's last word; no word can hold white space.
 END = b"\n"
 DISCOUNT = 0.5
 #: Pairs and triples of fewer occurrences are left to the back-off.
 LEAST_COUNT = 2
-#: Keys in a segment.
-SEGMENT = 4_000_000
 #: Quantisation steps per unit of log10.
 STEPS = 4096
 #: Words whose id each Python worker keeps, and tokens that are looked up at once.
 KEPT_IDS = 1_000_000
 TOKENS = 1_000_000
-_NONE = -1
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -70,91 +72,6 @@ def _logs(codes: np.ndarray) -> np.ndarray:
     return codes.astype(np.float64) / -STEPS
 
 
-# --- segments in the shared folder ---------------------------------------------
-
-
-def _save(folder: str, array: np.ndarray) -> str:
-    """Write an array under a name of its own; each attempt of a task has another."""
-    store, base = arrow_fs.FileSystem.from_uri(folder)
-    store.create_dir(base, recursive=True)
-    name = uuid.uuid4().hex
-    with store.open_output_stream(f"{base}/{name}") as out:
-        out.write(np.ascontiguousarray(array).view(np.uint8).data)
-    return name
-
-
-def _map(folder: str, name: str, dtype) -> np.ndarray:
-    """Map a segment; one in a remote store is fetched once to this machine first."""
-    store, base = arrow_fs.FileSystem.from_uri(folder)
-    path = f"{base}/{name}"
-    if not isinstance(store, arrow_fs.LocalFileSystem):
-        path = os.path.join(tempfile.gettempdir(), f"lm-{name}")
-        if not os.path.exists(path):
-            part = f"{path}-{uuid.uuid4().hex}"
-            arrow_fs.copy_files(f"{base}/{name}", part, source_filesystem=store)
-            os.replace(part, path)
-    if not os.path.getsize(path):
-        return np.zeros(0, dtype=dtype)
-    return np.memmap(path, dtype=dtype, mode="r")
-
-
-class Level:
-    """Segments of one level: keys in order, and arrays that run alongside."""
-
-    def __init__(self, folder: str, segments: list[tuple]):
-        self.folder = folder
-        self.segments = segments  # (first key, n, key file, {name: file})
-        self.first = np.array([s[0] for s in segments], dtype=np.uint64)
-        self.offset = np.concatenate([[0], np.cumsum([s[1] for s in segments])]).astype(np.int64)
-        self.n = int(self.offset[-1])
-        self._keys: dict[int, EliasFano] = {}
-        self._side: dict[tuple[int, str], np.ndarray] = {}
-
-    def _sequence(self, k: int) -> EliasFano:
-        if k not in self._keys:
-            self._keys[k] = EliasFano(_map(self.folder, self.segments[k][2], np.uint64))
-        return self._keys[k]
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The places of keys, -1 for those that are missing."""
-        asked, back = np.unique(keys.astype(np.uint64), return_inverse=True)
-        out = np.full(len(asked), _NONE, dtype=np.int64)
-        if self.n and len(asked):
-            # asked is in order, so each segment answers for a slice
-            bounds = np.append(np.searchsorted(asked, self.first), len(asked))
-            for k in range(len(self.segments)):
-                part = slice(bounds[k], bounds[k + 1])
-                if part.start < part.stop:
-                    at, equal = self._sequence(k).successor(asked[part] - self.first[k])
-                    out[part] = np.where(equal, at + self.offset[k], _NONE)
-        return out[back]
-
-    def _split(self, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        if len(self.segments) == 1:
-            yield 0, slice(None)
-            return
-        segment = np.searchsorted(self.offset, places, side="right") - 1
-        for k in np.unique(segment):
-            yield int(k), np.nonzero(segment == k)[0]
-
-    def keys(self, places: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(places), dtype=np.uint64)
-        for k, part in self._split(places):
-            out[part] = self._sequence(k).get(places[part] - self.offset[k]) + self.first[k]
-        return out
-
-    def side(self, name: str, places: np.ndarray, dtype) -> np.ndarray:
-        """Values of a side array at places; a segment without one has zeros."""
-        out = np.zeros(len(places), dtype=dtype)
-        for k, part in self._split(places):
-            file = self.segments[k][3].get(name)
-            if file:
-                if (k, name) not in self._side:
-                    self._side[k, name] = _map(self.folder, file, dtype)
-                out[part] = self._side[k, name][places[part] - self.offset[k]]
-        return out
-
-
 @dataclass
 class Model:
     """What a task needs to open the trie: file names and totals, no n-grams."""
@@ -214,10 +131,10 @@ class Trie:
     def first_follower(self, ids: np.ndarray) -> np.ndarray:
         """Where the pairs of a word begin: a pointer, itself in Elias-Fano form."""
         out = np.zeros(len(ids), dtype=np.int64)
-        for k, part in self.words._split(ids):
+        for k, part in self.words.split(ids):
             begin, file = self.model.pointers[k]
             if k not in self._starts:
-                self._starts[k] = EliasFano(_map(self.model.folder, file, np.uint64))
+                self._starts[k] = EliasFano(mapped(self.model.folder, file, np.uint64))
             out[part] = self._starts[k].get(ids[part] - self.words.offset[k]).astype(np.int64) + begin
         return out
 
@@ -225,17 +142,17 @@ class Trie:
 
     def pair_places(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """For each token the place of the pair that it ends, -1 at a text's start."""
-        out = np.full(len(ids), _NONE, dtype=np.int64)
-        left = np.concatenate([[_NONE], ids[:-1]])
-        left[starts] = _NONE
+        out = np.full(len(ids), NONE, dtype=np.int64)
+        left = np.concatenate([[NONE], ids[:-1]])
+        left[starts] = NONE
         ask = np.nonzero((left >= 0) & (ids >= 0))[0]
         out[ask] = self.pairs.find(left[ask].astype(np.uint64) * np.uint64(self.v) + ids[ask].astype(np.uint64))
         return out
 
     def triple_keys(self, ids: np.ndarray, pairs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(token numbers, keys) where both pairs of a triple are in the trie."""
-        context = np.concatenate([[_NONE], pairs[:-1]])
-        context[starts] = _NONE
+        context = np.concatenate([[NONE], pairs[:-1]])
+        context[starts] = NONE
         at = np.nonzero((context >= 0) & (pairs >= 0))[0]
         rank = pairs[at] - self.first_follower(ids[at - 1])
         keys = context[at].astype(np.uint64) * np.uint64(self.model.widest) + rank.astype(np.uint64)
@@ -244,15 +161,15 @@ class Trie:
     def score(self, ids: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """log10 probability of each token."""
         out = self.base(counts)
-        left = np.concatenate([[_NONE], ids[:-1]])
-        left[starts] = _NONE
+        left = np.concatenate([[NONE], ids[:-1]])
+        left[starts] = NONE
         known = np.nonzero(left >= 0)[0]
         pairs = self.pair_places(ids, starts)
         out[known] += _logs(self.words.side("backoff", left[known], np.uint16))
         found = np.nonzero(pairs >= 0)[0]
         out[found] = _logs(self.pairs.side("prob", pairs[found], np.uint16))
-        context = np.concatenate([[_NONE], pairs[:-1]])
-        context[starts] = _NONE
+        context = np.concatenate([[NONE], pairs[:-1]])
+        context[starts] = NONE
         known = np.nonzero(context >= 0)[0]
         out[known] += _logs(self.pairs.side("backoff", context[known], np.uint16))
         at, keys = self.triple_keys(ids, pairs, starts)
@@ -333,33 +250,6 @@ def _key_counts(train: DataFrame, model: Model, order: int) -> DataFrame:
     return rows.groupBy("key").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST_COUNT)
 
 
-def _ordered(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """Rows in ranges of about ``SEGMENT`` keys, each in order."""
-    return rows.repartitionByRange(max(1, -(-n // SEGMENT)), key).sortWithinPartitions(key)
-
-
-def _segments(rows: DataFrame, write, name: str) -> list[tuple]:
-    """Let each partition write its segment; (first key, n, key file, side files)."""
-    schema = "first decimal(20,0), n long, keys string, side map<string,string>"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if parts:
-            yield write(pd.concat(parts, ignore_index=True))
-
-    found = written(rows.mapInPandas(run, schema), name).collect()  # one row per segment
-    return sorted((int(r["first"]), r["n"], r["keys"], dict(r["side"])) for r in found)
-
-
-def _segment(folder: str, keys: np.ndarray, side: dict[str, np.ndarray]) -> pd.DataFrame:
-    first = int(keys[0])
-    file = _save(folder, encode(keys - np.uint64(first), int(keys[-1]) - first + 1))
-    sides = {name: _save(folder, values) for name, values in side.items()}
-    return pd.DataFrame(
-        {"first": [Decimal(first)], "n": [len(keys)], "keys": [file], "side": [sides]}
-    )
-
-
 def _per_segment(rows: DataFrame, offsets: list[int], place: str, write, schema: str) -> DataFrame:
     """Deal rows by the segment that their place lies in, and write each."""
     dealt = rows.withColumn("segment", _segment_of(place, offsets))
@@ -375,19 +265,17 @@ def _segment_of(place: str, offsets: list[int]) -> Column:
 def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
     """The trie of the texts in column ``_text``, all of them."""
     spark = train.sparkSession
-    folder = scratch_path(spark, "trie")
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{folder}"
+    folder = new_folder(spark, "trie")
 
     # Words. Hashes are ordered as unsigned numbers: the sign bit is flipped for sorting.
-    counts = written(_word_counts(train), "lm-words").withColumn("key", F.expr("h ^ (-9223372036854775807L - 1L)"))
+    counts = written(_word_counts(train), "lm-words").withColumn("key", F.expr(unsigned_order("h")))
     v, n = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
 
     def words(rows: pd.DataFrame) -> pd.DataFrame:
         hashes = rows["h"].to_numpy(np.int64).view(np.uint64)
-        return _segment(folder, hashes, {"count": rows["c"].to_numpy(np.int64)})
+        return segment(folder, hashes, {"count": rows["c"].to_numpy(np.int64)})
 
-    model = Model(folder, _segments(_ordered(counts, "key", v), words, "lm-level"), [], [], [], n, 1)
+    model = Model(folder, write_segments(in_ranges(counts, "key", v), words, "lm-level"), [], [], [], n, 1)
     if not v:
         return model
 
@@ -412,9 +300,9 @@ def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
         total = trie.counts(np.arange(begin, begin + size))
         backoff = _codes(np.log10(np.maximum(1 - kept / total, 1e-12)))
         starts = np.cumsum(n) - n
-        pointer = _save(folder, encode(starts, int(n.sum()) + 1))
+        pointer = save(folder, encode(starts, int(n.sum()) + 1))
         return pd.DataFrame(
-            {"segment": [k], "n": [int(n.sum())], "backoff": [_save(folder, backoff)], "pointer": [pointer]}
+            {"segment": [k], "n": [int(n.sum())], "backoff": [save(folder, backoff)], "pointer": [pointer]}
         )
 
     # every segment gets a row, also one whose words have no followers
@@ -436,9 +324,9 @@ def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
         left, right = np.divmod(keys, v)
         low = 10 ** (_logs(trie.words.side("backoff", left, np.uint16)) + trie.base(trie.counts(right)))
         prob = (c - discount) / trie.counts(left) + low
-        return _segment(folder, keys.view(np.uint64), {"prob": _codes(np.log10(prob)), "count": c})
+        return segment(folder, keys.view(np.uint64), {"prob": _codes(np.log10(prob)), "count": c})
 
-    model.pairs = _segments(_ordered(pairs, "key", n_pairs), pair_level, "lm-level")
+    model.pairs = write_segments(in_ranges(pairs, "key", n_pairs), pair_level, "lm-level")
     if not n_pairs:
         return model
 
@@ -460,7 +348,7 @@ def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
         kept[rows["w"].to_numpy(np.int64) - begin] = rows["c"] - discount * rows["n"]
         total = trie.pairs.side("count", np.arange(begin, begin + size), np.int64)
         codes = _codes(np.log10(np.maximum(1 - kept / total, 1e-12)))
-        return pd.DataFrame({"segment": [k], "backoff": [_save(folder, codes)]})
+        return pd.DataFrame({"segment": [k], "backoff": [save(folder, codes)]})
 
     made = written(
         _per_segment(heads, offsets2, "w", pair_backoff, "segment int, backoff string"), "lm-backoff"
@@ -480,9 +368,9 @@ def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
             _logs(trie.pairs.side("backoff", context, np.uint16)) + _logs(trie.pairs.side("prob", lower, np.uint16))
         )
         prob = (c - discount) / trie.pairs.side("count", context, np.int64) + low
-        return _segment(folder, keys.view(np.uint64), {"prob": _codes(np.log10(prob))})
+        return segment(folder, keys.view(np.uint64), {"prob": _codes(np.log10(prob))})
 
-    model.triples = _segments(_ordered(triples, "key", n_triples), triple_level, "lm-level")
+    model.triples = write_segments(in_ranges(triples, "key", n_triples), triple_level, "lm-level")
     return model
 
 
