@@ -27,10 +27,13 @@ from pyspark.sql import functions as F
 
 from docmill.llm.common import lower_ascii, written
 from docmill.llm.components import connected_components
+from docmill.llm.levels import KeySet
 from docmill.llm.shingles import WordHashes, mixed, runs
 
 SHINGLE = 5
 PERCENT = 80
+#: Prefixes are longer than need be by one shingle in so many, and as many more must be shared.
+EXTEND = 20
 #: Members of a group.
 GROUP = 256
 #: One document in so many tells which shingles are frequent, by occurring so often;
@@ -49,11 +52,17 @@ def shingle_set(text: str | None, known: WordHashes, shingle: int = SHINGLE) ->
     return np.unique(runs(known.of(own), min(shingle, len(own)), len(own) if len(own) < shingle else 0))
 
 
+def least_shared(n: int) -> int:
+    """How many shingles the prefix of a set of size n has beyond the shortest one, plus
+    one: two similar sets share at least as many prefix shingles as the smaller has."""
+    return 1 + n // EXTEND
+
+
 def prefix(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first shingles in the common order: frequent ones last, else by hash. Two
-    sets that are similar enough share one of them."""
+    """The first shingles in the common order: frequent ones last, else by hash. Of the
+    shingles that two similar sets share, the first ``least_shared`` are in both prefixes."""
     n = len(tokens)
-    length = n - -(-percent * n // 100) + 1 if n else 0
+    length = n - -(-percent * n // 100) + least_shared(n) if n else 0
     if len(frequent) and n:
         at = np.searchsorted(frequent, tokens)
         late = frequent[np.minimum(at, len(frequent) - 1)] == tokens
@@ -61,6 +70,12 @@ def prefix(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) ->
     return tokens[:length]
 
 
+def enough_shared(n: int, shared: int, percent: int = PERCENT) -> bool:
+    """Whether a set of size n, of whose prefix ``shared`` shingles occur elsewhere, may be
+    similar to another: the smallest such set has ``percent`` of its size."""
+    return shared >= least_shared(-(-percent * n // 100))
+
+
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections of two lists of sets."""
     out = np.zeros((len(left), len(right)), dtype=np.float32)
@@ -136,8 +151,8 @@ def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
     return np.sort(top.toPandas()["_t"].to_numpy(np.int64).view(np.uint64))
 
 
-def _candidates(docs: DataFrame, frequent: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """(_key, _shared): per document the prefix shingles it shares with another."""
+def _shared_tokens(docs: DataFrame, frequent: np.ndarray, shingle: int, percent: int) -> KeySet:
+    """The prefix shingles that occur in two documents."""
     late = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,44 +164,50 @@ def _candidates(docs: DataFrame, frequent: np.ndarray, shingle: int, percent: in
             yield pd.DataFrame({"_t": tokens, "_key": keys})
 
     rows = docs.select("_key", "_text").mapInPandas(emit, "_t long, _key long")
-    shared = rows.groupBy("_t").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi")).filter("lo < hi")
-    return (
-        rows.join(shared.select("_t"), "_t", "left_semi")
-        .groupBy("_key")
-        .agg(F.collect_set("_t").alias("_shared"))
-    )
+    ends = rows.groupBy("_t").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi"))
+    return KeySet(ends.filter("lo < hi"), "_t", "shared-tokens")
 
 
-def _document_sets(docs: DataFrame, shared: DataFrame, shingle: int) -> DataFrame:
-    """(_id, _n, _set, _least, _shared, _tokens): the last four null if no candidate."""
+def _document_sets(
+    docs: DataFrame, shared: KeySet, frequent: np.ndarray, shingle: int, percent: int
+) -> DataFrame:
+    """(_id, _n, _set, _least, _shared, _tokens): the last three null if no candidate."""
     id_type = docs.schema["_id"].dataType.simpleString()
     schema = f"_id {id_type}, _n long, _set string, _least long, _shared array<long>, _tokens binary"
+    late = docs.sparkSession.sparkContext.broadcast(frequent)
+    names = ["_n", "_set", "_least", "_shared", "_tokens"]
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            out = []
-            for text, marks in zip(batch["_text"], batch["_shared"], strict=True):
-                tokens = shingle_set(text, known, shingle)
-                if marks is None or not len(tokens):
-                    out.append((len(tokens), None, None, None, None))
-                    continue
+            sets = [shingle_set(t, known, shingle) for t in batch["_text"]]
+            heads = [prefix(s, late.value, percent) for s in sets]
+            found = shared.contains(np.concatenate([*heads, np.zeros(0, np.uint64)]))
+            begin, out = 0, []
+            for tokens, head in zip(sets, heads, strict=True):
+                marks = head[found[begin : begin + len(head)]]
+                begin += len(head)
                 blob = tokens.tobytes()
-                name = xxhash.xxh3_128_hexdigest(blob)
-                least = int(mixed(tokens + np.uint64(1)).min().view(np.int64))
-                out.append((len(tokens), name, least, marks, blob))
-            frame = pd.DataFrame(out, columns=["_n", "_set", "_least", "_shared", "_tokens"])
-            frame["_least"] = frame["_least"].astype("Int64")
+                name = xxhash.xxh3_128_hexdigest(blob) if len(tokens) else None
+                if len(tokens) and enough_shared(len(tokens), len(marks), percent):
+                    least = int(mixed(tokens + np.uint64(1)).min().view(np.int64))
+                    out.append((len(tokens), name, least, marks.view(np.int64), blob))
+                else:
+                    out.append((len(tokens), name, None, None, None))
+            frame = pd.DataFrame(out, columns=names).astype({"_least": "Int64"})
             yield pd.concat([batch[["_id"]].reset_index(drop=True), frame], axis=1)
 
-    return docs.join(shared, "_key", "left").select("_id", "_text", "_shared").mapInPandas(emit, schema)
+    return docs.select("_id", "_text").mapInPandas(emit, schema)
 
 
-def _groups(classes: DataFrame, size: int) -> DataFrame:
+def _groups(classes: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     """(_g, _names, _sets, _union, _shared): groups of classes with the same least
-    shingle, of about ``size`` members."""
-    parts = classes.groupBy("_least").agg(F.ceil(F.count(F.lit(1)) / size).alias("_parts"))
-    dealt = classes.join(parts, "_least").withColumn("_part", F.expr("pmod(xxhash64(_set), _parts)"))
+    shingle, of about ``size`` members. The union of a single member is its set: null."""
+    counts = sets.filter("_tokens IS NOT NULL").groupBy("_least").count().filter(F.col("count") > size)
+    parts = written(counts.select("_least", F.ceil(F.col("count") / size).alias("_parts")), "group-parts")
+    dealt = classes.join(parts, "_least", "left").withColumn(
+        "_part", F.expr("pmod(xxhash64(_set), coalesce(_parts, 1))")
+    )
 
     def pack(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
         members = members.sort_values("_set")
@@ -197,7 +218,7 @@ def _groups(classes: DataFrame, size: int) -> DataFrame:
                 "_g": [f"{key[0]}/{key[1]}"],
                 "_names": [list(members["_set"])],
                 "_sets": [list(members["_tokens"])],
-                "_union": [np.unique(np.concatenate(sets)).tobytes()],
+                "_union": [np.unique(np.concatenate(sets)).tobytes() if len(sets) > 1 else None],
                 "_shared": [shared],
             }
         )
@@ -233,7 +254,7 @@ def _outer_links(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame
     """Links between the paired groups (a, b), as forests: first the bound of a's members
     on b's union, then, of the pairs that pass it, the members of both."""
     left = groups.select(F.col("_g").alias("a"), F.col("_names").alias("_names_a"), F.col("_sets").alias("_sets_a"))
-    unions = groups.select(F.col("_g").alias("b"), "_union")
+    unions = groups.select(F.col("_g").alias("b"), F.coalesce("_union", F.col("_sets")[0]).alias("_union"))
 
     def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -264,9 +285,9 @@ def _outer_links(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame
     return opened.select(*names).mapInPandas(compare, _EDGES)
 
 
-def _components(classes: DataFrame, size: int, percent: int) -> DataFrame:
+def _components(classes: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """(_set, root) for classes that link with another."""
-    groups = written(_groups(classes, size), "token-groups")
+    groups = written(_groups(classes, sets, size), "token-groups")
     asked = groups.select("_g", F.explode("_shared").alias("_t"))
     first = asked.groupBy("_t").agg(F.min("_g").alias("a"), F.max("_g").alias("_z")).filter("a < _z")
     stars = asked.join(first.select("_t", "a"), "_t").filter("a < _g")
@@ -307,20 +328,21 @@ def jaccard_components(
     """
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     docs = docs.withColumn("_key", F.coalesce(F.col("_id").cast("long"), F.xxhash64("_text")))
-    shared = _candidates(docs, _frequent(docs, shingle), shingle, percent)
-    sets = written(_document_sets(docs, shared, shingle), "document-sets")
-    candidates = sets.filter("_set IS NOT NULL")
-    classes = written(
-        candidates.groupBy("_set").agg(
+    frequent = _frequent(docs, shingle)
+    shared = _shared_tokens(docs, frequent, shingle, percent)
+    sets = written(_document_sets(docs, shared, frequent, shingle, percent), "document-sets")
+    classes = (
+        sets.filter("_tokens IS NOT NULL")
+        .groupBy("_set")
+        .agg(
             F.any_value("_tokens").alias("_tokens"),
             F.any_value("_shared").alias("_shared"),
             F.any_value("_least").alias("_least"),
-            F.min("_id").alias("_first"),
-        ),
-        "set-classes",
+        )
     )
-    roots = _components(classes, group, percent)
-    named = classes.select("_set", "_first").join(roots, F.col("node") == F.col("_set"), "left")
+    roots = _components(classes, sets, group, percent)
+    firsts = sets.filter("_set IS NOT NULL").groupBy("_set").agg(F.min("_id").alias("_first"))
+    named = firsts.join(roots, F.col("node") == F.col("_set"), "left")
     named = named.select("_set", "_first", F.coalesce("root", "_set").alias("root"))
     least = named.groupBy("root").agg(F.min("_first").alias("component_id"))
     named = written(named.join(least, "root").select("_set", "component_id"), "set-names")
