@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from docmill.llm import ngram_lm
+from docmill.llm import levels
 from docmill.llm.elias_fano import EliasFano, encode
 from docmill.llm.ngram_lm import DISCOUNT, LEAST_COUNT, score_texts, tokens
 
@@ -95,7 +95,7 @@ def test_scores_equal_a_dictionary_model(spark, monkeypatch):
         rows.append((i, " ".join(words), "x", "y"))
     rows += [(200, None, None, None), (201, "", "", ""), (None, "W1 w1\tw2", "", ""), (5, rows[5][1], "", "")]
     check(spark, rows)
-    monkeypatch.setattr(ngram_lm, "SEGMENT", 20)  # many segments
+    monkeypatch.setattr(levels, "SEGMENT", 20)  # many segments
     check(spark, rows)
 
 
