@@ -11,15 +11,19 @@ from docmill.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def utf8(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
+
+
 def words(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8. ``bytes.split`` parts at exactly the six
     characters of ``WORD``; null has none."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+    return utf8(text).split()
 
 
 def lower_ascii(text: str | None) -> bytes:
     """UTF-8 with A-Z lower-cased and nothing else (``bytes.lower`` is ASCII only)."""
-    return text.encode("utf-8", "surrogatepass").lower() if text else b""
+    return utf8(text).lower()
 
 
 def word_count(text: Column) -> Column:

@@ -1,16 +1,17 @@
 """Substring deduplication over a de Bruijn graph of word k-mers.
 
-1. Each window of k words has a minimiser, the least hash of its m-word runs. Only
+1. Of equal texts only the one with the smallest id goes through the graph; the others
+   repeat all of it.
+2. Each window of k words has a minimiser, the least hash of its m-word runs. Only
    minimisers that occur in two documents can belong to a repeated window; they are
-   found from about a fifth as many rows as there are words, and written as a sorted
-   set that tasks map into memory.
-2. Windows with such a minimiser become edges of the graph (from their first to their
-   last k - 1 words), keyed by a fingerprint of 96 bits, with their coordinates. Of
-   edges that occur in two documents the first occurrence is the source.
-3. Edges of a document join their sources; neighbours whose sources are neighbours,
-   too, form a path without branches and compact into one span.
-4. The words at a span's source coordinates are digested and compared with the
-   span's own before any result is returned.
+   found from about a fifth as many rows as there are words.
+3. Windows with such a minimiser are the graph's edges (from their first to their last
+   k - 1 words), known by fingerprints. Of edges that occur in two documents, the
+   smallest id is their source. Both tables are written sorted, and mapped into memory
+   by the tasks that look them up, so that texts are not moved for it.
+4. Neighbouring edges of a text with one source form a path and compact into a span.
+   The words of each span are compared, through a join, with those of its source
+   before any result is returned; where the source branches, edge by edge.
 """
 
 from __future__ import annotations
@@ -23,136 +24,201 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import words, written
-from docmill.llm.levels import KeySet
-from docmill.llm.shingles import WordHashes, runs, sliding_min
+from docmill.llm.common import utf8, words, written
+from docmill.llm.levels import NONE, KeyTable
+from docmill.llm.shingles import runs, sliding_min, word_hashes
 
 WINDOW = 13
 RUN = 5
 
 
-class Fingerprints:
-    """Minimisers and edges of a text's windows."""
+class Windows:
+    """Minimisers and fingerprints of a text's windows."""
 
     def __init__(self, window: int, run: int):
-        self.window, self.run, self.known = window, run, WordHashes()
+        if not 1 <= run <= window:
+            raise ValueError("a run must not be longer than a window")
+        self.window, self.run = window, run
 
     def hashes(self, text: str | None) -> np.ndarray:
-        return self.known.of(words(text))
+        return word_hashes(utf8(text))
 
     def minimisers(self, hashes: np.ndarray) -> np.ndarray:
         """One value per window."""
         if len(hashes) < self.window:
-            return np.zeros(0, dtype=np.int64)
-        small = runs(hashes, self.run)
-        return sliding_min(small, self.window - self.run + 1).view(np.int64)
+            return np.zeros(0, dtype=np.uint64)
+        return sliding_min(runs(hashes, self.run), self.window - self.run + 1)
 
-    def edges(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = runs(hashes, self.window, 1).view(np.int64)
-        second = (runs(hashes, self.window, 2) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        return first, second
+    def edges(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The key of each window, a check on it, and the key where keys collide."""
+        key = runs(hashes, self.window, 1)
+        check = (runs(hashes, self.window, 2) >> np.uint64(32)).astype(np.int64)
+        return key, check, runs(hashes, self.window, 3)
 
 
-def _check(window: int, run: int) -> None:
-    if not 1 <= run <= window:
-        raise ValueError("a run must not be longer than a window")
+def _copies(docs: DataFrame) -> KeyTable:
+    """Ids of documents whose text another one with a smaller id has, too."""
+    text = [F.xxhash64("_text").alias("_t1"), F.xxhash64("_text", F.lit(1)).alias("_t2")]
+    rows = docs.filter("_id IS NOT NULL AND _text IS NOT NULL").select("_id", *text)
+    first = rows.groupBy("_t1", "_t2").agg(F.min("_id").alias("_lo"), F.max("_id").alias("_hi"))
+    several = first.filter("_lo < _hi").select("_t1", "_t2", "_lo")
+    return KeyTable(rows.join(several, ["_t1", "_t2"]).filter("_id > _lo").select("_id").distinct(), "_id", "copies")
 
 
-def _repeated_minimisers(docs: DataFrame, window: int, run: int) -> KeySet:
+def _joined(parts: list[np.ndarray], dtype) -> np.ndarray:
+    return np.concatenate([*parts, np.zeros(0, dtype)])
+
+
+def _repeated_minimisers(docs: DataFrame, windows: Windows) -> KeyTable:
     """The minimisers that occur in two documents."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prints = Fingerprints(window, run)
         for batch in batches:
-            found = [np.unique(prints.minimisers(prints.hashes(t))) for t in batch["_text"]]
+            found = [np.unique(windows.minimisers(windows.hashes(t))) for t in batch["_text"]]
             ids = np.repeat(batch["_id"].to_numpy(np.int64), [len(x) for x in found])
-            yield pd.DataFrame({"_m": np.concatenate([*found, np.zeros(0, np.int64)]), "_id": ids})
+            yield pd.DataFrame({"_m": _joined(found, np.uint64).view(np.int64), "_id": ids})
 
-    marks = docs.filter("_id IS NOT NULL").select("_id", "_text").mapInPandas(emit, "_m long, _id long")
+    marks = docs.mapInPandas(emit, "_m long, _id long")
     ends = marks.groupBy("_m").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
-    return KeySet(ends.filter("lo < hi"), "_m", "repeated-minimisers")
-
-
-def _edges(docs: DataFrame, repeated: KeySet, window: int, run: int) -> DataFrame:
-    """(_f, _g, _id, _x, _at): the windows that may be repeated."""
+    return KeyTable(ends.filter("lo < hi"), "_m", "repeated-minimisers")
+
+
+class Sources:
+    """The smallest id of each window that occurs in two documents. Keys whose checks
+    differ belong to several windows; those are told apart by another key."""
+
+    def __init__(self, docs: DataFrame, windows: Windows, repeated: KeyTable):
+        self.windows, self.repeated = windows, repeated
+        self.collided: KeyTable | None = None
+        ends = written(self._ends(docs, False), "repeat-edges")
+        whole = ends.filter("_c1 = _c2 AND _lo < _hi")
+        self.first = KeyTable(whole, "_f", "edge-sources", ("_lo", "_c1"))
+        collided = ends.filter("_c1 <> _c2").select("_f")
+        if collided.take(1):
+            self.collided = KeyTable(collided, "_f", "edge-collisions")
+            other = written(self._ends(docs, True), "repeat-edges")
+            if other.filter("_c1 <> _c2").take(1):
+                raise ValueError("windows collide in both keys")
+            self.second = KeyTable(other.filter("_lo < _hi"), "_f", "edge-sources", ("_lo", "_c1"))
+
+    def _candidates(self, batch: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per text: numbers, keys, checks and second keys of the windows that may repeat."""
+        hashes = [self.windows.hashes(t) for t in batch["_text"]]
+        marks = [self.windows.minimisers(h) for h in hashes]
+        found = self.repeated.contains(_joined(marks, np.uint64))
+        out, begin = [], 0
+        for own, mine in zip(hashes, marks, strict=True):
+            at = np.nonzero(found[begin : begin + len(mine)])[0]
+            begin += len(mine)
+            out.append((at, *(e[at] for e in self.windows.edges(own))))
+        return out
+
+    def _ends(self, docs: DataFrame, second: bool) -> DataFrame:
+        """(_f, _c1, _c2, _lo, _hi): least and greatest check and id of each key."""
+
+        def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = self._candidates(batch)
+                ids = np.repeat(batch["_id"].to_numpy(np.int64), [len(x[0]) for x in found])
+                key, check, other = (
+                    _joined([x[k] for x in found], kind)
+                    for k, kind in ((1, np.uint64), (2, np.int64), (3, np.uint64))
+                )
+                if second:
+                    here = self.collided.contains(key)
+                    ids, key, check = ids[here], other[here], check[here]
+                yield pd.DataFrame({"_f": key.view(np.int64), "_c": check.astype(np.int32), "_id": ids})
+
+        edges = docs.mapInPandas(emit, "_f long, _c int, _id long")
+        checks = [F.min("_c").cast("long").alias("_c1"), F.max("_c").cast("long").alias("_c2")]
+        return (
+            edges.groupBy("_f")
+            .agg(*checks, F.min("_id").alias("_lo"), F.max("_id").alias("_hi"))
+            .filter("_lo < _hi OR _c1 <> _c2")
+        )
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prints = Fingerprints(window, run)
-        for batch in batches:
-            hashes = [prints.hashes(t) for t in batch["_text"]]
-            marks = [prints.minimisers(h) for h in hashes]
-            found = repeated.contains(np.concatenate([*marks, np.zeros(0, np.int64)]).view(np.uint64))
-            begin, parts = 0, []
-            for doc, x, own, mine in zip(batch["_id"], batch["_x"], hashes, marks, strict=True):
-                at = np.nonzero(found[begin : begin + len(mine)])[0]
-                begin += len(mine)
-                if len(at):
-                    f, g = prints.edges(own)
-                    parts.append((f[at], g[at], np.full(len(at), doc), np.full(len(at), x), at))
-            if parts:
-                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-                yield pd.DataFrame(dict(zip(("_f", "_g", "_id", "_x", "_at"), columns, strict=True)))
-
-    return docs.filter("_id IS NOT NULL").select("_id", "_x", "_text").mapInPandas(
-        emit, "_f long, _g int, _id long, _x int, _at int"
-    )
-
-
-def _spans(edges: DataFrame) -> DataFrame:
-    """(_id, _x, _at, _n, _sid, _sx, _from): compacted paths of windows whose source lies in
-    a document with a smaller id; _n windows from word _at on equal those from word
-    _from of the text (_sid, _sx) on."""
-    place = F.struct("_id", "_x", "_at")
-    sources = (
-        edges.groupBy("_f", "_g")
-        .agg(F.min(place).alias("_s"), F.max("_id").alias("_last"))
-        .filter("_s._id < _last")
-        .select(
-            "_f", "_g", F.expr("_s._id AS _sid"), F.expr("_s._x AS _sx"), F.expr("_s._at AS _from")
+    def of(self, batch: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per text: numbers of windows, their keys, and the smallest id that has them."""
+        found = self._candidates(batch)
+        key, check, other = (
+            _joined([x[k] for x in found], kind) for k, kind in ((1, np.uint64), (2, np.int64), (3, np.uint64))
         )
-    )
-    joined = edges.join(sources, ["_f", "_g"]).filter("_sid < _id")
-    steps = F.sort_array(F.collect_list(F.struct("_at", "_sid", "_sx", "_from")))
-    # A text's windows are as many as its words; a path ends where one of the four breaks.
-    paths = joined.groupBy("_id", "_x").agg(steps.alias("_w"))
-    names = ("_id", "_x", "_at", "_n", "_sid", "_sx", "_from")
-
-    def compact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parts = []
-            for doc, x, steps in zip(batch["_id"], batch["_x"], batch["_w"], strict=True):
-                keys = ("_at", "_sid", "_sx", "_from")
-                at, sid, sx, origin = (np.array([s[k] for s in steps]) for k in keys)
-                new = np.ones(len(at), dtype=bool)
-                new[1:] = (np.diff(at) != 1) | (sid[1:] != sid[:-1]) | (sx[1:] != sx[:-1])
-                new[1:] |= np.diff(origin) != 1
-                head = np.nonzero(new)[0]
-                n = np.diff(np.append(head, len(at)))
-                own = np.full(len(head), doc), np.full(len(head), x)
-                parts.append((*own, at[head], n, sid[head], sx[head], origin[head]))
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [[]] * 7
-            yield pd.DataFrame(dict(zip(names, columns, strict=True)))
+        check = check.astype(np.int32).astype(np.int64)
+        source, known = self._lookup(self.first, key, check)
+        if self.collided is not None:
+            here = self.collided.contains(key)
+            source[here], known[here] = self._lookup(self.second, other[here], check[here])
+        out, begin = [], 0
+        for at, own, *_ in found:
+            part = slice(begin, begin + len(at))
+            begin += len(at)
+            out.append((at[known[part]], own[known[part]], source[part][known[part]]))
+        return out
+
+    @staticmethod
+    def _lookup(table: KeyTable, key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        places = table.places(key)
+        source, known = np.zeros(len(key), dtype=np.int64), places != NONE
+        known[known] = table.values("_c1", places[known]) == check[known]
+        source[known] = table.values("_lo", places[known])
+        return source, known
 
-    schema = "_id long, _x int, _at int, _n int, _sid long, _sx int, _from int"
-    return paths.mapInPandas(compact, schema)
 
+def _digest(own: list[bytes]) -> bytes:
+    return hashlib.blake2b(b"\n".join(own), digest_size=16).digest()
 
-def _plain(span) -> dict:
-    return {k: span[k] for k in ("_at", "_n", "_sid", "_sx", "_from")}
 
+_SPAN = "struct<_key:bigint,_n:int,_source:bigint,_digest:binary>"
 
-def _digest(own: list[bytes]) -> bytes:
-    return hashlib.blake2b(b"\n".join(own), digest_size=16).digest()
 
+def _unmatched(spans: DataFrame, docs: DataFrame, windows: Windows) -> DataFrame:
+    """The spans (_id, _key, _n, _source, _digest) whose words no text of their source holds."""
+    asked = spans.select("_source", "_key", "_n").distinct()
+    asked = asked.groupBy("_source").agg(F.collect_list(F.struct("_key", "_n")).alias("_asked"))
+    sources = docs.join(asked, F.col("_id") == F.col("_source")).select("_source", "_text", "_asked")
 
-def _check_sources(digests: DataFrame) -> None:
-    """Compare each span with the words at its source; both were digested as they were read."""
-    own = digests.filter("_sid IS NOT NULL").withColumnRenamed("_digest", "_own")
-    source = digests.filter("_sid IS NULL").select(
-        F.col("_id").alias("_sid"), F.col("_x").alias("_sx"), F.col("_at").alias("_from"), "_n", "_digest"
-    )
-    known = own.join(source.distinct(), ["_sid", "_sx", "_from", "_n"], "left")
-    if known.filter("_digest IS NULL OR _digest <> _own").take(1):
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for source, text, asked in zip(batch["_source"], batch["_text"], batch["_asked"], strict=True):
+                own = words(text)
+                keys = windows.edges(windows.hashes(text))[0].view(np.int64)
+                order = np.argsort(keys, kind="stable")
+                ordered = keys[order]
+                for x in asked:
+                    begin = np.searchsorted(ordered, x["_key"], side="left")
+                    end = np.searchsorted(ordered, x["_key"], side="right")
+                    for at in order[begin:end]:
+                        part = own[at : at + x["_n"] + windows.window - 1]
+                        out.append((source, x["_key"], x["_n"], _digest(part)))
+            yield pd.DataFrame(out, columns=["_source", "_key", "_n", "_digest"])
+
+    held = sources.mapInPandas(digest, "_source long, _key long, _n int, _digest binary")
+    return spans.join(held, ["_source", "_key", "_n", "_digest"], "left_anti")
+
+
+def _verify(spans: DataFrame, docs: DataFrame, sources: Sources) -> None:
+    """Compare all spans with their sources; paths on which the source branches edge by edge."""
+    windows = sources.windows
+    left = written(_unmatched(spans, docs, windows), "repeat-branches")
+    if not left.take(1):
+        return
+    branching = left.select("_id").distinct()
+
+    def single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for doc, text, found in zip(batch["_id"], batch["_text"], sources.of(batch), strict=True):
+                own = words(text)
+                for at, key, source in zip(*found, strict=True):
+                    if source < doc:
+                        part = own[at : at + windows.window]
+                        out.append((doc, int(key.view(np.int64)), 1, int(source), _digest(part)))
+            yield pd.DataFrame(out, columns=["_id", "_key", "_n", "_source", "_digest"])
+
+    schema = "_id long, _key long, _n int, _source long, _digest binary"
+    edges = docs.join(branching, "_id", "left_semi").mapInPandas(single, schema)
+    if _unmatched(edges, docs, windows).take(1):
         raise ValueError("two windows of one fingerprint differ")
 
 
@@ -174,59 +240,73 @@ def remove_repeats(
     with a null id remove nothing and lose nothing; rows that share an id are parts of
     one document, which do not remove each other. Other columns are not read.
     """
-    _check(window, run)
-    carried = carried or []
-    kept = F.struct(F.lit(1).alias("_one"), *[docs[c] for c in carried]).alias("_carried")
+    windows = Windows(window, run)
+    kept = F.struct(F.lit(1).alias("_one"), *[docs[c] for c in carried or []]).alias("_carried")
     id_type = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), kept)
-    docs = docs.withColumn("_x", F.hash("_text"))
-    repeated = _repeated_minimisers(docs, window, run)
-    edges = written(_edges(docs, repeated, window, run), "repeat-edges")
-    spans = written(_spans(edges), "repeat-spans")
-    # What each text is read for: its own spans (with their sources), and those of which it is one.
-    asked = spans.groupBy(F.col("_sid").alias("_id"), F.col("_sx").alias("_x"), F.col("_from").alias("_at"), "_n").agg(
-        F.lit(None).cast("long").alias("_sid"), F.lit(None).cast("int").alias("_sx"), F.lit(None).cast("int").alias("_from")
-    )
-    both = spans.unionByName(asked).groupBy("_id", "_x").agg(
-        F.collect_list(F.struct("_at", "_n", "_sid", "_sx", "_from")).alias("_spans")
-    )
-    both = both.select(F.col("_id").alias("_bid"), F.col("_x").alias("_bx"), "_spans")
-    texts = docs.join(both, F.expr("_id = _bid AND _x = _bx"), "left")
-    carried_type = docs.schema["_carried"].dataType.simpleString()
-    digest_type = "array<struct<_at:int,_n:int,_sid:bigint,_sx:int,_from:int,_digest:binary>>"
-    tail = f"n_words long, n_removed long, kept_sha256 string, _digests {digest_type}"
-    names = ["n_words", "n_removed", "kept_sha256", "_digests"] + ["kept_text"] * with_text
+    copies = _copies(docs)
+
+    def drop_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[~copies.contains(batch["_id"].to_numpy(np.int64).view(np.uint64))]
+
+    known = docs.filter("_id IS NOT NULL").select("_id", "_text")
+    originals = known.mapInPandas(drop_copies, "_id long, _text string")
+    sources = Sources(originals, windows, _repeated_minimisers(originals, windows))
+    names = ["n_words", "n_removed", "kept_sha256", "_spans"] + ["kept_text"] * with_text
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            ids = batch["_id"].to_numpy(np.float64, na_value=np.nan)
+            plain = batch["_id"].fillna(0).to_numpy(np.int64)
+            copied = copies.contains(plain.view(np.uint64)) & ~np.isnan(ids)
             out = []
-            for text, spans in zip(batch["_text"], batch["_spans"], strict=True):
+            for k, (text, found) in enumerate(zip(batch["_text"], sources.of(batch), strict=True)):
                 own = words(text)
-                gone = np.zeros(len(own) + 1, dtype=np.int64)
-                digests = []
-                for s in spans if spans is not None else ():
-                    at, end = s["_at"], s["_at"] + s["_n"] + window - 1
-                    digests.append({**_plain(s), "_digest": _digest(own[at:end])})
-                    if s["_sid"] is not None:
+                gone, spans = np.zeros(len(own) + 1, dtype=np.int64), []
+                if copied[k]:
+                    gone[0] = int(len(own) >= window)
+                elif not np.isnan(ids[k]):
+                    spans = _paths(*found, int(plain[k]))
+                    for at, _, _, n in spans:
                         gone[at] += 1
-                        gone[end] -= 1
+                        gone[at + n + window - 1] -= 1
                 stay = np.cumsum(gone)[:-1] == 0
                 whole = bool(stay.all())
                 left = b" ".join(own if whole else [w for w, keep in zip(own, stay, strict=True) if keep])
-                row = [len(own), int((~stay).sum()), hashlib.sha256(left).hexdigest(), digests]
+                told = [
+                    {"_key": key, "_n": n, "_source": source, "_digest": _digest(own[at : at + n + window - 1])}
+                    for at, key, source, n in spans
+                ]
+                row = [len(own), int((~stay).sum()), hashlib.sha256(left).hexdigest(), told]
                 if with_text:
                     row.append(text if whole else left.decode("utf-8", "surrogatepass"))
                 out.append(row)
             done = pd.DataFrame(out, columns=names)
-            yield pd.concat([batch[["_id", "_x", "_carried"]].reset_index(drop=True), done], axis=1)
-
-    schema = f"_id long, _x int, _carried {carried_type}, {tail}" + ", kept_text string" * with_text
-    done = written(
-        texts.select("_id", "_x", "_carried", "_text", "_spans").mapInPandas(cut, schema), "repeat-free"
-    )
-    found = done.select("_id", "_x", F.explode("_digests").alias("_d")).select("_id", "_x", "_d.*")
-    _check_sources(found)
+            yield pd.concat([batch[["_id", "_carried"]].reset_index(drop=True), done], axis=1)
+
+    carried_type = docs.schema["_carried"].dataType.simpleString()
+    schema = f"_id long, _carried {carried_type}, n_words long, n_removed long, kept_sha256 string"
+    schema += f", _spans array<{_SPAN}>" + ", kept_text string" * with_text
+    done = written(docs.select("_id", "_carried", "_text").mapInPandas(cut, schema), "repeat-free")
+    spans = done.select("_id", F.explode("_spans").alias("_s")).select("_id", "_s.*")
+    _verify(spans, docs.select("_id", "_text"), sources)
     columns = ["n_words", "n_removed", "kept_sha256"] + ["kept_text"] * with_text
-    return done.select(
-        F.col("_id").cast(id_type).alias(id_col), *columns, *[F.col("_carried")[c].alias(c) for c in carried]
-    )
+    own = [F.col("_carried")[c].alias(c) for c in carried or []]
+    return done.select(F.col("_id").cast(id_type).alias(id_col), *columns, *own)
+
+
+def _paths(
+    at: np.ndarray, key: np.ndarray, source: np.ndarray, doc: int
+) -> list[tuple[int, int, int, int]]:
+    """(first window, its key, source, number of windows) of maximal runs of windows that
+    have one source with an id below ``doc``."""
+    here = source < doc
+    at, key, source = at[here], key[here].view(np.int64), source[here]
+    if not len(at):
+        return []
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (np.diff(at) != 1) | (source[1:] != source[:-1])
+    head = np.nonzero(new)[0]
+    n = np.diff(np.append(head, len(at)))
+    return [(int(at[h]), int(key[h]), int(source[h]), int(c)) for h, c in zip(head, n, strict=True)]

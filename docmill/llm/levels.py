@@ -23,7 +23,7 @@ from docmill.llm.elias_fano import EliasFano, encode
 from docmill.session import scratch_path
 
 #: Keys in a segment.
-SEGMENT = 4_000_000
+SEGMENT = 2_000_000
 NONE = -1
 
 
@@ -94,8 +94,8 @@ class Level:
             yield 0, slice(None)
             return
         segment = np.searchsorted(self.offset, places, side="right") - 1
-        for k in np.unique(segment):
-            yield int(k), np.nonzero(segment == k)[0]
+        for k in np.flatnonzero(np.bincount(segment)):
+            yield int(k), np.flatnonzero(segment == k)
 
     def keys(self, places: np.ndarray) -> np.ndarray:
         out = np.zeros(len(places), dtype=np.uint64)
@@ -147,27 +147,40 @@ def unsigned_order(key: str) -> str:
     return f"{key} ^ (-9223372036854775807L - 1L)"
 
 
-class KeySet:
-    """A set of 64-bit keys, written once; what travels to tasks are its file names."""
+class KeyTable:
+    """64-bit keys with values alongside, written once; what travels to tasks are its
+    file names. The maps are opened once in a worker."""
 
-    def __init__(self, keys: DataFrame, key: str, name: str):
-        """``keys`` holds each key once, in the long column ``key``."""
-        keys = written(keys.select(key), name)
-        folder = new_folder(keys.sparkSession, name)
+    def __init__(self, rows: DataFrame, key: str, name: str, values: tuple[str, ...] = ()):
+        """``rows`` holds each key once, in the long column ``key``; ``values`` are long columns."""
+        rows = written(rows.select(key, *values), name)
+        folder = new_folder(rows.sparkSession, name)
 
-        def one(rows: pd.DataFrame) -> pd.DataFrame:
-            return segment(folder, rows[key].to_numpy(np.int64).view(np.uint64), {})
+        def one(part: pd.DataFrame) -> pd.DataFrame:
+            side = {v: part[v].to_numpy(np.int64) for v in values}
+            return segment(folder, part[key].to_numpy(np.int64).view(np.uint64), side)
 
-        ordered = keys.withColumn("_order", F.expr(unsigned_order(key)))
-        self.folder = folder
-        self.segments = write_segments(in_ranges(ordered, "_order", keys.count()), one, f"{name}-segments")
+        ordered = rows.withColumn("_order", F.expr(unsigned_order(key)))
+        self.folder, self.n = folder, rows.count()
+        self.segments = write_segments(in_ranges(ordered, "_order", self.n), one, f"{name}-segments")
 
-    def contains(self, keys: np.ndarray) -> np.ndarray:
-        """Whether each of the keys is in the set; the maps are opened once in a worker."""
+    def _level(self) -> Level:
         if self.folder not in _OPEN:
-            _OPEN.clear()
+            while len(_OPEN) >= _MOST_OPEN:
+                _OPEN.pop(next(iter(_OPEN)))
             _OPEN[self.folder] = Level(self.folder, self.segments)
-        return _OPEN[self.folder].find(keys) != NONE
+        return _OPEN[self.folder]
+
+    def contains(self, keys: np.ndarray) -> np.ndarray:
+        return self._level().find(keys) != NONE
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where the keys are, -1 for those that are not."""
+        return self._level().find(keys)
+
+    def values(self, name: str, places: np.ndarray) -> np.ndarray:
+        return self._level().side(name, places, np.int64)
 
 
 _OPEN: dict[str, Level] = {}
+_MOST_OPEN = 8

@@ -5,22 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: Words whose hash each Python worker keeps at most.
-KEPT_WORDS = 400_000
 _MASK = (1 << 64) - 1
-
-
-class WordHashes(dict):
-    """Hashes of words, computed when first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+#: Bytes of a word that have a factor of their own; longer words are hashed one by one.
+_LONGEST = 1024
 
 
 def _factor(seed: int, place: int) -> np.uint64:
@@ -49,6 +36,36 @@ def runs(hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     return mixed(out)
 
 
+_IN_WORD = np.ones(256, dtype=bool)
+_IN_WORD[list(b" \t\n\v\f\r")] = False
+_FACTORS = np.array([_factor(97, place) for place in range(_LONGEST)], dtype=np.uint64)
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """The hash of each word of a text: its bytes, each times the factor of its place,
+    and its length. Equal words have equal hashes wherever they stand."""
+    octets = np.frombuffer(data, dtype=np.uint8)
+    inside = _IN_WORD[octets]
+    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(octets) and inside[0]:
+        turns = np.concatenate([[0], turns])
+    if len(turns) % 2:
+        turns = np.append(turns, len(octets))
+    starts, ends = turns[::2], turns[1::2]
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    lengths = ends - starts
+    place = np.arange(starts[0], len(octets)) - np.repeat(starts, np.diff(starts, append=len(octets)))
+    values = octets[starts[0] :].astype(np.uint64) + np.uint64(1)
+    values *= inside[starts[0] :]
+    values *= _FACTORS[np.minimum(place, _LONGEST - 1)]
+    out = np.add.reduceat(values, starts - starts[0])
+    out = mixed(out + lengths.astype(np.uint64) * _FACTORS[0])
+    for k in np.flatnonzero(lengths > _LONGEST):
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
+    return out
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` neighbours."""
     out, done = values, 1

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from docmill.llm.common import lower_ascii, written
 from docmill.llm.components import connected_components
-from docmill.llm.levels import KeySet
-from docmill.llm.shingles import WordHashes, mixed, runs
+from docmill.llm.levels import KeyTable
+from docmill.llm.shingles import mixed, runs, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
@@ -44,12 +44,12 @@ MAX_FREQUENT = 1 << 20
 _COLUMNS = 8192
 
 
-def shingle_set(text: str | None, known: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """The distinct hashed shingles, ascending; fewer words than one form one."""
-    own = lower_ascii(text).split()
-    if not own:
-        return np.zeros(0, dtype=np.uint64)
-    return np.unique(runs(known.of(own), min(shingle, len(own)), len(own) if len(own) < shingle else 0))
+    own = word_hashes(lower_ascii(text))
+    if len(own) < shingle:
+        return runs(own, len(own), len(own)) if len(own) else own
+    return np.unique(runs(own, shingle))
 
 
 def least_shared(n: int) -> int:
@@ -140,9 +140,8 @@ def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
     """Frequent shingles of the sampled documents, ascending; bounded in number."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for batch in batches:
-            found = [shingle_set(t, known, shingle) for t in batch["_text"]]
+            found = [shingle_set(t, shingle) for t in batch["_text"]]
             yield pd.DataFrame({"_t": np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)})
 
     sample = docs.filter(F.pmod(F.xxhash64("_key"), F.lit(SAMPLE_ONE_IN)) == 0)
@@ -151,25 +150,24 @@ def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
     return np.sort(top.toPandas()["_t"].to_numpy(np.int64).view(np.uint64))
 
 
-def _shared_tokens(docs: DataFrame, frequent: np.ndarray, shingle: int, percent: int) -> KeySet:
+def _shared_tokens(docs: DataFrame, frequent: np.ndarray, shingle: int, percent: int) -> KeyTable:
     """The prefix shingles that occur in two documents."""
     late = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for batch in batches:
-            found = [prefix(shingle_set(t, known, shingle), late.value, percent) for t in batch["_text"]]
+            found = [prefix(shingle_set(t, shingle), late.value, percent) for t in batch["_text"]]
             keys = np.repeat(batch["_key"].to_numpy(np.int64), [len(x) for x in found])
             tokens = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
             yield pd.DataFrame({"_t": tokens, "_key": keys})
 
     rows = docs.select("_key", "_text").mapInPandas(emit, "_t long, _key long")
     ends = rows.groupBy("_t").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi"))
-    return KeySet(ends.filter("lo < hi"), "_t", "shared-tokens")
+    return KeyTable(ends.filter("lo < hi"), "_t", "shared-tokens")
 
 
 def _document_sets(
-    docs: DataFrame, shared: KeySet, frequent: np.ndarray, shingle: int, percent: int
+    docs: DataFrame, shared: KeyTable, frequent: np.ndarray, shingle: int, percent: int
 ) -> DataFrame:
     """(_id, _n, _set, _least, _shared, _tokens): the last three null if no candidate."""
     id_type = docs.schema["_id"].dataType.simpleString()
@@ -178,9 +176,8 @@ def _document_sets(
     names = ["_n", "_set", "_least", "_shared", "_tokens"]
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t, known, shingle) for t in batch["_text"]]
+            sets = [shingle_set(t, shingle) for t in batch["_text"]]
             heads = [prefix(s, late.value, percent) for s in sets]
             found = shared.contains(np.concatenate([*heads, np.zeros(0, np.uint64)]))
             begin, out = 0, []
@@ -200,32 +197,40 @@ def _document_sets(
     return docs.select("_id", "_text").mapInPandas(emit, schema)
 
 
-def _groups(classes: DataFrame, sets: DataFrame, size: int) -> DataFrame:
-    """(_g, _names, _sets, _union, _shared): groups of classes with the same least
-    shingle, of about ``size`` members. The union of a single member is its set: null."""
+def _groups(classes: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """(_g, _names, _sets, _union, _shared, _low, _high, _need): groups of classes with the
+    same least shingle, of about ``size`` members. The union of a single member is its
+    set: null. _low and _high bound the members' sizes; a similar set of another group
+    shares at least _need prefix shingles with a member."""
     counts = sets.filter("_tokens IS NOT NULL").groupBy("_least").count().filter(F.col("count") > size)
     parts = written(counts.select("_least", F.ceil(F.col("count") / size).alias("_parts")), "group-parts")
     dealt = classes.join(parts, "_least", "left").withColumn(
         "_part", F.expr("pmod(xxhash64(_set), coalesce(_parts, 1))")
     )
 
-    def pack(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
-        members = members.sort_values("_set")
-        sets = _sets(members["_tokens"])
-        shared = sorted({t for own in members["_shared"] for t in own})
-        return pd.DataFrame(
-            {
-                "_g": [f"{key[0]}/{key[1]}"],
-                "_names": [list(members["_set"])],
-                "_sets": [list(members["_tokens"])],
-                "_union": [np.unique(np.concatenate(sets)).tobytes() if len(sets) > 1 else None],
-                "_shared": [shared],
-            }
-        )
+    members = F.sort_array(F.collect_list(F.struct("_set", "_tokens", "_shared")))  # at most about size
+    packed = dealt.groupBy("_least", "_part").agg(members.alias("_m"))
+    named = packed.select(F.concat_ws("/", "_least", "_part").alias("_g"), "_m")
 
-    return dealt.groupBy("_least", "_part").applyInPandas(
-        pack, "_g string, _names array<string>, _sets array<binary>, _union binary, _shared array<long>"
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for members in batch["_m"]:
+                blobs = [m["_tokens"] for m in members]
+                sizes = [len(b) // 8 for b in blobs]
+                union = np.unique(np.concatenate(_sets(blobs))).tobytes() if len(blobs) > 1 else None
+                shared = sorted({int(t) for m in members for t in m["_shared"]})
+                need = min(least_shared(-(-percent * n // 100)) for n in sizes)
+                names = [m["_set"] for m in members]
+                out.append((names, blobs, union, shared, min(sizes), max(sizes), need))
+            frame = pd.DataFrame(out, columns=["_names", "_sets", "_union", "_shared", "_low", "_high", "_need"])
+            yield pd.concat([batch[["_g"]].reset_index(drop=True), frame], axis=1)
+
+    schema = (
+        "_g string, _names array<string>, _sets array<binary>, _union binary, _shared array<long>,"
+        " _low long, _high long, _need long"
     )
+    return named.mapInPandas(pack, schema)
 
 
 _EDGES = "a string, b string"
@@ -285,13 +290,26 @@ def _outer_links(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame
     return opened.select(*names).mapInPandas(compare, _EDGES)
 
 
+def _meeting(asked: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of those rows of ``left`` (shingle _t, group a) and ``asked`` that share enough
+    prefix shingles and whose sizes allow a link."""
+    right = asked.select("_t", *[F.col(c).alias(f"{c}_b") for c in asked.columns if c != "_t"])
+    size_fits = f"100 * _high_b >= {percent} * _low AND 100 * _high >= {percent} * _low_b"
+    pairs = left.join(right, "_t").filter(f"_g < _g_b AND _label <> _label_b AND {size_fits}")
+    counted = pairs.groupBy("_g", "_g_b").agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.greatest("_need", "_need_b")).alias("_least")
+    )
+    return counted.filter("_n >= _least").select(F.col("_g").alias("a"), F.col("_g_b").alias("b"))
+
+
 def _components(classes: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """(_set, root) for classes that link with another."""
-    groups = written(_groups(classes, sets, size), "token-groups")
-    asked = groups.select("_g", F.explode("_shared").alias("_t"))
-    first = asked.groupBy("_t").agg(F.min("_g").alias("a"), F.max("_g").alias("_z")).filter("a < _z")
-    stars = asked.join(first.select("_t", "a"), "_t").filter("a < _g")
-    stars = written(stars.select("a", F.col("_g").alias("b")).distinct(), "group-pairs")
+    groups = written(_groups(classes, sets, size, percent), "token-groups")
+    traits = ["_g", "_low", "_high", "_need"]
+    asked = groups.select(*traits, F.col("_g").alias("_label"), F.explode("_shared").alias("_t"))
+    first = asked.groupBy("_t").agg(F.min("_g").alias("_g"), F.max("_g").alias("_z")).filter("_g < _z")
+    hubs = asked.join(first.select("_t", "_g"), ["_t", "_g"])
+    stars = written(_meeting(asked, hubs, percent), "group-pairs")
     found = written(_inner_links(groups, percent).unionByName(_outer_links(stars, groups, percent)), "set-links")
     roots = written(connected_components(found), "set-roots")
     # A group's component, or its own name where its members lie in several.
@@ -300,12 +318,10 @@ def _components(classes: DataFrame, sets: DataFrame, size: int, percent: int) ->
         F.min(F.coalesce("root", "node")).alias("lo"), F.max(F.coalesce("root", "node")).alias("hi")
     )
     labels = labels.select("_g", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("_g")).alias("_label"))
-    labelled = asked.join(labels, "_g")
-    mixed_ = labelled.groupBy("_t").agg(F.min("_label").alias("lo"), F.max("_label").alias("hi"))
-    several = labelled.join(mixed_.filter("lo < hi").select("_t"), "_t")
-    other = several.select("_t", F.col("_g").alias("b"), F.col("_label").alias("_label_b"))
-    pairs = several.withColumnRenamed("_g", "a").join(other, "_t").filter("a < b AND _label <> _label_b")
-    pairs = pairs.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    labelled = asked.drop("_label").join(labels, "_g")
+    ends = labelled.groupBy("_t").agg(F.min("_label").alias("lo"), F.max("_label").alias("hi"))
+    several = labelled.join(ends.filter("lo < hi").select("_t"), "_t")
+    pairs = _meeting(several, several, percent).join(stars, ["a", "b"], "left_anti")
     more = _outer_links(written(pairs, "group-pairs"), groups, percent)
     return connected_components(written(found.unionByName(more), "set-links"))
 

@@ -1,8 +1,10 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
+from docmill.llm import debruijn
 from docmill.llm.debruijn import remove_repeats
 
 
@@ -46,6 +48,20 @@ def test_equals_brute_force(docs_of, vocabulary):
     assert sorted((str(r[0]), r[1], r[2], r[3]) for r in found) == brute_force(rows)
 
 
+def test_colliding_keys_are_told_apart(docs_of, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, " ".join([text(rng, 20), "q " * 9, text(random.Random(i % 5), 15)])) for i in range(30)]
+    strong = debruijn.Windows.edges
+
+    def weak(self, hashes):
+        key, check, other = strong(self, hashes)
+        return key % np.uint64(7), check, other
+
+    monkeypatch.setattr(debruijn.Windows, "edges", weak)
+    found = remove_repeats(docs_of(rows)).collect()
+    assert sorted((str(r[0]), r[1], r[2], r[3]) for r in found) == brute_force(rows)
+
+
 def test_kept_text_and_carried_columns(docs_of):
     long = " ".join(f"v{i}" for i in range(20))
     rows = [(1, "a  b\n" + long), (2, "c\t" + long + "  d"), (3, "plain  text")]
