@@ -10,19 +10,18 @@ each a table of segments that tasks map into memory:
   context: by its rank among the followers of the middle word.
 
 Counting, sorting and summing are Spark aggregations; the levels are written to the
-shared folder by the tasks that hold a range of keys. Every text is then scored where
-it is read, by successor searches in the mapped levels.
+shared folder by the tasks that hold a range of keys. Texts become word ids once, then
+places of pairs; later passes read those instead of texts. Every document is scored
+where its ids are read, by successor searches in the mapped levels.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +38,7 @@ from docmill.llm.levels import (
     unsigned_order,
     write_segments,
 )
+from docmill.llm.shingles import word_hashes
 
 #: The token behind each text's last word; no word can hold white space.
 END = b"\n"
@@ -47,8 +47,7 @@ DISCOUNT = 0.5
 LEAST_COUNT = 2
 #: Quantisation steps per unit of log10.
 STEPS = 4096
-#: Words whose id each Python worker keeps, and tokens that are looked up at once.
-KEPT_IDS = 1_000_000
+#: Tokens that are looked up at once.
 TOKENS = 1_000_000
 
 
@@ -59,8 +58,13 @@ def tokens(text: str | None) -> list[bytes]:
     return own
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+# Fixed value: stands for the end in place of a word's hash.
+_END_HASH = np.array([0x5851F42D4C957F2D], dtype=np.uint64)
+
+
+def token_hashes(text: str | None) -> np.ndarray:
+    """The hashes of a text's tokens."""
+    return np.concatenate([word_hashes(lower_ascii(text)), _END_HASH])
 
 
 def _codes(log10: np.ndarray) -> np.ndarray:
@@ -104,20 +108,13 @@ class Trie:
         self.triples = Level(model.folder, model.triples)
         self.v = self.words.n
         self.total = model.n_tokens + self.v + 1
-        self.ids: dict[bytes, int] = {}
         self._starts: dict[int, EliasFano] = {}
 
     # -- words --
 
-    def word_ids(self, words: list[bytes]) -> np.ndarray:
+    def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids, -1 for words that the training texts lack."""
-        if len(self.ids) > KEPT_IDS:
-            self.ids.clear()
-        new = list(set(words).difference(self.ids))
-        if new:
-            hashes = np.fromiter(map(word_hash, new), np.uint64, len(new))
-            self.ids.update(zip(new, self.words.find(hashes).tolist(), strict=True))
-        return np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+        return self.words.find(hashes)
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ids), dtype=np.int64)
@@ -130,13 +127,14 @@ class Trie:
 
     def first_follower(self, ids: np.ndarray) -> np.ndarray:
         """Where the pairs of a word begin: a pointer, itself in Elias-Fano form."""
-        out = np.zeros(len(ids), dtype=np.int64)
-        for k, part in self.words.split(ids):
+        asked, back = np.unique(ids, return_inverse=True)
+        out = np.zeros(len(asked), dtype=np.int64)
+        for k, part in self.words.split(asked):
             begin, file = self.model.pointers[k]
             if k not in self._starts:
                 self._starts[k] = EliasFano(mapped(self.model.folder, file, np.uint64))
-            out[part] = self._starts[k].get(ids[part] - self.words.offset[k]).astype(np.int64) + begin
-        return out
+            out[part] = self._starts[k].get(asked[part] - self.words.offset[k]).astype(np.int64) + begin
+        return out[back]
 
     # -- pairs and triples --
 
@@ -145,7 +143,9 @@ class Trie:
         out = np.full(len(ids), NONE, dtype=np.int64)
         left = np.concatenate([[NONE], ids[:-1]])
         left[starts] = NONE
-        ask = np.nonzero((left >= 0) & (ids >= 0))[0]
+        known = np.nonzero((left >= 0) & (ids >= 0))[0]
+        # a back-off of 1 means that no pair with this word on the left was kept
+        ask = known[self.words.side("backoff", left[known], np.uint16) > 0]
         out[ask] = self.pairs.find(left[ask].astype(np.uint64) * np.uint64(self.v) + ids[ask].astype(np.uint64))
         return out
 
@@ -154,17 +154,16 @@ class Trie:
         context = np.concatenate([[NONE], pairs[:-1]])
         context[starts] = NONE
         at = np.nonzero((context >= 0) & (pairs >= 0))[0]
-        rank = pairs[at] - self.first_follower(ids[at - 1])
+        rank = pairs[at].astype(np.int64) - self.first_follower(ids[at - 1].astype(np.int64))
         keys = context[at].astype(np.uint64) * np.uint64(self.model.widest) + rank.astype(np.uint64)
         return at, keys
 
-    def score(self, ids: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def score(self, ids: np.ndarray, pairs: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """log10 probability of each token."""
         out = self.base(counts)
         left = np.concatenate([[NONE], ids[:-1]])
         left[starts] = NONE
         known = np.nonzero(left >= 0)[0]
-        pairs = self.pair_places(ids, starts)
         out[known] += _logs(self.words.side("backoff", left[known], np.uint16))
         found = np.nonzero(pairs >= 0)[0]
         out[found] = _logs(self.pairs.side("prob", pairs[found], np.uint16))
@@ -182,37 +181,56 @@ class Trie:
 # --- building -------------------------------------------------------------------
 
 
-def _chunks(texts) -> Iterator[tuple[list[bytes], np.ndarray, int]]:
-    """Tokens of whole texts, up to about ``TOKENS`` at a time: (tokens, starts, texts)."""
-    own, starts = [], []
-    for text in texts:
-        starts.append(len(own))
-        own += tokens(text)
-        if len(own) >= TOKENS:
-            yield own, np.array(starts), len(starts)
-            own, starts = [], []
-    if starts:
-        yield own, np.array(starts), len(starts)
+def _chunks(rows, column: str, more: tuple[str, ...] = ()) -> Iterator[tuple]:
+    """Arrays of whole documents, side by side, up to about ``TOKENS`` at a time:
+    (frame of the documents, starts, values, values of the columns ``more``)."""
+    for batch in rows:
+        sizes = batch[column].map(len).to_numpy(np.int64)
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(sizes) // TOKENS)) + 1, [len(batch)]])
+        for begin, end in zip(cut[:-1], cut[1:], strict=True):
+            if begin < end:
+                part = batch.iloc[begin:end]
+                starts = np.cumsum(sizes[begin:end]) - sizes[begin:end]
+                yield part, starts, *[np.concatenate(list(part[c])) for c in (column, *more)]
+
+
+def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(_hashes=[token_hashes(t) for t in batch["_text"]])
+
+
+def _counted(held: list[np.ndarray], names: tuple[str, str]) -> pd.DataFrame:
+    keys, counts = np.unique(np.concatenate(held), return_counts=True)
+    return pd.DataFrame({names[0]: keys.view(np.int64), names[1]: counts.astype(np.int64)})
+
+
+def _summed(keys: Iterator[np.ndarray], names: tuple[str, str]) -> Iterator[pd.DataFrame]:
+    """Counts of keys, summed over a few chunks before they are shuffled."""
+    held, n = [], 0
+    for part in keys:
+        held.append(part)
+        n += len(part)
+        if n > 3 * TOKENS:
+            yield _counted(held, names)
+            held, n = [], 0
+    if n:
+        yield _counted(held, names)
 
 
 def _word_counts(train: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
+        yield from _summed((x[2] for x in _chunks(_hashed(batches), "_hashes")), ("h", "c"))
 
-        def frame() -> pd.DataFrame:
-            hashes = np.fromiter(map(word_hash, counts), np.uint64, len(counts)).view(np.int64)
-            return pd.DataFrame({"h": hashes, "c": list(counts.values())}, dtype=np.int64)
+    return train.select("_text").mapInPandas(emit, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
-        for batch in batches:
-            for text in batch["_text"]:
-                counts.update(tokens(text))
-            if len(counts) > KEPT_IDS:
-                yield frame()
-                counts.clear()
-        if counts:
-            yield frame()
 
-    return train.select("_text").mapInPandas(emit, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+def _pair_keys(trie: Trie, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Keys of pairs of words that occur often enough: no pair is more frequent than its words."""
+    often = trie.counts(ids) >= LEAST_COUNT
+    both = often & np.concatenate([[False], often[:-1]])
+    both[starts] = False
+    at = np.nonzero(both)[0]
+    return ids[at - 1].astype(np.uint64) * np.uint64(trie.v) + ids[at].astype(np.uint64)
 
 
 def _key_counts(train: DataFrame, model: Model, order: int) -> DataFrame:
@@ -220,36 +238,56 @@ def _key_counts(train: DataFrame, model: Model, order: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = model.open()
-        held, n = [], 0
-
-        def frame() -> pd.DataFrame:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"key": keys.view(np.int64), "c": counts.astype(np.int64)})
-
-        for batch in batches:
-            for own, starts, _ in _chunks(batch["_text"]):
-                ids = trie.word_ids(own)
-                if order == 2:
-                    # a pair cannot occur more often than its words
-                    often = trie.counts(ids) >= LEAST_COUNT
-                    both = often & np.concatenate([[False], often[:-1]])
-                    both[starts] = False
-                    at = np.nonzero(both)[0]
-                    keys = ids[at - 1].astype(np.uint64) * np.uint64(trie.v) + ids[at].astype(np.uint64)
-                else:
-                    keys = trie.triple_keys(ids, trie.pair_places(ids, starts), starts)[1]
-                held.append(keys)
-                n += len(keys)
-            if n > 4 * TOKENS:
-                yield frame()
-                held, n = [], 0
-        if n:
-            yield frame()
-
-    rows = train.select("_text").mapInPandas(emit, "key long, c long")
+        if order == 2:
+            keys = (_pair_keys(trie, ids, starts) for _, starts, ids in _chunks(batches, "_ids"))
+        else:
+            keys = (
+                trie.triple_keys(ids, pairs, starts)[1]
+                for _, starts, ids, pairs in _chunks(batches, "_ids", ("_pairs",))
+            )
+        yield from _summed(keys, ("key", "c"))
+
+    columns = ["_ids"] + ["_pairs"] * (order == 3)
+    rows = train.select(*columns).mapInPandas(emit, "key long, c long")
     return rows.groupBy("key").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST_COUNT)
 
 
+def _parts(values: np.ndarray, starts: np.ndarray, n: int) -> list[np.ndarray]:
+    dtype = np.int64 if n > 1 << 31 else np.int32
+    return np.split(values.astype(dtype), starts[1:])
+
+
+def _number_type(n: int) -> str:
+    return "long" if n > 1 << 31 else "int"
+
+
+def _with_ids(docs: DataFrame, model: Model, v: int) -> DataFrame:
+    """(_id, _train, _ids): documents as word ids, written once."""
+    id_type = docs.schema["_id"].dataType.simpleString()
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trie = model.open()
+        for part, starts, hashes in _chunks(_hashed(batches), "_hashes"):
+            ids = _parts(trie.word_ids(hashes), starts, v)
+            yield pd.DataFrame({"_id": part["_id"], "_train": part["_train"], "_ids": ids})
+
+    schema = f"_id {id_type}, _train boolean, _ids array<{_number_type(v)}>"
+    return written(docs.select("_id", "_train", "_text").mapInPandas(emit, schema), "lm-ids")
+
+
+def _with_pairs(rows: DataFrame, model: Model, n: int) -> DataFrame:
+    """The same with _pairs, for each token the place of the pair that it ends."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trie = model.open()
+        for part, starts, ids in _chunks(batches, "_ids"):
+            places = trie.pair_places(ids.astype(np.int64), starts)
+            yield part.assign(_pairs=_parts(places, starts, n))
+
+    return written(rows.mapInPandas(emit, f"{schema}, _pairs array<{_number_type(n)}>"), "lm-places")
+
+
 def _per_segment(rows: DataFrame, offsets: list[int], place: str, write, schema: str) -> DataFrame:
     """Deal rows by the segment that their place lies in, and write each."""
     dealt = rows.withColumn("segment", _segment_of(place, offsets))
@@ -262,13 +300,14 @@ def _segment_of(place: str, offsets: list[int]) -> Column:
     return F.expr(f"size(filter({array}, o -> o <= {place})) - 1").cast("int")
 
 
-def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
-    """The trie of the texts in column ``_text``, all of them."""
-    spark = train.sparkSession
+def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame]:
+    """The trie of all texts (_text) that are for training (_train), and all documents
+    (_id, _train) as word ids (_ids) and places of pairs (_pairs)."""
+    spark = docs.sparkSession
     folder = new_folder(spark, "trie")
 
     # Words. Hashes are ordered as unsigned numbers: the sign bit is flipped for sorting.
-    counts = written(_word_counts(train), "lm-words").withColumn("key", F.expr(unsigned_order("h")))
+    counts = written(_word_counts(docs.filter("_train")), "lm-words").withColumn("key", F.expr(unsigned_order("h")))
     v, n = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
 
     def words(rows: pd.DataFrame) -> pd.DataFrame:
@@ -276,13 +315,13 @@ def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
         return segment(folder, hashes, {"count": rows["c"].to_numpy(np.int64)})
 
     model = Model(folder, write_segments(in_ranges(counts, "key", v), words, "lm-level"), [], [], [], n, 1)
-    if not v:
-        return model
+    rows = _with_ids(docs, model, v)
+    train = rows.filter("_train")
 
     # Pairs: first their counts, from which the first level gets pointers and back-off.
     pairs = written(_key_counts(train, model, 2), "lm-pairs")
     n_pairs = pairs.count()
-    heads = pairs.groupBy(F.expr(f"key div {v}L").alias("w")).agg(
+    heads = pairs.groupBy(F.expr(f"key div {max(v, 1)}L").alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")
     )
     heads = written(heads, "lm-heads")
@@ -327,9 +366,8 @@ def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
         return segment(folder, keys.view(np.uint64), {"prob": _codes(np.log10(prob)), "count": c})
 
     model.pairs = write_segments(in_ranges(pairs, "key", n_pairs), pair_level, "lm-level")
-    if not n_pairs:
-        return model
-
+    rows = _with_pairs(rows, model, n_pairs)
+    train = rows.filter("_train")
     triples = written(_key_counts(train, model, 3), "lm-triples")
     n_triples = triples.count()
     heads = written(
@@ -371,7 +409,7 @@ def build(train: DataFrame, discount: float = DISCOUNT) -> Model:
         return segment(folder, keys.view(np.uint64), {"prob": _codes(np.log10(prob))})
 
     model.triples = write_segments(in_ranges(triples, "key", n_triples), triple_level, "lm-level")
-    return model
+    return model, rows
 
 
 # --- scoring --------------------------------------------------------------------
@@ -392,29 +430,25 @@ def score_texts(
     and scored like others. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    model = build(docs.filter(learn_from), discount)
+    docs = docs.withColumn("_train", F.coalesce(F.expr(learn_from), F.lit(False)))
+    model, rows = build(docs, discount)
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = model.open()
-        for batch in batches:
-            columns = []
-            for own, starts, n in _chunks(batch["_text"]):
-                ids = trie.word_ids(own)
-                counts = trie.counts(ids)
-                columns.append(
-                    (
-                        np.diff(np.append(starts, len(own))),
-                        np.add.reduceat((counts > 0).astype(np.int64), starts),
-                        np.full(n, model.n_tokens),
-                        np.add.reduceat(trie.base(counts), starts),
-                        np.add.reduceat(trie.score(ids, counts, starts), starts),
-                    )
-                )
-            names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-            if columns:
-                joined = [np.concatenate(c) for c in zip(*columns, strict=True)]
-                yield pd.DataFrame({"_id": batch["_id"], **dict(zip(names, joined, strict=True))})
+        for part, starts, ids, pairs in _chunks(batches, "_ids", ("_pairs",)):
+            ids, pairs = ids.astype(np.int64), pairs.astype(np.int64)
+            counts = trie.counts(ids)
+            yield pd.DataFrame(
+                {
+                    "_id": part["_id"],
+                    "n_tokens": np.diff(np.append(starts, len(ids))),
+                    "n_known": np.add.reduceat((counts > 0).astype(np.int64), starts),
+                    "train_tokens": model.n_tokens,
+                    "base_score": np.add.reduceat(trie.base(counts), starts),
+                    "score": np.add.reduceat(trie.score(ids, pairs, counts, starts), starts),
+                }
+            )
 
     schema = f"_id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return docs.mapInPandas(score, schema).withColumnRenamed("_id", id_col)
+    return rows.select("_id", "_ids", "_pairs").mapInPandas(score, schema).withColumnRenamed("_id", id_col)
