@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,18 @@ from docmill.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def small_batches(
+    batches: Iterator[pd.DataFrame], column: str, chars: int = 1_000_000
+) -> Iterator[pd.DataFrame]:
+    """The same rows in batches of about ``chars`` characters of a text column, so that
+    what is computed from a batch stays small whatever texts are long."""
+    for batch in batches:
+        done = batch[column].str.len().fillna(0).cumsum().to_numpy() // chars
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(done)) + 1, [len(batch)]])
+        for begin, end in zip(cut[:-1], cut[1:], strict=True):
+            yield batch.iloc[begin:end].reset_index(drop=True)
+
+
 def utf8(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import utf8, words, written
+from docmill.llm.common import small_batches, utf8, words, written
 from docmill.llm.levels import NONE, KeyTable
 from docmill.llm.shingles import runs, sliding_min, word_hashes
 
@@ -65,15 +65,21 @@ def _copies(docs: DataFrame) -> KeyTable:
     return KeyTable(rows.join(several, ["_t1", "_t2"]).filter("_id > _lo").select("_id").distinct(), "_id", "copies")
 
 
+def _originals(batches: Iterator[pd.DataFrame], copies: KeyTable) -> Iterator[pd.DataFrame]:
+    """The rows that are no copies, in small batches."""
+    for batch in small_batches(batches, "_text"):
+        yield batch[~copies.contains(batch["_id"].to_numpy(np.int64).view(np.uint64))]
+
+
 def _joined(parts: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate([*parts, np.zeros(0, dtype)])
 
 
-def _repeated_minimisers(docs: DataFrame, windows: Windows) -> KeyTable:
+def _repeated_minimisers(docs: DataFrame, copies: KeyTable, windows: Windows) -> KeyTable:
     """The minimisers that occur in two documents."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _originals(batches, copies):
             found = [np.unique(windows.minimisers(windows.hashes(t))) for t in batch["_text"]]
             ids = np.repeat(batch["_id"].to_numpy(np.int64), [len(x) for x in found])
             yield pd.DataFrame({"_m": _joined(found, np.uint64).view(np.int64), "_id": ids})
@@ -87,8 +93,8 @@ class Sources:
     """The smallest id of each window that occurs in two documents. Keys whose checks
     differ belong to several windows; those are told apart by another key."""
 
-    def __init__(self, docs: DataFrame, windows: Windows, repeated: KeyTable):
-        self.windows, self.repeated = windows, repeated
+    def __init__(self, docs: DataFrame, copies: KeyTable, windows: Windows, repeated: KeyTable):
+        self.copies, self.windows, self.repeated = copies, windows, repeated
         self.collided: KeyTable | None = None
         ends = written(self._ends(docs, False), "repeat-edges")
         whole = ends.filter("_c1 = _c2 AND _lo < _hi")
@@ -117,7 +123,7 @@ class Sources:
         """(_f, _c1, _c2, _lo, _hi): least and greatest check and id of each key."""
 
         def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
+            for batch in _originals(batches, self.copies):
                 found = self._candidates(batch)
                 ids = np.repeat(batch["_id"].to_numpy(np.int64), [len(x[0]) for x in found])
                 key, check, other = (
@@ -178,7 +184,7 @@ def _unmatched(spans: DataFrame, docs: DataFrame, windows: Windows) -> DataFrame
     sources = docs.join(asked, F.col("_id") == F.col("_source")).select("_source", "_text", "_asked")
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in small_batches(batches, "_text"):
             out = []
             for source, text, asked in zip(batch["_source"], batch["_text"], batch["_asked"], strict=True):
                 own = words(text)
@@ -206,7 +212,7 @@ def _verify(spans: DataFrame, docs: DataFrame, sources: Sources) -> None:
     branching = left.select("_id").distinct()
 
     def single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in small_batches(batches, "_text"):
             out = []
             for doc, text, found in zip(batch["_id"], batch["_text"], sources.of(batch), strict=True):
                 own = words(text)
@@ -245,18 +251,12 @@ def remove_repeats(
     id_type = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), kept)
     copies = _copies(docs)
-
-    def drop_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch[~copies.contains(batch["_id"].to_numpy(np.int64).view(np.uint64))]
-
     known = docs.filter("_id IS NOT NULL").select("_id", "_text")
-    originals = known.mapInPandas(drop_copies, "_id long, _text string")
-    sources = Sources(originals, windows, _repeated_minimisers(originals, windows))
+    sources = Sources(known, copies, windows, _repeated_minimisers(known, copies, windows))
     names = ["n_words", "n_removed", "kept_sha256", "_spans"] + ["kept_text"] * with_text
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in small_batches(batches, "_text"):
             ids = batch["_id"].to_numpy(np.float64, na_value=np.nan)
             plain = batch["_id"].fillna(0).to_numpy(np.int64)
             copied = copies.contains(plain.view(np.uint64)) & ~np.isnan(ids)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import lower_ascii, written
+from docmill.llm.common import lower_ascii, small_batches, written
 from docmill.llm.components import connected_components
 from docmill.llm.levels import KeyTable
 from docmill.llm.shingles import mixed, runs, word_hashes
@@ -140,7 +140,7 @@ def _frequent(docs: DataFrame, shingle: int) -> np.ndarray:
     """Frequent shingles of the sampled documents, ascending; bounded in number."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in small_batches(batches, "_text"):
             found = [shingle_set(t, shingle) for t in batch["_text"]]
             yield pd.DataFrame({"_t": np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)})
 
@@ -155,7 +155,7 @@ def _shared_tokens(docs: DataFrame, frequent: np.ndarray, shingle: int, percent:
     late = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in small_batches(batches, "_text"):
             found = [prefix(shingle_set(t, shingle), late.value, percent) for t in batch["_text"]]
             keys = np.repeat(batch["_key"].to_numpy(np.int64), [len(x) for x in found])
             tokens = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
@@ -176,7 +176,7 @@ def _document_sets(
     names = ["_n", "_set", "_least", "_shared", "_tokens"]
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in small_batches(batches, "_text"):
             sets = [shingle_set(t, shingle) for t in batch["_text"]]
             heads = [prefix(s, late.value, percent) for s in sets]
             found = shared.contains(np.concatenate([*heads, np.zeros(0, np.uint64)]))
