@@ -35,7 +35,8 @@ HEADLINE = [
     "outcome_metrics",
     "latency_metrics",
     "failure_rate",
-    "breaker_replay",
+    "service_counters",
+    "convert_stream",
     "reconcile",
 ]
 

@@ -1,79 +1,94 @@
 """HTML to GitHub-flavoured Markdown with built-in string expressions.
 
-Not a full HTML parser: nested tables, preformatted text and unusual attribute
-quoting degrade to their text. Every pattern repeats single character classes
-only, never groups, so that long pages cannot exhaust the regex engine's stack.
+Not a full HTML parser: nested tables, items behind a nested list and attribute
+values that hold angle brackets degrade to their text. Every pattern is linear: what
+it repeats are single characters, possessively and never across the next ``<``, or
+lazily up to an end that is always found.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Comments, scripts and styles go before the head, whose end they might fake.
 _DROPPED = [
-    r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|style\b[^>]*>.*?(?:</style\s*>|\z))",
-    r"(?is)<head(?:\s[^>]*)?>.*?(?:</head\s*>|\z)",
+    r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^<>]*+>.*?(?:</script\s*+>|\z)"
+    r"|style\b[^<>]*+>.*?(?:</style\s*+>|\z))",
+    r"(?is)<head(?:\s[^<>]*+)?+>.*?(?:</head\s*+>|\z)",
 ]
 
 _BLOCKS = (
-    "p|div|ul|ol|section|article|nav|header|footer|main|aside|blockquote|pre|form|table|hr|"
+    "p|div|ul|ol|section|article|nav|header|footer|main|aside|pre|form|table|hr|"
     "dl|dt|dd|figure|figcaption|address|body|html|h[1-6]"
 )
 
+# Control characters, which no HTML text may hold, stand for what later steps turn
+# into Markdown, so that they are told from the same characters in a text.
+_HEADING, _HREF, _LABEL, _LINK_END = "\u0001", "\u0002", "\u0003", "\u0004"
+_BULLET, _QUOTE, _CELL_BREAK = "\u0010", "\u0011", "\u0012"
+_KEPT_LINE, _KEPT_SPACE, _KEPT_TAB, _FENCE = "\u000e", "\u000f", "\u0013", "\u0014"
+
+
+def _attribute(name: str) -> str:
+    """Everything of a tag up to the value of an attribute, which is one of three groups."""
+    value = r"""(?:"([^"<>]*+)"|'([^'<>]*+)'|([^\s"'<>]++))"""
+    return rf"(?:[^<>\s]|\s(?!{name}\s*+=))*+\s{name}\s*+=\s*+{value}"
+
+
 _INLINE = [
-    (r"(?i)<br\s*/?>", "\n"),
-    (r"(?i)<(?:i|em)(?:\s[^>]*)?>([^<]+)</(?:i|em)\s*>", "*$1*"),
-    (r"(?i)<(?:b|strong)(?:\s[^>]*)?>([^<]+)</(?:b|strong)\s*>", "**$1**"),
-    (r"(?i)<(?:i|em)(?:\s[^>]*)?>([^<]+)</(?:i|em)\s*>", "*$1*"),
+    (r"(?i)<br\s*+/?+>", "\n"),
+    (r"(?i)<code(?:\s[^<>]*+)?+>([^<]++)</code\s*+>", "`$1`"),
+    (r"(?i)<(?:i|em)(?:\s[^<>]*+)?+>([^<]++)</(?:i|em)\s*+>", "*$1*"),
+    (r"(?i)<(?:b|strong)(?:\s[^<>]*+)?+>([^<]++)</(?:b|strong)\s*+>", "**$1**"),
+    (r"(?i)<(?:i|em)(?:\s[^<>]*+)?+>([^<]++)</(?:i|em)\s*+>", "*$1*"),
+]
+
+# A link's text may hold other tags: its two tags are marked on their own.
+_LINKS = [
+    (rf"(?i)<a(?=\s){_attribute('href')}[^<>]*+>", f"{_HREF}$1$2$3{_LABEL}"),
+    (r"(?i)</a\s*+>", _LINK_END),
     (
-        r"""(?i)<a\b[^>]*\bhref=(?:"([^"]*)"|'([^']*)')[^>]*>([^<]*)</a\s*>""",
-        "[$3]($1$2)",
+        rf"{_HREF}([^{_HREF}{_LABEL}]*+){_LABEL}([^{_HREF}{_LINK_END}]*+){_LINK_END}",
+        "[$2]($1)",
     ),
+    (f"{_HREF}[^{_LABEL}]*+{_LABEL}|{_LINK_END}", ""),
 ]
 
 _IMAGES = [
-    (r'(?i)<img\b[^>]*\balt="([^"]*)"[^>]*\bsrc="([^"]*)"[^>]*>', "![$1]($2)"),
-    (r'(?i)<img\b[^>]*\bsrc="([^"]*)"[^>]*\balt="([^"]*)"[^>]*>', "![$2]($1)"),
-    (r'(?i)<img\b[^>]*\bsrc="([^"]*)"[^>]*>', "![]($1)"),
+    (
+        rf"(?i)<img(?=[\s/>])(?={_attribute('src')})(?=(?:{_attribute('alt')})?+)[^<>]*+>",
+        "![$4$5$6]($1$2$3)",
+    )
 ]
 
-# A heading's level first becomes a mark, a control character no HTML text may
-# hold, so that one pattern finds all levels.
-_MARK = "\u0001"
-
 _STRUCTURE = [
-    (r"(?i)<h([1-6])(?:\s[^>]*)?>\s*", f"\n\n{_MARK}$1 "),
-    (r"(?i)<li(?:\s[^>]*)?>\s*", "\n- "),
-    (rf"(?i)</?(?:{_BLOCKS})(?:\s[^>]*)?/?>", "\n\n"),
-    (r"<[a-zA-Z/!?][^>]*>", ""),
+    (r"(?i)<h([1-6])(?:\s[^<>]*+)?+>\s*+", f"\n\n{_HEADING}$1 "),
+    (r"(?i)<blockquote(?:\s[^<>]*+)?+>\s*+", f"\n\n{_QUOTE} "),
+    (rf"(?i)</?+(?:{_BLOCKS}|blockquote)(?:\s[^<>]*+)?+/?+>", "\n\n"),
+    (r"(?i)</li\s*+>", ""),
+    (r"<[a-zA-Z/!?][^<>]*+>", ""),
 ]
 
-_HEADINGS = [(f"{_MARK}{n} ", "#" * n + " ") for n in range(1, 7)]
-
-# "&amp;" comes last, so that an escaped entity is decoded once.
-_ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&copy;", "\u00a9"),
-    ("&reg;", "\u00ae"),
-    ("&middot;", "\u00b7"),
-    ("&ndash;", "\u2013"),
-    ("&mdash;", "\u2014"),
-    ("&hellip;", "\u2026"),
-    ("&amp;", "&"),
+# What would begin a heading, a list or a quotation although the text only holds the character.
+_ESCAPED = [(r"(?m)^([ \t]*+)(#{1,6}+[ \t]|[-+][ \t]|>)", r"$1\\$2")]
+
+_MARKS = [(f"{_HEADING}{n} ", "#" * n + " ") for n in range(1, 7)] + [
+    (_BULLET, "- "),
+    (_QUOTE, ">"),
+    (_CELL_BREAK, "<br>"),
+    (_KEPT_LINE, "\n"),
+    (_KEPT_SPACE, " "),
+    (_KEPT_TAB, "\t"),
+    (_FENCE, "```"),
 ]
 
 _SPACING = [
-    (r"[ \t]*\n[ \t]*", "\n"),
-    (r"\n{3,}", "\n\n"),
+    (r"[ \t]*+\n[ \t]*+(?:\n[ \t]*+)++", "\n\n"),
+    (r"[ \t]*+\n[ \t]*+", "\n"),
 ]
 
 
@@ -81,62 +96,122 @@ def _rewrite(text: Column, rules: list[tuple[str, str]]) -> Column:
     return reduce(lambda t, rule: F.regexp_replace(t, rule[0], rule[1]), rules, text)
 
 
-def _with_table_rule(segment: Column) -> Column:
-    """One table's source, with a delimiter row put after its first row."""
-    row_end = F.locate("</tr>", F.lower(segment))
-    first_row = F.substring(segment, F.lit(1), row_end)
-    cells = F.regexp_count(first_row, F.lit(r"(?i)<t[hd](?:\s[^>]*)?>"))
-    rule = F.concat(F.lit("<tr>"), F.repeat(F.lit("<td>---</td>"), cells), F.lit("</tr>"))
-    return F.when(
-        row_end > 0,
-        F.concat(
-            F.substring(segment, F.lit(1), row_end + 4),
-            rule,
-            F.substring(segment, row_end + 5, F.length(segment)),
-        ),
-    ).otherwise(segment)
-
-
-_ROWS = [
-    (r"(?i)</?t(?:head|body|foot)(?:\s[^>]*)?>", ""),
-    (r"(?i)\s*</t[hd]\s*>\s*", " |"),
-    (r"(?i)\s*<t[hd](?:\s[^>]*)?>\s*", " "),
-    (r"(?i)\s*</tr\s*>\s*", "\n"),
-    (r"(?i)\s*<tr(?:\s[^>]*)?>", "\n|"),
-]
+def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
 
 
-def _tables(text: Column) -> Column:
-    ruled = F.transform(
-        F.split(text, r"(?i)<table(?=[\s>])"),
-        lambda s, i: F.when(i == 0, s).otherwise(F.concat(F.lit("<table"), _with_table_rule(s))),
-    )
-    has_table = F.locate("<table", F.lower(text)) > 0
-    return F.when(has_table, _rewrite(F.array_join(ruled, ""), _ROWS)).otherwise(text)
+def _elements(text: Column, name: str, change) -> Column:
+    """``change`` applied to what is inside each element; what follows it stays.
 
+    Text is split at the element's start tags and each part at its first end tag.
+    """
+    parts = F.split(text, rf"(?i)<{name}(?=[\s>])")
 
-def _images(text: Column) -> Column:
-    return F.when(text.rlike(r"(?i)<img\b"), _rewrite(text, _IMAGES)).otherwise(text)
+    def part(value: Column, i: Column) -> Column:
+        ends = F.split(value, rf"(?i)</{name}\s*+>", 2)
+        inside = F.regexp_replace(F.element_at(ends, 1), r"\A[^<>]*+>", "")
+        rest = F.when(F.size(ends) > 1, F.element_at(ends, 2)).otherwise(F.lit(""))
+        return F.when(i == 0, value).otherwise(F.concat(change(inside), rest))
 
+    found = F.locate(f"<{name}", F.lower(text)) > 0
+    return F.when(found, F.array_join(F.transform(parts, part), "")).otherwise(text)
 
-def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
+
+def _preformatted(inside: Column) -> Column:
+    """Text whose spaces and lines later steps leave alone, between fences."""
+    plain = F.regexp_replace(F.regexp_replace(inside, r"<[a-zA-Z/!?][^<>]*+>", ""), r"\r\n?+", "\n")
+    kept = F.translate(F.btrim(plain, F.lit("\n")), "\n \t", f"{_KEPT_LINE}{_KEPT_SPACE}{_KEPT_TAB}")
+    fence = F.lit(f"\n\n{_FENCE}")
+    return F.concat(fence, F.lit(_KEPT_LINE), kept, F.lit(_KEPT_LINE + _FENCE + "\n\n"))
+
+
+def _list(numbered: bool):
+    """Items behind numbers or bullets; a list that is not numbered inside one that is
+    keeps its bullets, as it is converted first."""
+
+    def change(inside: Column) -> Column:
+        items = F.split(inside, r"(?i)<li(?:\s[^<>]*+)?+>\s*+")
+
+        def item(value: Column, i: Column) -> Column:
+            mark = F.concat(i.cast("string"), F.lit(". ")) if numbered else F.lit(_BULLET)
+            return F.when(i == 0, value).otherwise(F.concat(F.lit("\n"), mark, value))
+
+        return F.concat(F.lit("\n\n"), F.array_join(F.transform(items, item), ""), F.lit("\n\n"))
+
+    return change
+
+
+def _table(inside: Column) -> Column:
+    """Rows of cells; end tags may be missing, breaks and bars in cells are kept."""
+    rows = F.split(inside, r"(?i)<tr(?=[\s>])")
+
+    def cell(value: Column, _: Column | None = None) -> Column:
+        text = F.regexp_replace(value, r"\A[^<>]*+>", "")
+        text = F.regexp_replace(text, r"(?i)</?+(?:p|div|li)(?:\s[^<>]*+)?+>", "\n")
+        text = F.regexp_replace(text, r"<[a-zA-Z/!?][^<>]*+>", "")
+        text = F.regexp_replace(F.btrim(text, F.lit(" \n")), r" *+\n[ \n]*+", _CELL_BREAK)
+        return F.regexp_replace(text, r"\|", r"\\|")
+
+    def row(value: Column) -> Column:
+        cells = F.split(value, r"(?i)<t[hd](?=[\s>])")
+        return F.transform(F.slice(cells, 2, F.size(cells)), cell)
+
+    filled = F.filter(F.transform(F.slice(rows, 2, F.size(rows)), row), lambda r: F.size(r) > 0)
+
+    def line(r: Column, i: Column) -> Column:
+        text = F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |"))
+        rule = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), F.size(r)))
+        return F.when(i == 0, F.concat(text, rule)).otherwise(text)
+
+    return F.concat(F.lit("\n\n"), F.array_join(F.transform(filled, line), "\n"), F.lit("\n\n"))
+
+
+def _entities(text: Column) -> Column:
+    """Named and numeric character references, each decoded once; a no-break space is a space."""
+    names = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+
+    def part(value: Column, i: Column) -> Column:
+        name = F.regexp_extract(value, r"\A(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        digits = F.regexp_extract(name, r"\A#([0-9]+)\z", 1)
+        hexed = F.regexp_extract(name, r"\A#[xX]([0-9a-fA-F]+)\z", 1)
+        code = F.coalesce(F.conv(F.nullif(hexed, F.lit("")), 16, 10), F.nullif(digits, F.lit(""))).cast("long")
+        sound = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(sound, code)), 8, "0")), "UTF-32")
+        char = F.when(code == 160, F.lit(" ")).otherwise(char)
+        known = F.coalesce(char, F.try_element_at(table, name))
+        decoded = F.concat(known, F.substring(value, F.length(name) + 2, F.length(value)))
+        plain = F.concat(F.lit("&"), value)
+        return F.when(i == 0, value).when(name == "", plain).otherwise(F.coalesce(decoded, plain))
+
+    parts = F.transform(F.split(text, "&"), part)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
 
 
 def with_html_markdown(df: DataFrame, html: Column, out: str) -> DataFrame:
     """Add the Markdown of each row's HTML; null HTML gives null.
 
-    Each pattern is one pass over the text, so there are few, and what most
-    pages lack (images, tables) is looked for first. One projection per step
-    that reads its input more than once: Spark then computes that input only
-    once.
+    Each pattern is one pass over the text, and what most pages lack is looked for
+    first. One projection per step that reads its input more than once: Spark then
+    computes that input only once.
     """
-    opened = F.regexp_replace(_rewrite(html, [(p, "") for p in _DROPPED]), r"\s+", " ")
-    closed = _replaced(_rewrite(F.col("_ruled"), _STRUCTURE), _HEADINGS + _ENTITIES)
-    return (
-        df.withColumn("_opened", opened)
-        .withColumn("_html", _rewrite(_images(F.col("_opened")), _INLINE))
-        .withColumn("_ruled", _tables(F.col("_html")))
-        .withColumn(out, F.btrim(_rewrite(closed, _SPACING), F.lit(" \n")))
-        .drop("_opened", "_html", "_ruled")
+    images = F.when(F.col("_4").rlike(r"(?i)<img\b"), _rewrite(F.col("_4"), _IMAGES)).otherwise(F.col("_4"))
+    steps = [
+        _rewrite(html, [(p, "") for p in _DROPPED]),
+        _elements(F.col("_0"), "pre", _preformatted),
+        F.regexp_replace("_1", r"\s+", " "),
+        _rewrite(F.col("_2"), _INLINE),
+        _rewrite(F.col("_3"), _LINKS),
+        images,
+        _elements(F.col("_5"), "table", _table),
+        _elements(F.col("_6"), "ul", _list(False)),
+        _elements(F.col("_7"), "ol", _list(True)),
+        _rewrite(F.col("_8"), _STRUCTURE),
+        _entities(_rewrite(F.col("_9"), _SPACING)),
+    ]
+    for n, step in enumerate(steps):
+        df = df.withColumn(f"_{n}", step)
+    last = F.btrim(F.col(f"_{len(steps) - 1}"), F.lit(" \n"))
+    return df.withColumn(out, _replaced(_rewrite(last, _ESCAPED), _MARKS)).drop(
+        *[f"_{n}" for n in range(len(steps))]
     )

@@ -54,14 +54,18 @@ def variant_fingerprint(opts: Column) -> Column:
 
 
 def variant_key(sha256: Column, filename: Column, opts: Column) -> Column:
-    """Rows with equal keys share one conversion. The request id is not in it."""
-    return F.concat_ws(
-        ":",
+    """Rows with equal keys share one conversion. The request id is not in it.
+
+    Content that was not read has no hash and so no key: it shares with nothing.
+    """
+    parts = (
         sha256,
-        filename,
+        F.coalesce(filename, F.lit("")),
         flag(opts["include_assets"]).cast("string"),
         variant_fingerprint(opts),
     )
+    joined = [x for part in parts for x in (F.lit(":"), part)][1:]
+    return F.concat(*joined)
 
 
 def bypasses_cache(opts: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docmill import schemas
 from docmill.functions.text import flag, non_blank
+from docmill.operators import contract
 
 PATH_SEPARATOR = " > "
 
@@ -108,21 +109,32 @@ def header_footer_texts(results: DataFrame) -> DataFrame:
 
 
 def rendered_pages(log: DataFrame) -> DataFrame:
-    """One row per page of successful render responses."""
-    parsed = F.from_json(F.col("body"), schemas.RENDER)
+    """One row per page of successful render responses.
+
+    A body that does not parse, or a page of wrong types, gives one row with
+    ``error_code`` ``bad_response`` and no page.
+    """
+    parsed = contract.parsed_body(F.col("body"), schemas.RENDER)
     row = F.col("_page")
+    pages = F.col("_parsed.pages")
+    bad = contract.unparsable(F.col("_parsed")) | F.coalesce(F.exists(pages, lambda p: p.isNull()), F.lit(False))
     return (
         log.filter((F.col("endpoint") == "render") & (F.col("raw_status") == 200))
         .select("request_id", parsed.alias("_parsed"))
+        .withColumn("_bad", bad)
+        .withColumn("_parsed", F.when(~F.col("_bad"), F.col("_parsed")))
+        .withColumn("_pages", F.when(F.col("_bad"), F.array(F.lit(None))).otherwise(pages))
         .select(
             "request_id",
+            F.when(F.col("_bad"), "bad_response").alias("error_code"),
             F.col("_parsed.total_pages").alias("total_pages"),
             F.col("_parsed.rendered").alias("rendered"),
             F.col("_parsed.scale").alias("scale"),
-            F.explode("_parsed.pages").alias("_page"),
+            F.explode("_pages").alias("_page"),
         )
         .select(
             "request_id",
+            "error_code",
             "total_pages",
             "rendered",
             "scale",

@@ -18,24 +18,19 @@ from docmill.functions.text import flag, is_blank, non_blank, trimmed
 _JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
 
 _FALLBACK_REASONS = {
-    "unauthorized": "token missing or wrong",
-    "too_large": "document over the size limit",
-    "unsupported": "format not supported",
-    "encrypted": "document rejected",
-    "corrupted": "document rejected",
-    "unavailable": "service overloaded or rate limited",
-    "timeout": "conversion timed out",
-    "service": "service failure",
-    "generic": "unexpected response",
-    "circuit_open": "breaker open",
+    name: f"no reason given ({name.replace('_', ' ')})"
+    for name in (
+        "unauthorized", "too_large", "unsupported", "encrypted", "corrupted",
+        "unavailable", "timeout", "service", "generic", "circuit_open",
+    )
 }
 
 
-def _parsed(body: Column, schema) -> Column:
+def parsed_body(body: Column, schema) -> Column:
     return F.from_json(body, schemas.with_corrupt(schema), _JSON)
 
 
-def _unparsable(parsed: Column) -> Column:
+def unparsable(parsed: Column) -> Column:
     return parsed.isNull() | parsed[schemas.CORRUPT].isNotNull()
 
 
@@ -63,10 +58,10 @@ def parse_results(log: DataFrame) -> DataFrame:
     """
     parsed = (
         log.filter((F.col("endpoint") == "convert") & (F.col("raw_status") == 200))
-        .withColumn("_parsed", _parsed(F.col("body"), schemas.RESULT))
+        .withColumn("_parsed", parsed_body(F.col("body"), schemas.RESULT))
         .drop("body")
     )
-    bad = _unparsable(F.col("_parsed"))
+    bad = unparsable(F.col("_parsed"))
     return (
         parsed.withColumn("error_code", F.when(bad, "bad_response"))
         .withColumns(
@@ -83,7 +78,8 @@ def parse_jobs(log: DataFrame) -> DataFrame:
     """Accepted submissions and status answers as job events.
 
     A submission that the store could answer is already ``succeeded``. Times the
-    service sends as text become timestamps; ``ts`` is when the answer was seen.
+    service sends as text become timestamps; ``ts`` is when the answer was seen. A body
+    that does not parse gives a row with ``error_code`` ``bad_response``.
     """
     endpoint, status, body = F.col("endpoint"), F.col("raw_status"), F.col("body")
     submitted, asked = (endpoint == "submit") & (status == 202), (endpoint == "job_status") & (status == 200)
@@ -91,12 +87,18 @@ def parse_jobs(log: DataFrame) -> DataFrame:
         log.filter(submitted | asked)
         .withColumns(
             {
-                "_ticket": _parsed(F.when(submitted, body), schemas.JOB_SUBMIT),
-                "_state": _parsed(F.when(asked, body), schemas.JOB_STATUS),
+                "_ticket": parsed_body(F.when(submitted, body), schemas.JOB_SUBMIT),
+                "_state": parsed_body(F.when(asked, body), schemas.JOB_STATUS),
             }
         )
         .drop("body")
-        .filter(~F.when(submitted, _unparsable(F.col("_ticket"))).otherwise(_unparsable(F.col("_state"))))
+        .withColumn(
+            "_bad",
+            F.when(submitted, unparsable(F.col("_ticket"))).otherwise(unparsable(F.col("_state"))),
+        )
+        .withColumns(
+            {name: F.when(~F.col("_bad"), F.col(name)) for name in ("_ticket", "_state")}
+        )
     )
     error = F.col("_state.error")
     return parsed.select(
@@ -106,7 +108,7 @@ def parse_jobs(log: DataFrame) -> DataFrame:
         F.coalesce("_ticket.status", "_state.status").alias("status"),
         F.col("_state.format").alias("format"),
         F.coalesce("_ticket.cache_hit", "_state.result.cache_hit", F.lit(False)).alias("cache_hit"),
-        error["code"].alias("error_code"),
+        F.when(F.col("_bad"), "bad_response").otherwise(error["code"]).alias("error_code"),
         error["reason"].alias("error_reason"),
         flag(error["retryable"]).alias("retryable"),
         *[
@@ -182,7 +184,7 @@ def _bad_success_body() -> Column:
 
     def bad(name: str, ok: int, schema) -> Column:
         mine = (endpoint == name) & (status == ok)
-        return mine & _unparsable(_parsed(F.when(mine, body), schema))
+        return mine & unparsable(parsed_body(F.when(mine, body), schema))
 
     return F.coalesce(
         bad("convert", 200, schemas.RESULT)
@@ -294,17 +296,24 @@ def resolve_attempts(
     """One outcome per request: its first success or final failure, else the last try.
 
     ``attempts`` has request_id, attempt_no (from 1), class and retryable. Tries
-    logged after that point are counted in ``attempts_after_stop``.
+    logged after that point are counted in ``attempts_after_stop``; a log may have gaps.
     """
     allowed = F.col("attempt_no") <= max_attempts
     stops = allowed & ~flag(F.col("retryable"))
     row = F.struct("attempt_no", "class", flag(F.col("retryable")).alias("retryable"))
+    numbered = attempts.groupBy("request_id", "attempt_no").agg(
+        F.min(F.when(stops, row)).alias("_stop"),
+        F.max(F.when(allowed, row)).alias("_last"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    # one entry per number of a try, not per logged row
     return (
-        attempts.groupBy("request_id")
+        numbered.groupBy("request_id")
         .agg(
-            F.min(F.when(stops, row)).alias("_stop"),
-            F.max(F.when(allowed, row)).alias("_last"),
-            F.count(F.lit(1)).alias("attempts_logged"),
+            F.min("_stop").alias("_stop"),
+            F.max("_last").alias("_last"),
+            F.sum("_n").alias("attempts_logged"),
+            F.collect_list(F.struct("attempt_no", "_n")).alias("_tries"),
         )
         .withColumn("_end", F.coalesce("_stop", "_last"))
         .select(
@@ -312,7 +321,12 @@ def resolve_attempts(
             F.col("_end.class").alias("class"),
             F.col("_end.attempt_no").alias("attempts_used"),
             "attempts_logged",
-            (F.col("attempts_logged") - F.col("_end.attempt_no")).alias("attempts_after_stop"),
+            F.aggregate(
+                "_tries",
+                F.lit(0).cast("long"),
+                lambda total, t: total
+                + F.when(t["attempt_no"] > F.col("_end.attempt_no"), t["_n"]).otherwise(0),
+            ).alias("attempts_after_stop"),
             (F.col("_end.retryable") & (F.col("_end.attempt_no") >= max_attempts)).alias(
                 "exhausted"
             ),

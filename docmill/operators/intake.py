@@ -39,10 +39,16 @@ def with_size(df: DataFrame) -> DataFrame:
     return df.withColumn("size_bytes", F.octet_length(F.col("content")).cast("long"))
 
 
-def _gate_class(size: Column, max_bytes: int) -> Column:
+def _too_large(max_bytes: int) -> Column:
+    """Over the limit; so is content that a source with a limit of its own left unread."""
+    size = F.coalesce("size_bytes", F.lit(0))
+    return (size > max_bytes) | ((size > 0) & F.col("content").isNull())
+
+
+def _gate_class(max_bytes: int) -> Column:
     return (
-        F.when(F.coalesce(size, F.lit(0)) == 0, "invalid_input")
-        .when(size > max_bytes, "too_large")
+        F.when(F.coalesce("size_bytes", F.lit(0)) == 0, "invalid_input")
+        .when(_too_large(max_bytes), "too_large")
         .otherwise(F.lit(None).cast("string"))
     )
 
@@ -58,8 +64,8 @@ def size_gate(df: DataFrame, max_bytes: int = rules.MAX_BYTES) -> DataFrame:
     """Mark rows over the limit ``too_large`` (413, not retried)."""
     return with_size(df).withColumns(
         {
-            "class": F.when(F.col("size_bytes") > max_bytes, "too_large").otherwise("accepted"),
-            "http_status": F.when(F.col("size_bytes") > max_bytes, F.lit(413).cast("long")),
+            "class": F.when(_too_large(max_bytes), "too_large").otherwise("accepted"),
+            "http_status": F.when(_too_large(max_bytes), F.lit(413).cast("long")),
             "retryable": F.lit(False),
         }
     )
@@ -67,7 +73,7 @@ def size_gate(df: DataFrame, max_bytes: int = rules.MAX_BYTES) -> DataFrame:
 
 def gate(df: DataFrame, max_bytes: int = rules.MAX_BYTES) -> DataFrame:
     """Both gates at once: ``class`` is null for rows that go on."""
-    return with_size(df).withColumn("class", _gate_class(F.col("size_bytes"), max_bytes))
+    return with_size(df).withColumn("class", _gate_class(max_bytes))
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -94,18 +100,25 @@ def _starts_with(content: Column, magic: bytes) -> Column:
     return F.substring(content, 1, len(magic)) == F.lit(magic)
 
 
+# White space, comments and an XML declaration may stand before the first tag. All
+# quantifiers are possessive or lazy over single characters, so that it is linear.
+_HTML_START = (
+    r"(?is)\A[\s\x{FEFF}]*+(?:(?:<!--.*?-->|<\?xml\b[^>]*+>)\s*+)*+"
+    r"<(?:!doctype\s++html|html|head|body)(?=[\s/>])"
+)
+
+
 def format_by_content(content: Column) -> Column:
     """Format told by the bytes alone; null when they do not tell."""
     data = as_bytes(content)
     zipped = F.lit(None).cast("string")
     for kind, mark in reversed(rules.ZIP_MARKS.items()):
         zipped = F.when(F.contains(data, F.lit(mark)), kind).otherwise(zipped)
-    head = as_text(F.substring(data, 1, 512))
     return (
         F.when(_starts_with(data, rules.PDF_MAGIC), "pdf")
         .when(_starts_with(data, rules.RTF_MAGIC), "rtf")
         .when(_starts_with(data, rules.ZIP_MAGIC), zipped)
-        .when(head.rlike(r"(?i)^[\s\x{FEFF}]*<(?:!doctype html|html)[\s>]"), "html")
+        .when(as_text(data).rlike(_HTML_START), "html")
     )
 
 

@@ -1,21 +1,20 @@
-"""Counts, latencies, failure rates, breaker replay and log reconciliation."""
+"""Counts, latencies, failure rates and log reconciliation."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docmill import rules
-from docmill.functions import breaker
 from docmill.functions.text import flag
-from docmill.operators.ordering import BLOCK, POSITION, in_blocks, with_positions
+from docmill.operators.ordering import POSITION, with_positions
 
 CHUNK_ROWS = 1 << 18
 
+# Outcomes of calls as the log names them.
+FAILURE, REJECTION = "service_failure", "business_rejection"
+
 
 def outcome_metrics(outcomes: DataFrame) -> DataFrame:
     """Outcomes by format and class, with totals per format and over all.
@@ -41,27 +40,39 @@ def outcome_metrics(outcomes: DataFrame) -> DataFrame:
     )
 
 
+#: Counters without a label; they are reported also when nothing was counted.
+_PLAIN_COUNTERS = ("cache_hits_total", "singleflight_shares_total")
+
+
 def service_counters(
     outcomes: DataFrame, rendered_pages: DataFrame, job_states: DataFrame
 ) -> DataFrame:
     """Running totals by name and label: conversions, reuse, rendered pages, jobs.
 
-    ``rendered_pages`` has a row per page, ``job_states`` a row per job.
+    ``rendered_pages`` has a row per page, ``job_states`` a row per job. Each input
+    is read once: a row names all counters that it adds to.
     """
 
-    def counted(rows: DataFrame, name: str, label: Column) -> DataFrame:
-        return rows.groupBy(F.lit(name).alias("counter"), label.alias("label")).agg(
-            F.count(F.lit(1)).alias("total")
-        )
+    def counter(name: str, label: Column) -> Column:
+        return F.struct(F.lit(name).alias("counter"), label.alias("label"))
 
     none = F.lit("")
-    return (
-        counted(outcomes, "convert_total", F.col("class"))
-        .unionByName(counted(outcomes.filter("cache_hit"), "cache_hits_total", none))
-        .unionByName(counted(outcomes.filter("shared"), "singleflight_shares_total", none))
-        .unionByName(counted(rendered_pages, "render_pages_total", F.col("media_type")))
-        .unionByName(counted(job_states, "jobs_total", F.col("status")))
+    adds = [
+        counter("convert_total", F.col("class")),
+        F.when(flag(F.col("cache_hit")), counter("cache_hits_total", none)),
+        F.when(flag(F.col("shared")), counter("singleflight_shares_total", none)),
+    ]
+    converted = outcomes.select(F.explode(F.array_compact(F.array(*adds))).alias("_c"))
+    rendered = rendered_pages.filter(F.col("media_type").isNotNull())
+    rows = (
+        converted.unionByName(rendered.select(counter("render_pages_total", F.col("media_type")).alias("_c")))
+        .unionByName(job_states.select(counter("jobs_total", F.col("status")).alias("_c")))
+        .select("_c.counter", "_c.label", F.lit(1).cast("long").alias("_n"))
     )
+    zeros = outcomes.sparkSession.createDataFrame(
+        [(name, "", 0) for name in _PLAIN_COUNTERS], "counter string, label string, _n long"
+    )
+    return rows.unionByName(zeros).groupBy("counter", "label").agg(F.sum("_n").alias("total"))
 
 
 def _rank_name(rank: float) -> str:
@@ -145,8 +156,9 @@ def failure_rate(
     repeated in the next, so every frame is complete within its chunk and no
     client, however busy, fills one task.
     """
-    counted = calls.filter(F.col("outcome") != breaker.REJECTION)
-    placed = with_positions(counted, ["client_id", "ts", "call_id"], blocks)
+    counted = calls.filter(F.col("outcome") != REJECTION)
+    order = ["client_id", "ts", "call_id"]
+    placed = with_positions(counted.select(*order, "outcome"), order, blocks)
     size = max(chunk_rows, window)
     at, chunk = F.col(POSITION), F.floor(F.col(POSITION) / size)
     overlaps = F.pmod(at, F.lit(size)) >= size - (window - 1)
@@ -154,7 +166,7 @@ def failure_rate(
         "_chunk", F.explode(F.when(overlaps, F.array(chunk, chunk + 1)).otherwise(F.array(chunk)))
     )
     frame = W.partitionBy("_chunk", "client_id").orderBy(POSITION).rowsBetween(1 - window, 0)
-    failed = (F.col("outcome") == breaker.FAILURE).cast("long")
+    failed = (F.col("outcome") == FAILURE).cast("long")
     return (
         spread.withColumns(
             {
@@ -173,114 +185,6 @@ def failure_rate(
     )
 
 
-_REPLAY_INPUT = ["client_id", "call_id", "outcome", "at_ms"]
-
-
-def _calls_of(batch: pd.DataFrame) -> Iterator[tuple]:
-    return zip(*(batch[name].tolist() for name in (BLOCK, "client_id", "outcome", "at_ms")))
-
-
-def breaker_replay(
-    calls: DataFrame,
-    settings: breaker.Settings = breaker.Settings(),
-    blocks: int | None = None,
-) -> DataFrame:
-    """Which logged calls the breaker would have refused, and its state after each.
-
-    The calls of all clients lie in one order, cut into even blocks. A task
-    replays a block from the state its first client had at the end of the block
-    before. That state is not known at first, so blocks begin with a closed
-    breaker; where the block before turns out to end differently, the block is
-    replayed from there until nothing changes. Only a client that spans several
-    blocks can cause a second round, and the driver sees one row per block.
-    """
-    ordered = in_blocks(
-        calls.withColumn("at_ms", F.unix_millis(F.col("ts").cast("timestamp"))),
-        ["client_id", "ts", "call_id"],
-        blocks,
-    )
-    narrow = ordered.select(BLOCK, *_REPLAY_INPUT)
-    entries = _entry_states(narrow, settings)
-
-    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client, machine = None, None
-        for batch in batches:
-            admitted, states = [], []
-            for block, who, outcome, at in _calls_of(batch):
-                if machine is None or who != client:
-                    saved = entries.get(block) if machine is None else None
-                    client, machine = who, breaker.Breaker.restore(settings, saved)
-                admitted.append(machine.call(at, outcome))
-                states.append(machine.mode)
-            yield batch[_REPLAY_INPUT].assign(admitted=admitted, state_after=states)
-
-    id_type = dict(calls.dtypes)
-    schema = (
-        f"client_id {id_type['client_id']}, call_id {id_type['call_id']}, outcome string, "
-        "at_ms long, admitted boolean, state_after string"
-    )
-    return narrow.mapInPandas(replay, schema)
-
-
-def _entry_states(narrow: DataFrame, settings: breaker.Settings) -> dict[int, tuple]:
-    """State in which each block's first client enters it; absent means fresh."""
-    entries: dict[int, tuple] = {}
-    ends: dict[int, tuple] = {}
-    todo: list[int] | None = None
-    while todo is None or todo:
-        part = narrow if todo is None else narrow.filter(F.col(BLOCK).isin(todo))
-        for row in _block_ends(part, settings, dict(entries)).collect():
-            state = (row["mode"], row["until_ms"], tuple(row["recent"]))
-            ends[row["block"]] = (row["first_client"], row["last_client"], state)
-        todo = []
-        order = sorted(ends)
-        for before, block in zip(order, order[1:]):
-            _, last_client, state = ends[before]
-            first_client, final_client, _ = ends[block]
-            if last_client != first_client or entries.get(block) == state:
-                continue
-            entries[block] = state
-            if first_client == final_client:
-                todo.append(block)
-    return entries
-
-
-def _block_ends(
-    narrow: DataFrame, settings: breaker.Settings, entries: dict[int, tuple]
-) -> DataFrame:
-    """One row per block: its first and last client, and the last one's end state."""
-
-    def end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first, client, machine, block = None, None, None, None
-        for batch in batches:
-            for number, who, outcome, at in _calls_of(batch):
-                if machine is None:
-                    first, block = who, number
-                    client, machine = who, breaker.Breaker.restore(settings, entries.get(block))
-                elif who != client:
-                    client, machine = who, breaker.Breaker(settings)
-                machine.call(at, outcome)
-        if machine is not None:
-            mode, until_ms, recent = machine.saved()
-            yield pd.DataFrame(
-                {
-                    "block": [block],
-                    "first_client": [first],
-                    "last_client": [client],
-                    "mode": [mode],
-                    "until_ms": [until_ms],
-                    "recent": [list(recent)],
-                }
-            )
-
-    client_type = dict(narrow.dtypes)["client_id"]
-    return narrow.mapInPandas(
-        end,
-        f"block int, first_client {client_type}, last_client {client_type}, mode string, "
-        "until_ms long, recent array<boolean>",
-    )
-
-
 def reconcile(client_log: DataFrame, service_log: DataFrame) -> DataFrame:
     """Request ids of both sides, one row each.
 

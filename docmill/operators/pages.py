@@ -14,10 +14,6 @@ from docmill.functions import pagespec
 from docmill.functions.salts import SALTS, salt, salt_list, used_salts
 from docmill.functions.text import non_blank
 
-# Documents with at least this many pages are looked up in a broadcast table,
-# which has at most one row per million pages of the corpus.
-LARGE_DOCUMENT = 1_000_000
-
 
 def normalised(text: Column) -> Column:
     """Text in which lines that differ only in numbers or spacing look the same."""
@@ -74,20 +70,6 @@ def _lines(pages: DataFrame, group: str, page: str, text: str, salts: int) -> Da
     )
 
 
-def _with_page_totals(lines: DataFrame, totals: DataFrame, group: str, large: int) -> DataFrame:
-    """Add ``_pages`` of each line's document without gathering a large one's lines."""
-    known = totals.filter(F.col("_pages") >= large).withColumnRenamed("_pages", "_known")
-    rest = totals.filter(F.col("_pages") < large).withColumn("_spread", F.lit(0).cast("long"))
-    spread = F.when(F.col("_known").isNull(), 0).otherwise(F.xxhash64("normalised"))
-    return (
-        lines.join(F.broadcast(known), group, "left")
-        .withColumn("_spread", spread)
-        .join(rest, [group, "_spread"], "left")
-        .withColumn("_pages", F.coalesce("_known", "_pages"))
-        .drop("_known", "_spread")
-    )
-
-
 def detect_repeated_lines(
     pages: DataFrame,
     min_pages: int = 2,
@@ -96,7 +78,6 @@ def detect_repeated_lines(
     page: str = "doc_id",
     text: str = "text",
     salts: int = SALTS,
-    large: int = LARGE_DOCUMENT,
 ) -> DataFrame:
     """Lines found on at least ``min_pages`` pages of a document.
 
@@ -145,7 +126,7 @@ def detect_repeated_lines(
     total = pages.groupBy(group).agg(F.countDistinct(page).alias("_pages"))
     upper = F.col("_upper") * 2 >= F.col("occurrences")
     return (
-        _with_page_totals(seen, total, group, large)
+        seen.join(total, group)
         .withColumn("page_frequency", F.col("pages_seen") / F.col("_pages"))
         .filter(F.col("page_frequency") >= min_frequency)
         .select(
@@ -193,7 +174,7 @@ def strip_repeated_lines(
     )
     hit = F.col("_found").isNotNull()
     return (
-        pages.join(hits.hint("shuffle_hash"), page, "left")
+        pages.join(hits, page, "left")
         .withColumns(
             {
                 "_raw": F.when(hit, F.split(text, "\n")),
@@ -234,19 +215,17 @@ def cap_pages(
     max_pages: int | None = None,
     doc: str = "doc",
     page_no: str = "page_no",
-    fmt: str | None = None,
+    fmt: str = "format",
 ) -> DataFrame:
     """First ``max_pages`` pages per document: none given means the default, 0 no limit.
 
-    With ``fmt`` only rows of paged formats are cut. The rank filter is applied
+    Only documents of paged formats are cut, by the column ``fmt``. The rank filter is applied
     in each task before the shuffle, so a huge document sends only its first
     pages.
     """
     limit = rules.DEFAULT_MAX_PAGES if max_pages is None else max_pages
     if limit == 0:
         return pages
-    if fmt is None:
-        return _first_pages(pages, limit, doc, page_no)
     paged = F.col(fmt).isin(*rules.PAGED_FORMATS)
     whole = pages.filter(~F.coalesce(paged, F.lit(False)))
     return _first_pages(pages.filter(paged), limit, doc, page_no).unionByName(whole)

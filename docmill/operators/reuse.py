@@ -47,10 +47,9 @@ def distinct_keys(
 def with_content(docs: DataFrame, keys: DataFrame, id_col: str) -> DataFrame:
     """The chosen rows with their content.
 
-    Ids are unique and spread evenly, so the narrow side of each partition fits a
-    hash table; content is streamed past it, neither sorted nor broadcast.
+    Ids are unique and spread evenly; how to join is left to Spark, which knows sizes.
     """
-    return docs.join(keys.hint("shuffle_hash"), id_col)
+    return docs.join(keys, id_col)
 
 
 def hand_back(
@@ -148,4 +147,4 @@ def cache_misses(
     narrow = docs.select(id_col, key, "options")
     looked_up = cache_lookup(narrow, store.select(key), key, id_col, salts)
     missing = looked_up.filter(~F.col("cache_hit")).select(id_col)
-    return docs.join(missing.hint("shuffle_hash"), id_col, "left_semi")
+    return docs.join(missing, id_col, "left_semi")

@@ -1,66 +1,85 @@
 """Markdown blocks with their heading chain, and what sits under each heading.
 
-Blocks are numbered per document. Windows run over one document at a time, so a
-window never holds more than the blocks of one row of the input.
+A document is one row, so its blocks are worked out where the row is: nothing is
+shuffled or sorted, and each document is passed over once.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.functions.text import non_blank
+from docmill.functions.text import WHITESPACE
 from docmill.operators.assets import PATH_SEPARATOR
 
-_HEADING = r"^(#{1,6})[ \t]+([^\n]*)"
-_IMAGE = r"!\[[^\]]*\]\([^)\s]*[^)]*\)"
-_IMAGE_TARGET = r"!\[[^\]]*\]\(([^)\s]*)"
-
-
-def _numbered(docs: DataFrame, doc_id: str, markdown: str) -> DataFrame:
-    return docs.select(
-        doc_id, F.posexplode(F.split(markdown, r"\n{2,}")).alias("_pos", "block")
-    ).select(doc_id, F.col("_pos").cast("long").alias("block_index"), "block")
-
+_BREAK = re.compile(r"\n{2,}")
+_HEADING = re.compile(r"(#{1,6})[ \t]+([^\n]*)")
+_IMAGE = re.compile(r"!\[[^\]]*\]\([^)\s]*[^)]*\)")
+_IMAGE_TARGET = re.compile(r"!\[[^\]]*\]\(([^)\s]*)")
+_NON_BLANK = re.compile("[^" + re.sub(r"\\x\{([0-9A-F]+)\}", r"\\u\1", WHITESPACE) + "]")
+
+
+def blocks_of(markdown: str) -> Iterator[tuple[int, str, int, str]]:
+    """(index, block, heading level or 0, heading path) of a document's blocks."""
+    chain: list[str | None] = [None] * 6
+    for index, block in enumerate(_BREAK.split(markdown)):
+        heading = _HEADING.match(block)
+        level = len(heading[1]) if heading else 0
+        if heading:
+            chain[level - 1 :] = [heading[2].strip(" "), *[None] * (6 - level)]
+        yield index, block, level, PATH_SEPARATOR.join(t for t in chain if t is not None)
+
+
+def images_of(markdown: str) -> Iterator[tuple[int, int, str, str, str, str]]:
+    """(block, number in it, target, heading path, text before, text after) of images."""
+    blocks = list(blocks_of(markdown))
+    texts = [_IMAGE.sub("", block).strip(" ") for _, block, _, _ in blocks]
+    after, following = [""] * len(blocks), ""
+    for i in range(len(blocks) - 1, -1, -1):
+        after[i] = following
+        following = texts[i] if _NON_BLANK.search(texts[i]) else following
+    before = ""
+    for (index, block, _, path), text, behind in zip(blocks, texts, after, strict=True):
+        parts = [part.strip(" ") for part in _IMAGE.split(block)]
+        said = [part if _NON_BLANK.search(part) else None for part in parts]
+        for number, target in enumerate(_IMAGE_TARGET.findall(block)):
+            left = next((p for p in reversed(said[: number + 1]) if p is not None), before)
+            right = next((p for p in said[number + 1 :] if p is not None), behind)
+            yield index, number, target, path, left, right
+        before = text if _NON_BLANK.search(text) else before
+
+
+def _per_document(
+    docs: DataFrame, doc_id: str, markdown: str, rows_of: Callable, columns: str
+) -> DataFrame:
+    """The rows of each document behind its id; null Markdown has none."""
+    names = [column.split()[0] for column in columns.split(", ")]
 
-def _with_headings(blocks: DataFrame, doc_id: str) -> DataFrame:
-    """Add ``heading_level`` (0 for text) and ``heading_path``.
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids, rows = [], []
+            for key, text in zip(batch[doc_id], batch[markdown], strict=True):
+                if text is not None:
+                    found = list(rows_of(text))
+                    rows += found
+                    ids += [key] * len(found)
+            out = pd.DataFrame(rows, columns=names)
+            out.insert(0, doc_id, pd.Series(ids, dtype=batch[doc_id].dtype))
+            yield out
 
-    A level is part of the chain if its last heading came after the last heading
-    of every higher-ranking level.
-    """
-    level = F.length(F.regexp_extract("block", _HEADING, 1))
-    title = F.trim(F.regexp_extract("block", _HEADING, 2))
-    before = W.partitionBy(doc_id).orderBy("block_index").rowsBetween(W.unboundedPreceding, 0)
-    marked = blocks.withColumns({"heading_level": level, "_title": title})
-    seen = {}
-    for n in range(1, 7):
-        here = F.when(
-            F.col("heading_level") == n, F.struct(F.col("block_index").alias("at"), "_title")
-        )
-        seen[f"_h{n}"] = F.last(here, ignorenulls=True).over(before)
-    chained = marked.withColumns(seen)
-
-    def current(n: int) -> Column:
-        at = F.col(f"_h{n}")["at"]
-        newer = [
-            F.coalesce(at > F.col(f"_h{m}")["at"], F.lit(True)) for m in range(1, n)
-        ]
-        return F.when(
-            reduce(lambda a, b: a & b, newer, at.isNotNull()), F.col(f"_h{n}")["_title"]
-        )
-
-    path = F.concat_ws(PATH_SEPARATOR, *[current(n) for n in range(1, 7)])
-    return chained.withColumn("heading_path", path).drop("_title", *seen)
+    kind = docs.schema[doc_id].dataType.simpleString()
+    return docs.select(doc_id, markdown).mapInPandas(emit, f"`{doc_id}` {kind}, {columns}")
 
 
 def markdown_blocks(
     docs: DataFrame, doc_id: str = "doc_id", markdown: str = "markdown"
 ) -> DataFrame:
-    return _with_headings(_numbered(docs, doc_id, markdown), doc_id)
+    columns = "block_index long, block string, heading_level int, heading_path string"
+    return _per_document(docs, doc_id, markdown, blocks_of, columns)
 
 
 def section_summary(blocks: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -77,47 +96,12 @@ def image_placements(
 ) -> DataFrame:
     """Each image's heading path, block and nearest text before and after it.
 
-    Text next to the image in its own block comes first, then that of the
-    nearest block with text. Documents without an image skip the windows.
+    Text next to the image in its own block comes first, then that of the nearest
+    block with text.
     """
-    with_images = docs.filter(F.contains(F.col(markdown), F.lit("![")))
-    blocks = markdown_blocks(with_images, doc_id, markdown)
-    plain = F.trim(F.regexp_replace("block", _IMAGE, ""))
-    text = F.when(non_blank(plain), plain)
-    forward = W.partitionBy(doc_id).orderBy("block_index").rowsBetween(W.unboundedPreceding, -1)
-    backward = (
-        W.partitionBy(doc_id)
-        .orderBy(F.desc("block_index"))
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    around = (
-        blocks.withColumn("_text", text)
-        .withColumns(
-            {
-                "_before": F.last("_text", ignorenulls=True).over(forward),
-                "_after": F.last("_text", ignorenulls=True).over(backward),
-            }
-        )
-        .withColumn("_targets", F.regexp_extract_all("block", F.lit(_IMAGE_TARGET), F.lit(1)))
-        .filter(F.size("_targets") > 0)
-        .withColumn("_parts", F.transform(F.split("block", _IMAGE), lambda p: F.trim(p)))
-    )
-    left = F.filter(F.slice("_parts", F.lit(1), F.col("image_no") + 1), non_blank)
-    right = F.filter(F.slice("_parts", F.col("image_no") + 2, F.size("_parts")), non_blank)
-    return around.select(
-        doc_id,
-        "block_index",
-        "heading_path",
-        "_before",
-        "_after",
-        "_parts",
-        F.posexplode("_targets").alias("image_no", "target"),
-    ).select(
-        doc_id,
-        "block_index",
-        F.col("image_no").cast("long").alias("image_no"),
-        "target",
-        "heading_path",
-        F.coalesce(F.try_element_at(left, F.lit(-1)), "_before", F.lit("")).alias("context_before"),
-        F.coalesce(F.try_element_at(right, F.lit(1)), "_after", F.lit("")).alias("context_after"),
+    columns = (
+        "block_index long, image_no long, target string, heading_path string, "
+        "context_before string, context_after string"
     )
+    with_images = docs.filter(F.contains(F.col(markdown), F.lit("![")))
+    return _per_document(with_images, doc_id, markdown, images_of, columns)

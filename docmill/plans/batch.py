@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmill import rules
+from docmill.functions.options import bypasses_cache
 from docmill.functions.text import is_blank
 from docmill.operators import contract, convert, intake, reuse
+from docmill.session import cut
 
 # Failures that are decided without converting: class, http_status, error_code.
 _REFUSED = {
@@ -58,28 +60,29 @@ def convert_batch(
     (variant_key, markdown). A row that fails touches no other row.
     """
     ready = prepare(docs, id_col, max_bytes)
-    # Content and name decide class and format, and both are in the key. Choosing
-    # keys after the aggregation keeps Spark from repeating the format tests in a
-    # filter on every row; as a number, the format fits its hash aggregation.
-    number = F.lit(None).cast("int")
-    for i, kind in enumerate(convert.CONVERTIBLE, start=1):
-        number = F.when(F.col("format") == kind, i).otherwise(number)
-    numbered = ready.withColumn("_kind", F.when(F.col("class").isNull(), number))
-    keys = (
-        reuse.distinct_keys(numbered, "variant_key", id_col, salts, ("_kind",))
-        .filter(F.col("_kind").isNotNull())
-        .withColumn(
-            "format", F.element_at(F.array(*[F.lit(k) for k in convert.CONVERTIBLE]), F.col("_kind"))
+    # Names, hashes, formats and classes are worked out once, and written without the
+    # content; all joins are between these narrow rows.
+    narrow = cut(
+        ready.drop("content", "content_sha256", "format_source").withColumn(
+            "_bypass", bypasses_cache(F.col("options"))
         )
-        .drop("_kind", "calls")
     )
+    keys = reuse.distinct_keys(
+        narrow.filter(F.col("class").isNull()), "variant_key", id_col, salts, ("format", "_bypass")
+    ).drop("calls")
     if store is None:
         todo, hits = keys, None
     else:
-        stored = store.select("variant_key", F.col("markdown").alias("_stored"))
-        hits = keys.join(stored, "variant_key")
-        todo = keys.join(store.select("variant_key"), "variant_key", "left_anti")
-    work = reuse.with_content(docs.select(id_col, "content"), todo, id_col)
+        # Keys are matched first; the store's texts move for hits only.
+        known = store.select(F.col("variant_key").alias("_known"))
+        match = (F.col("variant_key") == F.col("_known")) & ~F.col("_bypass")
+        todo = keys.join(known, match, "left_anti")
+        hits = keys.join(known, match, "left_semi").join(
+            store.select("variant_key", F.col("markdown").alias("_stored")), "variant_key"
+        )
+    # What is refused is dropped at the scan, before its content would be moved.
+    convertible = ready.filter(F.col("class").isNull()).select(id_col, "content")
+    work = reuse.with_content(convertible, todo, id_col)
     done = convert.to_markdown(work).select(
         "variant_key",
         "_salts",
@@ -97,7 +100,7 @@ def convert_batch(
                 F.lit(True).alias("cache_hit"),
             )
         )
-    calls = ready.drop("content", "content_sha256", "format_source")
+    calls = narrow.drop("_bypass")
     return _outcomes(reuse.hand_back(calls, done, "variant_key", id_col, salts), id_col)
 
 

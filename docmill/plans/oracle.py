@@ -32,8 +32,9 @@ def _html(source: str, key: str, column: str) -> str:
         (r"(?i)<(?:b|strong)(?:\s[^>]*)?>([^<]+)</(?:b|strong)\s*>", r"**\1**"),
         (r"(?i)<(?:i|em)(?:\s[^>]*)?>([^<]+)</(?:i|em)\s*>", r"*\1*"),
         (r'(?i)<a\b[^>]*\bhref="([^"]*)"[^>]*>([^<]*)</a\s*>', r"[\2](\1)"),
-        *[(rf"(?i)<h{n}(?:\s[^>]*)?>\s*", "\n\n" + "#" * n + " ") for n in range(1, 7)],
-        (r"(?i)<li(?:\s[^>]*)?>\s*", "\n- "),
+        *[(rf"(?i)<h{n}(?:\s[^>]*)?>\s*", f"\n\n\u0001{n} ") for n in range(1, 7)],
+        (r"(?i)<li(?:\s[^>]*)?>\s*", "\n\u0010"),
+        (r"(?i)</li\s*>", ""),
         (rf"(?i)</?(?:{blocks})(?:\s[^>]*)?/?>", "\n\n"),
         (r"<[a-zA-Z/!?][^>]*>", ""),
     ]
@@ -46,6 +47,9 @@ def _html(source: str, key: str, column: str) -> str:
         (r"[ \t]*\n[ \t]*", "\n"),
         (r"\n{3,}", "\n\n"),
         (r"^[ \n]+|[ \n]+$", ""),
+        (r"(^|\n)([ \t]*)(#{1,6}[ \t]|[-+][ \t]|>)", r"\1\2\\\3"),
+        *[(f"\u0001{n} ", "#" * n + " ") for n in range(1, 7)],
+        ("\u0010", "- "),
     ]
 
     def quoted(text: str) -> str:
@@ -205,16 +209,7 @@ classed AS (
               WHEN client_event IS NULL AND (class = 'service' OR error_code = 'unexpected')
                 THEN 'HTTP ' || raw_status
               WHEN said IS NOT NULL THEN said
-              ELSE CASE class WHEN 'unauthorized' THEN 'token missing or wrong'
-                              WHEN 'too_large' THEN 'document over the size limit'
-                              WHEN 'unsupported' THEN 'format not supported'
-                              WHEN 'encrypted' THEN 'document rejected'
-                              WHEN 'corrupted' THEN 'document rejected'
-                              WHEN 'unavailable' THEN 'service overloaded or rate limited'
-                              WHEN 'timeout' THEN 'conversion timed out'
-                              WHEN 'service' THEN 'service failure'
-                              WHEN 'generic' THEN 'unexpected response'
-                              WHEN 'circuit_open' THEN 'breaker open' END END AS reason,
+              ELSE 'no reason given (' || replace(class, '_', ' ') || ')' END AS reason,
          class IN ('unavailable', 'service') OR coalesce(client_event = 'client_timeout', false)
            AS retryable,
          CASE WHEN class = 'unavailable' THEN retry_seconds END AS retry_after_s
@@ -333,37 +328,6 @@ calls AS (
                          ELSE 'success' END AS outcome
   FROM events)"""
 
-# Window 5, rate 0.6, open for 12 hours.
-_BREAKER = rf"""
-WITH RECURSIVE {_CALLS},
-numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY ts, call_id) AS rn FROM calls),
-step AS (
-  SELECT DISTINCT client_id, 0::BIGINT AS rn, NULL::BIGINT AS call_id, NULL::VARCHAR AS outcome,
-         NULL::BIGINT AS at_ms, NULL::BOOLEAN AS admitted, 'closed' AS state_after,
-         0::BIGINT AS until_ms, []::BOOLEAN[] AS recent
-  FROM calls
-  UNION ALL
-  SELECT client_id, rn, call_id, outcome, at_ms, before <> 'open',
-         CASE WHEN before = 'open' OR trips THEN 'open'
-              WHEN before = 'half_open' AND outcome = 'success' THEN 'closed'
-              ELSE before END,
-         CASE WHEN trips THEN at_ms + 43200000 ELSE until_ms END,
-         CASE WHEN before = 'half_open' AND outcome = 'success' THEN []::BOOLEAN[] ELSE now END
-  FROM (
-    SELECT *, outcome = 'service_failure' AND (before = 'half_open' OR (before = 'closed'
-              AND len(now) = 5 AND len(list_filter(now, lambda f: f)) / 5 >= 0.6)) AS trips
-    FROM (
-      SELECT *, CASE WHEN before = 'closed' AND outcome <> 'business_rejection'
-                     THEN list_append(recent, outcome = 'service_failure')[-5:]
-                     ELSE recent END AS now
-      FROM (
-        SELECT c.client_id, c.rn, c.call_id, c.outcome, c.at_ms, s.until_ms, s.recent,
-               CASE WHEN s.state_after = 'open' AND c.at_ms >= s.until_ms THEN 'half_open'
-                    ELSE s.state_after END AS before
-        FROM step s JOIN numbered c ON c.client_id = s.client_id AND c.rn = s.rn + 1))))
-SELECT client_id, call_id, outcome, at_ms, admitted, state_after FROM step WHERE rn > 0"""
-
 _WINDOWS = """
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS window_start, event_type AS class,
        count(*) AS outcomes
@@ -374,6 +338,11 @@ ORACLE_SQL: dict[str, str] = {
     "read_documents": """
 SELECT doc_id AS input_ordinal, lang || '.txt' AS filename, strlen(text)::BIGINT AS size_bytes
 FROM documents""",
+    "read_document_files": """
+SELECT page_id, strlen(html)::BIGINT + 1 AS size_bytes,
+       CASE WHEN strlen(html) + 1 > 4000 THEN 'too_large' END AS class,
+       CASE WHEN strlen(html) + 1 <= 4000 THEN sha256(html || chr(10)) END AS content_sha256
+FROM pages""",
     "read_response_log": _RESPONSES
     + """
 SELECT request_id, endpoint, attempt_no, raw_status, client_event, retry_after,
@@ -417,10 +386,7 @@ WITH named AS (
   SELECT doc_id, text, lang || ['.txt', '.doc', '.zip', '', '.csv', '.CSV', '.docx', '.md'][doc_id % 8 + 1]
            AS filename
   FROM documents)
-SELECT page_id AS input_ordinal, 'page.docx' AS filename,
-       CASE WHEN regexp_matches(html, '(?i)^\s*<(!doctype html|html)[\s>]') THEN 'html' ELSE 'docx' END AS format,
-       CASE WHEN regexp_matches(html, '(?i)^\s*<(!doctype html|html)[\s>]') THEN 'content'
-            ELSE 'extension' END AS format_source
+SELECT page_id AS input_ordinal, 'page.docx' AS filename, 'html' AS format, 'content' AS format_source
 FROM pages
 UNION ALL
 SELECT doc_id + {_OFFSET}, filename,
@@ -449,6 +415,18 @@ FROM opts LEFT JOIN store USING (variant_key)""",
     "stream_dedup": "SELECT DISTINCT user_id || ':' || event_type AS variant_key FROM events",
     # --- conversion ----------------------------------------------------------
     "html_to_markdown": f"WITH {_html('pages', 'page_id', 'html')} SELECT page_id, markdown FROM md",
+    "html_structures": r"""
+WITH d AS (
+  SELECT doc_id, source, doc_id::VARCHAR AS n, regexp_extract(text, '[A-Za-z]+') AS a,
+         regexp_extract(text, '([A-Za-z]+)[^A-Za-z]*$', 1) AS b
+  FROM documents)
+SELECT doc_id, concat('## ', source, chr(10), chr(10), '1. ', a, chr(10), '2. ', b, chr(10), chr(10),
+       '- ', b, chr(10), '- ', a, chr(10), chr(10), '| no | a\|b |', chr(10), '| --- | --- |', chr(10),
+       '| ', n, ' | ', a, '<br>', b, ' |', chr(10), '|  | ', a, '<br>', b, ' |', chr(10), chr(10),
+       '[see ', a, '](/d/', n, ')![', a, '](i', n, '.png)', chr(10), chr(10), 'é''é&lt;', chr(10), chr(10),
+       '```', chr(10), a, chr(10), '  ', b, chr(10), '```', chr(10), chr(10), '\# ', a, chr(10), chr(10),
+       '\- ', b) AS markdown
+FROM d""",
     "csv_to_markdown": rf"""
 SELECT doc_id, '| doc_id | lang | source | text |' || chr(10) || '| --- | --- | --- | --- |' || chr(10)
        || '| ' || doc_id || ' | ' || lang || ' | ' || source || ' | ' || {_cell("text")} || ' |' AS markdown
@@ -494,7 +472,10 @@ SELECT 'r' || n AS request_id, job_id, epoch_us(ts) AS ts_us, status,
        CASE WHEN status <> 'queued' THEN epoch_us(ts) // 1000000 END AS started_at_s,
        NULL::BIGINT AS finished_at_s,
        CASE WHEN status = 'succeeded' THEN job_id END AS markdown
-FROM jobs WHERE n % 13 <> 0""",
+FROM jobs WHERE n % 13 <> 0
+UNION ALL
+SELECT 'r' || n, NULL, epoch_us(ts), NULL, NULL, false, 'bad_response', NULL, false, NULL, NULL, NULL, NULL
+FROM jobs WHERE n % 13 = 0""",
     "parse_errors": _RESPONSES
     + """
 SELECT request_id, endpoint, raw_status, coalesce(code, 'unknown') AS error_code,
@@ -548,7 +529,8 @@ ended AS (
   FROM tries WHERE attempt_no <= 3),
 logged AS (SELECT request_id, count(*) AS attempts_logged FROM tries GROUP BY request_id)
 SELECT request_id, class, attempt_no AS attempts_used, attempts_logged,
-       attempts_logged - attempt_no AS attempts_after_stop,
+       (SELECT count(*) FROM tries t WHERE t.request_id = ended.request_id AND t.attempt_no > ended.attempt_no)
+         AS attempts_after_stop,
        class = 'unavailable' AND attempt_no >= 3 AS exhausted
 FROM ended JOIN logged USING (request_id) WHERE pick = 1""",
     "retry_plan": """
@@ -667,15 +649,19 @@ SELECT doc_id, lang FROM documents
 WHERE (lang = 'en' AND (doc_id IN (0, 2) OR doc_id BETWEEN 10 AND 500)) OR lang NOT IN ('en', 'fr')""",
     "cap_pages": """
 SELECT doc_id, source FROM documents
-QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20""",
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20
+        OR regexp_matches(source, '[13579]$')""",
     "rendered_pages": _LINES
     + """
-SELECT 'r' || doc_id AS request_id, count(*) OVER (PARTITION BY doc_id) AS total_pages,
+SELECT 'r' || doc_id AS request_id, NULL AS error_code, count(*) OVER (PARTITION BY doc_id) AS total_pages,
        count(*) OVER (PARTITION BY doc_id) AS rendered, 1.5::DOUBLE AS scale, i::BIGINT AS page,
        length(line) AS width, (i * 2)::BIGINT AS height,
        CASE WHEN i % 2 = 0 THEN 'image/png' ELSE 'image/jpeg' END AS media_type, i % 2 = 0 AS is_png,
        sha256(line) AS data_sha256
-FROM lines WHERE doc_id % 9 <> 0""",
+FROM lines WHERE doc_id % 9 <> 0
+UNION ALL
+SELECT 'r' || doc_id, 'bad_response', NULL, NULL, NULL, NULL, NULL, NULL, NULL, false, NULL
+FROM documents WHERE doc_id % 18 = 0""",
     # --- jobs ----------------------------------------------------------------
     "job_latest": _LATEST
     + """
@@ -719,7 +705,8 @@ SELECT job_id, CASE WHEN ended <= created + 43200000 THEN outcome ELSE 'timeout'
        least(coalesce(ended, created + 43200000), created + 43200000) - created AS waited_ms,
        CASE WHEN ended <= created + 43200000 THEN NULL ELSE 504 END::BIGINT AS http_status
 FROM marks
-WHERE ended IS NOT NULL OR created + 43200000 <= (SELECT max((epoch_us(ts) // 1000)) - 600000 FROM events)""",
+WHERE least(coalesce(ended, created + 43200000), created + 43200000)
+      <= (SELECT max((epoch_us(ts) // 1000)) - 600000 FROM events)""",
     # --- observability -------------------------------------------------------
     "outcome_metrics": _batch(False)
     + """
@@ -740,7 +727,9 @@ GROUP BY ROLLUP (coalesce_format, class)""",
     + """
 SELECT 'convert_total' AS counter, class AS label, count(*) AS total FROM outcomes GROUP BY class
 UNION ALL
-SELECT 'singleflight_shares_total', '', count(*) FROM outcomes WHERE shared HAVING count(*) > 0
+SELECT 'singleflight_shares_total', '', count(*) FROM outcomes WHERE shared
+UNION ALL
+SELECT 'cache_hits_total', '', count(*) FROM outcomes WHERE cache_hit
 UNION ALL
 SELECT 'render_pages_total', CASE WHEN i % 2 = 0 THEN 'image/png' ELSE 'image/jpeg' END, count(*)
 FROM lines WHERE doc_id % 9 <> 0 GROUP BY 2
@@ -772,8 +761,6 @@ counted AS (
   WINDOW w AS (PARTITION BY client_id ORDER BY ts, call_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
 SELECT *, failures_in_window / calls_in_window AS failure_rate, calls_in_window = 20 AS window_full
 FROM counted""",
-    "breaker_replay": _BREAKER,
-    "breaker_stream": _BREAKER,
     "reconcile": """
 WITH log AS (SELECT user_id || '-' || floor(value)::BIGINT AS request_id, event_type FROM events),
 seen AS (

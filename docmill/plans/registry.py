@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.functions.breaker import Settings
 from docmill.functions.text import as_bytes
 from docmill.operators import (
     assets,
@@ -25,7 +24,6 @@ from docmill.plans.batch import convert_batch, outcome_summary
 from docmill.session import scratch_path, tune
 from docmill.sources import documents as sources
 from docmill.sources import responses, sinks
-from docmill.streaming import breaker as breaker_stream
 from docmill.streaming import convert as convert_stream
 from docmill.streaming import dedup
 from docmill.streaming import jobs as job_stream
@@ -35,7 +33,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-BREAKER = Settings(window=5, rate=0.6, open_ms=12 * 3_600_000)
 MAX_WAIT_MS = 12 * 3_600_000
 NOW = "2024-01-20 00:00:00"
 RETENTION_MS = 5 * 86_400_000
@@ -73,6 +70,21 @@ def _read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("input_ordinal", "filename", "size_bytes")
 
 
+@query("read_document_files")
+def _read_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as one file each, and read with one limit above which content stays unread."""
+    path = scratch_path(spark, "files")
+    pages = inputs.table(spark, sf_dir, "pages").select("page_id", "html")
+    pages.write.partitionBy("page_id").text(path)
+    docs = intake.gate(sources.read_documents(spark, path, "*.txt", max_bytes=4000))
+    return docs.select(
+        F.regexp_extract("input_ordinal", r"page_id=(\d+)", 1).cast("long").alias("page_id"),
+        "size_bytes",
+        "class",
+        F.sha2("content", 256).alias("content_sha256"),
+    )
+
+
 @query("read_response_log")
 def _read_response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "responses")
@@ -102,8 +114,11 @@ def _stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _write_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routed")
     outcomes = outcome_summary(convert_batch(inputs.mixed_corpus(spark, sf_dir)))
-    sinks.write_routed(outcomes.select("input_ordinal", "class", "route"), path)
-    return sinks.read_routed(spark, path)
+    rows = outcomes.select("input_ordinal", "class", "route")
+    even = F.col("input_ordinal") % 2 == 0
+    sinks.write_routed(rows.filter(even), path, "first")
+    sinks.write_routed(rows.filter(~even), path, "second")
+    return sinks.read_routed(spark, path).select("input_ordinal", "class", "route")
 
 
 @query("store_results")
@@ -226,6 +241,12 @@ def _html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("html_structures")
+def _html_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists, tables, links, references and preformatted text made of each document's words."""
+    return convert.html_to_markdown(inputs.structured_html(spark, sf_dir)).select("doc_id", "markdown")
+
+
 @query("csv_to_markdown")
 def _csv_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert.csv_to_markdown(inputs.csv_documents(spark, sf_dir)).select(
@@ -271,7 +292,7 @@ def _stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "outcomes")
     convert_stream.convert_stream(
-        stream, path, scratch_path(spark, "outcomes-progress")
+        stream, path, scratch_path(spark, "outcomes-progress"), store_path=scratch_path(spark, "store")
     ).awaitTermination()
     return sinks.read_routed(spark, path).select(
         "input_ordinal",
@@ -505,7 +526,9 @@ def _select_pages_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cap_pages")
 def _cap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = inputs.table(spark, sf_dir, "documents")
+    """Sources are documents; those whose name ends in an odd digit are not paged."""
+    odd = F.col("source").rlike("[13579]$")
+    docs = inputs.table(spark, sf_dir, "documents").withColumn("format", F.when(odd, "docx").otherwise("pdf"))
     return pages.cap_pages(docs, 20, "source", "doc_id").select("doc_id", "source")
 
 
@@ -588,18 +611,6 @@ def _failure_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.failure_rate(inputs.calls(_events(spark, sf_dir))).drop("ts")
 
 
-@query("breaker_replay")
-def _breaker_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.breaker_replay(inputs.calls(_events(spark, sf_dir)), BREAKER)
-
-
-@query("breaker_stream")
-def _replay_on_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """breaker_stream over the events."""
-    stream = inputs.calls(_event_stream(spark, sf_dir))
-    return sinks.run_to_table(breaker_stream.breaker_stream(stream, BREAKER), "breaker")
-
-
 @query("reconcile")
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The client saw all but signups, the service all but errors."""

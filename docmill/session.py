@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,9 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "docmill") -
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.sql.files.maxPartitionBytes", "1m")
+        .config("spark.sql.files.openCostInBytes", "128k")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -27,6 +32,19 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return spark
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the workers, where it is not installed there already.
+
+    Python steps (streams with state, sections) import it on the executors.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="docmill-package-"), "docmill")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
     return spark
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -11,15 +12,16 @@ from docmill.operators.reuse import distinct_keys
 from docmill.session import scratch_path
 
 
-def write_routed(outcomes: DataFrame, path: str) -> None:
-    """One folder per route. Rows are written where they are: routes are few and
-    very uneven, so shuffling by route would only pile up the largest one."""
-    outcomes.write.mode("overwrite").partitionBy("route").parquet(path)
+def write_routed(outcomes: DataFrame, path: str, run_id: str) -> None:
+    """One folder per run and route; a run that is repeated replaces only its own rows.
+    Rows are written where they are: routes are few and very uneven, so shuffling by
+    route would only pile up the largest one."""
+    outcomes.write.mode("overwrite").partitionBy("route").parquet(f"{path}/run_id={run_id}")
 
 
 def write_routed_batch(outcomes: DataFrame, batch_id: int, path: str) -> None:
     """For ``foreachBatch``: a batch that is run again replaces its own output."""
-    write_routed(outcomes, f"{path}/batch_id={batch_id}")
+    write_routed(outcomes, path, f"batch-{batch_id}")
 
 
 def read_routed(spark: SparkSession, path: str) -> DataFrame:
@@ -40,18 +42,20 @@ def store_results(
     spark = results.sparkSession
     storable = results.filter(~bypasses_cache(F.col("options")))
     fresh = distinct_keys(storable, key, id_col).select(key, id_col)
-    if _has_rows(spark, store_path):
-        stored = spark.read.parquet(store_path).select(key)
+    stored = read_store(spark, store_path, F.col(key))
+    if stored is not None:
         fresh = fresh.join(stored, key, "left_anti")
-    chosen = fresh.select(id_col).hint("shuffle_hash")
-    storable.join(chosen, id_col, "left_semi").write.mode("append").parquet(store_path)
+    storable.join(fresh.select(id_col), id_col, "left_semi").write.mode("append").parquet(store_path)
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+def read_store(spark: SparkSession, path: str, *columns: Column) -> DataFrame | None:
+    """The store's columns; None where nothing was stored yet."""
+    try:
+        return spark.read.parquet(path).select(*columns)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def write_assets(asset_rows: DataFrame, path: str) -> None:

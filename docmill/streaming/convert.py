@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from docmill import rules
 from docmill.plans.batch import convert_batch
-from docmill.sources.sinks import write_routed_batch
+from docmill.sources.sinks import read_store, store_results, write_routed_batch
 
 
 def convert_stream(
@@ -16,15 +17,28 @@ def convert_stream(
     progress_path: str,
     id_col: str = "input_ordinal",
     max_bytes: int = rules.MAX_BYTES,
+    store_path: str | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch's outcomes by route, once.
 
     A micro-batch is converted like a batch, so its equal documents share one
-    conversion while they are in flight and results and errors are the same.
+    conversion while they are in flight and results and errors are the same. With
+    ``store_path`` conversions are kept there and reused by later micro-batches.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_routed_batch(convert_batch(batch, id_col=id_col, max_bytes=max_bytes), batch_id, path)
+        store = None
+        if store_path is not None:
+            store = read_store(batch.sparkSession, store_path, F.col("variant_key"), F.col("markdown"))
+        outcomes = convert_batch(batch, store, id_col, max_bytes)
+        write_routed_batch(outcomes, batch_id, path)
+        if store_path is not None:
+            # from what was written: a micro-batch is converted once
+            written = batch.sparkSession.read.parquet(f"{path}/run_id=batch-{batch_id}")
+            fresh = written.filter("result IS NOT NULL AND NOT cache_hit").select(
+                id_col, "variant_key", "options", F.col("result.markdown").alias("markdown")
+            )
+            store_results(fresh, store_path, id_col=id_col)
 
     return (
         stream.writeStream.foreachBatch(write)

@@ -11,17 +11,17 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from docmill import rules
 from docmill.operators.jobs import STATE_RANK, TERMINAL
-from docmill.session import STATE_STORE
 
-_STATE = "created_ms long, last_ms long, status string, reported boolean"
+_STATE = "created_ms long, last_ms long, ended_ms long, ended_rank int, outcome string, reported boolean"
 OUTPUT = "job_id string, verdict string, waited_ms long, http_status long"
 
 
 class _JobTracker(StatefulProcessor):
     """Reports each job once: its first end within the wait, else a timeout.
 
-    Event time decides, so the answer does not depend on how rows fall into
-    micro-batches. State goes away once the retention after the end has passed.
+    A verdict is held until the watermark has passed it, when no earlier event can
+    come any more; so it depends neither on micro-batches nor on the order of arrival.
+    State goes away once the retention after the last event has passed.
     """
 
     def __init__(self, max_wait_ms: int, retention_ms: int) -> None:
@@ -32,36 +32,47 @@ class _JobTracker(StatefulProcessor):
         self.state = handle.getValueState("job", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        events = pd.concat(list(rows))
-        events = events.assign(rank=events["status"].map(STATE_RANK)).sort_values(["at_ms", "rank"])
-        first = int(events["at_ms"].iloc[0])
-        known = self.state.get() if self.state.exists() else None
-        created = first if known is None else min(int(known[0]), first)
-        reported = known is not None and bool(known[3])
-        last, status = int(events["at_ms"].iloc[-1]), str(events["status"].iloc[-1])
-        ended = events[events["status"].isin(TERMINAL)]
-        deadline = created + self.max_wait_ms
-        if not reported and len(ended):
-            at, outcome = int(ended["at_ms"].iloc[0]), str(ended["status"].iloc[0])
-            reported = True
-            yield self._row(key, outcome if at <= deadline else "timeout", min(at, deadline) - created)
-        self.state.update((created, last, status, reported))
-        if known is None and not reported:
-            self.handle.registerTimer(deadline)
+        created, last, ended, outcome, reported = None, None, None, None, False
+        if self.state.exists():
+            created, last, at, rank, outcome, reported = self.state.get()
+            ended = None if at is None else (int(at), int(rank))
+        for batch in rows:  # one Arrow batch at a time, whatever the key's rows are
+            first, latest = int(batch["at_ms"].min()), int(batch["at_ms"].max())
+            created = first if created is None else min(int(created), first)
+            last = latest if last is None else max(int(last), latest)
+            ends = batch[batch["status"].isin(TERMINAL)]
+            for at, status in zip(ends["at_ms"], ends["status"], strict=True):
+                found = (int(at), STATE_RANK[status])
+                if ended is None or found < ended:
+                    ended, outcome = found, status
+        at, rank = ended or (None, None)
+        self.state.update((created, last, at, rank, outcome, bool(reported)))
         if reported:
             self.handle.registerTimer(last + self.retention_ms)
+        else:
+            self.handle.registerTimer(self._due(created, at))
+        return iter(())
+
+    def _due(self, created: int, ended: int | None) -> int:
+        deadline = created + self.max_wait_ms
+        return deadline if ended is None else min(ended, deadline)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if not self.state.exists():
             return
-        created, last, status, reported = self.state.get()
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        if not reported and due >= created + self.max_wait_ms:
-            self.state.update((created, due, status, True))
-            self.handle.registerTimer(due + self.retention_ms)
-            yield self._row(key, "timeout", self.max_wait_ms)
-        elif reported and due >= last + self.retention_ms:
-            self.state.clear()
+        created, last, ended, rank, outcome, reported = self.state.get()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        if reported:
+            if now >= last + self.retention_ms:
+                self.state.clear()
+            return
+        due = self._due(created, ended)
+        if now < due:
+            return  # a later event has moved the verdict; its own timer will come
+        in_time = ended is not None and ended <= created + self.max_wait_ms
+        self.state.update((created, last, ended, rank, outcome, True))
+        self.handle.registerTimer(max(now, last) + self.retention_ms)
+        yield self._row(key, outcome if in_time else "timeout", due - created)
 
     def _row(self, key, verdict: str, waited_ms: int) -> pd.DataFrame:
         status = 504 if verdict == "timeout" else None
@@ -84,8 +95,10 @@ def job_tracker(
     retention_ms: int = rules.JOB_RETENTION_MS,
     delay: str = "10 minutes",
 ) -> DataFrame:
-    """One row per job (job_id, ts, status): how and when waiting for it ended."""
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    """One row per job (job_id, ts, status): how and when waiting for it ended.
+
+    The session's state store must be the RocksDB one (``docmill.session.tune``).
+    """
     return (
         events.withWatermark("ts", delay)
         .withColumn("at_ms", F.unix_millis("ts"))

@@ -27,6 +27,14 @@ def csv(spark, text):
         ("<head><title>no</title></head><header>yes</header>", "yes"),
         ("&lt;b&gt; &amp;amp; &quot;q&quot;&nbsp;&#39;", "<b> &amp; \"q\" '"),
         ("a < b and c > d", "a < b and c > d"),
+        ("<ol><li>one<li>two</ol><ul><li>x</ul>", "1. one\n2. two\n\n- x"),
+        ("<a title='t' href=/u>see <span>this</span></a>", "[see this](/u)"),
+        ("<img src=i.png alt='an eye'>", "![an eye](i.png)"),
+        ("<pre>if x:\n    y &lt; 1</pre>", "```\nif x:\n    y < 1\n```"),
+        ("use <code>f(x)</code>", "use `f(x)`"),
+        ("<blockquote>said</blockquote>", "> said"),
+        ("&eacute; &#233; &#x27; &nosuch; &#0; AT&T &amp;lt;", "é é ' &nosuch; &#0; AT&T &lt;"),
+        ("<p># not a heading</p><p>- no item</p>", "\\# not a heading\n\n\\- no item"),
         ("<script>never closed", ""),
         ("<p> \n </p>", ""),
         (None, None),
@@ -49,7 +57,7 @@ def test_html_table(spark):
 @pytest.mark.parametrize(
     "source,markdown",
     [
-        ("产品,数量\n服务器,12\n交换机,5\n", "| 产品 | 数量 |\n| --- | --- |\n| 服务器 | 12 |\n| 交换机 | 5 |"),
+        ("fruit,Größe\nplum,3\nquince,9\n", "| fruit | Größe |\n| --- | --- |\n| plum | 3 |\n| quince | 9 |"),
         ('a,"b ""q"" | x\ny",c\r\n1,2,3\r\n', '| a | b "q" \\| x<br>y | c |\n| --- | --- | --- |\n| 1 | 2 | 3 |'),
         (",x\n1,2", "|  | x |\n| --- | --- |\n| 1 | 2 |"),
         ("a\n1,2,3", "| a |  |  |\n| --- | --- | --- |\n| 1 | 2 | 3 |"),
@@ -65,6 +73,23 @@ def test_csv(spark, source, markdown):
     assert csv(spark, source) == markdown
 
 
+def test_cells_without_end_tags_and_with_breaks(spark):
+    source = "<table><tr><th>x|y<th>z<tr><td><p>a</p><p>b</p><td>c<br>d</table>"
+    assert html(spark, source) == "| x\\|y | z |\n| --- | --- |\n| a<br>b | c<br>d |"
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a ", "<img ", "<a href=", "<i>", "<h1 ", "<!--", "<table ", "<li>", "&", "<a href=x>", "<pre>", " \n"]
+)
+def test_time_is_linear(spark, piece):
+    import time
+
+    html(spark, "<p>warm</p>")
+    start = time.perf_counter()
+    html(spark, piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - start < 5
+
+
 def test_long_texts_do_not_exhaust_the_stack(spark):
     field = "x" + '""y' * 200_000
     assert len(csv(spark, f'a,b\n1,"{field}"\n')) > 400_000
@@ -171,8 +196,29 @@ def test_a_key_with_a_third_of_all_rows(spark, salts):
     assert row[2] == sum(3 if n % 3 == 0 else len(str(n)) for n in range(30_000))
 
 
-def test_content_is_neither_sorted_nor_broadcast(spark):
-    docs = intake.variant_key(corpus(spark, [(0, b"a", "a.csv", None)]))
-    out = reuse.single_flight(docs, convert.csv_to_markdown)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+def test_refused_content_is_not_moved(spark, tmp_path):
+    corpus(spark, [(0, b"a,b", "a.csv", None), (1, b"%PDF-", "b.pdf", None)]).write.parquet(str(tmp_path / "c"))
+    out = convert_batch(spark.read.parquet(str(tmp_path / "c")))
+    out.collect()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    scans = [x for x in plan.split("\n") if "Relation" in x and "content#" in x]
+    assert len(scans) == 1  # the other one was written as narrow rows
+    assert "ShuffledHashJoin" not in plan
+
+
+def test_unread_content_is_too_large(spark):
+    rows = [(0, None, "big.csv", None), (1, None, "big.csv", None)]
+    docs = corpus(spark, rows).withColumn("size_bytes", F.lit(10).cast("long"))
+    out = convert_batch(docs).collect()
+    assert {(r["class"], r["route"], r["shared"], r["variant_key"]) for r in out} == {
+        ("too_large", "reject", False, None)
+    }
+
+
+@pytest.mark.parametrize(
+    "before", ["", " " * 600, "<!-- c -->", '<?xml version="1.0"?>\n', "\ufeff\n<!-- a --> <!-- b -->", "<head>", "<body>"]
+)
+def test_html_is_told_wherever_it_begins(spark, before):
+    text = before + "<!doctype   html><p>x"
+    df = spark.createDataFrame([(text, "x.docx")], "content string, filename string")
+    assert intake.sniff_format(df).first()["format"] == "html"

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -80,3 +81,15 @@ def test_tracker_does_not_depend_on_batches(spark, tmp_path, files_per_trigger):
         "tie": ("succeeded", 4 * minute, None), "late": ("timeout", 10 * minute, 504),
     }
     assert out.count() == 6
+
+
+@pytest.mark.parametrize("files_per_trigger", [1, 100])
+def test_tracker_does_not_depend_on_the_order_of_arrival(spark, tmp_path, files_per_trigger):
+    """The later end arrives first; both lie within the watermark."""
+    path = str(tmp_path / "events")
+    for row in [("x", 0, "queued", None), ("x", 5, "failed", None), ("x", 2, "succeeded", None), ("clock", 90, "queued", None)]:
+        events(spark, [row]).select("job_id", "ts", "status").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are taken in the order of their times
+    stream = stream_table(spark, path, spark.read.parquet(path).schema, max_files_per_trigger=files_per_trigger)
+    out = run_to_table(job_tracker(stream, max_wait_ms=60 * 60_000, delay="20 minutes"), "tracker-order")
+    assert [(r["job_id"], r["verdict"], r["waited_ms"]) for r in out.collect()] == [("x", "succeeded", 120_000)]

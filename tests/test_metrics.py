@@ -5,12 +5,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from docmill.functions.breaker import Breaker, Settings
 from docmill.operators import metrics
 from docmill.operators.ordering import with_positions
 from docmill.sources.documents import stream_table
 from docmill.sources.sinks import run_to_table
-from docmill.streaming.breaker import breaker_stream
 from docmill.streaming.metrics import windowed_metrics
 
 T0 = datetime(2024, 1, 1)
@@ -25,42 +23,6 @@ def calls(spark, rows):
     )
 
 
-def steps(letters, gap=0):
-    """Calls one second apart; "." waits for ``gap`` seconds."""
-    at, rows = 0, []
-    for letter in letters:
-        if letter == ".":
-            at += gap
-            continue
-        rows.append(("c", at, len(rows), letter))
-        at += 1
-    return rows
-
-
-@pytest.mark.parametrize(
-    "letters,settings,states",
-    [
-        ("SFFF", Settings(4, 0.5, 60_000), ["closed", "closed", "closed", "open"]),
-        ("FSSS", Settings(4, 0.5, 60_000), ["closed"] * 4),
-        ("FF.S", Settings(2, 0.5, 50_000), ["closed", "open", "closed"]),
-        ("FF.F", Settings(2, 0.5, 50_000), ["closed", "open", "open"]),
-        ("SSFF", Settings(3, 0.6, 60_000), ["closed", "closed", "closed", "open"]),
-        ("F" * 100, Settings(1, 1.0, 0, enabled=False), ["closed"] * 100),
-        ("FFFS", Settings(4, 0.5, 60_000), ["closed"] * 4),
-        ("FF.BF", Settings(2, 0.5, 50_000), ["closed", "open", "half_open", "open"]),
-        ("FFS", Settings(2, 0.5, 50_000), ["closed", "open", "open"]),
-    ],
-)
-def test_breaker_sequences(spark, letters, settings, states):
-    out = metrics.breaker_replay(calls(spark, steps(letters, gap=60)), settings).orderBy("call_id")
-    assert [r["state_after"] for r in out.collect()] == states
-
-
-def test_refused_calls(spark):
-    out = metrics.breaker_replay(calls(spark, steps("FFSS.S", gap=60)), Settings(2, 0.5, 50_000))
-    assert [r["admitted"] for r in out.orderBy("call_id").collect()] == [True, True, False, False, True]
-
-
 def busy_log(seed, clients=5, rows=3000):
     """One client has a third of all calls."""
     rng = random.Random(seed)
@@ -71,25 +33,6 @@ def busy_log(seed, clients=5, rows=3000):
     return log
 
 
-def plain_replay(log, settings):
-    machines, out = {}, {}
-    for client, second, n, letter in sorted(log, key=lambda r: (r[1], r[2])):
-        machine = machines.setdefault(client, Breaker(settings))
-        at = int((T0 + timedelta(seconds=second) - datetime(1970, 1, 1)).total_seconds() * 1000)
-        out[n] = (machine.call(at, NAMES[letter]), machine.mode)
-    return out
-
-
-@pytest.mark.parametrize("blocks", [1, 3, 40])
-@pytest.mark.parametrize("settings", [Settings(4, 0.5, 20_000), Settings(20, 0.4, 300_000)])
-def test_replay_is_the_same_however_it_is_cut(spark, blocks, settings):
-    log = busy_log(blocks)
-    out = metrics.breaker_replay(calls(spark, log), settings, blocks=blocks)
-    got = {r["call_id"]: (r["admitted"], r["state_after"]) for r in out.collect()}
-    assert got == plain_replay(log, settings)
-    assert any(not admitted for admitted, _ in got.values())
-
-
 @pytest.mark.parametrize("blocks,chunk", [(1, 1 << 18), (7, 25), (40, 20)])
 def test_failure_rate_against_brute_force(spark, blocks, chunk):
     log = busy_log(11)
@@ -122,19 +65,6 @@ def test_busy_client_fills_no_single_block(spark):
     assert largest < 3_000
 
 
-def test_breaker_stream_carries_state_over_batches(spark, tmp_path):
-    log = busy_log(5, rows=600)
-    path = str(tmp_path / "calls")
-    for start in range(0, 600, 200):
-        calls(spark, log[start : start + 200]).coalesce(1).write.mode("append").parquet(path)
-    schema = spark.read.parquet(path).schema
-    settings = Settings(4, 0.5, 20_000)
-    stream = stream_table(spark, path, schema, max_files_per_trigger=1)
-    out = run_to_table(breaker_stream(stream, settings), "breaker-test")
-    got = {r["call_id"]: (r["admitted"], r["state_after"]) for r in out.collect()}
-    assert got == plain_replay(log, settings)
-
-
 def test_latency(spark):
     rows = [("a", v) for v in range(1, 101)] + [("b", 7)]
     df = spark.createDataFrame(rows, "class string, elapsed_ms long")
@@ -157,6 +87,20 @@ def test_outcome_counts(spark):
     assert (total["cache_hits"], total["conversions"], total["shares"], total["input_bytes"]) == (1, 1, 1, 15)
 
 
+def test_counters_read_each_input_once_and_report_zeros(spark, tmp_path):
+    path = str(tmp_path / "outcomes")
+    rows = [("success", False, True), ("success", None, False), ("encrypted", None, None)]
+    spark.createDataFrame(rows, "class string, cache_hit boolean, shared boolean").write.parquet(path)
+    rendered = spark.createDataFrame([("image/png",), (None,)], "media_type string")
+    states = spark.createDataFrame([("failed",)], "status string")
+    out = metrics.service_counters(spark.read.parquet(path), rendered, states)
+    assert {tuple(r) for r in out.collect()} == {
+        ("convert_total", "success", 2), ("convert_total", "encrypted", 1), ("cache_hits_total", "", 0),
+        ("singleflight_shares_total", "", 1), ("render_pages_total", "image/png", 1), ("jobs_total", "failed", 1),
+    }
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
 def test_windows_on_table_and_stream(spark, tmp_path):
     rows = [(T0 + timedelta(minutes=m), "success") for m in (0, 10, 61, 200)]
     path = str(tmp_path / "o")

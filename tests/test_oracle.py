@@ -4,6 +4,8 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from docmill.plans.oracle import ORACLE_SQL
+from docmill.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,12 +14,12 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
-    assert compare(entry.queries()[name](spark, sf_dir), con, entry.oracle_sql()[name]) == []
+    assert compare(QUERIES[name](spark, sf_dir), con, ORACLE_SQL[name]) == []
 
 
 def test_entry_has_rows(spark):

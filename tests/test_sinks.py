@@ -28,9 +28,15 @@ def test_store_keeps_one_row_per_key(spark, tmp_path):
 def test_routed_folders(spark, tmp_path):
     path = str(tmp_path / "routed")
     df = spark.createDataFrame([(1, "ok"), (2, "reject"), (3, "ok")], "id long, route string")
-    sinks.write_routed(df, path)
-    assert sorted(p.name for p in (tmp_path / "routed").iterdir() if p.is_dir()) == ["route=ok", "route=reject"]
-    assert {tuple(r) for r in sinks.read_routed(spark, path).collect()} == {(1, "ok"), (2, "reject"), (3, "ok")}
+    sinks.write_routed(df, path, "monday")
+    folder = tmp_path / "routed" / "run_id=monday"
+    assert sorted(p.name for p in folder.iterdir() if p.is_dir()) == ["route=ok", "route=reject"]
+    sinks.write_routed(df.filter("id = 1"), path, "tuesday")
+    sinks.write_routed(df, path, "monday")
+    got = sinks.read_routed(spark, path).select("run_id", "id", "route").collect()
+    assert {tuple(r) for r in got} == {
+        ("monday", 1, "ok"), ("monday", 2, "reject"), ("monday", 3, "ok"), ("tuesday", 1, "ok")
+    }
 
 
 def test_a_repeated_batch_replaces_its_output(spark, tmp_path):
@@ -56,6 +62,20 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path):
     assert rows[0] == rows[1] and len(rows[0]) == 5
 
 
+def test_stream_reuses_what_it_has_stored(spark, tmp_path):
+    source, path, store = (str(tmp_path / name) for name in ("in", "out", "store"))
+    for n, text in enumerate(["a\n1", "a\n1", "b\n2"]):
+        spark.createDataFrame([(n, text)], "n long, text string").coalesce(1).write.mode("append").parquet(source)
+    schema = spark.read.parquet(source).schema
+    stream = documents.stream_documents(
+        spark, source, schema, "n", "text", F.lit("x.csv"), max_files_per_trigger=1
+    )
+    convert_stream(stream, path, str(tmp_path / "progress"), store_path=store).awaitTermination()
+    got = sinks.read_routed(spark, path).collect()
+    assert sorted(r["cache_hit"] for r in got) == [False, False, True]
+    assert spark.read.parquet(store).count() == 2
+
+
 def test_dedup_over_batches(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [("a", "2024-01-01 00:00"), ("b", "2024-01-01 00:01"), ("a", "2024-01-01 00:02")]
@@ -71,11 +91,3 @@ def test_dedup_over_batches(spark, tmp_path):
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert session.checkpoint_dir(spark) == session.checkpoint_dir(spark)
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
-
-
-def test_small_tables_use_all_cores(spark, sf_dir):
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    assert documents.spread(table, "doc_id").rdd.getNumPartitions() == cores
-    split = table.repartition(cores + 1)
-    assert documents.spread(split, "doc_id") is split
