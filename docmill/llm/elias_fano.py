@@ -11,6 +11,8 @@ import numpy as np
 
 _W = np.uint64(64)
 _ONE = np.uint64(1)
+#: A sequence is decoded once there is a query for every so many values.
+_DENSE = 16
 
 _BYTE_ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 _BYTE_SELECT = np.zeros((256, 8), dtype=np.uint8)
@@ -100,15 +102,26 @@ class EliasFano:
         out[over] |= self.low[word[over] + 1] << (_W - shift[over])
         return out & np.uint64((1 << self.low_bits) - 1)
 
+    def all(self) -> np.ndarray:
+        """All values, decoded one after another."""
+        bits = np.unpackbits(np.ascontiguousarray(self.high).view(np.uint8), bitorder="little")
+        high = (np.flatnonzero(bits) - np.arange(self.n)).astype(np.uint64)
+        return high << np.uint64(self.low_bits) | self._low(np.arange(self.n))
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """The values at positions ``i``."""
         high = (self._select(self.ones, i, False) - i).astype(np.uint64)
         return high << np.uint64(self.low_bits) | self._low(i)
 
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The position of the first value that is not smaller than each x among those of
-        the same high part, and whether it equals x."""
+        """The position of the first value that is not smaller than each x (or, if it has
+        another high part, of the end of that of x), and whether it equals x."""
         x = x.astype(np.uint64)
+        if self.n and len(x) * _DENSE > self.n:
+            # so many queries that decoding the sequence once costs less than searching it
+            values = self.all()
+            at = np.searchsorted(values, x)
+            return at, values[np.minimum(at, self.n - 1)] == x
         if not self.n:
             return np.zeros(len(x), dtype=np.int64), np.zeros(len(x), dtype=bool)
         high = (x >> np.uint64(self.low_bits)).astype(np.int64)

@@ -23,7 +23,7 @@ from docmill.llm.elias_fano import EliasFano, encode
 from docmill.session import scratch_path
 
 #: Keys in a segment.
-SEGMENT = 2_000_000
+SEGMENT = 1_500_000
 NONE = -1
 
 

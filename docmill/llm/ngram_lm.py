@@ -49,6 +49,8 @@ LEAST_COUNT = 2
 STEPS = 4096
 #: Tokens that are looked up at once.
 TOKENS = 1_000_000
+#: Keys of a level whose probabilities are computed at once.
+_SLICE = 200_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -360,10 +362,13 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
     def pair_level(rows: pd.DataFrame) -> pd.DataFrame:
         trie = model.open()
         keys, c = rows["key"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
-        left, right = np.divmod(keys, v)
-        low = 10 ** (_logs(trie.words.side("backoff", left, np.uint16)) + trie.base(trie.counts(right)))
-        prob = (c - discount) / trie.counts(left) + low
-        return segment(folder, keys.view(np.uint64), {"prob": _codes(np.log10(prob)), "count": c})
+        codes = []
+        for at in range(0, len(keys), _SLICE):
+            left, right = np.divmod(keys[at : at + _SLICE], v)
+            low = 10 ** (_logs(trie.words.side("backoff", left, np.uint16)) + trie.base(trie.counts(right)))
+            prob = (c[at : at + _SLICE] - discount) / trie.counts(left) + low
+            codes.append(_codes(np.log10(prob)))
+        return segment(folder, keys.view(np.uint64), {"prob": np.concatenate(codes), "count": c})
 
     model.pairs = write_segments(in_ranges(pairs, "key", n_pairs), pair_level, "lm-level")
     rows = _with_pairs(rows, model, n_pairs)
@@ -399,14 +404,17 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
     def triple_level(rows: pd.DataFrame) -> pd.DataFrame:
         trie = model.open()
         keys, c = rows["key"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
-        context, rank = np.divmod(keys, widest)
-        middle = (trie.pairs.keys(context) % np.uint64(v)).astype(np.int64)
-        lower = trie.first_follower(middle) + rank
-        low = 10 ** (
-            _logs(trie.pairs.side("backoff", context, np.uint16)) + _logs(trie.pairs.side("prob", lower, np.uint16))
-        )
-        prob = (c - discount) / trie.pairs.side("count", context, np.int64) + low
-        return segment(folder, keys.view(np.uint64), {"prob": _codes(np.log10(prob))})
+        codes = []
+        for at in range(0, len(keys), _SLICE):
+            context, rank = np.divmod(keys[at : at + _SLICE], widest)
+            middle = (trie.pairs.keys(context) % np.uint64(v)).astype(np.int64)
+            lower = trie.first_follower(middle) + rank
+            low = _logs(trie.pairs.side("backoff", context, np.uint16)) + _logs(
+                trie.pairs.side("prob", lower, np.uint16)
+            )
+            own = (c[at : at + _SLICE] - discount) / trie.pairs.side("count", context, np.int64)
+            codes.append(_codes(np.log10(own + 10**low)))
+        return segment(folder, keys.view(np.uint64), {"prob": np.concatenate(codes)})
 
     model.triples = write_segments(in_ranges(triples, "key", n_triples), triple_level, "lm-level")
     return model, rows
