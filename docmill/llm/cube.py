@@ -14,6 +14,7 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,52 +51,63 @@ def targets(sizes: Sequence[int], weights: Sequence[float], times: float = MAX_T
     return out
 
 
-def _direction(sizes: list[int]) -> list[float]:
-    """A vector that keeps the number and the words of two or three documents, or of
-    two only the number where their sizes differ not."""
-    if len(sizes) == 3:
-        a, b, c = sizes
-        if a == b == c:
-            return [1.0, -1.0, 0.0]
-        return [float(b - c), float(c - a), float(a - b)]
-    return [1.0, -1.0]
+def _direction(sizes: np.ndarray, p: np.ndarray) -> np.ndarray | None:
+    """A vector that keeps the number and the words, and moves the first document most.
 
-
-def _move(p: list[float], u: list[float], rng: random.Random) -> list[float]:
+    The others answer in proportion to the room that they have, so that a large document
+    is decided while many small ones share what it changes. None if it cannot move: all
+    others are of one size, and it is of another.
+    """
+    room = p[1:] * (1 - p[1:])
+    own = sizes[1:]
+    count, words, squares = room.sum(), (room * own).sum(), (room * own * own).sum()
+    det = count * squares - words * words
+    if det > 1e-9 * count * squares:
+        a = (squares - words * sizes[0]) / det
+        b = (count * sizes[0] - words) / det
+        return np.concatenate([[1.0], -room * (a + b * own)])
+    if own.min() == own.max() == sizes[0]:
+        return np.concatenate([[1.0], -room / count])
+    return None
+
+
+def _move(p: np.ndarray, u: np.ndarray, rng: random.Random) -> np.ndarray:
     """Move along u or against it to a face of the cube; the expectation stays."""
-    up = min(((1 - x) / d if d > 0 else -x / d) for x, d in zip(p, u, strict=True) if d)
-    down = min((x / d if d > 0 else (x - 1) / d) for x, d in zip(p, u, strict=True) if d)
+    moving = u != 0
+    x, d = p[moving], u[moving]
+    up = np.where(d > 0, (1 - x) / d, -x / d).min()
+    down = np.where(d > 0, x / d, (x - 1) / d).min()
     step = up if rng.random() * (up + down) < down else -down
-    moved = [x + step * d for x, d in zip(p, u, strict=True)]
-    return [0.0 if x < _CLOSE else 1.0 if x > 1 - _CLOSE else x for x in moved]
+    return _settled(p + step * u)
+
+
+def _settled(p: np.ndarray) -> np.ndarray:
+    return np.where(p < _CLOSE, 0.0, np.where(p > 1 - _CLOSE, 1.0, p))
 
 
 def flight(sizes: list[int], p: list[float], rng: random.Random, land: bool = False) -> list[float]:
-    """Probabilities after the flight. At most two are left between 0 and 1, the last
-    in the given order; with ``land`` none: first the words are let go, then the number."""
-    p = [0.0 if x < _CLOSE else 1.0 if x > 1 - _CLOSE else x for x in p]
-    active: list[int] = []
-
-    def settle(least: int, equal: bool) -> None:
-        while len(active) >= least:
-            chosen = active[:3]
-            own = [sizes[i] for i in chosen]
-            if equal and len(set(own)) > 1:
-                return
-            for i, x in zip(chosen, _move([p[i] for i in chosen], _direction(own), rng), strict=True):
-                p[i] = x
-            active[:] = [i for i in active if 0 < p[i] < 1]
-
-    for i in range(len(p)):
-        if 0 < p[i] < 1:
-            active.append(i)
-            settle(3, False)
-    settle(2, True)
+    """Probabilities after the flight, in which documents are decided in the given order.
+    At most two are left between 0 and 1; with ``land`` none: first the words are let
+    go, then the number."""
+    s, p = np.array(sizes, dtype=np.float64), _settled(np.array(p, dtype=np.float64))
+    active = np.flatnonzero((p > 0) & (p < 1))
+    stuck: list[int] = []
+    while len(active) > 1:
+        u = _direction(s[active], p[active])
+        if u is None:
+            stuck.append(int(active[0]))
+            active = active[1:]
+            continue
+        p[active] = _move(p[active], u, rng)
+        active = active[(p[active] > 0) & (p[active] < 1)]
     if land:
-        settle(2, False)
-        for i in active:
-            p[i] = 1.0 if rng.random() < p[i] else 0.0
-    return p
+        left = [*stuck, *active.tolist()]
+        while len(left) > 1:
+            p[left[:2]] = _move(p[left[:2]], np.array([1.0, -1.0]), rng)
+            left = [i for i in left if 0 < p[i] < 1]
+        for i in left:
+            p[i] = float(rng.random() < p[i])
+    return p.tolist()
 
 
 def source_table(sizes: DataFrame, weights: Sequence[float], times: float) -> DataFrame:
