@@ -65,12 +65,16 @@ def terms_of(text: str | None) -> np.ndarray:
 
 
 class Voter:
-    """The fitted model: term weights, singular vectors, latent sample and labels."""
+    """The fitted model: term weights, singular vectors, latent sample and labels. The
+    given terms are weighted in place, as they are the largest array here."""
 
     def __init__(self, terms: np.ndarray, labels: np.ndarray, rank: int = RANK):
-        present = (terms > 0).sum(axis=0)
+        present = np.count_nonzero(terms, axis=0)
         self.weight = np.log((1 + len(terms)) / (1 + present)).astype(np.float32) + 0.1
-        weighted = self._normal(terms * self.weight)
+        weighted = terms
+        weighted *= self.weight
+        length = np.sqrt(np.einsum("ij,ij->i", weighted, weighted))[:, None]
+        weighted /= np.where(length > 0, length, 1)
         self.axes = _leading(weighted, min(rank, *weighted.shape))
         self.latent = self._normal(weighted @ self.axes)
         self.labels = labels.astype(np.float32)
@@ -125,8 +129,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Voter:
     rows = found.orderBy(F.xxhash64("_id"), "_id", "label", F.xxhash64("b")).limit(sample).collect()
     if not rows:
         return Voter(np.zeros((1, TERMS), np.float32), np.array([0.5]))
-    terms = np.stack([np.frombuffer(r["b"], np.float16) for r in rows]).astype(np.float32)
-    return Voter(terms, np.array([r["label"] for r in rows]))
+    terms = np.empty((len(rows), TERMS), dtype=np.float32)
+    for k, r in enumerate(rows):
+        terms[k] = np.frombuffer(r["b"], np.float16)
+    marks = np.array([r["label"] for r in rows])
+    del rows
+    return Voter(terms, marks)
 
 
 def vote_quality(

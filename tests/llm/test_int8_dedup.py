@@ -47,7 +47,7 @@ def test_equals_brute_force(spark, tile, kind):
     vectors = [np.float32(v).tolist() for v in near] + [np.float32(v).tolist() for v in chain]
     vectors += [vectors[0]] * 12 + [[x * 4 for x in vectors[5]], [-x for x in vectors[5]]]
     vectors += [None, [], [0.0] * 16, [1.0] * 15 + [None], [1.0] * 15 + [float("nan")], [float("inf")] * 16, [1.0, 2.0], [2.0, 4.0]]
-    vectors += [[0.0, -0.0, 1.0], [0.0, 0.0, 1.0], [1e30, 0, 1e-30], [1e38, 0, 0]]
+    vectors += [[0.0, -0.0, 1.0], [0.0, 0.0, 1.0], [1e30, 0.0, 1e-30], [1e38, 0.0, 0.0]]
     order = rng.permutation(len(vectors))
     rows = [(int(i), vectors[k]) for i, k in enumerate(order)] + [(None, vectors[0]), (4, vectors[order[4]])]
     df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")

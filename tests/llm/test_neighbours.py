@@ -40,7 +40,7 @@ def test_vote_equals_plain_neighbours():
     data = rows(120, 4)
     terms = np.stack([terms_of(t) for _, t, _ in data])
     assert terms.shape[1] == TERMS
-    voter = Voter(terms[:90], np.array([q for *_, q in data[:90]]), rank=20)
+    voter = Voter(terms[:90].copy(), np.array([q for *_, q in data[:90]]), rank=20)
     scores = voter.score(terms[90:], neighbours=5)
     for row, score in zip(terms[90:], scores):
         v = row * voter.weight
