@@ -1,10 +1,10 @@
 """WARC archives: writing one gzip member per record, and a sequential reader.
 
 Digests, not payloads, are shuffled to find for each payload the page that is
-stored in full; payloads move only if revisits are too many to broadcast. Tasks write their own archives to the shared folder; a
-manifest, written as a table, names the archives of the attempts that succeeded.
-The reader inflates a stream bit by bit, frames each record by its content length
-and checks the digests.
+stored in full; payloads move only if revisits are too many to broadcast. Tasks
+write their own archives to the shared folder; a manifest, written as a table, names
+the archives of the attempts that succeeded. The reader inflates a stream piece by
+piece, frames each record by its content length and checks the digests.
 """
 
 from __future__ import annotations
