@@ -14,7 +14,6 @@ _ONE = np.uint64(1)
 #: A sequence is decoded once there is a query for every so many values.
 _DENSE = 16
 
-_BYTE_ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 _BYTE_SELECT = np.zeros((256, 8), dtype=np.uint8)
 for _byte in range(256):
     for _k, _bit in enumerate([i for i in range(8) if _byte >> i & 1]):
@@ -40,7 +39,7 @@ def encode(values: np.ndarray, universe: int) -> np.ndarray:
     words = np.zeros((n + top + 1) // 64 + 1, dtype=np.uint64)
     ones_at = high + np.arange(n)
     _or_at(words, ones_at >> 6, _ONE << (ones_at & 63).astype(np.uint64))
-    per_word = _BYTE_ONES[words.view(np.uint8)].reshape(-1, 8).sum(axis=1, dtype=np.int64)
+    per_word = np.bitwise_count(words).astype(np.int64)
     before = np.concatenate([[0], np.cumsum(per_word)[:-1]])
     zeros = np.arange(len(words)) * 64 - before
     head = np.array([n, low_bits, len(low), len(words)], dtype=np.uint64)
@@ -73,13 +72,14 @@ class EliasFano:
         bits = self.high[word]
         if flip:
             bits = ~bits
-        octets = np.ascontiguousarray(bits).view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(_BYTE_ONES[octets], axis=1, dtype=np.int64)
-        octet = (upto <= left[:, None]).sum(axis=1)
-        octet = np.minimum(octet, 7)
-        row = np.arange(len(k))
-        inner = left - np.where(octet > 0, upto[row, octet - 1], 0)
-        return word * 64 + octet * 8 + _BYTE_SELECT[octets[row, octet], np.minimum(inner, 7)]
+        at = word * 64
+        for width in (32, 16, 8):  # halve the word around the bit
+            lower = np.bitwise_count(bits & np.uint64((1 << width) - 1))
+            beyond = left >= lower
+            left = left - np.where(beyond, lower, 0)
+            bits = np.where(beyond, bits >> np.uint64(width), bits)
+            at = at + np.where(beyond, width, 0)
+        return at + _BYTE_SELECT[(bits & np.uint64(255)).astype(np.int64), np.minimum(left, 7)]
 
     def _ones_from(self, bit: np.ndarray) -> np.ndarray:
         """How many ones follow from a bit on, up to 64."""

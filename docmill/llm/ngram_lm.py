@@ -156,7 +156,7 @@ class Trie:
         context = np.concatenate([[NONE], pairs[:-1]])
         context[starts] = NONE
         at = np.nonzero((context >= 0) & (pairs >= 0))[0]
-        rank = pairs[at].astype(np.int64) - self.first_follower(ids[at - 1].astype(np.int64))
+        rank = pairs[at] - self.first_follower(ids[at - 1])
         keys = context[at].astype(np.uint64) * np.uint64(self.model.widest) + rank.astype(np.uint64)
         return at, keys
 
@@ -187,18 +187,27 @@ def _chunks(rows, column: str, more: tuple[str, ...] = ()) -> Iterator[tuple]:
     """Arrays of whole documents, side by side, up to about ``TOKENS`` at a time:
     (frame of the documents, starts, values, values of the columns ``more``)."""
     for batch in rows:
-        sizes = batch[column].map(len).to_numpy(np.int64)
+        sizes = batch["_n"].to_numpy(np.int64)
         cut = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(sizes) // TOKENS)) + 1, [len(batch)]])
         for begin, end in zip(cut[:-1], cut[1:], strict=True):
             if begin < end:
                 part = batch.iloc[begin:end]
                 starts = np.cumsum(sizes[begin:end]) - sizes[begin:end]
-                yield part, starts, *[np.concatenate(list(part[c])) for c in (column, *more)]
+                yield part, starts, *[_numbers(part[c], int(sizes[begin:end].sum())) for c in (column, *more)]
+
+
+def _numbers(blobs: pd.Series, n: int) -> np.ndarray:
+    """The numbers of documents, kept as bytes of 4 or 8 each."""
+    if isinstance(blobs.iloc[0], np.ndarray):
+        return np.concatenate(list(blobs))
+    joined = b"".join(blobs)
+    return np.frombuffer(joined, dtype="<i8" if len(joined) == 8 * n else "<i4").astype(np.int64)
 
 
 def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield batch.assign(_hashes=[token_hashes(t) for t in batch["_text"]])
+        hashes = [token_hashes(t) for t in batch["_text"]]
+        yield batch.assign(_hashes=hashes, _n=[len(h) for h in hashes])
 
 
 def _counted(held: list[np.ndarray], names: tuple[str, str]) -> pd.DataFrame:
@@ -249,31 +258,28 @@ def _key_counts(train: DataFrame, model: Model, order: int) -> DataFrame:
             )
         yield from _summed(keys, ("key", "c"))
 
-    columns = ["_ids"] + ["_pairs"] * (order == 3)
+    columns = ["_n", "_ids"] + ["_pairs"] * (order == 3)
     rows = train.select(*columns).mapInPandas(emit, "key long, c long")
     return rows.groupBy("key").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST_COUNT)
 
 
-def _parts(values: np.ndarray, starts: np.ndarray, n: int) -> list[np.ndarray]:
-    dtype = np.int64 if n > 1 << 31 else np.int32
-    return np.split(values.astype(dtype), starts[1:])
-
-
-def _number_type(n: int) -> str:
-    return "long" if n > 1 << 31 else "int"
+def _parts(values: np.ndarray, starts: np.ndarray, most: int) -> list[bytes]:
+    """Each document's numbers as bytes: cheaper to write and read than arrays."""
+    dtype = "<i8" if most > 1 << 31 else "<i4"
+    return [x.tobytes() for x in np.split(values.astype(dtype), starts[1:])]
 
 
 def _with_ids(docs: DataFrame, model: Model, v: int) -> DataFrame:
-    """(_id, _train, _ids): documents as word ids, written once."""
+    """(_id, _train, _n, _ids): documents as word ids, written once."""
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = model.open()
         for part, starts, hashes in _chunks(_hashed(batches), "_hashes"):
             ids = _parts(trie.word_ids(hashes), starts, v)
-            yield pd.DataFrame({"_id": part["_id"], "_train": part["_train"], "_ids": ids})
+            yield part[["_id", "_train", "_n"]].assign(_ids=ids)
 
-    schema = f"_id {id_type}, _train boolean, _ids array<{_number_type(v)}>"
+    schema = f"_id {id_type}, _train boolean, _n int, _ids binary"
     return written(docs.select("_id", "_train", "_text").mapInPandas(emit, schema), "lm-ids")
 
 
@@ -284,10 +290,10 @@ def _with_pairs(rows: DataFrame, model: Model, n: int) -> DataFrame:
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = model.open()
         for part, starts, ids in _chunks(batches, "_ids"):
-            places = trie.pair_places(ids.astype(np.int64), starts)
+            places = trie.pair_places(ids, starts)
             yield part.assign(_pairs=_parts(places, starts, n))
 
-    return written(rows.mapInPandas(emit, f"{schema}, _pairs array<{_number_type(n)}>"), "lm-places")
+    return written(rows.mapInPandas(emit, f"{schema}, _pairs binary"), "lm-places")
 
 
 def _per_segment(rows: DataFrame, offsets: list[int], place: str, write, schema: str) -> DataFrame:
@@ -304,7 +310,7 @@ def _segment_of(place: str, offsets: list[int]) -> Column:
 
 def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame]:
     """The trie of all texts (_text) that are for training (_train), and all documents
-    (_id, _train) as word ids (_ids) and places of pairs (_pairs)."""
+    (_id, _train, _n tokens) as word ids (_ids) and places of pairs (_pairs)."""
     spark = docs.sparkSession
     folder = new_folder(spark, "trie")
 
@@ -445,7 +451,6 @@ def score_texts(
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = model.open()
         for part, starts, ids, pairs in _chunks(batches, "_ids", ("_pairs",)):
-            ids, pairs = ids.astype(np.int64), pairs.astype(np.int64)
             counts = trie.counts(ids)
             yield pd.DataFrame(
                 {
@@ -459,4 +464,4 @@ def score_texts(
             )
 
     schema = f"_id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.select("_id", "_ids", "_pairs").mapInPandas(score, schema).withColumnRenamed("_id", id_col)
+    return rows.select("_id", "_n", "_ids", "_pairs").mapInPandas(score, schema).withColumnRenamed("_id", id_col)
