@@ -31,10 +31,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     judged = written(jaccard_components(docs).select("doc_id", "component_id"), "judged")
     dropped = judged.filter("doc_id <> component_id").select("doc_id").distinct()
     repeated = judged.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
-    repeated = repeated.select("doc_id")
-    once = docs.join(dropped.unionByName(repeated), "doc_id", "left_anti")
+    # Read back, their sizes are known: where they are small, texts are not moved.
+    repeated = written(repeated.select("doc_id"), "repeated-ids")
+    gone = written(dropped.unionByName(repeated), "dropped-ids")
+    once = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    if not repeated.take(1):
+        return once
     several = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(several).select(docs.columns)
+    return once.unionByName(several.select(docs.columns))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

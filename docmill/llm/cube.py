@@ -237,11 +237,18 @@ def mixed_documents(
         *[F.col(source_col).alias("_s"), F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_t")],
     )
     same = F.expr("_source <=> _s AND _id <=> _i AND _text <=> _t")
-    single = keyed.join(units.filter("_n = 1 AND _copies > 0"), same).withColumn("_times", F.col("_copies"))
+    taken = keyed.join(units.filter("_n = 1 AND _copies > 0"), same).select("_doc", F.col("_copies").alias("_times"))
+    repeats = units.filter("_n > 1 AND _copies > 0")
+    if not repeats.take(1):
+        return _repeated(taken)
     # Only rows that repeat another one in id, source and text are numbered.
-    several = keyed.join(units.filter("_n > 1 AND _copies > 0"), same)
+    several = keyed.join(repeats, same)
     number = F.row_number().over(Window.partitionBy("_source", "_id", "_text").orderBy("_size"))
     several = several.withColumn("_j", number.cast("long")).withColumn("_times", _copies_of_row())
-    taken = single.select("_doc", "_times").unionByName(several.select("_doc", "_times"))
-    repeated = taken.filter("_times > 0").withColumn("_j", F.explode(F.expr("sequence(1L, _times)")))
-    return repeated.select("_doc.*")
+    return _repeated(taken.unionByName(several.select("_doc", "_times")))
+
+
+def _repeated(taken: DataFrame) -> DataFrame:
+    """Each document as often as it is taken."""
+    times = F.explode(F.expr("sequence(1L, _times)"))
+    return taken.filter("_times > 0").withColumn("_j", times).select("_doc.*")

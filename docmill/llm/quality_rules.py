@@ -222,12 +222,17 @@ def _group(lang: Column, source: Column) -> Column:
     return F.to_json(F.struct(lang.alias("l"), source.alias("s")))
 
 
-def judged(stats: DataFrame, least_rows: int = LEAST_ROWS, tail: float = TAIL) -> DataFrame:
-    """``stats`` (written; with _lang, _source and the columns of ``STATISTICS``), with
-    base_failed, distance and kept."""
-    stats = stats.withColumn("_own", _group(F.col("_lang"), F.col("_source"))).withColumn(
-        "base_failed", base_failed()
-    )
+def judged(
+    stats: DataFrame, rows: DataFrame, least_rows: int = LEAST_ROWS, tail: float = TAIL
+) -> DataFrame:
+    """``rows`` (with _lang, _source and the columns of ``STATISTICS``) with base_failed,
+    distance and kept, by estimates from ``stats``: the same rows, written, without texts."""
+
+    def grouped(table: DataFrame) -> DataFrame:
+        own = _group(F.col("_lang"), F.col("_source"))
+        return table.withColumn("_own", own).withColumn("base_failed", base_failed())
+
+    stats, rows = grouped(stats), grouped(rows)
     sound = stats.filter("NOT base_failed")
     sizes = sound.groupBy("_own").count()
     large = written(sizes.filter(F.col("count") >= least_rows).select("_own"), "mcd-groups")
@@ -242,7 +247,7 @@ def judged(stats: DataFrame, least_rows: int = LEAST_ROWS, tail: float = TAIL) -
     found = written(found, "mcd-estimates")
     limit = chi2_quantile(tail, DIM)
     return (
-        stats.join(names, "_own", "left")
+        rows.join(names, "_own", "left")
         .withColumn("_group", F.coalesce("_group", F.lit(_POOL)))
         .join(found, "_group", "left")
         .withColumn("distance", _distance())
@@ -276,7 +281,7 @@ def quality_rules(
         ).select("_id", "_lang", "_source", "_s.*"),
         "statistics",
     )
-    return judged(stats, least_rows, tail).select(
+    return judged(stats, stats, least_rows, tail).select(
         F.col("_id").alias(id_col),
         "n_words",
         "word_chars",
@@ -298,13 +303,12 @@ def sound_documents(
     tail: float = TAIL,
 ) -> DataFrame:
     """The documents that are kept, with their columns."""
-    whole = written(
-        docs.select(
-            F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),
-            F.col(lang_col).alias("_lang"),
-            F.col(source_col).alias("_source"),
-            _statistics(F.col(text_col)).alias("_s"),
-        ).select("_doc", "_lang", "_source", "_s.*"),
-        "statistics",
-    )
-    return judged(whole, least_rows, tail).filter("kept").select("_doc.*")
+    # Statistics are computed twice, so that texts are neither written nor moved for them.
+    whole = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),
+        F.col(lang_col).alias("_lang"),
+        F.col(source_col).alias("_source"),
+        _statistics(F.col(text_col)).alias("_s"),
+    ).select("_doc", "_lang", "_source", "_s.*")
+    stats = written(whole.drop("_doc"), "statistics")
+    return judged(stats, whole, least_rows, tail).filter("kept").select("_doc.*")
