@@ -33,6 +33,8 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    # rows hold whole texts: batches for Python of fewer rows keep its memory small
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
 
 
