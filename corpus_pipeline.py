@@ -7,6 +7,8 @@ like others where an operator can do without it, and otherwise kept as they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from docmill.llm.debruijn import remove_repeats
 from docmill.llm.quality_rules import sound_documents
 from docmill.llm.queries import RANKS
 from docmill.llm.token_groups import jaccard_components
+from docmill.session import tune
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,12 +67,19 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _tuned(stage: Stage) -> Stage:
+    return lambda spark, docs, sf_dir: stage(tune(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("jaccard_join", near_duplicates),
-    ("substring_dedup", substring_dedup),
-    ("source_mixing", source_mixing),
-    ("byte_bpe", byte_bpe),
+    ("quality_rules", _tuned(quality_rules)),
+    ("jaccard_join", _tuned(near_duplicates)),
+    ("substring_dedup", _tuned(substring_dedup)),
+    ("source_mixing", _tuned(source_mixing)),
+    ("byte_bpe", _tuned(byte_bpe)),
 ]
 
 #: The outlier rule and the tokens cannot be stated in SQL; the stages are tested one by one.

@@ -22,13 +22,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.llm.common import small_batches
+
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
 #: Bytes up to which rescanning a piece's pairs is faster than a heap.
 SHORT_PIECE = 100
 _NEVER = 1 << 40
 #: Encodings of pieces each Python worker keeps at most.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 250_000
 
 # Fixed value: the white space of the pattern's dialect. The pattern is written for an engine
 # whose \s is the Unicode property; the class is spelled out so that no engine adds to it.
@@ -157,7 +159,7 @@ def encode_decode(
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = ByteBPE(ranks_path, pattern)
-        for batch in batches:
+        for batch in small_batches(batches, "_text"):
             rows = []
             for text in batch["_text"]:
                 ids = tokenizer.encode(text or "")
@@ -169,7 +171,7 @@ def encode_decode(
             names = [x.split()[0] for x in schema.split(", ")]
             columns = zip(*rows, strict=True) if rows else [[]] * (len(names) - 1)
             out = dict(zip(names[1:], map(list, columns), strict=True))
-            yield pd.DataFrame({"_id": batch["_id"].reset_index(drop=True), **out})
+            yield pd.DataFrame({"_id": batch["_id"], **out})
 
     short = docs.filter(fits).mapInPandas(whole, schema)
     long = _long_texts(docs.filter(~fits), ranks_path, pattern, chunk_chars, overlap_chars)
@@ -247,7 +249,7 @@ def _long_texts(
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = ByteBPE(ranks_path, pattern)
-        for batch in batches:
+        for batch in small_batches(batches, "_span"):
             found = [tokenizer.encode(span) for span in batch["_span"]]
             yield batch.drop(columns="_span").assign(
                 n=[len(ids) for ids in found],

@@ -20,6 +20,7 @@ from docmill.llm.quality_rules import quality_rules
 from docmill.llm.token_groups import jaccard_components
 from docmill.llm.url_cascade import Rule, judge_urls
 from docmill.llm.warc import archive_round_trip
+from docmill.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +31,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
         return fn
 
     return register
