@@ -7,7 +7,6 @@ form, with arrays that run alongside. A table of file names is all that travels.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from decimal import Decimal
@@ -24,6 +23,8 @@ from docmill.session import scratch_path
 
 #: Keys in a segment.
 SEGMENT = 1_500_000
+#: Segments that a worker holds of a store that cannot be mapped.
+_MOST_READ = 16
 NONE = -1
 
 
@@ -44,18 +45,19 @@ def save(folder: str, array: np.ndarray) -> str:
 
 
 def mapped(folder: str, name: str, dtype) -> np.ndarray:
-    """Map a segment; one in a remote store is fetched once to this machine first."""
+    """Map a segment into memory; one in a store that cannot be mapped is read."""
     store, base = arrow_fs.FileSystem.from_uri(folder)
     path = f"{base}/{name}"
-    if not isinstance(store, arrow_fs.LocalFileSystem):
-        path = os.path.join(tempfile.gettempdir(), f"lm-{name}")
-        if not os.path.exists(path):
-            part = f"{path}-{uuid.uuid4().hex}"
-            arrow_fs.copy_files(f"{base}/{name}", part, source_filesystem=store)
-            os.replace(part, path)
-    if not os.path.getsize(path):
-        return np.zeros(0, dtype=dtype)
-    return np.memmap(path, dtype=dtype, mode="r")
+    if isinstance(store, arrow_fs.LocalFileSystem):
+        return np.memmap(path, dtype=dtype, mode="r") if os.path.getsize(path) else np.zeros(0, dtype=dtype)
+    with store.open_input_stream(path) as source:
+        return np.frombuffer(source.read(), dtype=dtype)
+
+
+def _most_open(folder: str) -> int:
+    """Segments that stay open: all that are mapped, few of those that had to be read."""
+    local = isinstance(arrow_fs.FileSystem.from_uri(folder)[0], arrow_fs.LocalFileSystem)
+    return 1 << 30 if local else _MOST_READ
 
 
 class Level:
@@ -69,9 +71,12 @@ class Level:
         self.n = int(self.offset[-1])
         self._keys: dict[int, EliasFano] = {}
         self._side: dict[tuple[int, str], np.ndarray] = {}
+        self._most = _most_open(folder)
 
     def _sequence(self, k: int) -> EliasFano:
         if k not in self._keys:
+            if len(self._keys) >= self._most:
+                self._keys.pop(next(iter(self._keys)))
             self._keys[k] = EliasFano(mapped(self.folder, self.segments[k][2], np.uint64))
         return self._keys[k]
 
@@ -110,6 +115,8 @@ class Level:
             file = self.segments[k][3].get(name)
             if file:
                 if (k, name) not in self._side:
+                    if len(self._side) >= self._most:
+                        self._side.pop(next(iter(self._side)))
                     self._side[k, name] = mapped(self.folder, file, dtype)
                 out[part] = self._side[k, name][places[part] - self.offset[k]]
         return out
