@@ -43,8 +43,8 @@ from docmill.llm.shingles import word_hashes
 #: The token behind each text's last word; no word can hold white space.
 END = b"\n"
 DISCOUNT = 0.5
-#: Pairs and triples of fewer occurrences are left to the back-off.
-LEAST_COUNT = 2
+#: Occurrences from which a pair or triple is in the trie: all that were seen are.
+LEAST_COUNT = 1
 #: Quantisation steps per unit of log10.
 STEPS = 4096
 #: Tokens that are looked up at once.
@@ -236,16 +236,15 @@ def _word_counts(train: DataFrame) -> DataFrame:
 
 
 def _pair_keys(trie: Trie, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Keys of pairs of words that occur often enough: no pair is more frequent than its words."""
-    often = trie.counts(ids) >= LEAST_COUNT
-    both = often & np.concatenate([[False], often[:-1]])
+    """Keys of all pairs of neighbours in a text."""
+    both = np.ones(len(ids), dtype=bool)
     both[starts] = False
     at = np.nonzero(both)[0]
     return ids[at - 1].astype(np.uint64) * np.uint64(trie.v) + ids[at].astype(np.uint64)
 
 
 def _key_counts(train: DataFrame, model: Model, order: int) -> DataFrame:
-    """(key, c) of the pairs or triples that occur often enough."""
+    """(key, c) of all pairs or triples."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = model.open()
@@ -260,7 +259,7 @@ def _key_counts(train: DataFrame, model: Model, order: int) -> DataFrame:
 
     columns = ["_n", "_ids"] + ["_pairs"] * (order == 3)
     rows = train.select(*columns).mapInPandas(emit, "key long, c long")
-    return rows.groupBy("key").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST_COUNT)
+    return rows.groupBy("key").agg(F.sum("c").alias("c"))
 
 
 def _parts(values: np.ndarray, starts: np.ndarray, most: int) -> list[bytes]:
@@ -304,8 +303,12 @@ def _per_segment(rows: DataFrame, offsets: list[int], place: str, write, schema:
 
 def _segment_of(place: str, offsets: list[int]) -> Column:
     """The number of the last offset that is not above the place."""
-    array = "array(" + ", ".join(f"{o}L" for o in offsets[:-1]) + ")"
-    return F.expr(f"size(filter({array}, o -> o <= {place})) - 1").cast("int")
+    begins = np.array(offsets[:-1], dtype=np.int64)
+
+    def number(places: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(begins, places.to_numpy(np.int64), side="right") - 1)
+
+    return F.pandas_udf(number, "int")(F.col(place))
 
 
 def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame]:

@@ -108,3 +108,17 @@ def test_nothing_to_learn_from(spark):
     rows = [(1, "a b", "", ""), (2, None, "", "")]
     check(spark, rows, "false", [])
     assert score_texts(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_what_was_seen_once_is_known(spark):
+    rows = [(1, "a b c", "", ""), (2, "c a", "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, c string, key string")
+    score = {r.doc_id: r.score for r in score_texts(docs).collect()}[1]
+    # counts: a 2, b 1, c 2, end 2; 7 tokens, 4 words, so p(w) = (count + 1) / 12
+    p_a, p_b, p_c, p_end = 3 / 12, 2 / 12, 3 / 12, 3 / 12
+    ab = 0.5 / 2 + (1 - 1 / 2) * p_b  # a: b, end
+    bc = 0.5 / 1 + (1 - 0.5 / 1) * p_c  # b: c
+    abc = 0.5 / 1 + (1 - 0.5 / 1) * bc
+    c_end = 0.5 / 2 + (1 - 1 / 2) * p_end  # c: end, a
+    bc_end = 0.5 / 1 + (1 - 0.5 / 1) * c_end
+    assert score == pytest.approx(math.log10(p_a * ab * abc * bc_end), abs=1e-3)
