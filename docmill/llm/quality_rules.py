@@ -4,6 +4,8 @@ Every text becomes a vector of transformed statistics. For each language and sou
 a minimum-covariance-determinant estimate is found by concentration steps: the
 rows closest to the present estimate (three quarters of them) give the next one.
 Steps are Spark aggregations over all rows of a group, so no group is collected.
+Every group has its own centre; its covariance is shrunk towards the one common within
+groups, by a weight that falls smoothly with the group's rows.
 A text is rejected where its Mahalanobis distance exceeds a chi-square quantile.
 """
 
@@ -28,8 +30,9 @@ SYMBOLS = b"#*$%&|<>"
 #: Part of a group's rows that carries the estimate.
 SUPPORT = 0.75
 STEPS = 5
-#: Groups with fewer rows take the estimate over all rows; if those are fewer, none are rejected.
-LEAST_ROWS = 200
+#: Rows that the spread within all groups counts as in each; from as many rows on, a
+#: group's own spread weighs more.
+LEAST_ROWS = 30
 #: Chance of a larger distance for a normal vector.
 TAIL = 1e-9
 #: Spread that each statistic is given at least, so that one which hardly varies
@@ -47,6 +50,7 @@ SHORT_LINES = 5
 SHORT_WORDS = 50
 FEATURES = list(LEAST_SPREAD)
 DIM = len(FEATURES)
+_UPPER = [(i, j) for i in range(DIM) for j in range(i, DIM)]
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 STATISTICS = _BASE + "".join(f", {name} double" for name in FEATURES)
 
@@ -164,14 +168,27 @@ def _distance(center: str = "_mean", inverse: str = "_inverse") -> Column:
 def _moments() -> list[Column]:
     out = [F.count(F.lit(1)).alias("_n")]
     out += [F.avg(name).alias(f"_m{i}") for i, name in enumerate(FEATURES)]
-    for i in range(DIM):
-        for j in range(i, DIM):
-            out.append(F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"_c{i}_{j}"))
+    out += [F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"_c{i}_{j}") for i, j in _UPPER]
+    return out
+
+
+def _common(moments: DataFrame) -> np.ndarray:
+    """The covariance within groups, over all groups; zeros if no group has two rows."""
+    sums = [F.sum(F.col("_n") * F.col(f"_c{i}_{j}")) for i, j in _UPPER]
+    free, *upper = moments.agg(F.sum("_n") - F.count(F.lit(1)), *sums).first()
+    return _symmetric([x / free for x in upper]) if free else np.zeros((DIM, DIM))
+
+
+def _symmetric(upper) -> np.ndarray:
+    out = np.empty((DIM, DIM))
+    for (i, j), x in zip(_UPPER, upper, strict=True):
+        out[i, j] = out[j, i] = x
     return out
 
 
-def _inverted(moments: DataFrame, scale: float) -> DataFrame:
-    """(_group, _mean, _inverse) from moments; variances get their least spread."""
+def _inverted(moments: DataFrame, scale: float, common: np.ndarray | None = None, rows: float = 0) -> DataFrame:
+    """(_group, _mean, _inverse) from moments; variances get their least spread. The
+    covariance ``common`` counts as so many ``rows`` of each group."""
     floor = np.diag(np.array(list(LEAST_SPREAD.values())) ** 2)
 
     def invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,19 +196,21 @@ def _inverted(moments: DataFrame, scale: float) -> DataFrame:
             mean, inverse = [], []
             for row in batch.to_dict("records"):
                 mean.append([row[f"_m{i}"] for i in range(DIM)])
-                cov = np.empty((DIM, DIM))
-                for i in range(DIM):
-                    for j in range(i, DIM):
-                        cov[i, j] = cov[j, i] = row[f"_c{i}_{j}"]
+                cov = _symmetric([row[f"_c{i}_{j}"] for i, j in _UPPER])
+                if common is not None:
+                    cov = (row["_n"] * cov + rows * common) / (row["_n"] + rows)
                 inverse.append(np.linalg.inv(cov * scale + floor).ravel().tolist())
             yield pd.DataFrame({"_group": batch["_group"], "_mean": mean, "_inverse": inverse})
 
     return moments.mapInPandas(invert, "_group string, _mean array<double>, _inverse array<double>")
 
 
-def estimates(stats: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
+def estimates(
+    stats: DataFrame, least_rows: int = LEAST_ROWS, support: float = SUPPORT, steps: int = STEPS
+) -> DataFrame:
     """(_group, _mean, _inverse) of each group of ``stats`` (columns _group and
-    ``FEATURES``), from all of its rows. Small tables, one row per group."""
+    ``FEATURES``), from all of its rows. Small tables, one row per group. The last step
+    adds the spread within all groups to each, as ``least_rows`` rows of its own."""
     centers = [F.percentile_approx(name, 0.5, 1000).alias(f"_q{i}") for i, name in enumerate(FEATURES)]
     middle = stats.groupBy("_group").agg(*centers)
     floors = list(LEAST_SPREAD.values())
@@ -205,16 +224,16 @@ def estimates(stats: DataFrame, support: float = SUPPORT, steps: int = STEPS) ->
         "mcd-start",
     )
     scale = consistency(support, DIM)
-    for _ in range(steps):
+    for step in range(steps):
         away = stats.join(present, "_group").withColumn("_d", _distance())
         limits = away.groupBy("_group").agg(F.percentile_approx("_d", support, 1000).alias("_limit"))
         near = written(limits, "mcd-limits")  # read back, its size is known
         closest = away.join(near, "_group").filter("_d <= _limit")
-        present = written(_inverted(closest.groupBy("_group").agg(*_moments()), scale), "mcd-step")
-    return present
-
-
-_POOL = "\u0000"
+        moments = closest.groupBy("_group").agg(*_moments())
+        if step < steps - 1:
+            present = written(_inverted(moments, scale), "mcd-step")
+    moments = written(moments, "mcd-moments")
+    return written(_inverted(moments, scale, _common(moments), least_rows), "mcd-estimates")
 
 
 def _group(lang: Column, source: Column) -> Column:
@@ -234,21 +253,10 @@ def judged(
 
     stats, rows = grouped(stats), grouped(rows)
     sound = stats.filter("NOT base_failed")
-    sizes = sound.groupBy("_own").count()
-    large = written(sizes.filter(F.col("count") >= least_rows).select("_own"), "mcd-groups")
-    # The pool of all rows serves small groups; its rows count towards it from everywhere.
-    own = sound.join(large, "_own").withColumn("_group", F.col("_own"))
-    pool = sound.withColumn("_group", F.lit(_POOL))
-    found = estimates(own.unionByName(pool).select("_group", *FEATURES))
-    total = sound.count()
-    if total < least_rows:
-        found = found.filter("false")
-    names = large.select("_own", F.col("_own").alias("_group"))
-    found = written(found, "mcd-estimates")
+    found = estimates(sound.withColumn("_group", F.col("_own")).select("_group", *FEATURES), least_rows)
     limit = chi2_quantile(tail, DIM)
     return (
-        rows.join(names, "_own", "left")
-        .withColumn("_group", F.coalesce("_group", F.lit(_POOL)))
+        rows.withColumn("_group", F.col("_own"))
         .join(found, "_group", "left")
         .withColumn("distance", _distance())
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True)))
@@ -270,7 +278,8 @@ def quality_rules(
 
     Null and empty texts have no words and fail. Null languages and sources form
     groups like others. Repeated rows and null ids are judged like others. Other
-    columns are not read. Estimates cover all rows that pass the base rules.
+    columns are not read. Estimates cover all rows that pass the base rules; a group of
+    any size has its own, in which the common spread counts as ``least_rows`` rows.
     """
     stats = written(
         docs.select(

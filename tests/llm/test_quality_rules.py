@@ -123,3 +123,32 @@ def test_few_rows_and_none(spark):
     docs = docs.selectExpr("*", "'en' AS lang", "'s' AS source")
     assert sorted((r.doc_id, r.kept) for r in quality_rules(docs).collect()) == [(1, False), (2, True)]
     assert quality_rules(docs.filter("false")).collect() == []
+
+
+def capitals(rng, n):
+    return " ".join(w.capitalize() if rng.random() < 0.8 else w for w in prose(rng, n).split())
+
+
+def test_small_groups_are_judged_by_themselves(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randrange(50, 200)), "en", "a") for i in range(400)]
+    rows += [(1000 + i, capitals(rng, rng.randrange(50, 200)), "de", "b") for i in range(60)]
+    rows += [(2000, prose(rng, 100), "de", "b"), (2001, capitals(rng, 100).upper(), "de", "b"), (2002, capitals(rng, 90), "fr", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules(docs).collect()}
+    assert sorted(i for i in kept if not kept[i]) == [2000, 2001]
+
+
+@pytest.mark.parametrize("n", [25, 199])
+def test_one_more_row_moves_distances_little(spark, n):
+    rng = random.Random(n)
+    rows = [(i, prose(rng, rng.randrange(50, 200)), "en", "a") for i in range(300)]
+    rows += [(1000 + i, capitals(rng, rng.randrange(50, 200)), "de", "b") for i in range(n)]
+    rows += [(2000, capitals(rng, 100).upper(), "de", "b")]
+    more = [*rows, (3000, capitals(rng, 120), "de", "b")]
+    schema = "doc_id long, text string, lang string, source string"
+    one, two = (
+        {r.doc_id: r.distance for r in quality_rules(spark.createDataFrame(x, schema)).collect()} for x in (rows, more)
+    )
+    assert two[2000] == pytest.approx(one[2000], rel=0.25)
+    assert all(two[i] == pytest.approx(one[i], rel=0.25, abs=0.5) for i in one)
