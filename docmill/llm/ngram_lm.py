@@ -145,9 +145,8 @@ class Trie:
         out = np.full(len(ids), NONE, dtype=np.int64)
         left = np.concatenate([[NONE], ids[:-1]])
         left[starts] = NONE
-        known = np.nonzero((left >= 0) & (ids >= 0))[0]
-        # a back-off of 1 means that no pair with this word on the left was kept
-        ask = known[self.words.side("backoff", left[known], np.uint16) > 0]
+        # every known word but the end has followers, so none is left out
+        ask = np.nonzero((left >= 0) & (ids >= 0))[0]
         out[ask] = self.pairs.find(left[ask].astype(np.uint64) * np.uint64(self.v) + ids[ask].astype(np.uint64))
         return out
 

@@ -122,3 +122,16 @@ def test_what_was_seen_once_is_known(spark):
     c_end = 0.5 / 2 + (1 - 1 / 2) * p_end  # c: end, a
     bc_end = 0.5 / 1 + (1 - 0.5 / 1) * c_end
     assert score == pytest.approx(math.log10(p_a * ab * abc * bc_end), abs=1e-3)
+
+
+def test_pairs_behind_a_back_off_that_rounds_to_one_are_found(spark):
+    # "id" keeps 1 of 5,001 occurrences at this discount: its back-off has the code 0
+    text = " ".join(f"id n{max(i, 1)}" for i in range(5001))
+    rows = [(1, text), (2, "id n1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learnt = score_texts(docs, learn_from="_id = 1", discount=1.0).filter("doc_id = 2").first()
+    total = 10_003 + 5_002 + 1
+    p_id, p_n1, p_end = 5002 / total, 3 / total, 2 / total
+    # (id, n1) and n1 are followed by id twice, of which 1 is kept and half is left to the end
+    pair = 1 / 5001 + (1 - 1 / 5001) * p_n1
+    assert learnt.score == pytest.approx(math.log10(p_id) + math.log10(pair) + math.log10(p_end / 4), abs=2e-3)
