@@ -19,7 +19,7 @@ from docmill.llm.cube import mixed_documents
 from docmill.llm.debruijn import remove_repeats
 from docmill.llm.quality_rules import sound_documents
 from docmill.llm.queries import RANKS
-from docmill.llm.token_groups import jaccard_components
+from docmill.llm.token_groups import jaccard_components, set_ids
 from docmill.session import tune
 
 
@@ -31,16 +31,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the document with the smallest id stays; rows that repeat both
     its id and its text stay once."""
-    judged = written(jaccard_components(docs).select("doc_id", "component_id"), "judged")
-    dropped = judged.filter("doc_id <> component_id").select("doc_id").distinct()
-    repeated = judged.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
+    judged = written(jaccard_components(docs).select("doc_id", "component_id", "set_id"), "judged")
+    dropped = judged.filter("doc_id <> component_id").select("doc_id", "set_id").distinct()
+    repeated = judged.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
     # Read back, their sizes are known: where they are small, texts are not moved.
     repeated = written(repeated.select("doc_id"), "repeated-ids")
-    gone = written(dropped.unionByName(repeated), "dropped-ids")
+    gone = written(dropped.select("doc_id").unionByName(repeated), "dropped-ids")
     once = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     if not repeated.take(1):
         return once
-    several = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    # Rows that share an id may have different texts: each goes or stays by its own.
+    linked = written(dropped.join(repeated, "doc_id", "left_semi"), "dropped-sets")
+    linked = linked.select(F.col("doc_id").alias("_gone"), F.col("set_id").alias("_set_id"))
+    several = docs.join(repeated, "doc_id", "left_semi").withColumn("_own_set", set_ids(F.col("text")))
+    here = (F.col("doc_id") == F.col("_gone")) & (F.col("_own_set") == F.col("_set_id"))
+    several = several.join(linked, here, "left_anti").dropDuplicates(["doc_id", "text"])
     return once.unionByName(several.select(docs.columns))
 
 

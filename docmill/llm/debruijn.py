@@ -1,6 +1,6 @@
 """Substring deduplication over a de Bruijn graph of word k-mers.
 
-1. Of equal texts only the one with the smallest id goes through the graph; the others
+1. Of rows with equal texts only those with the smallest id go through the graph; the others
    repeat all of it.
 2. Each window of k words has a minimiser, the least hash of its m-word runs. Only
    minimisers that occur in two documents can belong to a repeated window; they are
@@ -57,18 +57,28 @@ class Windows:
 
 
 def _copies(docs: DataFrame) -> KeyTable:
-    """Ids of documents whose text another one with a smaller id has, too."""
-    text = [F.xxhash64("_text").alias("_t1"), F.xxhash64("_text", F.lit(1)).alias("_t2")]
-    rows = docs.filter("_id IS NOT NULL AND _text IS NOT NULL").select("_id", *text)
-    first = rows.groupBy("_t1", "_t2").agg(F.min("_id").alias("_lo"), F.max("_id").alias("_hi"))
-    several = first.filter("_lo < _hi").select("_t1", "_t2", "_lo")
-    return KeyTable(rows.join(several, ["_t1", "_t2"]).filter("_id > _lo").select("_id").distinct(), "_id", "copies")
+    """The smallest id of each text that two ids have, by the text's hash. Texts whose
+    first hashes collide are left out and go through the graph."""
+    rows = docs.filter("_id IS NOT NULL AND _text IS NOT NULL")
+    ends = [F.min("_t2").alias("_t2"), F.max("_t2").alias("_most"), F.min("_id").alias("_lo"), F.max("_id").alias("_hi")]
+    first = rows.groupBy("_t1").agg(*ends).filter("_lo < _hi AND _t2 = _most")
+    return KeyTable(first, "_t1", "copies", ("_t2", "_lo"))
+
+
+def _copied(batch: pd.DataFrame, copies: KeyTable) -> np.ndarray:
+    """Which rows have a text that a smaller id has, too."""
+    places = copies.places(batch["_t1"].to_numpy(np.int64).view(np.uint64))
+    out = (places != NONE) & batch["_id"].notna().to_numpy()
+    own, places = batch[out], places[out]
+    equal = copies.values("_t2", places) == own["_t2"].to_numpy(np.int64)
+    out[out] = equal & (copies.values("_lo", places) < own["_id"].to_numpy(np.int64))
+    return out
 
 
 def _originals(batches: Iterator[pd.DataFrame], copies: KeyTable) -> Iterator[pd.DataFrame]:
     """The rows that are no copies, in small batches."""
     for batch in small_batches(batches, "_text"):
-        yield batch[~copies.contains(batch["_id"].to_numpy(np.int64).view(np.uint64))]
+        yield batch[~_copied(batch, copies)]
 
 
 def _joined(parts: list[np.ndarray], dtype) -> np.ndarray:
@@ -250,8 +260,10 @@ def remove_repeats(
     kept = F.struct(F.lit(1).alias("_one"), *[docs[c] for c in carried or []]).alias("_carried")
     id_type = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), kept)
+    # the literal comes first: as a seed, the one hash would decide the other
+    docs = docs.withColumn("_t1", F.xxhash64("_text")).withColumn("_t2", F.xxhash64(F.lit(1), "_text"))
     copies = _copies(docs)
-    known = docs.filter("_id IS NOT NULL").select("_id", "_text")
+    known = docs.filter("_id IS NOT NULL").select("_id", "_text", "_t1", "_t2")
     sources = Sources(known, copies, windows, _repeated_minimisers(known, copies, windows))
     names = ["n_words", "n_removed", "kept_sha256", "_spans"] + ["kept_text"] * with_text
 
@@ -259,7 +271,7 @@ def remove_repeats(
         for batch in small_batches(batches, "_text"):
             ids = batch["_id"].to_numpy(np.float64, na_value=np.nan)
             plain = batch["_id"].fillna(0).to_numpy(np.int64)
-            copied = copies.contains(plain.view(np.uint64)) & ~np.isnan(ids)
+            copied = _copied(batch, copies)
             out = []
             for k, (text, found) in enumerate(zip(batch["_text"], sources.of(batch), strict=True)):
                 own = words(text)
@@ -288,7 +300,7 @@ def remove_repeats(
     carried_type = docs.schema["_carried"].dataType.simpleString()
     schema = f"_id long, _carried {carried_type}, n_words long, n_removed long, kept_sha256 string"
     schema += f", _spans array<{_SPAN}>" + ", kept_text string" * with_text
-    done = written(docs.select("_id", "_carried", "_text").mapInPandas(cut, schema), "repeat-free")
+    done = written(docs.select("_id", "_carried", "_text", "_t1", "_t2").mapInPandas(cut, schema), "repeat-free")
     spans = done.select("_id", F.explode("_spans").alias("_s")).select("_id", "_s.*")
     _verify(spans, docs.select("_id", "_text"), sources)
     columns = ["n_words", "n_removed", "kept_sha256"] + ["kept_text"] * with_text

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.common import lower_ascii, small_batches, written
@@ -52,6 +52,19 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(runs(own, shingle))
 
 
+def _set_name(tokens: np.ndarray) -> str | None:
+    return xxhash.xxh3_128_hexdigest(tokens.tobytes()) if len(tokens) else None
+
+
+def set_ids(text: Column, shingle: int = SHINGLE) -> Column:
+    """The set_id that ``jaccard_components`` gives a row with this text."""
+
+    def names(texts: pd.Series) -> pd.Series:
+        return pd.Series([_set_name(shingle_set(t, shingle)) for t in texts], dtype=object)
+
+    return F.pandas_udf(names, "string")(text)
+
+
 def least_shared(n: int) -> int:
     """How many shingles the prefix of a set of size n has beyond the shortest one, plus
     one: two similar sets share at least as many prefix shingles as the smaller has."""
@@ -185,7 +198,7 @@ def _document_sets(
                 marks = head[found[begin : begin + len(head)]]
                 begin += len(head)
                 blob = tokens.tobytes()
-                name = xxhash.xxh3_128_hexdigest(blob) if len(tokens) else None
+                name = _set_name(tokens)
                 if len(tokens) and enough_shared(len(tokens), len(marks), percent):
                     least = int(mixed(tokens + np.uint64(1)).min().view(np.int64))
                     out.append((len(tokens), name, least, marks.view(np.int64), blob))

@@ -73,3 +73,12 @@ def test_kept_text_and_carried_columns(docs_of):
 
 def test_empty_table(docs_of):
     assert remove_repeats(docs_of([])).collect() == []
+
+
+def test_an_id_of_which_one_text_is_a_copy(docs_of):
+    rng = random.Random(6)
+    one, other = text(rng, 30, 10**6), text(rng, 40, 10**6)
+    rows = [(1, one), (2, one), (2, other), (3, "x " + other), (4, one)]
+    found = remove_repeats(docs_of(rows)).collect()
+    assert sorted((str(r[0]), r[1], r[2], r[3]) for r in found) == brute_force(rows)
+    assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 0), (2, 0), (2, 30), (3, 40), (4, 30)]

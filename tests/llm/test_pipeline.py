@@ -47,3 +47,11 @@ def test_repeated_rows_and_nulls(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         docs.collect()
+
+
+def test_a_linked_row_leaves_other_texts_of_its_id(spark, sf_dir):
+    one, other = (" ".join(f"{x}{i}" for i in range(40)) for x in "vw")
+    rows = [(1, one), (2, one), (2, other), (2, other), (3, other + " x"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source")
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, one), (2, ""), (2, other)]
