@@ -118,3 +118,55 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_remo
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k ON k.doc_id = w.doc_id
 """
+
+ORACLE_SQL["op11_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, max(place) AS n FROM t GROUP BY conv_id
+), c AS (
+  -- crc32 of the decimal id: each byte, then eight shifts (-1)
+  SELECT a.conv_id, a.conv_id - a.conv_id % 5 AS base, coalesce(b.n, 0) AS base_n,
+         xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+               string_split(a.conv_id::VARCHAR, ''),
+               lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda y, x: CASE WHEN x >= 0 THEN xor(y, x)
+                               ELSE xor(y >> 1, 3988292384::BIGINT * (y & 1)) END),
+             4294967295::BIGINT) % 9 AS h
+  FROM ids a LEFT JOIN ids b ON b.conv_id = a.conv_id - a.conv_id % 5
+), r AS (
+  SELECT c.conv_id, t.place AS depth, role, text FROM c JOIN t ON t.conv_id = c.base AND t.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, c.base_n) + t.place - c.h, role, text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND t.place > c.h
+), p AS (
+  SELECT conv_id, depth, strlen(text) AS bytes,
+         string_agg(sha256(strlen(role) || ':' || role || text), '')
+           OVER (PARTITION BY conv_id ORDER BY depth) AS node
+  FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids
+), n AS (
+  SELECT node, any_value(depth) AS depth, any_value(bytes) AS bytes, min(conv_id) AS conv_id,
+         count(*) AS n_convs, CASE WHEN node <> '' THEN left(node, length(node) - 64) END AS parent
+  FROM p GROUP BY node
+), kids AS (
+  SELECT parent, count(*) AS n_children FROM n GROUP BY parent
+), sums AS (
+  SELECT a.node, count(*) FILTER (kids.parent IS NULL) AS n_leaves,
+         sum((n.n_convs - 1) * n.bytes) AS saved_tokens
+  FROM n JOIN p a ON a.conv_id = n.conv_id AND a.depth <= n.depth
+  LEFT JOIN kids ON kids.parent = n.node
+  GROUP BY a.node
+), ends AS (
+  SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, max_by(node, depth) AS node FROM p GROUP BY conv_id) GROUP BY node
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM n LEFT JOIN n up ON up.node = n.parent LEFT JOIN kids ON kids.parent = n.node
+JOIN sums ON sums.node = n.node LEFT JOIN ends ON ends.node = n.node
+"""

@@ -13,13 +13,16 @@ from docmill.llm.common import crc32_of_id, table
 from docmill.llm.cube import mix
 from docmill.llm.debruijn import remove_repeats
 from docmill.llm.int8_dedup import near_duplicates
+from docmill.llm.lexical_packing import pack
 from docmill.llm.neighbours import vote_quality
 from docmill.llm.ngram_lm import score_texts
 from docmill.llm.oracle import ORACLE_SQL
+from docmill.llm.prefix_trie import conversation_trie
 from docmill.llm.quality_rules import quality_rules
 from docmill.llm.token_groups import jaccard_components
 from docmill.llm.url_cascade import Rule, judge_urls
 from docmill.llm.warc import archive_round_trip
+from docmill.llm.whitening import whiten
 from docmill.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -111,3 +115,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = (crc32_of_id() % 7 == 2).alias("held_out")
     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return scored.select("doc_id", held_out, *names)
+
+
+@query("op11_prefix_trie")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_lexical_packing")
+def op12_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
