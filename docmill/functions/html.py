@@ -1,9 +1,14 @@
 """HTML to GitHub-flavoured Markdown with built-in string expressions.
 
-Not a full HTML parser: nested tables, items behind a nested list and attribute
-values that hold angle brackets degrade to their text. Every pattern is linear: what
+Lists and tables are converted from the inside out, one level of nesting in a pass; what
+an inner one becomes holds no tags, so it does not end an outer one. Nested lists are
+indented below their item; a table in a cell becomes lines of that cell, since Markdown
+has no nested tables. Not a full HTML parser: attribute values that hold angle brackets
+and nesting beyond ``DEPTH`` degrade to their text. Every pattern is linear: what
 it repeats are single characters, possessively and never across the next ``<``, or
 lazily up to an end that is always found.
+
+A page of a document ends at a form feed, or before an element whose style says so.
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docmill.functions.bind import let
+
 # Comments, scripts and styles go before the head, whose end they might fake.
 _DROPPED = [
     r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^<>]*+>.*?(?:</script\s*+>|\z)"
@@ -31,6 +38,12 @@ _BLOCKS = (
 _HEADING, _HREF, _LABEL, _LINK_END = "\u0001", "\u0002", "\u0003", "\u0004"
 _BULLET, _QUOTE, _CELL_BREAK = "\u0010", "\u0011", "\u0012"
 _KEPT_LINE, _KEPT_SPACE, _KEPT_TAB, _FENCE = "\u000e", "\u000f", "\u0013", "\u0014"
+_PAGE, _ROW, _NEXT_CELL, _ROW_END = "\u0015", "\u0016", "\u0017", "\u0018"
+_RULE, _DASHES, _BAR = "\u0019", "\u001a", "\u001b"
+_LIST, _LIST_END, _ITEM = "\u001d", "\u001f", "\u001e"
+
+#: Levels of lists, or of tables, that are told apart.
+DEPTH = 5
 
 
 def _attribute(name: str) -> str:
@@ -39,6 +52,9 @@ def _attribute(name: str) -> str:
     return rf"(?:[^<>\s]|\s(?!{name}\s*+=))*+\s{name}\s*+=\s*+{value}"
 
 
+# Before white space is collapsed, as a form feed is white space.
+_PAGE_STARTS = r"(?i)<(?=[a-z][^<>]*?(?:page-)?break-before\s*+:\s*+(?:always|page|left|right))"
+
 _INLINE = [
     (r"(?i)<br\s*+/?+>", "\n"),
     (r"(?i)<code(?:\s[^<>]*+)?+>([^<]++)</code\s*+>", "`$1`"),
@@ -62,7 +78,9 @@ _IMAGES = [
     (
         rf"(?i)<img(?=[\s/>])(?={_attribute('src')})(?=(?:{_attribute('alt')})?+)[^<>]*+>",
         "![$4$5$6]($1$2$3)",
-    )
+    ),
+    # data may be broken into lines, which an address in Markdown may not
+    (r"(?:(\]\(data:[^,()\s]*?;base64,)|\G(?!\A))([^\s()]*+)\s++", "$1$2"),
 ]
 
 _STRUCTURE = [
@@ -73,6 +91,8 @@ _STRUCTURE = [
     (r"<[a-zA-Z/!?][^<>]*+>", ""),
 ]
 
+_EDGES = [(_LIST, "\n\n"), (_LIST_END, "\n\n"), (_ITEM, ""), (_PAGE, f"\n\n{_PAGE}\n\n")]
+
 # What would begin a heading, a list or a quotation although the text only holds the character.
 _ESCAPED = [(r"(?m)^([ \t]*+)(#{1,6}+[ \t]|[-+][ \t]|>)", r"$1\\$2")]
 
@@ -80,6 +100,12 @@ _MARKS = [(f"{_HEADING}{n} ", "#" * n + " ") for n in range(1, 7)] + [
     (_BULLET, "- "),
     (_QUOTE, ">"),
     (_CELL_BREAK, "<br>"),
+    (_ROW, "| "),
+    (_NEXT_CELL, " | "),
+    (_ROW_END, " |"),
+    (_RULE, "|"),
+    (_DASHES, " --- |"),
+    (_BAR, "\\|"),
     (_KEPT_LINE, "\n"),
     (_KEPT_SPACE, " "),
     (_KEPT_TAB, "\t"),
@@ -100,6 +126,12 @@ def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
 
 
+def _with_page_marks(text: Column) -> Column:
+    """What begins a page is marked; a form feed would be lost as white space."""
+    styled = F.when(F.contains(text, F.lit("reak-before")), F.regexp_replace(text, _PAGE_STARTS, f"{_PAGE}<"))
+    return F.replace(F.coalesce(styled, text), F.lit("\f"), F.lit(_PAGE))
+
+
 def _elements(text: Column, name: str, change) -> Column:
     """``change`` applied to what is inside each element; what follows it stays.
 
@@ -125,32 +157,67 @@ def _preformatted(inside: Column) -> Column:
     return F.concat(fence, F.lit(_KEPT_LINE), kept, F.lit(_KEPT_LINE + _FENCE + "\n\n"))
 
 
-def _list(numbered: bool):
-    """Items behind numbers or bullets; a list that is not numbered inside one that is
-    keeps its bullets, as it is converted first."""
+def _inside_out(text: Column, names: str, change) -> Column:
+    """``change`` applied to elements of the same names, those inside others first.
+
+    In a pass text is split before start tags. A part that has an end tag is an element
+    that holds no other, and what follows it; so is the last one. Others wait for a
+    later pass; the last pass takes what is left as closed.
+    """
+    starts, end = rf"(?i)<(?:{names})[\s>]", rf"(?i)</(?:{names})\s*+>"
+
+    def part(value: Column, closed: Column) -> Column:
+        def parted(ends: Column) -> Column:
+            opened = F.element_at(ends, 1)
+            inside = F.regexp_replace(opened, rf"(?i)\A<(?:{names})[^<>]*+>?+", "")
+            rest = F.when(F.size(ends) > 1, F.element_at(ends, 2)).otherwise(F.lit(""))
+            return F.concat(change(opened, inside), rest)
+
+        applies = value.rlike(rf"(?i)\A<(?:{names})[\s>]") & (closed | value.rlike(end))
+        return F.when(applies, let(F.split(value, end, 2), parted)).otherwise(value)
+
+    def once(found: Column, level: Column) -> Column:
+        def joined(parts: Column) -> Column:
+            earlier = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda v: part(v, level == DEPTH))
+            return F.concat(F.array_join(earlier, ""), part(F.element_at(parts, -1), F.lit(True)))
+
+        parts = F.split(found, rf"(?i)(?=<(?:{names})[\s>])")
+        return F.when(found.rlike(starts), let(parts, joined)).otherwise(found)
+
+    return F.aggregate(F.array(*[F.lit(n) for n in range(1, DEPTH + 1)]), text, once)
 
-    def change(inside: Column) -> Column:
-        items = F.split(inside, r"(?i)<li(?:\s[^<>]*+)?+>\s*+")
 
-        def item(value: Column, i: Column) -> Column:
-            mark = F.concat(i.cast("string"), F.lit(". ")) if numbered else F.lit(_BULLET)
-            return F.when(i == 0, value).otherwise(F.concat(F.lit("\n"), mark, value))
+def _list(opened: Column, inside: Column) -> Column:
+    """Items behind numbers or bullets; the lines of lists inside them are indented."""
+    numbered = F.lower(F.substring(opened, 1, 3)) == "<ol"
+    items = F.split(inside, r"(?i)<li(?:\s[^<>]*+)?+>\s*+")
 
-        return F.concat(F.lit("\n\n"), F.array_join(F.transform(items, item), ""), F.lit("\n\n"))
+    def item(value: Column, i: Column) -> Column:
+        number = F.concat(i.cast("string"), F.lit(". "))
+        mark = F.when(numbered, number).otherwise(F.lit(_BULLET))
+        width = F.when(numbered, F.length(number)).otherwise(F.lit(2))
+        text = F.regexp_replace(value, r"(?i)</li\s*+>\s*+|</?+p(?:\s[^<>]*+)?+>", " ")
+        # lists that follow one another go on; text behind a list is a line of the item
+        text = F.regexp_replace(text, rf"{_LIST_END}\s*+(?:{_LIST}|\z)|{_LIST}", "")
+        text = F.replace(text, F.lit(_LIST_END), F.lit(f"\n{_ITEM}"))
+        indent = F.concat(F.lit(_ITEM), F.repeat(F.lit(_KEPT_SPACE), width))
+        text = F.replace(F.ltrim(text), F.lit(_ITEM), indent)
+        return F.when(i == 0, value).otherwise(F.concat(F.lit(f"\n{_ITEM}"), mark, text))
 
-    return change
+    return F.concat(F.lit(_LIST), F.array_join(F.transform(items, item), ""), F.lit(_LIST_END))
 
 
-def _table(inside: Column) -> Column:
-    """Rows of cells; end tags may be missing, breaks and bars in cells are kept."""
+def _table(opened: Column, inside: Column) -> Column:
+    """Rows of cells; end tags may be missing, breaks, bars and the rows of a table in a
+    cell are kept."""
     rows = F.split(inside, r"(?i)<tr(?=[\s>])")
 
     def cell(value: Column, _: Column | None = None) -> Column:
         text = F.regexp_replace(value, r"\A[^<>]*+>", "")
         text = F.regexp_replace(text, r"(?i)</?+(?:p|div|li)(?:\s[^<>]*+)?+>", "\n")
-        text = F.regexp_replace(text, r"<[a-zA-Z/!?][^<>]*+>", "")
-        text = F.regexp_replace(F.btrim(text, F.lit(" \n")), r" *+\n[ \n]*+", _CELL_BREAK)
-        return F.regexp_replace(text, r"\|", r"\\|")
+        text = F.regexp_replace(text, rf"<[a-zA-Z/!?][^<>]*+>|[{_ROW_END}{_RULE}{_DASHES}]", "")
+        text = F.translate(text, f"{_ROW}{_NEXT_CELL}|", f"\n {_BAR}")
+        return F.regexp_replace(F.btrim(text, F.lit(" \n")), r" *+\n[ \n]*+", _CELL_BREAK)
 
     def row(value: Column) -> Column:
         cells = F.split(value, r"(?i)<t[hd](?=[\s>])")
@@ -159,8 +226,8 @@ def _table(inside: Column) -> Column:
     filled = F.filter(F.transform(F.slice(rows, 2, F.size(rows)), row), lambda r: F.size(r) > 0)
 
     def line(r: Column, i: Column) -> Column:
-        text = F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |"))
-        rule = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), F.size(r)))
+        text = F.concat(F.lit(_ROW), F.array_join(r, _NEXT_CELL), F.lit(_ROW_END))
+        rule = F.concat(F.lit(f"\n{_RULE}"), F.repeat(F.lit(_DASHES), F.size(r)))
         return F.when(i == 0, F.concat(text, rule)).otherwise(text)
 
     return F.concat(F.lit("\n\n"), F.array_join(F.transform(filled, line), "\n"), F.lit("\n\n"))
@@ -188,30 +255,37 @@ def _entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
 
 
-def with_html_markdown(df: DataFrame, html: Column, out: str) -> DataFrame:
-    """Add the Markdown of each row's HTML; null HTML gives null.
+def with_html_markdown(df: DataFrame, html: Column, out: str, pages: str | None = None) -> DataFrame:
+    """Add the Markdown of each row's HTML; null HTML gives null. With ``pages`` also the
+    Markdown of each page, as an array.
 
     Each pattern is one pass over the text, and what most pages lack is looked for
     first. One projection per step that reads its input more than once: Spark then
     computes that input only once.
     """
-    images = F.when(F.col("_4").rlike(r"(?i)<img\b"), _rewrite(F.col("_4"), _IMAGES)).otherwise(F.col("_4"))
-    steps = [
-        _rewrite(html, [(p, "") for p in _DROPPED]),
-        _elements(F.col("_0"), "pre", _preformatted),
-        F.regexp_replace("_1", r"\s+", " "),
-        _rewrite(F.col("_2"), _INLINE),
-        _rewrite(F.col("_3"), _LINKS),
-        images,
-        _elements(F.col("_5"), "table", _table),
-        _elements(F.col("_6"), "ul", _list(False)),
-        _elements(F.col("_7"), "ol", _list(True)),
-        _rewrite(F.col("_8"), _STRUCTURE),
-        _entities(_rewrite(F.col("_9"), _SPACING)),
-    ]
-    for n, step in enumerate(steps):
-        df = df.withColumn(f"_{n}", step)
-    last = F.btrim(F.col(f"_{len(steps) - 1}"), F.lit(" \n"))
-    return df.withColumn(out, _replaced(_rewrite(last, _ESCAPED), _MARKS)).drop(
-        *[f"_{n}" for n in range(len(steps))]
-    )
+    count = 0
+
+    def step(change) -> None:
+        nonlocal df, count
+        df = df.withColumn(f"_{count + 1}", change(F.col(f"_{count}")))
+        count += 1
+
+    df = df.withColumn("_0", _rewrite(html, [(p, "") for p in _DROPPED]))
+    step(lambda t: _elements(t, "pre", _preformatted))
+    step(lambda t: F.regexp_replace(_with_page_marks(t), r"\s+", " "))
+    step(lambda t: _rewrite(t, _INLINE))
+    step(lambda t: _rewrite(t, _LINKS))
+    step(lambda t: F.when(t.rlike(r"(?i)<img\b"), _rewrite(t, _IMAGES)).otherwise(t))
+    step(lambda t: _inside_out(t, "table", _table))
+    step(lambda t: _inside_out(t, "ul|ol", _list))
+    step(lambda t: _replaced(_rewrite(t, _STRUCTURE), _EDGES))
+    step(lambda t: _entities(_rewrite(t, _SPACING)))
+    text = F.col(f"_{count}")
+    last = F.btrim(text, F.lit(" \n"))
+    df = df.withColumn("_last", _replaced(_rewrite(last, _ESCAPED), _MARKS))
+    between = rf"\n*+{_PAGE}\n*+"
+    whole = F.btrim(F.regexp_replace("_last", between, "\n\n"), F.lit("\n"))
+    df = df.withColumn(out, F.when(F.contains("_last", F.lit(_PAGE)), whole).otherwise(F.col("_last")))
+    if pages is not None:
+        df = df.withColumn(pages, F.split("_last", between))
+    return df.drop("_last", *[f"_{n}" for n in range(count + 1)])

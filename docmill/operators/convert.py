@@ -20,15 +20,18 @@ def csv_to_markdown(df: DataFrame, source: str = "content", out: str = "markdown
     return with_csv_markdown(df, as_text(F.col(source)), out)
 
 
-def to_markdown(df: DataFrame, source: str = "content", out: str = "markdown") -> DataFrame:
-    """Convert each row by its ``format``; other formats give null."""
+def to_markdown(
+    df: DataFrame, source: str = "content", out: str = "markdown", pages: str | None = None
+) -> DataFrame:
+    """Convert each row by its ``format``; other formats give null. With ``pages`` also the
+    Markdown of each page of a paged text, as an array."""
 
     def when_format(kind: str) -> Column:
         return F.when(F.col("format") == kind, as_text(F.col(source)))
 
     tables = with_csv_markdown(df, when_format("csv"), "_table")
     return (
-        with_html_markdown(tables, when_format("html"), "_page")
+        with_html_markdown(tables, when_format("html"), "_page", pages)
         .withColumn(out, F.coalesce("_page", "_table"))
         .drop("_page", "_table")
     )

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from docmill import rules
 from docmill.functions import options as opt
+from docmill.functions import zipped
+from docmill.functions.bind import let
 from docmill.functions.text import as_bytes, as_text, is_blank, trimmed
 
 
@@ -108,16 +110,29 @@ _HTML_START = (
 )
 
 
+def _zip_format(said: Column, listed: Column) -> Column:
+    """By the media type of the first entry, else by the entries of the directory."""
+    kind = F.lit(None).cast("string")
+    for name, part in reversed(rules.ZIP_PARTS.items()):
+        kind = F.when(zipped.has_entry(listed, part), name).otherwise(kind)
+    for name, mark in rules.ZIP_TYPES.items():
+        kind = F.when(said == mark.decode(), name).otherwise(kind)
+    return kind
+
+
 def format_by_content(content: Column) -> Column:
     """Format told by the bytes alone; null when they do not tell."""
     data = as_bytes(content)
-    zipped = F.lit(None).cast("string")
-    for kind, mark in reversed(rules.ZIP_MARKS.items()):
-        zipped = F.when(F.contains(data, F.lit(mark)), kind).otherwise(zipped)
+    zip_format = let(
+        zipped.directory(data),
+        lambda listed: let(
+            F.trim(zipped.media_type(data).cast("string")), lambda said: _zip_format(said, listed)
+        ),
+    )
     return (
         F.when(_starts_with(data, rules.PDF_MAGIC), "pdf")
         .when(_starts_with(data, rules.RTF_MAGIC), "rtf")
-        .when(_starts_with(data, rules.ZIP_MAGIC), zipped)
+        .when(_starts_with(data, rules.ZIP_MAGIC), zip_format)
         .when(as_text(data).rlike(_HTML_START), "html")
     )
 

@@ -112,25 +112,57 @@ def latency_metrics(
     )
 
 
-def latency_sketch(
+#: Size of a sketch, and how far the rank of what it answers may lie from the rank asked
+#: for, as a share of the calls, with 99 % confidence.
+SKETCH_SIZE, SKETCH_RANK_ERROR = 400, 0.01
+
+
+def latency_sketches(
     calls: DataFrame,
+    width: str = "1 day",
+    event_time: str = "ts",
     by: tuple[str, ...] = ("class",),
-    ranks: tuple[float, ...] = (0.5, 0.95, 0.99),
-    accuracy: int = 10_000,
+    elapsed: str = "elapsed_ms",
+    size: int = SKETCH_SIZE,
 ) -> DataFrame:
-    """Approximate percentiles in one pass, for times finer than milliseconds."""
-    marks = F.percentile_approx("elapsed_ms", list(ranks), accuracy)
+    """A quantile sketch of elapsed times per window and group, a few kilobytes each.
+
+    Sketches are stored and merged later, for any span of windows, without the calls.
+    A sketch is built per task before anything is shuffled, so a busy group is no hot key.
+    """
     return (
-        calls.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("calls"), marks.alias("_marks"))
-        .select(
-            *by,
-            "calls",
-            *[F.col("_marks")[i].alias(_rank_name(r)) for i, r in enumerate(ranks)],
+        calls.groupBy(F.window(event_time, width).alias("_window"), *by)
+        .agg(
+            F.count(elapsed).alias("calls"),
+            F.min(elapsed).alias("min_ms"),
+            F.max(elapsed).alias("max_ms"),
+            F.kll_sketch_agg_bigint(F.col(elapsed).cast("long"), size).alias("sketch"),
         )
+        .select(F.col("_window.start").alias("window_start"), *by, "calls", "min_ms", "max_ms", "sketch")
     )
 
 
+def merged_latencies(
+    sketches: DataFrame,
+    by: tuple[str, ...] = ("class",),
+    ranks: tuple[float, ...] = (0.5, 0.95, 0.99),
+    size: int = SKETCH_SIZE,
+) -> DataFrame:
+    """Percentiles over all windows of a table of sketches, within the sketches' rank error."""
+    merged = sketches.groupBy(*by).agg(
+        F.sum("calls").alias("calls"),
+        F.count(F.lit(1)).alias("windows"),
+        F.min("min_ms").alias("min_ms"),
+        F.max("max_ms").alias("max_ms"),
+        F.kll_merge_agg_bigint("sketch", size).alias("_sketch"),
+    )
+    marks = [
+        F.when(F.col("calls") > 0, F.kll_sketch_get_quantile_bigint("_sketch", F.lit(rank))).alias(_rank_name(rank))
+        for rank in ranks
+    ]
+    return merged.select(*by, "calls", "windows", "min_ms", "max_ms", *marks)
+
+
 def windowed_metrics(
     outcomes: DataFrame, width: str = "1 hour", event_time: str = "ts", by: str = "class"
 ) -> DataFrame:

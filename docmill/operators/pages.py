@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docmill import rules
+from docmill import rules, schemas
 from docmill.functions import pagespec
 from docmill.functions.salts import SALTS, salt, salt_list, used_salts
 from docmill.functions.text import non_blank
+from docmill.session import cut
 
 
 def normalised(text: Column) -> Column:
@@ -197,6 +198,52 @@ def strip_repeated_lines(
     )
 
 
+def document_headers_footers(
+    docs: DataFrame,
+    doc: str,
+    texts: str,
+    min_pages: int = 2,
+    min_frequency: float = 0.5,
+    separator: str = "\n\n",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Headers and footers of documents that hold their pages as an array of texts.
+
+    Per document (``doc`` is unique) with any: ``headers_footers``, its entries by first
+    kind and text, ``headers_footers_stripped``, the lines taken out, and ``_stripped``, its
+    pages without them. A line counts as one where it is on ``min_pages`` pages and on
+    ``min_frequency`` of them.
+    """
+    rows = docs.select(F.col(doc), F.posexplode(texts).alias("_no", "_text"))
+    # a page's own id, so that a long document's pages spread
+    rows = rows.withColumn("_page", F.concat_ws("#", F.col(doc).cast("string"), F.col("_no").cast("string")))
+    found = cut(detect_repeated_lines(rows, min_pages, min_frequency, doc, "_page", "_text", salts), "repeated-lines")
+    entry = {
+        "kind": F.col("kind"),
+        "location": F.col("location"),
+        "text": F.col("text"),
+        "pages_seen": F.col("pages_seen"),
+        "page_frequency": F.col("page_frequency"),
+        "page_number": F.col("page_number"),
+        "source": F.lit("repeated_lines"),
+    }
+    fields = [
+        entry.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.HEADER_FOOTER.fields
+    ]
+    order = F.struct(F.when(F.col("kind") == "header", 0).otherwise(1), "normalised", F.struct(*fields).alias("entry"))
+    entries = found.groupBy(doc).agg(F.sort_array(F.collect_list(order)).alias("_entries"))
+    entries = entries.select(doc, F.transform("_entries", lambda e: e["entry"]).alias("headers_footers"))
+    stripped = strip_repeated_lines(rows, found, doc, "_page", "_text", salts)
+    # a document's pages come back together, as they were in its row
+    whole = stripped.groupBy(doc).agg(
+        F.sort_array(F.collect_list(F.struct("_no", "stripped_text"))).alias("_all"),
+        F.sum("lines_stripped").alias("headers_footers_stripped"),
+    )
+    filled = F.filter(F.transform("_all", lambda p: F.btrim(p["stripped_text"], F.lit("\n"))), lambda t: t != "")
+    whole = whole.select(doc, "headers_footers_stripped", F.array_join(filled, separator).alias("_stripped"))
+    return whole.join(entries, doc)
+
+
 def select_pages(
     pages: DataFrame, spec: str | Column | None, page_no: str = "page_no"
 ) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill import rules
+from docmill import rules, schemas
 from docmill.functions.options import bypasses_cache
-from docmill.functions.text import is_blank
-from docmill.operators import contract, convert, intake, reuse
+from docmill.functions.text import flag, is_blank
+from docmill.operators import contract, convert, intake, pages, reuse, sections
 from docmill.session import cut
 
 # Failures that are decided without converting: class, http_status, error_code.
@@ -57,7 +57,13 @@ def convert_batch(
     """Outcomes with nullable ``result`` and ``error`` structs, and a route.
 
     Rows of one key share a conversion, or the stored result in ``store``
-    (variant_key, markdown). A row that fails touches no other row.
+    (variant_key, markdown, and what ``schemas.EXTRAS`` names, if it has it). A row that
+    fails touches no other row.
+
+    ``include_assets`` fills ``result.assets`` with the images that a text holds itself.
+    ``headers_footers`` finds the lines that recur on most pages of a paged text, takes
+    them out and lists them; without it both fields are null. A row is not timed, so
+    ``elapsed_ms`` is null.
     """
     ready = prepare(docs, id_col, max_bytes)
     # Names, hashes, formats and classes are worked out once, and written without the
@@ -67,8 +73,13 @@ def convert_batch(
             "_bypass", bypasses_cache(F.col("options"))
         )
     )
+    wanted = {f"_{name}": flag(F.col("options")[name]) for name in ("include_assets", "headers_footers")}
     keys = reuse.distinct_keys(
-        narrow.filter(F.col("class").isNull()), "variant_key", id_col, salts, ("format", "_bypass")
+        narrow.filter(F.col("class").isNull()).withColumns(wanted),
+        "variant_key",
+        id_col,
+        salts,
+        ("format", "_bypass", *wanted),
     ).drop("calls")
     if store is None:
         todo, hits = keys, None
@@ -77,33 +88,50 @@ def convert_batch(
         known = store.select(F.col("variant_key").alias("_known"))
         match = (F.col("variant_key") == F.col("_known")) & ~F.col("_bypass")
         todo = keys.join(known, match, "left_anti")
+        kept = [c for c in schemas.EXTRAS if c in store.columns]
         hits = keys.join(known, match, "left_semi").join(
-            store.select("variant_key", F.col("markdown").alias("_stored")), "variant_key"
+            store.select("variant_key", F.col("markdown").alias("_stored"), *kept), "variant_key"
         )
     # What is refused is dropped at the scan, before its content would be moved.
     convertible = ready.filter(F.col("class").isNull()).select(id_col, "content")
     work = reuse.with_content(convertible, todo, id_col)
-    done = convert.to_markdown(work).select(
-        "variant_key",
-        "_salts",
-        F.col("markdown"),
-        F.col(id_col).alias("_owner"),
-        F.lit(False).alias("cache_hit"),
-    )
+    # What no row asks for costs nothing: the narrow rows tell.
+    asked = narrow.agg(*[F.coalesce(F.max(value), F.lit(False)).alias(name) for name, value in wanted.items()]).first()
+    shared = ["variant_key", "_salts", "markdown", F.col(id_col).alias("_owner"), *schemas.EXTRAS]
+    done = _converted(work, id_col, asked["_include_assets"], asked["_headers_footers"]).select(*shared, F.lit(False).alias("cache_hit"))
     if hits is not None:
-        done = done.unionByName(
-            hits.select(
-                "variant_key",
-                "_salts",
-                F.col("_stored").alias("markdown"),
-                F.col(id_col).alias("_owner"),
-                F.lit(True).alias("cache_hit"),
-            )
-        )
+        hits = _with_extras(hits.withColumn("markdown", F.col("_stored")))
+        done = done.unionByName(hits.select(*shared, F.lit(True).alias("cache_hit")))
     calls = narrow.drop("_bypass")
     return _outcomes(reuse.hand_back(calls, done, "variant_key", id_col, salts), id_col)
 
 
+def _with_extras(rows: DataFrame) -> DataFrame:
+    """Fields of a result that rows lack, as nulls."""
+    missing = [c for c in schemas.EXTRAS if c not in rows.columns]
+    return rows.withColumns({c: F.lit(None).cast(schemas.RESULT[c].dataType) for c in missing})
+
+
+def _converted(work: DataFrame, id_col: str, include_assets: bool, headers_footers: bool) -> DataFrame:
+    """Markdown of the rows to convert, and what their options ask for besides."""
+    done = convert.to_markdown(work, pages="_pages" if headers_footers else None)
+    if headers_footers:
+        paged = F.col("_headers_footers") & (F.size("_pages") > 1)
+        done = cut(done.drop("content").withColumn("_pages", F.when(paged, F.col("_pages"))), "converted")
+        found = pages.document_headers_footers(done.filter("_pages IS NOT NULL"), id_col, "_pages")
+        none = F.array().cast(schemas.RESULT["headers_footers"].dataType)
+        done = done.join(found, id_col, "left").withColumns(
+            {
+                "markdown": F.coalesce("_stripped", "markdown"),
+                "headers_footers": F.when(F.col("_headers_footers"), F.coalesce("headers_footers", none)),
+            }
+        )
+    if include_assets:
+        asked = F.when(F.col("_include_assets"), F.col("markdown"))
+        done = done.withColumn("assets", F.when(F.col("_include_assets"), sections.embedded_assets(asked)))
+    return _with_extras(done)
+
+
 def _outcomes(rows: DataFrame, id_col: str) -> DataFrame:
     classed = rows.withColumns(
         {
@@ -117,6 +145,7 @@ def _outcomes(rows: DataFrame, id_col: str) -> DataFrame:
     ok = F.col("class") == rules.SUCCESS
     status = _fixed({name: value[0] for name, value in _REFUSED.items()}, "long")
     code = _fixed({name: value[1] for name, value in _REFUSED.items()}, "string")
+    no_assets = F.array().cast(schemas.RESULT["assets"].dataType)
     return routed.select(
         F.col(id_col),
         "request_id",
@@ -134,8 +163,13 @@ def _outcomes(rows: DataFrame, id_col: str) -> DataFrame:
             F.struct(
                 "markdown",
                 "format",
+                F.lit(None).cast("double").alias("elapsed_ms"),
                 F.col("size_bytes").alias("input_bytes"),
+                "request_id",
+                F.coalesce("assets", no_assets).alias("assets"),
                 F.coalesce("cache_hit", F.lit(False)).alias("cache_hit"),
+                "headers_footers",
+                "headers_footers_stripped",
             ),
         ).alias("result"),
         F.when(
@@ -150,6 +184,11 @@ def _outcomes(rows: DataFrame, id_col: str) -> DataFrame:
     )
 
 
+def results_of(outcomes: DataFrame) -> DataFrame:
+    """The results of what was converted, with the columns that the tables of nested parts read."""
+    return outcomes.filter(F.col("result").isNotNull()).select("result.*")
+
+
 def outcome_summary(outcomes: DataFrame) -> DataFrame:
     """Outcomes as flat columns, with the size of the Markdown instead of its text."""
     return outcomes.select(

@@ -83,20 +83,81 @@ def documents_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _little_endian(number: Column, size: int) -> Column:
+    digits = F.lpad(F.hex(number.cast("long")), 2 * size, "0")
+    return F.unhex(F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(size))]))
+
+
+def with_zip(df: DataFrame, out: str, entries: list[tuple[str, str]], comment: str = "") -> DataFrame:
+    """Add a zip file of entries (name, binary column) that are stored as they are."""
+    facts = {f"_crc{k}": F.crc32(F.col(c)) for k, (_, c) in enumerate(entries)}
+    facts |= {f"_size{k}": F.octet_length(F.col(c)) for k, (_, c) in enumerate(entries)}
+    df = df.withColumns(facts).withColumns(
+        {
+            f"_shared{k}": F.concat(
+                F.unhex(F.lit("00" * 8)),
+                _little_endian(F.col(f"_crc{k}"), 4),
+                _little_endian(F.col(f"_size{k}"), 4),
+                _little_endian(F.col(f"_size{k}"), 4),
+                F.lit(len(name).to_bytes(2, "little") + bytes(2)),
+            )
+            for k, (name, _) in enumerate(entries)
+        }
+    )
+    local, listed, at = [], [], F.lit(0)
+    for k, (name, data) in enumerate(entries):
+        shared = F.col(f"_shared{k}")
+        local += [F.lit(b"PK\x03\x04\x14\x00"), shared, F.lit(name.encode()), F.col(data)]
+        listed += [
+            F.lit(b"PK\x01\x02\x14\x00\x14\x00"), shared, F.lit(bytes(10)), _little_endian(at, 4), F.lit(name.encode())
+        ]
+        at = at + F.col(f"_size{k}") + 30 + len(name)
+    size = sum(46 + len(name) for name, _ in entries)
+    count = len(entries).to_bytes(2, "little")
+    head = F.lit(b"PK\x05\x06\x00\x00\x00\x00" + count + count + size.to_bytes(4, "little"))
+    end = [head, _little_endian(at, 4), F.lit(len(comment).to_bytes(2, "little") + comment.encode())]
+    helpers = [f"_{kind}{k}" for kind in ("crc", "size", "shared") for k in range(len(entries))]
+    return df.withColumn(out, F.concat(*local, *listed, *end)).drop(*helpers)
+
+
 def signed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts behind the signatures of several formats, under right and wrong names."""
+    """Texts behind the signatures of several formats, under right and wrong names.
+
+    Zip files hold whole texts, and one of another format next to their own parts.
+    """
     n, text = F.col("doc_id"), F.col("text")
-    zip_head = F.lit("PK\x03\x04 ")
+    parts = table(spark, sf_dir, "documents").withColumns(
+        {
+            "_text": text.cast("binary"),
+            "_epub": F.lit(b"application/epub+zip"),
+            "_odt": F.lit(b"application/vnd.oasis.opendocument.text"),
+        }
+    )
+    for out, entries in {
+        "_sheet": [("xl/workbook.xml", "_text")],
+        "_letter": [("word/document.xml", "_text")],
+        "_letter_with_sheet": [("word/embeddings/sheet.xlsx", "_sheet"), ("word/document.xml", "_text")],
+        "_sheet_with_letter": [("xl/embeddings/text.docx", "_letter"), ("xl/workbook.xml", "_text")],
+        "_book": [("mimetype", "_epub"), ("word/document.xml", "_text")],
+        "_open_text": [("mimetype", "_odt"), ("content.xml", "_text")],
+        "_no_format": [("notes/word/document.xml", "_text")],
+    }.items():
+        parts = with_zip(parts, out, entries, "a comment" if out == "_sheet_with_letter" else "")
     content = (
-        F.when(n % 8 == 0, F.concat(F.lit("%PDF-1.7\n"), text))
-        .when(n % 8 == 1, F.concat(F.lit("{\\rtf1 "), text))
-        .when(n % 8 == 2, F.concat(zip_head, text, F.lit("word/document.xml")))
-        .when(n % 8 == 3, F.concat(zip_head, F.lit("mimetypeapplication/epub+zip"), text))
-        .when(n % 8 == 4, F.concat(F.lit(" <!DOCTYPE html>"), text))
-        .otherwise(text)
+        F.when(n % 8 == 0, F.concat(F.lit(b"%PDF-1.7\n"), F.col("_text")))
+        .when(n % 8 == 1, F.concat(F.lit(b"{\\rtf1 "), F.col("_text")))
+        .when(n % 16 == 2, F.col("_letter_with_sheet"))
+        .when(n % 16 == 10, F.col("_sheet_with_letter"))
+        .when(n % 16 == 3, F.col("_book"))
+        .when(n % 16 == 11, F.col("_open_text"))
+        .when(n % 8 == 4, F.concat(F.lit(b" <!DOCTYPE html>"), F.col("_text")))
+        .when(n % 16 == 7, F.col("_no_format"))
+        # one that was cut off has no directory
+        .when(n % 16 == 6, F.substring("_sheet", F.lit(1), F.octet_length("_sheet") - 30))
+        .otherwise(F.col("_text"))
     )
     name = F.concat(F.col("lang"), kind_of(n, [".txt", ".doc", ".zip", "", ".csv", ".CSV", ".docx", ".md"]))
-    signed = table(spark, sf_dir, "documents").withColumn("content", content)
+    signed = parts.withColumn("content", content)
     # what may stand before a page's first tag, also much of it
     before = kind_of(
         F.col("page_id"),
@@ -104,7 +165,7 @@ def signed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("input_ordinal"),
-        F.concat(before, F.col("html")).alias("content"),
+        F.concat(before, F.col("html")).cast("binary").alias("content"),
         F.lit("page.docx").alias("filename"),
     )
     return pages.unionByName(
@@ -116,22 +177,42 @@ def signed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_markup(line: Column) -> Column:
+    """A line as markup has it: single spaces, from its first letter on, with references."""
+    text = F.trim(F.regexp_replace(line, r"[ \t\x0B\f\r]+", " "))
+    text = F.regexp_replace(text, r"^[^\p{L}]+", "")
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;")):
+        text = F.replace(text, F.lit(char), F.lit(name))
+    return text
+
+
 def structured_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's name and first words in the kinds of markup that are hard to convert."""
-    word = F.regexp_extract("text", "[A-Za-z]+", 0)
-    other = F.regexp_extract("text", "([A-Za-z]+)[^A-Za-z]*$", 1)
+    """All lines of each document in the kinds of markup that are hard to convert: items of
+    nested lists, cells of a table and of one inside it, links, images and plain lines."""
+
     number = F.col("doc_id").cast("string")
+
+    def around(before: str, line: Column, after: str) -> Column:
+        return F.concat(F.lit(before), line, F.lit(after))
+
+    def item(line: Column, i: Column) -> Column:
+        nested = F.concat(around("<li><p>", line, "</p>"), around("<ol><li>", line, "<li><b>x</b></ol>"))
+        return F.when(i % 3 == 1, nested).otherwise(around("<li>", line, "</li>"))
+
+    def row(line: Column, i: Column) -> Column:
+        inner = around("<table><tr><td>", line, "<td>y<tr><td>z</table>")
+        cell = F.when(i % 3 == 2, inner).otherwise(line)
+        return F.concat(F.lit("<tr><td>"), i.cast("string"), F.lit("<td>"), cell)
+
     html = F.concat(
-        *[x if isinstance(x, Column) else F.lit(x) for x in [
-            "<h2 class='k'>", F.col("source"), "</h2><ol><li>", word, "</li><li><span>", other, "</span></ol>",
-            "<ul><li>", other, "<li>", word, "</ul><table border=1><tr><th>no<th>a|b<tr><td>", number,
-            "<td><p>", word, "</p><p>", other, "</p><tr><td></td><td>", word, "<br>", other, "</td></table>",
-            "<a class=x href=/d/", number, ">see <span>", word, "</span></a>",
-            '<img alt="', word, '" src="i', number, '.png">',
-            "<p>&#233;&#x27;&eacute;&amp;lt;</p><pre>", word, "\n  ", other, "</pre><p># ", word, "</p>- ", other,
-        ]]
+        F.lit("<h2 class='k'>"), F.col("source"), F.lit("</h2><ul>"), F.array_join(F.transform("_lines", item), "\n"),
+        F.lit("</ul><table border=1><tr><th>no<th>a|b"), F.array_join(F.transform("_lines", row), ""),
+        F.lit("</table><a class=x href=/d/"), number, F.lit(">see <span>"), number, F.lit("</span></a>"),
+        F.lit('<img alt="'), number, F.lit('" src="i'), number, F.lit('.png"><p>&#233;&#x27;&eacute;&amp;lt;</p><pre>'),
+        F.array_join("_lines", "\n  "), F.lit("</pre><p># "), number, F.lit("</p>"),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", html.alias("html"))
+    docs = table(spark, sf_dir, "documents").withColumn("_lines", _lines())
+    return docs.select("doc_id", html.alias("html"))
 
 
 def as_csv() -> Column:
@@ -174,6 +255,59 @@ def mixed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.unionByName(document_columns(docs, "_ordinal", "_content", mixed_name()))
 
 
+def _lines(text: str = "text") -> Column:
+    return F.filter(F.transform(F.split(text, "\n"), _as_markup), lambda line: line != "")
+
+
+def illustrated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as HTML, a paragraph for each line; behind some lines is an image that
+    holds the line, behind others one whose data is damaged. Even ones ask for assets."""
+    lines = F.filter(F.split("text", "\n"), lambda line: _as_markup(line) != "")
+
+    def paragraph(line: Column, i: Column) -> Column:
+        text = F.concat(F.lit("<p>"), _as_markup(line), F.lit("</p>"))
+        image = F.concat(F.lit('<img alt=f src="data:image/png;base64,'), F.base64(line.cast("binary")), F.lit('">'))
+        damaged = F.lit("<img src='data:image/png;base64,!'>")
+        return F.concat(text, F.when(i % 3 == 0, image).when(i % 5 == 4, damaged).otherwise(F.lit("")))
+
+    html = F.concat(
+        F.lit("<html><h1>"), F.col("source"), F.lit("</h1>"),
+        F.array_join(F.transform(lines, paragraph), ""), F.lit("</html>"),
+    )
+    docs = table(spark, sf_dir, "documents").withColumn("_html", html)
+    opts = options(include_assets=F.col("doc_id") % 2 == 0)
+    return document_columns(docs, "doc_id", "_html", F.lit("doc.html"), opts)
+
+
+def paged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as HTML of pages of three lines between a header and a footer. Each
+    line begins with letters of its own. A third asks for headers and footers."""
+
+    def paragraph(text: Column) -> Column:
+        return F.concat(F.lit("<p>"), text, F.lit("</p>"))
+
+    def told_apart(line: Column, i: Column) -> Column:
+        return F.concat(F.translate(i.cast("string"), "0123456789", "abcdefghij"), F.lit(" "), line)
+
+    n = F.size("_lines")
+    pages = F.ceil(n / 3).cast("int")
+
+    def page(k: Column) -> Column:
+        body = F.transform(F.slice("_lines", k * 3 - 2, 3), paragraph)
+        header = paragraph(F.concat("source", F.lit(" report")))
+        footer = paragraph(F.concat(F.lit("Page "), k.cast("string"), F.lit(" of "), pages.cast("string")))
+        return F.concat(header, F.array_join(body, ""), footer)
+
+    text = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), pages), page), "\f")).otherwise("")
+    docs = (
+        table(spark, sf_dir, "documents")
+        .withColumn("_lines", F.transform(_lines(), told_apart))
+        .withColumn("_html", F.concat(F.lit("<html>"), text, F.lit("</html>")))
+    )
+    asked = options(headers_footers=F.when(F.col("doc_id") % 3 < 2, F.col("doc_id") % 3 == 0))
+    return document_columns(docs, "doc_id", "_html", F.lit("doc.html"), asked)
+
+
 def structured_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as Markdown: lines become nested headings, text and images."""
 
@@ -475,4 +609,5 @@ def timed_calls(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_type").alias("class"),
         F.round(F.col("value") * 100).cast("long").alias("elapsed_ms"),
+        "ts",
     )

@@ -295,6 +295,18 @@ wording AS (
   FROM used GROUP BY source, normalised, line),
 total AS (SELECT source, count(DISTINCT doc_id) AS pages FROM documents GROUP BY source)"""
 
+# Lines from their first letter on, with single spaces; those without a letter are left out.
+_CLEAN = r"""
+WITH trimmed AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS raw,
+         list_transform(string_split(text, chr(10)), lambda x:
+           regexp_replace(trim(regexp_replace(x, '[ \t\x0B\f\r]+', ' ', 'g')), '^[^\pL]+', '')) AS lines
+  FROM documents),
+cleaned AS (
+  SELECT doc_id, source, list_filter(lines, lambda x: x <> '') AS lines,
+         list_filter(raw, lambda x, i: lines[i] <> '') AS raw
+  FROM trimmed)"""
+
 _JOBS = r"""
 WITH jobs AS (
   SELECT user_id || ':' || strftime(ts, '%Y-%m-%d') AS job_id, ts, event_id AS n,
@@ -390,7 +402,8 @@ SELECT page_id AS input_ordinal, 'page.docx' AS filename, 'html' AS format, 'con
 FROM pages
 UNION ALL
 SELECT doc_id + {_OFFSET}, filename,
-       ['pdf', 'rtf', 'docx', 'epub', 'html', 'csv', 'docx', NULL][doc_id % 8 + 1],
+       ['pdf', 'rtf', 'docx', 'epub', 'html', 'csv', 'docx', NULL,
+        'pdf', 'rtf', 'xlsx', 'odt', 'html', 'csv', 'docx', NULL][doc_id % 16 + 1],
        CASE WHEN doc_id % 8 < 5 THEN 'content' WHEN doc_id % 8 < 7 THEN 'extension' ELSE 'unknown' END
 FROM named""",
     # --- reuse ---------------------------------------------------------------
@@ -415,24 +428,65 @@ FROM opts LEFT JOIN store USING (variant_key)""",
     "stream_dedup": "SELECT DISTINCT user_id || ':' || event_type AS variant_key FROM events",
     # --- conversion ----------------------------------------------------------
     "html_to_markdown": f"WITH {_html('pages', 'page_id', 'html')} SELECT page_id, markdown FROM md",
-    "html_structures": r"""
-WITH d AS (
-  SELECT doc_id, source, doc_id::VARCHAR AS n, regexp_extract(text, '[A-Za-z]+') AS a,
-         regexp_extract(text, '([A-Za-z]+)[^A-Za-z]*$', 1) AS b
-  FROM documents)
-SELECT doc_id, concat('## ', source, chr(10), chr(10), '1. ', a, chr(10), '2. ', b, chr(10), chr(10),
-       '- ', b, chr(10), '- ', a, chr(10), chr(10), '| no | a\|b |', chr(10), '| --- | --- |', chr(10),
-       '| ', n, ' | ', a, '<br>', b, ' |', chr(10), '|  | ', a, '<br>', b, ' |', chr(10), chr(10),
-       '[see ', a, '](/d/', n, ')![', a, '](i', n, '.png)', chr(10), chr(10), 'é''é&lt;', chr(10), chr(10),
-       '```', chr(10), a, chr(10), '  ', b, chr(10), '```', chr(10), chr(10), '\# ', a, chr(10), chr(10),
-       '\- ', b) AS markdown
-FROM d""",
+    "html_structures": _CLEAN
+    + r"""
+SELECT doc_id, concat('## ', source, chr(10), chr(10),
+       CASE WHEN len(lines) > 0 THEN concat(array_to_string(list_transform(lines, lambda x, i:
+         CASE WHEN (i - 1) % 3 = 1 THEN concat('- ', x, chr(10), '  1. ', x, chr(10), '  2. **x**')
+              ELSE '- ' || x END), chr(10)), chr(10), chr(10)) ELSE '' END,
+       '| no | a\|b |', chr(10), '| --- | --- |',
+       array_to_string(list_transform(lines, lambda x, i: concat(chr(10), '| ', i - 1, ' | ',
+         replace(x, '|', '\|'), CASE WHEN (i - 1) % 3 = 2 THEN ' y<br>z' ELSE '' END, ' |')), ''),
+       chr(10), chr(10), '[see ', doc_id, '](/d/', doc_id, ')![', doc_id, '](i', doc_id, '.png)', chr(10), chr(10),
+       'é''é&lt;', chr(10), chr(10), '```', chr(10), array_to_string(lines, chr(10) || '  '), chr(10), '```',
+       chr(10), chr(10), '\# ', doc_id) AS markdown
+FROM cleaned""",
     "csv_to_markdown": rf"""
 SELECT doc_id, '| doc_id | lang | source | text |' || chr(10) || '| --- | --- | --- | --- |' || chr(10)
        || '| ' || doc_id || ' | ' || lang || ' | ' || source || ' | ' || {_cell("text")} || ' |' AS markdown
 FROM documents""",
     "convert_batch": _batch(True) + "\nSELECT * FROM outcomes",
     "convert_batch_without_store": _batch(False) + "\nSELECT * FROM outcomes",
+    "convert_batch_assets": _CLEAN
+    + r""",
+placed AS (
+  SELECT doc_id, source, unnest(lines) AS line, unnest(raw) AS raw,
+         unnest(list_concat(lines[2:], [''])) AS following, generate_subscripts(lines, 1) - 1 AS i
+  FROM cleaned WHERE doc_id % 2 = 0),
+counted AS (
+  SELECT *, count(*) FILTER (WHERE i % 3 = 0 OR i % 5 = 4)
+              OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS images
+  FROM placed),
+held AS (
+  SELECT *, min(i) OVER (PARTITION BY doc_id, raw) AS first_i,
+         row_number() OVER (PARTITION BY doc_id, raw ORDER BY i) - 1 AS placement_no
+  FROM counted WHERE i % 3 = 0),
+numbered AS (
+  SELECT *, dense_rank() OVER (PARTITION BY doc_id ORDER BY first_i) - 1 AS asset_id FROM held)
+SELECT md5('document:' || doc_id) AS request_id, asset_id, 'image/png' AS media_type,
+       strlen(raw)::BIGINT AS size, true AS is_image, sha256(raw) AS data_sha256, placement_no,
+       placement_no = 0 AS is_primary, source AS heading_path, 1 + i + images AS block_index,
+       CASE WHEN following <> '' THEN following ELSE line END AS anchor_text,
+       max(asset_id) OVER (PARTITION BY doc_id) + 1 AS enrichable_assets
+FROM numbered""",
+    "convert_batch_headers_footers": _CLEAN
+    + r""",
+paged AS (
+  SELECT doc_id, source, (len(lines) + 2) // 3 AS n,
+         list_transform(lines, lambda x, i: translate((i - 1)::VARCHAR, '0123456789', 'abcdefghij') || ' ' || x) AS lines
+  FROM cleaned),
+asked AS (SELECT *, doc_id % 3 = 0 AS wanted, doc_id % 3 = 0 AND n > 1 AS stripped_here FROM paged),
+whole AS (
+  SELECT *, array_to_string(CASE WHEN stripped_here THEN lines ELSE flatten(list_transform(generate_series(1, n),
+           lambda k: list_concat([source || ' report'], lines[k * 3 - 2:k * 3], [concat('Page ', k, ' of ', n)]))) END,
+           chr(10) || chr(10)) AS markdown
+  FROM asked)
+SELECT doc_id AS input_ordinal,
+       CASE WHEN stripped_here THEN concat('header|top|', source, ' report|', n, '|1.000|false;footer|bottom|Page 1 of ',
+                                           n, '|', n, '|1.000|true')
+            WHEN wanted THEN '' END AS entries,
+       CASE WHEN stripped_here THEN n * 2 END AS stripped, sha256(markdown) AS markdown_sha256
+FROM whole""",
     "convert_stream": rf"""
 WITH rows AS (
   SELECT doc_id, sha256({_MIXED_CONTENT}) || {_MIXED_NAME} AS k, {_MIXED_CLASS} AS class,
@@ -533,6 +587,13 @@ SELECT request_id, class, attempt_no AS attempts_used, attempts_logged,
          AS attempts_after_stop,
        class = 'unavailable' AND attempt_no >= 3 AS exhausted
 FROM ended JOIN logged USING (request_id) WHERE pick = 1""",
+    "due_retries": """
+WITH due AS (
+  SELECT event_id AS request_id, event_id % 4 + 1 AS attempt_no,
+         (epoch_us(ts) // 1000) + greatest([240, 480, 960, 1600][event_id % 4 + 1],
+                                           [0, 0, 0, 1000, 3000][event_id % 5 + 1])::BIGINT AS not_before_ms
+  FROM events WHERE event_type = 'error')
+SELECT * FROM due WHERE not_before_ms <= 1705708800000""",
     "retry_plan": """
 WITH due AS (
   SELECT event_id AS request_id, event_id % 4 + 1 AS attempt_no, (epoch_us(ts) // 1000) AS failed_at_ms,
@@ -735,6 +796,12 @@ SELECT 'render_pages_total', CASE WHEN i % 2 = 0 THEN 'image/png' ELSE 'image/jp
 FROM lines WHERE doc_id % 9 <> 0 GROUP BY 2
 UNION ALL
 SELECT 'jobs_total', status, count(*) FROM ranked WHERE pick = 1 GROUP BY status""",
+    "latency_sketches": """
+WITH timed AS (
+  SELECT event_type AS class, round(value * 100)::BIGINT AS elapsed_ms, ts::DATE AS day FROM events)
+SELECT class, count(*) AS calls, count(DISTINCT day) AS windows, min(elapsed_ms) AS min_ms,
+       max(elapsed_ms) AS max_ms, rank::DOUBLE AS rank, true AS within_error
+FROM timed, (VALUES (0.5), (0.95), (0.99)) r(rank) GROUP BY class, rank""",
     "latency_metrics": """
 WITH timed AS (SELECT event_type AS class, round(value * 100)::BIGINT AS elapsed_ms FROM events),
 ranked AS (

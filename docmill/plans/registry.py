@@ -20,7 +20,8 @@ from docmill.operators import (
     sections,
 )
 from docmill.plans import inputs
-from docmill.plans.batch import convert_batch, outcome_summary
+from docmill.plans.batch import convert_batch, outcome_summary, results_of
+from docmill.schemas import OUTCOME
 from docmill.session import scratch_path, tune
 from docmill.sources import documents as sources
 from docmill.sources import responses, sinks
@@ -35,6 +36,7 @@ QUERIES: dict[str, Query] = {}
 
 MAX_WAIT_MS = 12 * 3_600_000
 NOW = "2024-01-20 00:00:00"
+NOW_MS = 1_705_708_800_000
 RETENTION_MS = 5 * 86_400_000
 
 
@@ -56,7 +58,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream, with the timestamp type that watermarks accept."""
     schema = _events(spark, sf_dir).schema
-    return sources.stream_table(spark, sf_dir, schema, "events.parquet").withColumn(
+    return sources.stream_table(spark, f"{sf_dir}/events.parquet", schema).withColumn(
         "ts", F.col("ts").cast("timestamp")
     )
 
@@ -104,7 +106,7 @@ def _read_response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = inputs.table(spark, sf_dir, "documents").schema
     stream = sources.stream_documents(
-        spark, sf_dir, schema, "doc_id", "text", inputs.text_name(), "documents.parquet"
+        spark, f"{sf_dir}/documents.parquet", schema, "doc_id", "text", inputs.text_name()
     )
     rows = intake.fingerprint(stream).select("input_ordinal", "filename", "content_sha256")
     return sinks.run_to_table(rows, "documents-stream")
@@ -130,7 +132,7 @@ def _store_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.store_results(rows.filter(F.col("filename") == "en.txt"), path)
     sinks.store_results(rows, path)
     return (
-        spark.read.parquet(path)
+        sinks.read_store(spark, path)
         .groupBy("variant_key")
         .agg(
             F.count(F.lit(1)).alias("stored_rows"),
@@ -283,7 +285,7 @@ def _stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """convert_stream over documents that arrive as CSV, plain and damaged files."""
     schema = inputs.table(spark, sf_dir, "documents").schema
     stream = sources.document_columns(
-        sources.stream_table(spark, sf_dir, schema, "documents.parquet").withColumn(
+        sources.stream_table(spark, f"{sf_dir}/documents.parquet", schema).withColumn(
             "_content", inputs.mixed_content()
         ),
         "doc_id",
@@ -294,7 +296,7 @@ def _stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     convert_stream.convert_stream(
         stream, path, scratch_path(spark, "outcomes-progress"), store_path=scratch_path(spark, "store")
     ).awaitTermination()
-    return sinks.read_routed(spark, path).select(
+    return sinks.read_routed(spark, path, OUTCOME).select(
         "input_ordinal",
         "class",
         "route",
@@ -303,6 +305,36 @@ def _stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("convert_batch_assets")
+def _batch_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the images that documents hold themselves, for those that ask for assets."""
+    results = results_of(convert_batch(inputs.illustrated_documents(spark, sf_dir)))
+    rows = assets.assets(results)
+    placed = assets.placements(rows)
+    data = rows.select(
+        "request_id", "asset_id", "media_type", "size", "is_image", F.sha2("data", 256).alias("data_sha256")
+    )
+    counted = assets.enrichable_counts(results)
+    return data.join(placed, ["request_id", "asset_id"]).join(counted, "request_id")
+
+
+@query("convert_batch_headers_footers")
+def _batch_headers_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers and footers of documents with pages, found and taken out where that is asked for."""
+    outcomes = convert_batch(inputs.paged_documents(spark, sf_dir))
+    entries = F.transform(
+        "result.headers_footers",
+        lambda e: F.concat_ws("|", e["kind"], e["location"], e["text"], e["pages_seen"].cast("string"),
+                              F.format_number(e["page_frequency"], 3), e["page_number"].cast("string")),
+    )
+    return outcomes.select(
+        "input_ordinal",
+        F.array_join(entries, ";").alias("entries"),
+        F.col("result.headers_footers_stripped").alias("stripped"),
+        F.sha2(as_bytes(F.col("result.markdown")), 256).alias("markdown_sha256"),
+    )
+
+
 @query("empty_result_gate")
 def _empty_result_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages, a fifth of them without any text."""
@@ -417,6 +449,13 @@ def _retry_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("due_retries")
+def _due_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the next batch run would take up at a given time."""
+    plan = contract.retry_plan(inputs.failures(_events(spark, sf_dir)), max_attempts=5)
+    return contract.due_retries(plan, NOW_MS).select("request_id", "attempt_no", "not_before_ms")
+
+
 # --- assets and sections -------------------------------------------------------------------
 
 
@@ -592,6 +631,28 @@ def _latency_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.latency_metrics(inputs.timed_calls(_events(spark, sf_dir)))
 
 
+@query("latency_sketches")
+def _latency_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles from stored sketches of each day, held against the exact ranks of what
+    they answer."""
+    calls = inputs.timed_calls(_events(spark, sf_dir))
+    path = scratch_path(spark, "sketches")
+    metrics.latency_sketches(calls).write.parquet(path)
+    merged = metrics.merged_latencies(spark.read.parquet(path))
+    asked = merged.select(
+        "class", "calls", "windows", "min_ms", "max_ms",
+        F.explode(F.array(*[F.struct(F.lit(r).alias("rank"), F.col(c).alias("answer"))
+                            for r, c in ((0.5, "p50_ms"), (0.95, "p95_ms"), (0.99, "p99_ms"))])).alias("_a"),
+    ).select("class", "calls", "windows", "min_ms", "max_ms", "_a.rank", "_a.answer")
+    counts = calls.groupBy("class", "elapsed_ms").agg(F.count(F.lit(1)).alias("_n"))
+    below = F.sum(F.when(F.col("elapsed_ms") < F.col("answer"), F.col("_n")).otherwise(0))
+    upto = F.sum(F.when(F.col("elapsed_ms") <= F.col("answer"), F.col("_n")).otherwise(0))
+    ranked = asked.join(counts, "class").groupBy("class", "calls", "windows", "min_ms", "max_ms", "rank", "answer")
+    error = metrics.SKETCH_RANK_ERROR * F.col("calls") + 1
+    within = (below - error <= F.col("rank") * F.col("calls")) & (F.col("rank") * F.col("calls") <= upto + error)
+    return ranked.agg(within.alias("within_error")).drop("answer")
+
+
 @query("windowed_metrics")
 def _windowed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = _events(spark, sf_dir).withColumnRenamed("event_type", "class")

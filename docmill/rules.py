@@ -148,17 +148,23 @@ RTF_MAGIC = b"{\\rtf"
 ZIP_MAGIC = b"PK\x03\x04"
 OLE_MAGIC = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"
 
-# Part names and media types that tell zip-based formats apart.
-ZIP_MARKS = {
+# Media types that a zip's first entry, "mimetype", holds as plain bytes.
+ZIP_TYPES = {
     "epub": b"application/epub+zip",
     "odt": b"application/vnd.oasis.opendocument.text",
     "ods": b"application/vnd.oasis.opendocument.spreadsheet",
     "odp": b"application/vnd.oasis.opendocument.presentation",
+}
+# Entries of a zip's directory that tell the others apart.
+ZIP_PARTS = {
     "docx": b"word/document.xml",
     "xlsx": b"xl/workbook.xml",
     "pptx": b"ppt/presentation.xml",
 }
-ZIP_FORMATS = tuple(ZIP_MARKS)
+ZIP_ENTRY = b"PK\x01\x02"
+ZIP_END = b"PK\x05\x06"
+ZIP_TYPE_NAME = b"mimetype"
+ZIP_FORMATS = (*ZIP_TYPES, *ZIP_PARTS)
 OLE_FORMATS = ("doc", "xls", "ppt")
 
 PAGED_FORMATS = ("pdf",)

@@ -77,6 +77,35 @@ RESULT = _struct(
     headers_footers_stripped=LONG,
 )
 
+ERROR = _struct(**{"class": STRING, "http_status": LONG, "error_code": STRING, "retryable": BOOL})
+
+#: A row's outcome as it is written: success has a result, all others an error.
+OUTCOME = _struct(
+    **{
+        "input_ordinal": LONG,
+        "request_id": STRING,
+        "filename": STRING,
+        "variant_key": STRING,
+        "options": OPTIONS,
+        "format": STRING,
+        "size_bytes": LONG,
+        "class": STRING,
+        "cache_hit": BOOL,
+        "shared": BOOL,
+        "result": T.StructType([
+            *[f for f in RESULT.fields if f.name in ("markdown", "format", "elapsed_ms", "input_bytes")],
+            T.StructField("request_id", STRING, True),
+            *[f for f in RESULT.fields if f.name not in ("markdown", "format", "elapsed_ms", "input_bytes")],
+        ]),
+        "error": ERROR,
+        "run_id": STRING,
+        "route": STRING,
+    }
+)
+
+#: What a conversion gives besides the Markdown; the store keeps it as well.
+EXTRAS = ("assets", "headers_footers", "headers_footers_stripped")
+
 RENDERED_PAGE = _struct(
     page=LONG, width=LONG, height=LONG, media_type=STRING, data_b64=BINARY
 )

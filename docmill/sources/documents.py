@@ -72,20 +72,51 @@ def document_columns(
     )
 
 
+#: What a trigger takes of a stream of files, unless told otherwise.
+MAX_BYTES_PER_TRIGGER = 64 * 1024**3
+
+
 def stream_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    glob: str = "*.parquet",
-    max_files_per_trigger: int = 1000,
+    max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER,
+    max_files_per_trigger: int | None = None,
+    finished: str = "keep",
+    archive: str | None = None,
 ) -> DataFrame:
-    """A folder of Parquet files as a stream; each trigger takes a bounded number."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(path)
-    )
+    """A Parquet table as a stream: a folder in which files keep arriving, or one file.
+
+    A trigger takes a bounded number of bytes, or of files where that is given; one
+    file is taken whole, whatever its size. Files that are done can be moved below
+    ``archive`` (``finished="archive"``) or deleted (``finished="delete"``), so that the
+    folder that each trigger lists does not grow for ever.
+    """
+    if max_bytes_per_trigger is None and max_files_per_trigger is None:
+        raise ValueError("a trigger needs a bound: bytes or files")
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    else:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if finished == "archive":
+        if archive is None:
+            raise ValueError("an archive needs a folder")
+        reader = reader.option("sourceArchiveDir", archive)
+    elif finished not in ("keep", "delete"):
+        raise ValueError(f"unknown way to treat finished files: {finished}")
+    if finished != "keep":
+        reader = reader.option("cleanSource", finished)
+    return reader.parquet(_listed(path))
+
+
+def _listed(path: str) -> str:
+    """A pattern that matches the path alone: what it matches may be a folder, whose files
+    are listed, or a file, while a plain path may only be a folder."""
+    path = path.rstrip("/")
+    head, last = path[:-1], path[-1]
+    escaped = "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in head)
+    return f"{escaped}[{last}]"
 
 
 def stream_documents(
@@ -95,9 +126,7 @@ def stream_documents(
     ordinal: str,
     content: str,
     filename: Column,
-    glob: str = "*.parquet",
-    max_files_per_trigger: int = 1000,
+    **admission,
 ) -> DataFrame:
-    """Documents that keep arriving in a folder."""
-    stream = stream_table(spark, path, schema, glob, max_files_per_trigger)
-    return document_columns(stream, ordinal, content, filename)
+    """Documents that keep arriving in a folder; ``admission`` as in ``stream_table``."""
+    return document_columns(stream_table(spark, path, schema, **admission), ordinal, content, filename)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from docmill import rules
+from docmill import rules, schemas
 from docmill.plans.batch import convert_batch
 from docmill.sources.sinks import read_store, store_results, write_routed_batch
 
@@ -27,16 +27,15 @@ def convert_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store = None
-        if store_path is not None:
-            store = read_store(batch.sparkSession, store_path, F.col("variant_key"), F.col("markdown"))
+        store = None if store_path is None else read_store(batch.sparkSession, store_path)
         outcomes = convert_batch(batch, store, id_col, max_bytes)
         write_routed_batch(outcomes, batch_id, path)
         if store_path is not None:
             # from what was written: a micro-batch is converted once
             written = batch.sparkSession.read.parquet(f"{path}/run_id=batch-{batch_id}")
+            extras = [F.col(f"result.{name}").alias(name) for name in schemas.EXTRAS]
             fresh = written.filter("result IS NOT NULL AND NOT cache_hit").select(
-                id_col, "variant_key", "options", F.col("result.markdown").alias("markdown")
+                id_col, "variant_key", "options", F.col("result.markdown").alias("markdown"), *extras
             )
             store_results(fresh, store_path, id_col=id_col)
 

@@ -44,6 +44,40 @@ def test_html(spark, source, markdown):
     assert html(spark, source) == markdown
 
 
+@pytest.mark.parametrize(
+    "source,markdown",
+    [
+        ("<ul><li>a<ul><li>b</li><li>c</li></ul></li><li>d</li></ul>", "- a\n  - b\n  - c\n- d"),
+        ("<ol><li>a<ul><li>b<ol><li>c</ol></ul><li>d</ol>", "1. a\n   - b\n     1. c\n2. d"),
+        ("<ul><li>a<ul><li>b</ul>tail<li>c</ul>end", "- a\n  - b\n  tail\n- c\n\nend"),
+        ("<ul><li>a<ul><li>b</ul> <ol><li>c</ol></ul>", "- a\n  - b\n  1. c"),
+        ("<ul><li><p>a</p><li> <p>b</p> </ul><ul><li>c</ul>", "- a\n- b\n\n- c"),
+        ("<ol>" + "<li>x" * 10 + "<ul><li>deep</ul></ol>", "\n".join(f"{n}. x" for n in range(1, 11)) + "\n    - deep"),
+        ("<ul><li>a<ul><li>never closed", "- a\n  - never closed"),
+        (
+            "<table><tr><th>a<th>b<tr><td><table><tr><td>1<td>x|y<tr><td>3</table>after<td>c</table>z",
+            "| a | b |\n| --- | --- |\n| 1 x\\|y<br>3<br>after | c |\n\nz",
+        ),
+        (
+            "<table><tr><td>p<table><tr><td>q<table><tr><td>r</table></table></td></tr><tr><td>s</table>",
+            "| p<br>q<br>r |\n| --- |\n| s |",
+        ),
+        ("<table><tr><td><ul><li>i<li>j</ul></table>", "| i<br>j |\n| --- |"),
+        ("one\ftwo<div style='page-break-before: always'>three</div>", "one\n\ntwo\n\nthree"),
+    ],
+)
+def test_nested_html_and_pages(spark, source, markdown):
+    assert html(spark, source) == markdown
+
+
+def test_nesting_of_any_depth_keeps_all_text(spark):
+    for n in (3, 9, 200):
+        got = html(spark, "".join(f"<ul><li>i{k}." for k in range(n)) + "</ul>" * n)
+        assert [f"i{k}." in got for k in range(n)] == [True] * n
+        got = html(spark, "".join(f"<table><tr><td>i{k}." for k in range(n)) + "</table>" * n)
+        assert [f"i{k}." in got for k in range(n)] == [True] * n
+
+
 def test_html_table(spark):
     source = (
         "<p>before</p><table border=1><thead><tr><th>a</th><th> b </th></tr></thead>"
@@ -79,7 +113,8 @@ def test_cells_without_end_tags_and_with_breaks(spark):
 
 
 @pytest.mark.parametrize(
-    "piece", ["<a ", "<img ", "<a href=", "<i>", "<h1 ", "<!--", "<table ", "<li>", "&", "<a href=x>", "<pre>", " \n"]
+    "piece", ["<a ", "<img ", "<a href=", "<i>", "<h1 ", "<!--", "<table ", "<li>", "&", "<a href=x>", "<pre>", " \n", "<ul><li>",
+     "<ol>", "<table><tr><td>", "</ul>", "<ul><li>x</ul>", "<div style=break-before"]
 )
 def test_time_is_linear(spark, piece):
     import time
@@ -116,7 +151,7 @@ def corpus(spark, rows):
 def test_batch_gives_one_outcome_each_and_isolates_failures(spark):
     rows = [
         (0, b"a,b\n1,2", "a.csv", None),
-        (1, b"\x89PNG\r\n\x1a\n", "fake.docx", "r-1"),
+        (1, b"\x89PNG\r\n\x1a\n", "picture.docx", "r-1"),
         (2, b"a,b\n1,2", "a.csv", "r-2"),
         (3, b"", "e.csv", None),
         (4, b"plain", "notes.txt", None),

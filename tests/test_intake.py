@@ -1,3 +1,6 @@
+import io
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +11,16 @@ from docmill.operators import intake
 from docmill.sources.documents import read_documents
 
 
+def zipped(*names, data=b"text", comment=b"", packed=False):
+    out = io.BytesIO()
+    kind = zipfile.ZIP_DEFLATED if packed else zipfile.ZIP_STORED
+    with zipfile.ZipFile(out, "w", kind) as archive:
+        for name in names:
+            archive.writestr(name, data)
+        archive.comment = comment
+    return out.getvalue()
+
+
 def docs(spark, rows):
     """rows of (ordinal, content, filename, request_id)"""
     return spark.createDataFrame(
@@ -59,10 +72,10 @@ def test_gates(spark):
 
 
 def test_fingerprint_is_lower_case_hex(spark):
-    got = intake.fingerprint(docs(spark, [(0, b"feature-doc", "a", None)])).first()["content_sha256"]
+    got = intake.fingerprint(docs(spark, [(0, b"some bytes", "a", None)])).first()["content_sha256"]
     import hashlib
 
-    assert got == hashlib.sha256(b"feature-doc").hexdigest()
+    assert got == hashlib.sha256(b"some bytes").hexdigest()
 
 
 @pytest.mark.parametrize(
@@ -91,14 +104,25 @@ def test_request_id_is_not_in_the_key(spark):
     [
         (b"%PDF-1.4", "x.docx", "pdf", "content"),
         (b"{\\rtf1", "x", "rtf", "content"),
-        (b"PK\x03\x04..word/document.xml..", "x.zip", "docx", "content"),
-        (b"PK\x03\x04..mimetypeapplication/epub+zip", "x", "epub", "content"),
-        (b"PK\x03\x04..other..", "x.bin", None, "unknown"),
+        (zipped("word/document.xml"), "x.zip", "docx", "content"),
+        (zipped("[Content_Types].xml", "xl/workbook.xml", comment=b"made by hand"), "x", "xlsx", "content"),
+        (zipped("ppt/presentation.xml", packed=True), "x.docx", "pptx", "content"),
+        (zipped("mimetype", data=b"application/epub+zip"), "x", "epub", "content"),
+        (zipped("mimetype", "content.xml", data=b"application/vnd.oasis.opendocument.text"), "x", "odt", "content"),
+        (zipped("word/embeddings/a.xlsx", "word/document.xml", data=zipped("xl/workbook.xml")), "x", "docx", "content"),
+        (zipped("xl/embeddings/a.docx", "xl/workbook.xml", data=zipped("word/document.xml")), "x", "xlsx", "content"),
+        (zipped("a.docx", data=zipped("word/document.xml")), "x.bin", None, "unknown"),
+        (zipped("my/word/document.xml", "word/document.xml.bak"), "x.bin", None, "unknown"),
+        (zipped("word/document.xml", comment=b"PK\x05\x06 in a comment"), "x.bin", None, "unknown"),
+        (zipped("word/document.xml")[:-30], "x.docx", "docx", "extension"),
+        (b"PK\x03\x04..word/document.xml..", "x.bin", None, "unknown"),
+        (b"PK\x03\x04", "x.bin", None, "unknown"),
+        (b"PK\x03\x04" + b"PK\x05\x06" + b"\xff" * 18, "x.bin", None, "unknown"),
         (b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1..", "x.xls", "xls", "content"),
         (b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1..", "x.csv", "doc", "content"),
         (b"\n <!doctype HTML><p>", "x.csv", "html", "content"),
         (b"a,b\n", "budget.CSV", "csv", "extension"),
-        (b"\x89PNG\r\n\x1a\n\x00\x00", "fake.docx", "docx", "extension"),
+        (b"\x89PNG\r\n\x1a\n\x00\x00", "picture.docx", "docx", "extension"),
         (b"text", "readme", None, "unknown"),
     ],
 )

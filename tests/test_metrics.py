@@ -1,3 +1,4 @@
+import bisect
 import random
 from collections import defaultdict
 from datetime import datetime, timedelta
@@ -72,8 +73,29 @@ def test_latency(spark):
     assert (got["a"]["p50_ms"], got["a"]["p95_ms"], got["a"]["p99_ms"]) == (50, 95, 99)
     assert (got["a"]["calls"], got["a"]["mean_ms"], got["a"]["min_ms"], got["a"]["max_ms"]) == (100, 50.5, 1, 100)
     assert (got["b"]["p50_ms"], got["b"]["p99_ms"]) == (7, 7)
-    sketch = {r["class"]: r for r in metrics.latency_sketch(df).collect()}
-    assert abs(sketch["a"]["p50_ms"] - 50) <= 1
+
+
+def test_merged_sketches_stay_within_the_rank_error(spark, tmp_path):
+    """Windows of very uneven size, stored in two parts, one of them empty of times."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 5 == 0, "a").otherwise("b").alias("class"),
+        F.timestamp_seconds(1_700_000_000 + F.pow(F.rand(3), 4) * 864_000).alias("ts"),
+        (F.pow(F.rand(5), 3) * 30_000).cast("long").alias("elapsed_ms"),
+    )
+    nothing = spark.createDataFrame([("c", None, None)], rows.schema)
+    rows = rows.unionByName(nothing.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000)))).persist()
+    path = str(tmp_path / "sketches")
+    for part in (F.col("elapsed_ms") < 100, F.coalesce(F.col("elapsed_ms") >= 100, F.lit(True))):
+        metrics.latency_sketches(rows.filter(part)).write.mode("append").parquet(path)
+    merged = {r["class"]: r for r in metrics.merged_latencies(spark.read.parquet(path)).collect()}
+    for name in ("a", "b"):
+        times = sorted(r[0] for r in rows.filter(F.col("class") == name).select("elapsed_ms").collect())
+        assert (merged[name]["calls"], merged[name]["max_ms"]) == (len(times), times[-1])
+        for rank, mark in ((0.5, "p50_ms"), (0.95, "p95_ms"), (0.99, "p99_ms")):
+            low, high = bisect.bisect_left(times, merged[name][mark]), bisect.bisect_right(times, merged[name][mark])
+            slack = metrics.SKETCH_RANK_ERROR * len(times) + 1
+            assert low - slack <= rank * len(times) <= high + slack
+    assert (merged["c"]["calls"], merged["c"]["p50_ms"]) == (0, None)
 
 
 def test_outcome_counts(spark):
