@@ -61,13 +61,18 @@ def main() -> None:
     spark = local_session(cores, partitions=int(cores) if cores.isdigit() else 8, app="bench")
     spark.sparkContext.setLogLevel("ERROR")
     tables = split_tables(spark, sf_dir, int(cores) if cores.isdigit() else 8)
-    seconds = {}
+    seconds, failed = {}, {}
     for name in names:
         taken = []
-        for _ in range(runs + 1):
-            start = time.perf_counter()
-            QUERIES[name](spark, tables).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - start)
+        try:
+            for _ in range(runs + 1):
+                start = time.perf_counter()
+                QUERIES[name](spark, tables).write.format("noop").mode("overwrite").save()
+                taken.append(time.perf_counter() - start)
+        except Exception as error:  # the others' times are still worth having
+            failed[name] = str(error).splitlines()[0][:200]
+            print(name, "failed:", failed[name], file=sys.stderr)
+            continue
         seconds[name] = round(statistics.median(taken[1:]), 3)
         print(name, seconds[name], file=sys.stderr)
     print(
@@ -79,10 +84,13 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
                 "cores": cores,
+                **({"failed": failed} if failed else {}),
             }
         )
     )
     spark.stop()
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -110,3 +110,70 @@ def job_tracker(
             timeMode="EventTime",
         )
     )
+
+
+_WAITING = "reported boolean"
+
+
+class _LiveTracker(StatefulProcessor):
+    """Reports each job once by the clock: its end when it arrives, a timeout when its wait is over.
+
+    A job's state lives as long as its wait and the retention after its last event; then the
+    state store drops it by itself, and the same id is a new job.
+    """
+
+    def __init__(self, max_wait_ms: int, retention_ms: int) -> None:
+        self.max_wait_ms, self.retention_ms = max_wait_ms, retention_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("waiting", _WAITING, self.max_wait_ms + self.retention_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        known = self.state.exists()
+        reported = known and bool(self.state.get()[0])
+        end = None
+        for batch in rows:
+            ends = batch[batch["status"].isin(TERMINAL)]
+            for found in zip(ends["at_ms"], ends["status"].map(STATE_RANK), ends["status"], strict=True):
+                end = found if end is None else min(end, found)
+        self.state.update((reported or end is not None,))
+        if reported:
+            return
+        if end is not None:
+            yield self._row(key, end[2])
+        elif not known:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.max_wait_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.state.exists() and not self.state.get()[0]:
+            self.state.update((True,))
+            yield self._row(key, "timeout")
+
+    def _row(self, key, verdict: str) -> pd.DataFrame:
+        status = pd.array([504 if verdict == "timeout" else None], dtype="Int64")
+        return pd.DataFrame({"job_id": [key[0]], "verdict": [verdict], "http_status": status})
+
+    def close(self) -> None:
+        pass
+
+
+def live_job_tracker(
+    events: DataFrame, max_wait_ms: int, retention_ms: int = rules.JOB_RETENTION_MS
+) -> DataFrame:
+    """One row per job (job_id, ts, status) for callers who wait now: waits go by the clock.
+
+    Use ``job_tracker`` where results must not depend on when events are read. The state
+    has a time to live, which needs no watermark. Run it with a processing-time trigger:
+    with ``availableNow`` Spark goes on for ever, waiting for the clock.
+    """
+    return (
+        events.withColumn("at_ms", F.unix_millis("ts"))
+        .groupBy("job_id")
+        .transformWithStateInPandas(
+            statefulProcessor=_LiveTracker(max_wait_ms, retention_ms),
+            outputStructType="job_id string, verdict string, http_status long",
+            outputMode="Append",
+            timeMode="ProcessingTime",
+        )
+    )

@@ -2,11 +2,12 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from docmill.operators import jobs
 from docmill.sources.sinks import run_to_table
 from docmill.sources.documents import stream_table
-from docmill.streaming.jobs import job_tracker
+from docmill.streaming.jobs import job_tracker, live_job_tracker
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = (
@@ -93,3 +94,66 @@ def test_tracker_does_not_depend_on_the_order_of_arrival(spark, tmp_path, files_
     stream = stream_table(spark, path, spark.read.parquet(path).schema, max_files_per_trigger=files_per_trigger)
     out = run_to_table(job_tracker(stream, max_wait_ms=60 * 60_000, delay="20 minutes"), "tracker-order")
     assert [(r["job_id"], r["verdict"], r["waited_ms"]) for r in out.collect()] == [("x", "succeeded", 120_000)]
+
+
+def test_tracker_goes_on_from_its_checkpoint(spark, tmp_path):
+    """Stopped between triggers and started again, it tells what one run tells."""
+    path, out, progress = (str(tmp_path / name) for name in ("events", "out", "progress"))
+    rows = ROWS + [("late", 0, "queued", None), ("late", 30, "succeeded", None), ("clock", 600, "queued", None)]
+    ordered = sorted(rows, key=lambda r: r[1])
+    parts = [ordered[start : start + 4] for start in range(0, len(ordered), 4)]
+
+    def tracked():
+        stream = stream_table(spark, path, spark.read.parquet(path).schema, max_files_per_trigger=1)
+        return job_tracker(stream, max_wait_ms=10 * 60_000, delay="1 minute")
+
+    for part in parts:
+        events(spark, part).select("job_id", "ts", "status").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are taken in the order of their times
+    query = tracked().writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).start()
+    until = time.time() + 60
+    while time.time() < until and query.isActive and (query.lastProgress or {"batchId": 0})["batchId"] < 1:
+        time.sleep(0.1)
+    query.stop()
+    resumed = run_to_table(tracked(), "resumed", path=out, progress_path=progress).collect()
+    whole = run_to_table(tracked(), "whole").collect()
+    assert sorted(map(tuple, resumed), key=str) == sorted(map(tuple, whole), key=str)
+    assert {r["job_id"]: r["verdict"] for r in resumed} == {
+        "done": "succeeded", "bad": "failed", "stuck": "timeout", "cached": "succeeded", "tie": "succeeded", "late": "timeout",
+    }
+
+
+def test_live_tracker_forgets_after_the_retention(spark, tmp_path):
+    path, out = str(tmp_path / "events"), str(tmp_path / "out")
+
+    def arrive(*rows):
+        part = events(spark, [(*row, None) for row in rows]).select("job_id", "ts", "status")
+        part.coalesce(1).write.mode("append").parquet(path)
+
+    def told(*expected):
+        until = time.time() + 30
+        while time.time() < until:
+            try:
+                found = sorted((r["job_id"], r["verdict"]) for r in spark.read.parquet(out).collect())
+            except AnalysisException:  # nothing is written yet
+                found = []
+            if found == sorted(expected):
+                return True
+            time.sleep(0.5)
+        return False
+
+    arrive(("done", 1, "succeeded"), ("done", 0, "queued"), ("stuck", 0, "queued"))
+    stream = stream_table(spark, path, spark.read.parquet(path).schema)
+    tracked = live_job_tracker(stream, max_wait_ms=2_000, retention_ms=4_000)
+    writer = tracked.writeStream.format("parquet").option("path", out)
+    query = writer.option("checkpointLocation", str(tmp_path / "progress")).trigger(processingTime="1 second").start()
+    try:
+        first = [("done", "succeeded"), ("stuck", "timeout")]
+        assert told(*first)
+        arrive(("stuck", 2, "succeeded"))  # still known: not reported again
+        time.sleep(8)
+        assert told(*first)
+        arrive(("done", 3, "failed"))  # forgotten: a new job
+        assert told(*first, ("done", "failed"))
+    finally:
+        query.stop()
