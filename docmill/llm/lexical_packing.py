@@ -24,7 +24,6 @@ Defined results
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -33,10 +32,10 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from docmill.llm.common import small_batches, utf8, written
+from docmill.llm.common import small_batches, written
 from docmill.llm.shingles import mixed
+from docmill.llm.word_coder import coder
 
 WINDOW = 4096
 END_ID = 2
@@ -44,80 +43,6 @@ END_ID = 2
 K1, B = 1.2, 0.75
 SHARD_TOKENS = 1 << 20
 PARTITION_TOKENS = 1 << 22
-#: Words whose ids a worker remembers.
-_MOST_WORDS = 600_000
-_TAIL = b".,;:!?"
-
-
-class WordCoder:
-    """Ids of texts by way of their words, as a tokenizer that drops white space gives them.
-
-    White space parts a text before everything else, so the ids of a text are those of its
-    words in turn. Each word is encoded once. Punctuation that ends a word is a token of its own where a
-    letter stands before it; words of Latin letters alone are encoded many at a time, and
-    parted where a token ends a word.
-    """
-
-    def __init__(self, path: str):
-        # a task has one core, and forked threads would hang
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.ends = np.zeros(self.size, dtype=bool)
-        for token, at in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.ends[at] = token.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}
-
-    def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        parts = {word: _stem_and_tail(word) for word in words}
-        new = {part for pair in parts.values() for part in pair}.difference(self.known)
-        texts = [part.decode("utf-8", "replace") for part in new]
-        plain = [t for t in texts if max(t, default="￿") < "ɐ" and t.lower().isalpha()]
-        if plain:
-            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, dtype=self.dtype)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(plain) and stops[-1] == len(ids):
-                data, width = ids.tobytes(), self.dtype.itemsize
-                bounds = [0, *(stops * width).tolist()]
-                for text, begin, end in zip(plain, bounds[:-1], bounds[1:], strict=True):
-                    self.known[text.encode()] = data[begin:end]
-        others = [part for part in new if part not in self.known]
-        found = self.tokenizer.encode_batch_fast(
-            [part.decode("utf-8", "replace") for part in others], add_special_tokens=False
-        )
-        for part, encoding in zip(others, found, strict=True):
-            self.known[part] = self._packed(encoding.ids)
-        for word, (stem, tail) in parts.items():
-            if tail:
-                self.known[word] = self.known[stem] + self.known[tail]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        parted = [utf8(text).split() for text in texts]
-        if len(self.known) > _MOST_WORDS:
-            self.known = {}
-        self._learn(set().union(*parted).difference(self.known))
-        return [b"".join(map(self.known.__getitem__, words)) for words in parted]
-
-
-def _stem_and_tail(word: bytes) -> tuple[bytes, bytes]:
-    stem = word.rstrip(_TAIL)
-    if len(stem) < len(word) and stem[-1:].isalpha():
-        return stem, word[len(stem) :]
-    return word, b""
-
-
-_CODERS: dict[str, WordCoder] = {}
-
-
-def coder(path: str) -> WordCoder:
-    """The coder of a file, kept by the worker."""
-    if path not in _CODERS:
-        _CODERS[path] = WordCoder(path)
-    return _CODERS[path]
 
 
 def least_pair(ids: np.ndarray) -> int:
@@ -156,12 +81,13 @@ def document_counts(tokens: DataFrame, size: int, dtype: np.dtype) -> np.ndarray
     """In how many documents each id occurs; a table of the vocabulary's size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size, dtype=np.int64)
+        total, last = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for ids in batch["ids"]:
-                seen = np.zeros(size, dtype=bool)
-                seen[np.frombuffer(ids, dtype=dtype)] = True
-                total += seen
+            for data in batch["ids"]:
+                ids = np.frombuffer(data, dtype=dtype)
+                at = np.arange(len(ids))
+                last[ids] = at
+                total[ids[last[ids] == at]] += 1  # each id once, where it stands last
         at = np.flatnonzero(total)
         yield pd.DataFrame({"id": at, "n": total[at]})
 
@@ -188,10 +114,22 @@ class Index:
 
     def scores(self, query: np.ndarray) -> np.ndarray:
         """The BM25 score of every document for the distinct ids of a query."""
-        begin, end = self.start[query], self.start[query + 1]
-        length = end - begin
-        at = np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
-        return np.bincount(self.owner[at], weights=self.weight[at], minlength=self.n)
+        bounds = list(zip(self.start[query].tolist(), self.start[query + 1].tolist(), strict=True))
+        owner = np.concatenate([self.owner[begin:end] for begin, end in bounds])
+        weight = np.concatenate([self.weight[begin:end] for begin, end in bounds])
+        return np.bincount(owner, weights=weight, minlength=self.n)
+
+
+def best_first(scores: np.ndarray, most: int = 128) -> Iterator[int]:
+    """Places by falling score, equal ones in order; only those that are asked for are sorted."""
+    if len(scores) > most:
+        limit = np.partition(scores, len(scores) - most)[len(scores) - most]
+        head = np.flatnonzero(scores >= limit)
+        yield from head[np.argsort(-scores[head], kind="stable")].tolist()
+        rest = np.flatnonzero(scores < limit)
+    else:
+        rest = np.arange(len(scores))
+    yield from rest[np.argsort(-scores[rest], kind="stable")].tolist()
 
 
 class Packer:
@@ -222,8 +160,8 @@ class Packer:
                 break
             scores = index.scores(np.unique(self.seed).astype(np.int64))[left]
             sequence = self.sequence
-            for at in left[np.argsort(-scores, kind="stable")]:
-                self._take(keys, documents, at, unused)
+            for place in best_first(scores):
+                self._take(keys, documents, int(left[place]), unused)
                 if self.sequence != sequence:
                     break  # a window is full; what is left of the document seeds the next
         done, self.done = self.done, []

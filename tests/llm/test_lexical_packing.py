@@ -9,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from docmill.llm.lexical_packing import B, END_ID, K1, Index, Packer, coder, pack
+from docmill.llm.lexical_packing import B, END_ID, K1, Index, Packer, best_first, pack
+from docmill.llm.word_coder import coder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PLAIN = Tokenizer.from_file(PATH)
@@ -27,6 +28,14 @@ def test_word_coder_equals_the_tokenizer_on_any_text(text):
     assert np.frombuffer(words.encode([text])[0], words.dtype).tolist() == ids_of(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aAbeErstnghüéßñøłiIoO", min_size=1, max_size=70), max_size=12))
+def test_word_coder_equals_the_tokenizer_on_words(found):
+    words = coder(PATH)
+    text = " ".join(found)
+    assert np.frombuffer(words.encode([text])[0], words.dtype).tolist() == ids_of(text)
+
+
 @pytest.mark.parametrize(
     "text",
     [
@@ -67,6 +76,12 @@ def test_index_scores_equal_bm25(rows, which):
     assert np.allclose(got, bm25(documents, query, idf, 7.5))
 
 
+@given(st.lists(st.integers(0, 5), max_size=40), st.integers(1, 10))
+def test_best_first_is_a_stable_sort(scores, most):
+    values = np.array(scores, dtype=float)
+    assert list(best_first(values, most)) == np.argsort(-values, kind="stable").tolist()
+
+
 def test_a_window_is_filled_with_the_seeds_best_unused_neighbours():
     rng = np.random.default_rng(1)
     topics = [np.arange(k * 40, k * 40 + 40) for k in range(5)]
