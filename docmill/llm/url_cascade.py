@@ -104,7 +104,12 @@ def _as_pairs(first: pd.Series, second: pd.Series) -> np.ndarray:
 
 def hashed(key: Column) -> list[Column]:
     """The two hashes that stand for a key."""
-    return [F.xxhash64(key).alias("_h1"), F.xxhash64(key, F.lit(1)).alias("_h2")]
+    return [F.xxhash64(key).alias("_h1"), _second_hash(key).alias("_h2")]
+
+
+def _second_hash(key: Column) -> Column:
+    """Not a function of the first: what comes first is the seed of what follows."""
+    return F.xxhash64(F.lit(1), key)
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
@@ -157,13 +162,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def candidate_keys(host: Column, path: Column, path_lengths: list[int]) -> Column:
+def candidate_keys(host: Column, path: Column, path_lengths: list[int], label_counts: list[int]) -> Column:
     """The keys of all rules that could fit, the longest first; of two equally long
-    ones, that of the longer host. ``path_lengths`` are those that rules have."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+    ones, that of the longer host. ``path_lengths`` and ``label_counts`` are those that
+    rules have, so a host of many labels has no more suffixes than a short one."""
+    labels = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    suffixes = F.array_compact(
+        F.array(*[F.when(labels >= n, F.substring_index(host, ".", -n)) for n in label_counts])
     )
     keys = F.flatten(
         F.transform(
@@ -196,7 +201,8 @@ def judge_urls(
     longest rule wins. A url that no rule fits gets ``default``. Null urls and urls
     without ``://`` have empty host and path, and fit no rule with a host. Repeated
     rows and null ids are judged like others; other columns are not read. A key that
-    is listed as both allow and block is blocked.
+    is listed as both allow and block is blocked. A host or path of any length is judged
+    whole, in time linear in it.
     """
     if len(rules) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
@@ -205,6 +211,7 @@ def judge_urls(
         F.col(id_col).alias("_id"), host_of(F.col(url_col)).alias("_host"), path_of(F.col(url_col)).alias("_path")
     )
     lengths = sorted({len(r.path) for r in rules})
+    labels = sorted({r.host.count(".") + 1 for r in rules})
     if not lengths:
         return split.select(
             F.col("_id").alias(id_col),
@@ -213,7 +220,7 @@ def judge_urls(
             F.lit(None).cast("string").alias("rule"),
             F.lit(default).alias("verdict"),
         )
-    keyed = split.withColumn("_keys", candidate_keys(F.col("_host"), F.col("_path"), lengths))
+    keyed = split.withColumn("_keys", candidate_keys(F.col("_host"), F.col("_path"), lengths, labels))
     universe = keyed.select(F.explode("_keys").alias("_key")).select(*hashed(F.col("_key")))
     cascades = []
     for verdict in ("block", "allow"):
@@ -251,7 +258,7 @@ def judge_urls(
     hashes = keyed.select(
         "*",
         F.transform("_keys", lambda k: F.xxhash64(k)).alias("_h1"),
-        F.transform("_keys", lambda k: F.xxhash64(k, F.lit(1))).alias("_h2"),
+        F.transform("_keys", _second_hash).alias("_h2"),
     )
     schema = f"_id {id_type}, host string, path string, rule string, verdict string"
     return hashes.mapInPandas(judged, schema).withColumnRenamed("_id", id_col)

@@ -1,10 +1,12 @@
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docmill.llm.queries import URL_RULES
-from docmill.llm.url_cascade import Bloom, Rule, build_cascade, judge_urls
+from docmill.llm.url_cascade import Bloom, Rule, build_cascade, hashed, judge_urls
 
 
 def split(url):
@@ -89,3 +91,23 @@ def test_too_many_rules(spark, monkeypatch):
     monkeypatch.setattr("docmill.llm.url_cascade.MAX_RULES", 2)
     with pytest.raises(ValueError):
         judge_urls(spark.createDataFrame([(1, "http://a/")], "page_id long, url string"), URL_RULES)
+
+
+def test_hosts_of_very_many_labels(spark):
+    """A host of a megabyte costs about what its reading costs."""
+    host = "a." * 500_000 + "example.org"
+    rows = [(1, f"https://{host}/es/x"), (2, f"https://{'b.' * 4000}com/de/"), (3, "https://org/"), (4, "https://.../")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    rules = [Rule("block", "example.org", "/es/"), Rule("block", "com", "/de/"), Rule("allow", "org", "/")]
+    judge_urls(df.filter("page_id = 3"), rules).collect()  # warm
+    start = time.perf_counter()
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in judge_urls(df, rules).collect()}
+    assert got == {
+        1: ("example.org/es/", "block"), 2: ("com/de/", "block"), 3: ("org/", "allow"), 4: (None, "allow")
+    }
+    assert time.perf_counter() - start < 30
+
+
+def test_the_second_hash_is_no_function_of_the_first(spark):
+    one, two = spark.range(1).select(*hashed(F.lit("k"))).first()
+    assert two != spark.range(1).select(F.xxhash64(F.lit("k"), F.lit(1))).first()[0] and one != two
