@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.session import scratch_path
+from docmill.session import discard, scratch_path
 
 # Fixed value: a word is a run of characters other than these six.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,7 +56,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def done_with(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote, once no later step reads it."""
+    for table_ in tables:
+        discard(table_.sparkSession, table_._written_at)
 
 
 def crc32_of_id(id_col: str = "doc_id") -> Column:

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.functions.salts import salt, salt_list, used_salts
 from docmill.llm.common import written
 
+#: Tasks that the rows of one group are spread over.
+SALTS = 64
+
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for each node of an edge, root the smallest node it reaches.
@@ -19,12 +23,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     stars = written(_canonical(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "edges")
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = with_least(both, "u", "v", "v", "m").withColumn("m", F.least("m", "u"))
+        large = least.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = _canonical(large)
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(smallest, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        smallest = with_least(large, "u", "v", "v", "m")
+        small = smallest.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             smallest.select("u", F.col("m").alias("v"))
         )
         following = written(_canonical(small), "edges")
@@ -37,6 +40,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     )
 
 
+def with_least(rows: DataFrame, group: str, by: str, value: str, out: str, salts: int = SALTS) -> DataFrame:
+    """Add the least ``value`` of each row's group, which may hold any share of all rows.
+
+    Rows are told apart by ``by``. A group's one result goes to each salt that its rows
+    use, so the group's rows meet it in as many tasks.
+    """
+    salted = rows.withColumn("_salt", salt(by, salts))
+    noted = used_salts("_salt", salts)
+    least = salted.groupBy(group).agg(
+        F.min(value).alias(out), *[bits.alias(name) for name, bits in noted.items()]
+    )
+    least = least.select(group, out, F.explode(salt_list(salts)).alias("_salt"))
+    return salted.join(least, [group, "_salt"]).drop("_salt")
+
+
 def _canonical(edges: DataFrame) -> DataFrame:
     """Edges from the larger to the smaller node, each once, without loops."""
     return (

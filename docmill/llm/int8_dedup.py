@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.common import written
-from docmill.llm.components import connected_components
+from docmill.llm.components import connected_components, with_least
 
 THRESHOLD = 0.95
 TILE = 4096
@@ -157,8 +157,7 @@ def near_duplicates(
         .join(roots.withColumnRenamed("node", "_class"), "_class", "left")
         .withColumn("root", F.coalesce("root", "_class"))
     )
-    named = known.groupBy("root").agg(F.min("_least").alias("component_id"))
-    known = known.join(named, "root").select(
+    known = with_least(known, "root", "_class", "_least", "component_id").select(
         "_class",
         (F.coalesce("_links", F.lit(0)) + F.col("_n") - 1).cast("long").alias("n_links"),
         "component_id",
@@ -169,7 +168,7 @@ def near_duplicates(
 def _fingerprint(vector: Column) -> Column:
     """128 bits of a vector, as text. Adding 0 makes -0.0 equal 0.0."""
     plain = F.transform(vector, lambda x: x + F.lit(0).cast("float"))
-    return F.concat(F.lpad(F.hex(F.xxhash64(plain)), 16, "0"), F.lpad(F.hex(F.xxhash64(plain, F.lit(1))), 16, "0"))
+    return F.concat(F.lpad(F.hex(F.xxhash64(plain)), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit(1), plain)), 16, "0"))
 
 
 def _named(rows: DataFrame, id_col: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm.common import written
+from docmill.llm.common import done_with, written
 from docmill.llm.elias_fano import EliasFano, encode
 from docmill.session import scratch_path
 
@@ -136,7 +136,9 @@ def write_segments(rows: DataFrame, write, name: str) -> list[tuple]:
         if parts:
             yield write(pd.concat(parts, ignore_index=True))
 
-    found = written(rows.mapInPandas(run, schema), name).collect()  # one row per segment
+    files = written(rows.mapInPandas(run, schema), name)
+    found = files.collect()  # one row per segment
+    done_with(files)
     return sorted((int(r["first"]), r["n"], r["keys"], dict(r["side"])) for r in found)
 
 

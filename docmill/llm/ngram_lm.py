@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import lower_ascii, written
+from docmill.llm.common import done_with, lower_ascii, small_batches, written
 from docmill.llm.elias_fano import EliasFano, encode
 from docmill.llm.levels import (
     NONE,
@@ -204,7 +204,7 @@ def _numbers(blobs: pd.Series, n: int) -> np.ndarray:
 
 
 def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in small_batches(batches, "_text", 8_000_000):
         hashes = [token_hashes(t) for t in batch["_text"]]
         yield batch.assign(_hashes=hashes, _n=[len(h) for h in hashes])
 
@@ -317,7 +317,8 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
     folder = new_folder(spark, "trie")
 
     # Words. Hashes are ordered as unsigned numbers: the sign bit is flipped for sorting.
-    counts = written(_word_counts(docs.filter("_train")), "lm-words").withColumn("key", F.expr(unsigned_order("h")))
+    word_counts = written(_word_counts(docs.filter("_train")), "lm-words")
+    counts = word_counts.withColumn("key", F.expr(unsigned_order("h")))
     v, n = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
 
     def words(rows: pd.DataFrame) -> pd.DataFrame:
@@ -325,6 +326,8 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
         return segment(folder, hashes, {"count": rows["c"].to_numpy(np.int64)})
 
     model = Model(folder, write_segments(in_ranges(counts, "key", v), words, "lm-level"), [], [], [], n, 1)
+    done_with(word_counts)
+    _fits(v, v, "pairs of words")
     rows = _with_ids(docs, model, v)
     train = rows.filter("_train")
 
@@ -357,10 +360,12 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
     # every segment gets a row, also one whose words have no followers
     seeds = spark.createDataFrame([(o, 0, 0) for o in offsets[:-1]], "w long, n long, c long")
     dealt = heads.unionByName(seeds).groupBy("w").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
-    made = written(
+    files = written(
         _per_segment(dealt, offsets, "w", followers, "segment int, n long, backoff string, pointer string"),
         "lm-followers",
-    ).collect()
+    )
+    made = files.collect()
+    done_with(files, heads)
     begin = 0
     for r in sorted(made, key=lambda r: r["segment"]):
         model.words[r["segment"]][3]["backoff"] = r["backoff"]
@@ -379,7 +384,10 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
         return segment(folder, keys.view(np.uint64), {"prob": np.concatenate(codes), "count": c})
 
     model.pairs = write_segments(in_ranges(pairs, "key", n_pairs), pair_level, "lm-level")
-    rows = _with_pairs(rows, model, n_pairs)
+    done_with(pairs)
+    _fits(n_pairs, model.widest, "triples of words")
+    ids, rows = rows, _with_pairs(rows, model, n_pairs)
+    done_with(ids)
     train = rows.filter("_train")
     triples = written(_key_counts(train, model, 3), "lm-triples")
     n_triples = triples.count()
@@ -401,9 +409,11 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
         codes = _codes(np.log10(np.maximum(1 - kept / total, 1e-12)))
         return pd.DataFrame({"segment": [k], "backoff": [save(folder, codes)]})
 
-    made = written(
+    files = written(
         _per_segment(heads, offsets2, "w", pair_backoff, "segment int, backoff string"), "lm-backoff"
-    ).collect()
+    )
+    made = files.collect()
+    done_with(files, heads)
     for r in made:
         model.pairs[r["segment"]][3]["backoff"] = r["backoff"]
 
@@ -425,9 +435,16 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
         return segment(folder, keys.view(np.uint64), {"prob": np.concatenate(codes)})
 
     model.triples = write_segments(in_ranges(triples, "key", n_triples), triple_level, "lm-level")
+    done_with(triples)
     return model, rows
 
 
+def _fits(left: int, right: int, what: str) -> None:
+    """Keys are signed 64-bit numbers: larger ones would be those of other contexts."""
+    if left * right >= 1 << 63:
+        raise OverflowError(f"too many {what} for 64-bit keys: {left} x {right}")
+
+
 # --- scoring --------------------------------------------------------------------
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.common import lower_ascii, small_batches, written
-from docmill.llm.components import connected_components
+from docmill.llm.components import connected_components, with_least
 from docmill.llm.levels import KeyTable
 from docmill.llm.shingles import mixed, runs, word_hashes
 
@@ -373,8 +373,8 @@ def jaccard_components(
     firsts = sets.filter("_set IS NOT NULL").groupBy("_set").agg(F.min("_id").alias("_first"))
     named = firsts.join(roots, F.col("node") == F.col("_set"), "left")
     named = named.select("_set", "_first", F.coalesce("root", "_set").alias("root"))
-    least = named.groupBy("root").agg(F.min("_first").alias("component_id"))
-    named = written(named.join(least, "root").select("_set", "component_id"), "set-names")
+    named = with_least(named, "root", "_set", "_first", "component_id")
+    named = written(named.select("_set", "component_id"), "set-names")
     return sets.select("_id", "_n", "_set").join(named, "_set", "left").select(
         F.col("_id").alias(id_col),
         F.col("_n").alias("n_shingles"),
