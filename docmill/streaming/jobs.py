@@ -12,8 +12,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from docmill import rules
 from docmill.operators.jobs import STATE_RANK, TERMINAL
 
-_STATE = "created_ms long, last_ms long, ended_ms long, ended_rank int, outcome string, reported boolean"
+#: Jobs are dealt into this many shards, which are the keys of the state.
+SHARDS = 4096
+
+_STATE = (
+    "job_id array<string>, created_ms array<long>, last_ms array<long>, "
+    "ended_ms array<long>, ended_rank array<int>, reported array<boolean>, timer_ms long"
+)
 OUTPUT = "job_id string, verdict string, waited_ms long, http_status long"
+_OUTCOME = {STATE_RANK[status]: status for status in TERMINAL}
 
 
 class _JobTracker(StatefulProcessor):
@@ -21,7 +28,10 @@ class _JobTracker(StatefulProcessor):
 
     A verdict is held until the watermark has passed it, when no earlier event can
     come any more; so it depends neither on micro-batches nor on the order of arrival.
-    State goes away once the retention after the last event has passed.
+    A job's state goes away once the retention after its last event has passed.
+
+    A key is a shard of jobs. Its state is read and written as a whole and has one timer,
+    at the next time at which something is due, so a job costs no calls of its own.
     """
 
     def __init__(self, max_wait_ms: int, retention_ms: int) -> None:
@@ -29,61 +39,79 @@ class _JobTracker(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("job", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        created, last, ended, outcome, reported = None, None, None, None, False
-        if self.state.exists():
-            created, last, at, rank, outcome, reported = self.state.get()
-            ended = None if at is None else (int(at), int(rank))
-        for batch in rows:  # one Arrow batch at a time, whatever the key's rows are
-            first, latest = int(batch["at_ms"].min()), int(batch["at_ms"].max())
-            created = first if created is None else min(int(created), first)
-            last = latest if last is None else max(int(last), latest)
-            ends = batch[batch["status"].isin(TERMINAL)]
-            for at, status in zip(ends["at_ms"], ends["status"], strict=True):
-                found = (int(at), STATE_RANK[status])
-                if ended is None or found < ended:
-                    ended, outcome = found, status
-        at, rank = ended or (None, None)
-        self.state.update((created, last, at, rank, outcome, bool(reported)))
-        if reported:
-            self.handle.registerTimer(last + self.retention_ms)
-        else:
-            self.handle.registerTimer(self._due(created, at))
-        return iter(())
+        self.state = handle.getValueState("jobs", _STATE)
+
+    def _load(self) -> tuple[dict[str, list], int | None]:
+        """Per job: created, last, ended, its rank, whether it is reported; and the timer."""
+        found = self.state.get()
+        if found is None:
+            return {}, None
+        *columns, timer = found
+        return {job: list(facts) for job, *facts in zip(*columns, strict=True)}, timer
+
+    def _save(self, known: dict[str, list], timer: int | None, earliest: int, passed: int | None = None) -> None:
+        """Write the shard, and move its timer to what is due next, not before ``earliest``."""
+        if timer is not None and timer != passed:
+            self.handle.deleteTimer(timer)
+        if not known:
+            self.state.clear()
+            return
+        following = max(earliest, min(self._next(facts) for facts in known.values()))
+        self.handle.registerTimer(following)
+        columns = [list(column) for column in zip(*known.values(), strict=True)]
+        self.state.update((list(known), *columns, following))
 
     def _due(self, created: int, ended: int | None) -> int:
         deadline = created + self.max_wait_ms
         return deadline if ended is None else min(ended, deadline)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if not self.state.exists():
-            return
-        created, last, ended, rank, outcome, reported = self.state.get()
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        if reported:
-            if now >= last + self.retention_ms:
-                self.state.clear()
-            return
+    def _next(self, facts: list) -> int:
+        created, last, ended, _, reported = facts
         due = self._due(created, ended)
-        if now < due:
-            return  # a later event has moved the verdict; its own timer will come
-        in_time = ended is not None and ended <= created + self.max_wait_ms
-        self.state.update((created, last, ended, rank, outcome, True))
-        self.handle.registerTimer(max(now, last) + self.retention_ms)
-        yield self._row(key, outcome if in_time else "timeout", due - created)
-
-    def _row(self, key, verdict: str, waited_ms: int) -> pd.DataFrame:
-        status = 504 if verdict == "timeout" else None
-        return pd.DataFrame(
-            {
-                "job_id": [key[0]],
-                "verdict": [verdict],
-                "waited_ms": [waited_ms],
-                "http_status": pd.array([status], dtype="Int64"),
-            }
-        )
+        return max(due, last) + self.retention_ms if reported else due
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        known, timer = self._load()
+        for batch in rows:  # one Arrow batch at a time, whatever the key's rows are
+            for job, at, status in zip(*(batch[c].tolist() for c in ("job_id", "at_ms", "status")), strict=True):
+                facts = known.get(job)
+                if facts is None:
+                    facts = known[job] = [at, at, None, None, False]
+                elif at < facts[0]:
+                    facts[0] = at
+                elif at > facts[1]:
+                    facts[1] = at
+                if status in TERMINAL:
+                    rank = STATE_RANK[status]
+                    if facts[2] is None or (at, rank) < (facts[2], facts[3]):
+                        facts[2:4] = at, rank
+        self._save(known, timer, 0)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        known, timer = self._load()
+        expired = expiredTimerInfo.getExpiryTimeInMs()
+        if timer != expired:
+            return  # the shard's timer has moved
+        now = max(expired, timerValues.getCurrentWatermarkInMs())
+        told, kept = [], {}
+        for job, facts in known.items():
+            created, _, ended, rank, reported = facts
+            due = self._due(created, ended)
+            if not reported and due <= now:
+                in_time = ended is not None and ended <= created + self.max_wait_ms
+                told.append((job, _OUTCOME[rank] if in_time else "timeout", due - created, None if in_time else 504))
+                facts[4] = True
+            elif reported and self._next(facts) <= now:
+                continue
+            kept[job] = facts
+        # what was told now is forgotten at a later time at the earliest
+        self._save(kept, timer, now + 1, passed=expired)
+        if told:
+            names = [column.split()[0] for column in OUTPUT.split(", ")]
+            out = pd.DataFrame(told, columns=names)
+            out["http_status"] = out["http_status"].astype("Int64")
+            yield out
 
     def close(self) -> None:
         pass
@@ -94,15 +122,18 @@ def job_tracker(
     max_wait_ms: int,
     retention_ms: int = rules.JOB_RETENTION_MS,
     delay: str = "10 minutes",
+    shards: int = SHARDS,
 ) -> DataFrame:
     """One row per job (job_id, ts, status): how and when waiting for it ended.
 
-    The session's state store must be the RocksDB one (``docmill.session.tune``).
+    The session's state store must be the RocksDB one (``docmill.session.tune``). A task
+    holds one of ``shards`` shards of the jobs at a time; a checkpoint keeps their number.
     """
     return (
         events.withWatermark("ts", delay)
-        .withColumn("at_ms", F.unix_millis("ts"))
-        .groupBy("job_id")
+        .withColumns({"at_ms": F.unix_millis("ts"), "_shard": F.pmod(F.xxhash64("job_id"), F.lit(shards))})
+        .filter(F.col("at_ms").isNotNull())
+        .groupBy("_shard")
         .transformWithStateInPandas(
             statefulProcessor=_JobTracker(max_wait_ms, retention_ms),
             outputStructType=OUTPUT,

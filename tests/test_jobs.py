@@ -123,6 +123,31 @@ def test_tracker_goes_on_from_its_checkpoint(spark, tmp_path):
     }
 
 
+def test_tracker_state_grows_with_shards_not_with_jobs(spark, tmp_path):
+    """Jobs of a shard share one state and one timer; each is reported once, at its own time."""
+    path, out, progress = (str(tmp_path / name) for name in ("events", "out", "progress"))
+    early = [(f"j{n}", n % 7, "queued", None) for n in range(200)]
+    ends = [(f"j{n}", n % 7 + 1 + n % 5, "failed" if n % 2 else "succeeded", None) for n in range(0, 200, 3)]
+    for part in (early, ends, [("clock", 60, "queued", None)], [("clock", 61, "running", None)]):
+        events(spark, part).select("job_id", "ts", "status").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are taken in the order of their times
+    stream = stream_table(spark, path, spark.read.parquet(path).schema, max_files_per_trigger=1)
+    tracked = job_tracker(stream, max_wait_ms=10 * 60_000, retention_ms=600 * 60_000, delay="20 minutes", shards=3)
+    writer = tracked.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(out).collect()]
+    expected = []
+    for n in range(200):
+        if n % 3 == 0:
+            expected.append((f"j{n}", "failed" if n % 2 else "succeeded", (1 + n % 5) * 60_000, None))
+        else:
+            expected.append((f"j{n}", "timeout", 10 * 60_000, 504))
+    assert sorted(got) == sorted(expected)
+    # a shard has its value and its timer, which is kept by key and by time
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 * 3
+
+
 def test_live_tracker_forgets_after_the_retention(spark, tmp_path):
     path, out = str(tmp_path / "events"), str(tmp_path / "out")
 
