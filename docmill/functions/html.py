@@ -145,7 +145,7 @@ def _elements(text: Column, name: str, change) -> Column:
         rest = F.when(F.size(ends) > 1, F.element_at(ends, 2)).otherwise(F.lit(""))
         return F.when(i == 0, value).otherwise(F.concat(change(inside), rest))
 
-    found = F.locate(f"<{name}", F.lower(text)) > 0
+    found = text.rlike(f"(?i)<{name}")
     return F.when(found, F.array_join(F.transform(parts, part), "")).otherwise(text)
 
 
