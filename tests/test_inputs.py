@@ -31,3 +31,11 @@ def test_page_files_lie_in_folders_of_folders(spark, tables, monkeypatch):
     assert sorted(r["page_id"] for r in rows) == list(range(PAGES))
     assert len(list(path.glob("part=*/page_id=*/*.txt"))) == PAGES
     assert not list(path.glob("page_id=*"))
+
+
+def test_assets_convert_once(spark, tables, monkeypatch):
+    """What three steps read is written once; none of them converts again."""
+    df = registry.QUERIES["convert_batch_assets"](spark, str(tables))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "base64,!" not in plan and "regexp_replace" not in plan
+    assert df.select("request_id").distinct().count() == 30
