@@ -82,7 +82,7 @@ class Level:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The places of keys, -1 for those that are missing."""
-        asked, back = np.unique(keys.astype(np.uint64), return_inverse=True)
+        asked, back = distinct(keys.astype(np.uint64))
         out = np.full(len(asked), NONE, dtype=np.int64)
         if self.n and len(asked):
             # asked is in order, so each segment answers for a slice
@@ -99,8 +99,11 @@ class Level:
             yield 0, slice(None)
             return
         segment = np.searchsorted(self.offset, places, side="right") - 1
-        for k in np.flatnonzero(np.bincount(segment)):
-            yield int(k), np.flatnonzero(segment == k)
+        # numbers of 16 bits are sorted in one pass over them
+        order = np.argsort(segment.astype(np.min_scalar_type(len(self.segments))), kind="stable")
+        bounds = np.searchsorted(segment[order], np.arange(len(self.segments) + 1))
+        for k in np.flatnonzero(np.diff(bounds)):
+            yield int(k), order[bounds[k] : bounds[k + 1]]
 
     def keys(self, places: np.ndarray) -> np.ndarray:
         out = np.zeros(len(places), dtype=np.uint64)
@@ -122,6 +125,58 @@ class Level:
         return out
 
 
+    def numbers(self, name: str, places: np.ndarray) -> np.ndarray:
+        """Whole numbers of a side array, which each segment holds in as few bytes as they need."""
+        out = np.zeros(len(places), dtype=np.int64)
+        for k, part in self.split(places):
+            if (k, name) not in self._side:
+                if len(self._side) >= self._most:
+                    self._side.pop(next(iter(self._side)))
+                self._side[k, name] = self._narrow(k, name)
+            out[part] = self._side[k, name][places[part] - self.offset[k]]
+        return out
+
+    def _narrow(self, k: int, name: str) -> np.ndarray:
+        data = mapped(self.folder, self.segments[k][3][name], np.uint8)
+        return data.view(f"<u{len(data) // self.segments[k][1]}")
+
+    def segment_keys(self, k: int) -> np.ndarray:
+        """All keys of a segment."""
+        return self._sequence(k).all() + self.first[k]
+
+    def segment_numbers(self, k: int, name: str) -> np.ndarray:
+        return self._narrow(k, name).astype(np.int64)
+
+    def followers(self, width: int, begin: int, end: int) -> np.ndarray:
+        """For each context from ``begin`` to ``end`` the number of keys ``context * width + follower``."""
+        out = np.zeros(end - begin, dtype=np.int64)
+        if not self.n:
+            return out
+        low = np.searchsorted(self.first, np.uint64(begin * width), side="right") - 1
+        high = np.searchsorted(self.first, np.uint64(end * width))
+        for k in range(max(low, 0), high):
+            context = (self.segment_keys(k) // np.uint64(width)).astype(np.int64)
+            a, b = np.searchsorted(context, [begin, end])
+            out += np.bincount(context[a:b] - begin, minlength=end - begin)
+        return out
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct unsigned numbers in order, and which of them each value is. Values that leave
+    room for their places are sorted together with them, which is many times faster."""
+    n = len(values)
+    bits = max(n - 1, 0).bit_length()
+    if not n or int(values.max()).bit_length() + bits > 64:
+        return np.unique(values, return_inverse=True)
+    packed = np.sort(values << np.uint64(bits) | np.arange(n, dtype=np.uint64))
+    at = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+    packed >>= np.uint64(bits)
+    new = np.concatenate([[True], packed[1:] != packed[:-1]])
+    back = np.empty(n, dtype=np.int64)
+    back[at] = np.cumsum(new) - 1
+    return packed[new], back
+
+
 def in_ranges(rows: DataFrame, key: str, n: int) -> DataFrame:
     """Rows in ranges of about ``SEGMENT`` keys, each in order."""
     return rows.repartitionByRange(max(1, -(-n // SEGMENT)), key).sortWithinPartitions(key)

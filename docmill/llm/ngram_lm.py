@@ -9,8 +9,9 @@ each a table of segments that tasks map into memory:
 * triples: (place of the pair, follower), where the follower is given relative to its
   context: by its rank among the followers of the middle word.
 
-Counting, sorting and summing are Spark aggregations; the levels are written to the
-shared folder by the tasks that hold a range of keys. Texts become word ids once, then
+Keys are counted and sorted in tasks, a chunk at a time; Spark brings the runs of a range of
+keys together, and the task that has them writes the range's part of the level to the shared
+folder. How many followers a word or pair has is counted where the sorted keys lie. Texts become word ids once, then
 places of pairs; later passes read those instead of texts. Every document is scored
 where its ids are read, by successor searches in the mapped levels.
 """
@@ -22,23 +23,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.common import done_with, lower_ascii, small_batches, written
+from docmill.llm.counted_keys import RUNS, count_segments, even_bounds, runs, sampled_bounds
 from docmill.llm.elias_fano import EliasFano, encode
-from docmill.llm.levels import (
-    NONE,
-    Level,
-    in_ranges,
-    mapped,
-    new_folder,
-    save,
-    segment,
-    unsigned_order,
-    write_segments,
-)
+from docmill.llm.levels import NONE, Level, distinct, mapped, new_folder, save
 from docmill.llm.shingles import word_hashes
+from docmill.llm.split_words import parted
+from docmill.session import discard
 
 #: The token behind each text's last word; no word can hold white space.
 END = b"\n"
@@ -64,11 +58,6 @@ def tokens(text: str | None) -> list[bytes]:
 _END_HASH = np.array([0x5851F42D4C957F2D], dtype=np.uint64)
 
 
-def token_hashes(text: str | None) -> np.ndarray:
-    """The hashes of a text's tokens."""
-    return np.concatenate([word_hashes(lower_ascii(text)), _END_HASH])
-
-
 def _codes(log10: np.ndarray) -> np.ndarray:
     """Logarithms at or below 0 as whole steps, in 16 bits."""
     return np.clip(np.rint(-log10 * STEPS), 0, 65535).astype(np.uint16)
@@ -121,7 +110,7 @@ class Trie:
     def counts(self, ids: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ids), dtype=np.int64)
         known = ids >= 0
-        out[known] = self.words.side("count", ids[known], np.int64)
+        out[known] = self.words.numbers("count", ids[known])
         return out
 
     def base(self, counts: np.ndarray) -> np.ndarray:
@@ -129,7 +118,8 @@ class Trie:
 
     def first_follower(self, ids: np.ndarray) -> np.ndarray:
         """Where the pairs of a word begin: a pointer, itself in Elias-Fano form."""
-        asked, back = np.unique(ids, return_inverse=True)
+        asked, back = distinct(ids.astype(np.uint64))
+        asked = asked.astype(np.int64)
         out = np.zeros(len(asked), dtype=np.int64)
         for k, part in self.words.split(asked):
             begin, file = self.model.pointers[k]
@@ -161,21 +151,30 @@ class Trie:
 
     def score(self, ids: np.ndarray, pairs: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """log10 probability of each token."""
-        out = self.base(counts)
-        left = np.concatenate([[NONE], ids[:-1]])
-        left[starts] = NONE
-        known = np.nonzero(left >= 0)[0]
-        out[known] += _logs(self.words.side("backoff", left[known], np.uint16))
-        found = np.nonzero(pairs >= 0)[0]
-        out[found] = _logs(self.pairs.side("prob", pairs[found], np.uint16))
-        context = np.concatenate([[NONE], pairs[:-1]])
-        context[starts] = NONE
-        known = np.nonzero(context >= 0)[0]
-        out[known] += _logs(self.pairs.side("backoff", context[known], np.uint16))
+        out = np.zeros(len(ids))
         at, keys = self.triple_keys(ids, pairs, starts)
         places = self.triples.find(keys)
         found = places >= 0
         out[at[found]] = _logs(self.triples.side("prob", places[found], np.uint16))
+        # the others: by their pair or word, weighed by what their context leaves
+        others = np.ones(len(ids), dtype=bool)
+        others[at[found]] = False
+        others = np.flatnonzero(others)
+        low = self.base(counts[others])
+        left = np.concatenate([[NONE], ids[:-1]])
+        left[starts] = NONE
+        left = left[others]
+        known = np.flatnonzero(left >= 0)
+        low[known] += _logs(self.words.side("backoff", left[known], np.uint16))
+        pair = pairs[others]
+        found = np.flatnonzero(pair >= 0)
+        low[found] = _logs(self.pairs.side("prob", pair[found], np.uint16))
+        context = np.concatenate([[NONE], pairs[:-1]])
+        context[starts] = NONE
+        context = context[others]
+        known = np.flatnonzero(context >= 0)
+        low[known] += _logs(self.pairs.side("backoff", context[known], np.uint16))
+        out[others] = low
         return out
 
 
@@ -203,35 +202,32 @@ def _numbers(blobs: pd.Series, n: int) -> np.ndarray:
     return np.frombuffer(joined, dtype="<i8" if len(joined) == 8 * n else "<i4").astype(np.int64)
 
 
-def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _worded(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """(frame of the documents, starts, the number of each token's hash, hashes)."""
     for batch in small_batches(batches, "_text", 8_000_000):
-        hashes = [token_hashes(t) for t in batch["_text"]]
-        yield batch.assign(_hashes=hashes, _n=[len(h) for h in hashes])
-
-
-def _counted(held: list[np.ndarray], names: tuple[str, str]) -> pd.DataFrame:
-    keys, counts = np.unique(np.concatenate(held), return_counts=True)
-    return pd.DataFrame({names[0]: keys.view(np.int64), names[1]: counts.astype(np.int64)})
+        joined, codes, sizes = parted([lower_ascii(t) for t in batch["_text"]])
+        hashes = np.concatenate([word_hashes(joined), _END_HASH])
+        ends = np.cumsum(sizes + 1) - 1
+        out = np.full(len(codes) + len(sizes), len(hashes) - 1, dtype=np.int64)
+        words = np.ones(len(out), dtype=bool)
+        words[ends] = False
+        out[words] = codes
+        yield batch.assign(_n=sizes + 1), ends - sizes, out, hashes
 
 
-def _summed(keys: Iterator[np.ndarray], names: tuple[str, str]) -> Iterator[pd.DataFrame]:
-    """Counts of keys, summed over a few chunks before they are shuffled."""
-    held, n = [], 0
-    for part in keys:
-        held.append(part)
-        n += len(part)
-        if n > 3 * TOKENS:
-            yield _counted(held, names)
-            held, n = [], 0
-    if n:
-        yield _counted(held, names)
+def _word_counts(train: DataFrame, folder: str) -> tuple[list[tuple], int]:
+    """Segments of the words, and the number of tokens. Hashes fall evenly into ranges."""
+    bounds = even_bounds(max(1, train.rdd.getNumPartitions()))
 
-
-def _word_counts(train: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _summed((x[2] for x in _chunks(_hashed(batches), "_hashes")), ("h", "c"))
+        counted = (
+            (hashes, np.bincount(codes, minlength=len(hashes)))
+            for _, _, codes, hashes in _worded(batches)
+            if len(codes)
+        )
+        yield from runs(counted, bounds)
 
-    return train.select("_text").mapInPandas(emit, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return count_segments(train.select("_text").mapInPandas(emit, RUNS), folder, "lm-words")
 
 
 def _pair_keys(trie: Trie, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -242,23 +238,27 @@ def _pair_keys(trie: Trie, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return ids[at - 1].astype(np.uint64) * np.uint64(trie.v) + ids[at].astype(np.uint64)
 
 
-def _key_counts(train: DataFrame, model: Model, order: int) -> DataFrame:
-    """(key, c) of all pairs or triples."""
+def _key_counts(train: DataFrame, model: Model, order: int) -> list[tuple]:
+    """Segments with the counts of all pairs or triples."""
+    columns = ["_n", "_ids"] + ["_pairs"] * (order == 3)
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keys_of(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
         trie = model.open()
         if order == 2:
-            keys = (_pair_keys(trie, ids, starts) for _, starts, ids in _chunks(batches, "_ids"))
-        else:
-            keys = (
-                trie.triple_keys(ids, pairs, starts)[1]
-                for _, starts, ids, pairs in _chunks(batches, "_ids", ("_pairs",))
-            )
-        yield from _summed(keys, ("key", "c"))
+            return (_pair_keys(trie, ids, starts) for _, starts, ids in _chunks(batches, "_ids"))
+        return (
+            trie.triple_keys(ids, pairs, starts)[1]
+            for _, starts, ids, pairs in _chunks(batches, "_ids", ("_pairs",))
+        )
 
-    columns = ["_n", "_ids"] + ["_pairs"] * (order == 3)
-    rows = train.select(*columns).mapInPandas(emit, "key long, c long")
-    return rows.groupBy("key").agg(F.sum("c").alias("c"))
+    rows = train.select(*columns)
+    bounds = sampled_bounds(rows, keys_of, model.n_tokens)
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from runs(((keys, None) for keys in keys_of(batches)), bounds)
+
+    name = "lm-pairs" if order == 2 else "lm-triples"
+    return count_segments(rows.mapInPandas(emit, RUNS), model.folder, name)[0]
 
 
 def _parts(values: np.ndarray, starts: np.ndarray, most: int) -> list[bytes]:
@@ -273,12 +273,14 @@ def _with_ids(docs: DataFrame, model: Model, v: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = model.open()
-        for part, starts, hashes in _chunks(_hashed(batches), "_hashes"):
-            ids = _parts(trie.word_ids(hashes), starts, v)
+        for part, starts, codes, hashes in _worded(batches):
+            if not len(part):
+                continue
+            ids = _parts(trie.word_ids(hashes)[codes], starts, v)
             yield part[["_id", "_train", "_n"]].assign(_ids=ids)
 
     schema = f"_id {id_type}, _train boolean, _n int, _ids binary"
-    return written(docs.select("_id", "_train", "_text").mapInPandas(emit, schema), "lm-ids")
+    return written(docs.select("_id", "_train", "_text").mapInPandas(emit, schema), "lm-ids", free_shuffles=True)
 
 
 def _with_pairs(rows: DataFrame, model: Model, n: int) -> DataFrame:
@@ -291,23 +293,19 @@ def _with_pairs(rows: DataFrame, model: Model, n: int) -> DataFrame:
             places = trie.pair_places(ids, starts)
             yield part.assign(_pairs=_parts(places, starts, n))
 
-    return written(rows.mapInPandas(emit, f"{schema}, _pairs binary"), "lm-places")
-
+    return written(rows.mapInPandas(emit, f"{schema}, _pairs binary"), "lm-places", free_shuffles=True)
 
-def _per_segment(rows: DataFrame, offsets: list[int], place: str, write, schema: str) -> DataFrame:
-    """Deal rows by the segment that their place lies in, and write each."""
-    dealt = rows.withColumn("segment", _segment_of(place, offsets))
-    return dealt.groupBy("segment").applyInPandas(write, schema)
 
+def _each_segment(rows: DataFrame, n: int, write, schema: str) -> list:
+    """What ``write`` returns for each segment's number, in a task of its own."""
 
-def _segment_of(place: str, offsets: list[int]) -> Column:
-    """The number of the last offset that is not above the place."""
-    begins = np.array(offsets[:-1], dtype=np.int64)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k in batch["id"].tolist():
+                yield pd.DataFrame([{"segment": k, **write(k)}])
 
-    def number(places: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(begins, places.to_numpy(np.int64), side="right") - 1)
-
-    return F.pandas_udf(number, "int")(F.col(place))
+    numbers = rows.sparkSession.range(0, n, 1, max(1, n))
+    return sorted(numbers.mapInPandas(run, f"segment long, {schema}").collect(), key=lambda r: r["segment"])
 
 
 def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame]:
@@ -316,126 +314,91 @@ def build(docs: DataFrame, discount: float = DISCOUNT) -> tuple[Model, DataFrame
     spark = docs.sparkSession
     folder = new_folder(spark, "trie")
 
-    # Words. Hashes are ordered as unsigned numbers: the sign bit is flipped for sorting.
-    word_counts = written(_word_counts(docs.filter("_train")), "lm-words")
-    counts = word_counts.withColumn("key", F.expr(unsigned_order("h")))
-    v, n = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-
-    def words(rows: pd.DataFrame) -> pd.DataFrame:
-        hashes = rows["h"].to_numpy(np.int64).view(np.uint64)
-        return segment(folder, hashes, {"count": rows["c"].to_numpy(np.int64)})
-
-    model = Model(folder, write_segments(in_ranges(counts, "key", v), words, "lm-level"), [], [], [], n, 1)
-    done_with(word_counts)
+    words, n = _word_counts(docs.filter("_train"), folder)
+    model = Model(folder, words, [], [], [], n, 1)
+    v = sum(w[1] for w in words)
     _fits(v, v, "pairs of words")
     rows = _with_ids(docs, model, v)
     train = rows.filter("_train")
 
     # Pairs: first their counts, from which the first level gets pointers and back-off.
-    pairs = written(_key_counts(train, model, 2), "lm-pairs")
-    n_pairs = pairs.count()
-    heads = pairs.groupBy(F.expr(f"key div {max(v, 1)}L").alias("w")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")
-    )
-    heads = written(heads, "lm-heads")
-    model.widest = max(1, heads.agg(F.max("n")).first()[0] or 0)
-    offsets = Level(folder, model.words).offset.tolist()
-
-    def followers(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    model.pairs = _key_counts(train, model, 2)
+    n_pairs = sum(p[1] for p in model.pairs)
+
+    def followers(k: int) -> dict:
         trie = model.open()
-        k = int(key[0])
-        begin, size = offsets[k], offsets[k + 1] - offsets[k]
-        n, kept = np.zeros(size, dtype=np.int64), np.zeros(size)
-        at = rows["w"].to_numpy(np.int64) - begin
-        n[at] = rows["n"]
-        kept[at] = rows["c"] - discount * rows["n"]
-        total = trie.counts(np.arange(begin, begin + size))
-        backoff = _codes(np.log10(np.maximum(1 - kept / total, 1e-12)))
-        starts = np.cumsum(n) - n
-        pointer = save(folder, encode(starts, int(n.sum()) + 1))
-        return pd.DataFrame(
-            {"segment": [k], "n": [int(n.sum())], "backoff": [save(folder, backoff)], "pointer": [pointer]}
-        )
+        begin, end = trie.words.offset[k : k + 2].tolist()
+        n = trie.pairs.followers(v, begin, end)
+        total = trie.words.segment_numbers(k, "count")
+        # every occurrence but those of the end has a follower
+        kept = np.where(n > 0, total - discount * n, 0)
+        return {
+            "n": int(n.sum()),
+            "most": int(n.max()),
+            "backoff": save(folder, _codes(np.log10(np.maximum(1 - kept / total, 1e-12)))),
+            "pointer": save(folder, encode(np.cumsum(n) - n, int(n.sum()) + 1)),
+        }
 
-    # every segment gets a row, also one whose words have no followers
-    seeds = spark.createDataFrame([(o, 0, 0) for o in offsets[:-1]], "w long, n long, c long")
-    dealt = heads.unionByName(seeds).groupBy("w").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
-    files = written(
-        _per_segment(dealt, offsets, "w", followers, "segment int, n long, backoff string, pointer string"),
-        "lm-followers",
-    )
-    made = files.collect()
-    done_with(files, heads)
     begin = 0
-    for r in sorted(made, key=lambda r: r["segment"]):
+    for r in _each_segment(docs, len(words), followers, "n long, most long, backoff string, pointer string"):
         model.words[r["segment"]][3]["backoff"] = r["backoff"]
         model.pointers.append((begin, r["pointer"]))
+        model.widest = max(model.widest, r["most"])
         begin += r["n"]
 
-    def pair_level(rows: pd.DataFrame) -> pd.DataFrame:
+    def pair_level(k: int) -> dict:
         trie = model.open()
-        keys, c = rows["key"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
+        keys, c = trie.pairs.segment_keys(k), trie.pairs.segment_numbers(k, "count")
         codes = []
         for at in range(0, len(keys), _SLICE):
-            left, right = np.divmod(keys[at : at + _SLICE], v)
+            left, right = (x.astype(np.int64) for x in np.divmod(keys[at : at + _SLICE], np.uint64(v)))
             low = 10 ** (_logs(trie.words.side("backoff", left, np.uint16)) + trie.base(trie.counts(right)))
             prob = (c[at : at + _SLICE] - discount) / trie.counts(left) + low
             codes.append(_codes(np.log10(prob)))
-        return segment(folder, keys.view(np.uint64), {"prob": np.concatenate(codes), "count": c})
+        return {"prob": save(folder, np.concatenate(codes))}
 
-    model.pairs = write_segments(in_ranges(pairs, "key", n_pairs), pair_level, "lm-level")
-    done_with(pairs)
+    for r in _each_segment(docs, len(model.pairs), pair_level, "prob string"):
+        model.pairs[r["segment"]][3]["prob"] = r["prob"]
     _fits(n_pairs, model.widest, "triples of words")
     ids, rows = rows, _with_pairs(rows, model, n_pairs)
     done_with(ids)
     train = rows.filter("_train")
-    triples = written(_key_counts(train, model, 3), "lm-triples")
-    n_triples = triples.count()
-    heads = written(
-        triples.groupBy(F.expr(f"key div {model.widest}L").alias("w")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")
-        ),
-        "lm-heads",
-    )
-    offsets2 = Level(folder, model.pairs).offset.tolist()
-
-    def pair_backoff(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    model.triples = _key_counts(train, model, 3)
+    widest = model.widest
+
+    def pair_backoff(k: int) -> dict:
         trie = model.open()
-        k = int(key[0])
-        begin, size = offsets2[k], offsets2[k + 1] - offsets2[k]
-        kept = np.zeros(size)
-        kept[rows["w"].to_numpy(np.int64) - begin] = rows["c"] - discount * rows["n"]
-        total = trie.pairs.side("count", np.arange(begin, begin + size), np.int64)
-        codes = _codes(np.log10(np.maximum(1 - kept / total, 1e-12)))
-        return pd.DataFrame({"segment": [k], "backoff": [save(folder, codes)]})
-
-    files = written(
-        _per_segment(heads, offsets2, "w", pair_backoff, "segment int, backoff string"), "lm-backoff"
-    )
-    made = files.collect()
-    done_with(files, heads)
-    for r in made:
-        model.pairs[r["segment"]][3]["backoff"] = r["backoff"]
+        begin, end = trie.pairs.offset[k : k + 2].tolist()
+        n = trie.triples.followers(widest, begin, end)
+        total = trie.pairs.segment_numbers(k, "count")
+        kept = np.where(n > 0, total - discount * n, 0)
+        return {"backoff": save(folder, _codes(np.log10(np.maximum(1 - kept / total, 1e-12))))}
 
-    widest = model.widest
+    for r in _each_segment(docs, len(model.pairs), pair_backoff, "backoff string"):
+        model.pairs[r["segment"]][3]["backoff"] = r["backoff"]
 
-    def triple_level(rows: pd.DataFrame) -> pd.DataFrame:
+    def triple_level(k: int) -> dict:
         trie = model.open()
-        keys, c = rows["key"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
+        keys, c = trie.triples.segment_keys(k), trie.triples.segment_numbers(k, "count")
         codes = []
         for at in range(0, len(keys), _SLICE):
-            context, rank = np.divmod(keys[at : at + _SLICE], widest)
-            middle = (trie.pairs.keys(context) % np.uint64(v)).astype(np.int64)
-            lower = trie.first_follower(middle) + rank
-            low = _logs(trie.pairs.side("backoff", context, np.uint16)) + _logs(
-                trie.pairs.side("prob", lower, np.uint16)
-            )
-            own = (c[at : at + _SLICE] - discount) / trie.pairs.side("count", context, np.int64)
-            codes.append(_codes(np.log10(own + 10**low)))
-        return segment(folder, keys.view(np.uint64), {"prob": np.concatenate(codes)})
-
-    model.triples = write_segments(in_ranges(triples, "key", n_triples), triple_level, "lm-level")
-    done_with(triples)
+            context, rank = (x.astype(np.int64) for x in np.divmod(keys[at : at + _SLICE], np.uint64(widest)))
+            # several triples share a context, and their contexts come in order
+            own, back = distinct(context.astype(np.uint64))
+            own = own.astype(np.int64)
+            start = trie.first_follower((trie.pairs.keys(own) % np.uint64(v)).astype(np.int64))
+            backoff = _logs(trie.pairs.side("backoff", own, np.uint16))
+            low = backoff[back] + _logs(trie.pairs.side("prob", start[back] + rank, np.uint16))
+            kept = (c[at : at + _SLICE] - discount) / trie.pairs.numbers("count", own)[back]
+            codes.append(_codes(np.log10(kept + 10**low)))
+        return {"prob": save(folder, np.concatenate(codes))}
+
+    for r in _each_segment(docs, len(model.triples), triple_level, "prob string"):
+        model.triples[r["segment"]][3]["prob"] = r["prob"]
+    # counts of pairs and triples are in their probabilities now
+    for level in (model.pairs, model.triples):
+        for segment in level:
+            discard(spark, f"{folder}/{segment[3].pop('count')}")
     return model, rows
 
 
