@@ -43,13 +43,18 @@ END_ID = 2
 K1, B = 1.2, 0.75
 SHARD_TOKENS = 1 << 20
 PARTITION_TOKENS = 1 << 22
+#: Share of a shard's indexed documents below which the used ones leave the index.
+_WORTH_KEEPING = 0.8
 
 
-def least_pair(ids: np.ndarray) -> int:
-    """The least hash of two neighbouring ids."""
+def least_pairs(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each document, none of them empty, the least hash of two neighbouring ids; of one
+    id alone its own."""
     wide = ids.astype(np.uint64)
-    pairs = mixed(wide[:-1] << np.uint64(32) | wide[1:]) if len(wide) > 1 else mixed(wide)
-    return int(pairs.min()) >> 1
+    hashes = mixed(wide << np.uint64(32) | np.append(wide[1:], np.uint64(0)))
+    last = np.append(starts[1:], len(ids)) - 1
+    hashes[last] = np.where(last == starts, mixed(wide[last]), np.uint64(0xFFFFFFFFFFFFFFFF))
+    return (np.minimum.reduceat(hashes, starts) >> np.uint64(1)).astype(np.int64)
 
 
 def token_table(
@@ -61,10 +66,11 @@ def token_table(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = coder(path)
         end = np.array([end_id], dtype=words.dtype).tobytes()
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 8_000_000):
             ids = [found + end for found in words.encode(batch["text"].tolist())]
-            keys = [least_pair(np.frombuffer(x, dtype=words.dtype)) for x in ids]
-            sizes = [len(x) // words.dtype.itemsize for x in ids]
+            sizes = np.array([len(x) // words.dtype.itemsize for x in ids], dtype=np.int64)
+            joined = np.frombuffer(b"".join(ids), dtype=words.dtype)
+            keys = least_pairs(joined, np.cumsum(sizes) - sizes) if ids else []
             yield pd.DataFrame(
                 {"doc_id": batch["doc_id"], "ids": ids, "n_ids": sizes, "shard_key": keys}
             )
@@ -112,6 +118,12 @@ class Index:
         self.weight = idf[term] * counts * (K1 + 1) / (counts + damped[self.owner])
         self.start = np.searchsorted(term, np.arange(len(idf) + 1))
 
+    def keep(self, unused: np.ndarray) -> None:
+        """Drop the postings of used documents, whose scores are no longer asked for."""
+        kept = unused[self.owner]
+        self.start = np.concatenate([[0], np.cumsum(kept)])[self.start]
+        self.owner, self.weight = self.owner[kept], self.weight[kept]
+
     def scores(self, query: np.ndarray) -> np.ndarray:
         """The BM25 score of every document for the distinct ids of a query."""
         bounds = list(zip(self.start[query].tolist(), self.start[query + 1].tolist(), strict=True))
@@ -146,7 +158,7 @@ class Packer:
     def feed(self, keys: list, documents: list[np.ndarray]) -> list[tuple]:
         index = Index(documents, self.idf, self.average)
         unused = np.ones(len(documents), dtype=bool)
-        following = 0
+        following, indexed = 0, len(documents)
         while True:
             if not self.filled or self.seed is None:
                 while following < len(documents) and not unused[following]:
@@ -158,6 +170,9 @@ class Packer:
             left = np.flatnonzero(unused)
             if not len(left):
                 break
+            if len(left) < _WORTH_KEEPING * indexed:
+                index.keep(unused)
+                indexed = len(left)
             scores = index.scores(np.unique(self.seed).astype(np.int64))[left]
             sequence = self.sequence
             for place in best_first(scores):

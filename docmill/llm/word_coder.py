@@ -11,15 +11,19 @@ import json
 import os
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from docmill.llm.common import utf8
+from docmill.llm.split_words import parted
 
-#: Words whose ids a worker remembers.
+#: New words after which a worker forgets those that it has not met since as many before.
 MOST_WORDS = 1_000_000
 #: Longer words go to the library.
 _LONGEST = 64
-_TAIL = b".,;:!?"
+_TAIL = b".,;:!?*&%$#"
+#: Words that are merged at once; their arrays stay in a core's cache.
+_SIDE_BY_SIDE = 1 << 14
 _NONE = np.int64(1) << np.int64(62)
 _PLACE = 40
 
@@ -41,6 +45,9 @@ class Merges:
         for byte in range(256):
             symbol = _SYMBOLS[byte]
             self.inner[byte], self.last[byte] = vocab.get(symbol, -1), vocab.get(symbol + end, -1)
+        # all pairs of bytes, the second one inside or at the end of its word
+        left, right = np.repeat(self.inner, 512), np.tile(np.append(self.inner, self.last), 256)
+        self.first_rank, self.first_merged = self._rank(left, right)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rank of each pair and what it becomes; ``_NONE`` where it is no merge."""
@@ -59,7 +66,10 @@ class Merges:
         stops = np.cumsum(sizes) - 1
         ids[stops] = self.last[data[stops]]
         open_ = np.arange(len(words))
-        rank, merged = self._rank(ids, np.append(ids[1:], 0))
+        second = data.astype(np.int64)
+        second[stops] += 256
+        pair = data[:-1].astype(np.int64) * 512 + second[1:]
+        rank, merged = np.append(self.first_rank[pair], _NONE), np.append(self.first_merged[pair], 0)
         rank[stops] = _NONE
         while len(open_):
             starts = np.cumsum(sizes) - sizes
@@ -108,30 +118,35 @@ class WordCoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.merges = Merges(self.tokenizer)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         known = self.known
+        plain = [word for word in words if word.isalpha() and len(word) <= _LONGEST]
+        lowered = [word.lower() for word in plain]
+        # words whose last letter is not ASCII still have their punctuation
         tailed: list[tuple[bytes, bytes, bytes]] = []
         new: set[bytes] = set()
-        for word in words:
-            # punctuation that ends a word is a token of its own behind a letter
+        for word in set(words).difference(plain):
             stem = word.rstrip(_TAIL)
-            if len(stem) < len(word) and stem[-1:].isalpha():
+            if len(stem) < len(word) and stem[-1:] >= b"\x80" and _latin(stem):
                 tail = word[len(stem) :]
                 tailed.append((word, stem, tail))
                 new.add(tail)
                 new.add(stem)
             else:
                 new.add(word)
-        plain, lowered, others = [], [], []
+        others = []
         for part in new.difference(known):
-            low = part.lower() if part.isalpha() else _latin(part)
+            low = _latin(part)
             if low is None or len(low) > _LONGEST:
                 others.append(part)
             else:
                 plain.append(part)
                 lowered.append(low)
-        known.update(zip(plain, self.merges.encode(lowered, self.dtype), strict=True))
+        for at in range(0, len(plain), _SIDE_BY_SIDE):
+            found = self.merges.encode(lowered[at : at + _SIDE_BY_SIDE], self.dtype)
+            known.update(zip(plain[at : at + _SIDE_BY_SIDE], found, strict=True))
         texts = [part.decode("utf-8", "replace") for part in others]
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         for part, encoding in zip(others, found, strict=True):
@@ -141,13 +156,29 @@ class WordCoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian bytes; null and empty texts have none."""
-        parted = [utf8(text).split() for text in texts]
+        joined, codes, sizes = parted([_lower(utf8(text)) for text in texts], _TAIL)
+        words = joined.split()
+        if not words:
+            return [b""] * len(texts)
         if len(self.known) > MOST_WORDS:
-            self.known = {}
-        new = set().union(*parted).difference(self.known)
+            self.known, self.older = {}, self.known
+        new = [word for word in words if word not in self.known]
         if new:
-            self._learn(new)
-        return [b"".join(map(self.known.__getitem__, words)) for words in parted]
+            again = list(map(self.older.get, new))
+            self.known.update((w, ids) for w, ids in zip(new, again, strict=True) if ids is not None)
+            self._learn([w for w, ids in zip(new, again, strict=True) if ids is None])
+        ids = pa.array([self.known[w] for w in words], pa.large_binary()).take(pa.array(codes))
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        data = ids.buffers()[2].to_pybytes()
+        return [data[begin:end] for begin, end in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _lower(text: bytes) -> bytes:
+    """A-Z in lower case, as the tokenizer sees them, unless that could matter: in special
+    tokens, and before marks (U+0300 to U+037F) that combine with small letters only."""
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text
+    return text.lower()
 
 
 def _latin(word: bytes) -> bytes | None:
