@@ -16,7 +16,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmill.llm.common import word_count, written
@@ -110,6 +111,13 @@ def flight(sizes: list[int], p: list[float], rng: random.Random, land: bool = Fa
     return p.tolist()
 
 
+def _small_table(spark: SparkSession, rows: list[tuple], types: dict[str, pa.DataType]) -> DataFrame:
+    """A table of rows that the driver holds. It goes as Arrow: tasks turn rows of Python into
+    Spark's in workers of another kind, which stay in memory beside those of the other steps."""
+    columns = [[row[k] for row in rows] for k in range(len(types))]
+    return spark.createDataFrame(pa.table(columns, schema=pa.schema(list(types.items()))))
+
+
 def source_table(sizes: DataFrame, weights: Sequence[float], times: float) -> DataFrame:
     """One row per source: _source, _k (its rank by code point, null last), size, target."""
     spark = sizes.sparkSession
@@ -121,14 +129,15 @@ def source_table(sizes: DataFrame, weights: Sequence[float], times: float) -> Da
     own = [weights[k % len(weights)] for k in range(len(found))]
     goals = targets([s for _, s in found], own, times)
     rows = [(name, k, int(s), goal) for k, ((name, s), goal) in enumerate(zip(found, goals, strict=True))]
-    return spark.createDataFrame(rows, "_source string, _k int, _total long, _target double")
+    types = {"_source": pa.string(), "_k": pa.int32(), "_total": pa.int64(), "_target": pa.float64()}
+    return _small_table(spark, rows, types)
 
 
 def _flights(units: DataFrame, blocks: dict[int, int], turn: int) -> DataFrame:
     """One round of flights; a source with one block lands."""
     spark = units.sparkSession
     schema = units.schema
-    counts = spark.createDataFrame(sorted(blocks.items()), "_k int, _blocks int")
+    counts = _small_table(spark, sorted(blocks.items()), {"_k": pa.int32(), "_blocks": pa.int32()})
     dealt = units.join(F.broadcast(counts), "_k").withColumn(
         "_block", F.expr(f"pmod(xxhash64(_id, _size, _text, {turn}), _blocks)").cast("int")
     )

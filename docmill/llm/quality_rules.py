@@ -114,7 +114,9 @@ def _rows_of(texts: pd.Series) -> pd.DataFrame:
 
 
 def _statistics(text: Column) -> Column:
-    return F.pandas_udf(_rows_of, STATISTICS)(text)
+    # Of a function that Spark takes to be deterministic, filters on its result make a second
+    # copy below: each text is then read twice, and a task holds two Python workers.
+    return F.pandas_udf(_rows_of, STATISTICS).asNondeterministic()(text)
 
 
 def base_failed() -> Column:

@@ -288,7 +288,8 @@ def _outer_links(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame
             yield batch.loc[keep, ["a", "b"]]
 
     open_ = pairs.join(left.select("a", "_sets_a"), "a").join(unions, "b")
-    qualified = open_.select("a", "b", "_sets_a", "_union").mapInPandas(bound, _EDGES)
+    # Written, so that no task holds the Python workers of both steps, with their sets, at once.
+    qualified = written(open_.select("a", "b", "_sets_a", "_union").mapInPandas(bound, _EDGES), "open-pairs")
     right = groups.select(F.col("_g").alias("b"), F.col("_names").alias("_names_b"), F.col("_sets").alias("_sets_b"))
     opened = qualified.join(left, "a").join(right, "b")
 

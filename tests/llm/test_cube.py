@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from docmill.llm.cube import flight, mix, mixed_documents, targets
+from docmill.llm.cube import _flights, flight, mix, mixed_documents, source_table, targets
 
 
 @settings(max_examples=300, deadline=None)
@@ -50,6 +50,19 @@ def corpus(spark, n=900):
     )
 
 
+def test_small_tables_need_no_other_kind_of_worker(spark):
+    sizes = spark.sql("SELECT * FROM VALUES (null, 5L), ('b', 3L), ('a', 2L), ('b', 4L) AS t(_source, _size)")
+    sources = source_table(sizes, (5, 2, 1), 3)
+    assert [tuple(r)[:3] for r in sources.orderBy("_k").collect()] == [("a", 0, 2), ("b", 1, 7), (None, 2, 5)]
+    assert [t for _, t in sources.dtypes] == ["string", "int", "bigint", "double"]
+    units = spark.sql("SELECT 0 AS _k, id AS _id, id AS _size, id AS _text, 0.5D AS _p FROM range(9)")
+    flights = _flights(units, {0: 1}, 0)
+    assert flights.count() == 9
+    for table in (sources, flights):
+        assert "PythonRDD" not in table._jdf.queryExecution().toRdd().toDebugString()
+    assert source_table(sizes.filter("false"), (5, 2, 1), 3).collect() == []
+
+
 @pytest.mark.parametrize("block", [40, 5000])
 def test_mix(spark, block):
     rows, docs = corpus(spark)

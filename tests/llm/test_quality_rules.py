@@ -88,6 +88,15 @@ def brute_force(rows, least):
     return out
 
 
+def test_a_text_is_read_once_a_pass(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i + j}" for j in range(30)), "en", "s") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/docs")
+    kept = sound_documents(spark.read.parquet(f"{tmp_path}/docs"))
+    assert kept.count() == 20
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_rejects_what_brute_force_rejects(spark):
     rng = random.Random(2)
     rows = []

@@ -66,6 +66,18 @@ def test_components_equal_brute_force(docs_of, monkeypatch, group, sample):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == brute_force(rows)
 
 
+def test_one_python_step_in_a_task(spark):
+    """The bound and the comparison are steps of their own: a task holds one Python worker."""
+    sets = [np.arange(k, k + 10, dtype=np.uint64) for k in (0, 1, 50)]
+    rows = [(g, [g], [s.tobytes()], None) for g, s in zip("xyz", sets, strict=True)]
+    groups = spark.createDataFrame(rows, "_g string, _names array<string>, _sets array<binary>, _union binary")
+    pairs = spark.createDataFrame([("x", "y"), ("x", "z")], "a string, b string")
+    found = token_groups._outer_links(pairs, groups, 80)
+    assert [tuple(r) for r in found.collect()] == [("x", "y")]
+    plan = found._jdf.queryExecution().executedPlan()
+    assert plan.toString().split("Initial Plan")[0].count("MapInPandas") == 1
+
+
 def test_empty_table(docs_of):
     assert jaccard_components(docs_of([])).collect() == []
 
