@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmill.functions.salts import salt, salt_list, used_salts
-from docmill.llm.common import written
+from docmill.llm.common import done_with, written
 
 #: Tasks that the rows of one group are spread over.
 SALTS = 64
@@ -18,20 +18,22 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Each round hangs the larger neighbours of a node under its smallest neighbour,
     then the smaller ones; all of it as aggregations and joins, so neither a hub nor
     a large component meets in one task. The number of rounds grows with the
-    logarithm of the longest path. Every round is written to the shared folder.
+    logarithm of the longest path. Both halves of a round are written to the shared
+    folder: in one plan, each step would hold the step before it twice, and the driver
+    plans all of it anew after each stage.
     """
     stars = written(_canonical(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "edges")
+    n = stars.count()
     while True:
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = with_least(both, "u", "v", "v", "m").withColumn("m", F.least("m", "u"))
+        least = with_least(_pairs(stars, ("u", "v"), ("v", "u")), "u", "v", "v", "m")
+        least = least.withColumn("m", F.least("m", "u"))
         large = least.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = _canonical(large)
-        smallest = with_least(large, "u", "v", "v", "m")
-        small = smallest.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            smallest.select("u", F.col("m").alias("v"))
-        )
+        large = written(_canonical(large), "large-stars")
+        small = _pairs(with_least(large, "u", "v", "v", "m"), ("u", "m"), ("v", "m"))
         following = written(_canonical(small), "edges")
-        if not following.exceptAll(stars).take(1) and following.count() == stars.count():
+        done_with(large)
+        before, n = n, following.count()
+        if n == before and not following.exceptAll(stars).take(1):
             break
         stars = following
     roots = stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -55,6 +57,12 @@ def with_least(rows: DataFrame, group: str, by: str, value: str, out: str, salts
     return salted.join(least, [group, "_salt"]).drop("_salt")
 
 
+def _pairs(rows: DataFrame, *columns: tuple[str, str]) -> DataFrame:
+    """(u, v) for each of the pairs of columns, from one reading of the rows."""
+    pairs = [F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in columns]
+    return rows.select(F.explode(F.array(*pairs)).alias("_pair")).select("_pair.*")
+
+
 def _canonical(edges: DataFrame) -> DataFrame:
     """Edges from the larger to the smaller node, each once, without loops."""
     return (

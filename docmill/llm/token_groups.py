@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import lower_ascii, small_batches, written
+from docmill.llm.common import done_with, lower_ascii, small_batches, written
 from docmill.llm.components import connected_components, with_least
 from docmill.llm.levels import KeyTable
 from docmill.llm.shingles import mixed, runs, word_hashes
@@ -332,11 +332,15 @@ def _components(classes: DataFrame, sets: DataFrame, size: int, percent: int) ->
         F.min(F.coalesce("root", "node")).alias("lo"), F.max(F.coalesce("root", "node")).alias("hi")
     )
     labels = labels.select("_g", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("_g")).alias("_label"))
+    # Written, so that no plan holds a table, and all that it comes from, several times.
+    labels = written(labels, "group-labels")
     labelled = asked.drop("_label").join(labels, "_g")
     ends = labelled.groupBy("_t").agg(F.min("_label").alias("lo"), F.max("_label").alias("hi"))
-    several = labelled.join(ends.filter("lo < hi").select("_t"), "_t")
+    several = written(labelled.join(ends.filter("lo < hi").select("_t"), "_t"), "several-labels")
     pairs = _meeting(several, several, percent).join(stars, ["a", "b"], "left_anti")
-    more = _outer_links(written(pairs, "group-pairs"), groups, percent)
+    pairs = written(pairs, "group-pairs")
+    done_with(labels, several)
+    more = _outer_links(pairs, groups, percent)
     return connected_components(written(found.unionByName(more), "set-links"))
 
 
@@ -373,9 +377,10 @@ def jaccard_components(
     roots = _components(classes, sets, group, percent)
     firsts = sets.filter("_set IS NOT NULL").groupBy("_set").agg(F.min("_id").alias("_first"))
     named = firsts.join(roots, F.col("node") == F.col("_set"), "left")
-    named = named.select("_set", "_first", F.coalesce("root", "_set").alias("root"))
-    named = with_least(named, "root", "_set", "_first", "component_id")
+    rooted = written(named.select("_set", "_first", F.coalesce("root", "_set").alias("root")), "set-firsts")
+    named = with_least(rooted, "root", "_set", "_first", "component_id")
     named = written(named.select("_set", "component_id"), "set-names")
+    done_with(rooted)
     return sets.select("_id", "_n", "_set").join(named, "_set", "left").select(
         F.col("_id").alias(id_col),
         F.col("_n").alias("n_shingles"),

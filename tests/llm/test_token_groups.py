@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from docmill.llm import token_groups
+from docmill.llm import components, token_groups
 from docmill.llm.token_groups import enough_shared, jaccard_components, links, prefix
 
 
@@ -78,6 +78,33 @@ def test_one_python_step_in_a_task(spark):
     assert plan.toString().split("Initial Plan")[0].count("MapInPandas") == 1
 
 
+def test_no_plan_holds_a_table_many_times(docs_of, monkeypatch):
+    """The driver plans a query anew after each stage: what it holds follows the plan's size."""
+    read = {}
+    for module in (components, token_groups):
+
+        def noted(df, name, *rest, write=module.written):
+            read[name] = max(read.get(name, 0), df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+            return write(df, name, *rest)
+
+        monkeypatch.setattr(module, "written", noted)
+    rng = random.Random(3)
+    texts = family(rng, 12, 60, 3) + family(rng, 10, 30, 2)
+    rows = list(enumerate(texts))
+    found = jaccard_components(docs_of(rows), group=3).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == brute_force(rows)
+    assert {"edges", "group-pairs", "set-links", "set-names"} <= set(read)
+    assert max(read.values()) <= 4, read
+
+
+def test_components_of_a_path(spark):
+    """A path, a cycle, a loop, repeated and reversed edges, and ends that are null."""
+    edges = [(i, i + 1) for i in range(10, 30)] + [(41, 40), (42, 41), (40, 42), (42, 41), (7, 7), (None, 1), (2, None)]
+    found = components.connected_components(spark.createDataFrame(edges, "a long, b long"))
+    want = [(i, 10) for i in range(10, 31)] + [(i, 40) for i in (40, 41, 42)]
+    assert sorted(map(tuple, found.collect())) == want
+
+
 def test_empty_table(docs_of):
     assert jaccard_components(docs_of([])).collect() == []
 
