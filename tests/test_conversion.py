@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docmill.functions import html as convert_html
 from docmill.functions.options import options
 from docmill.operators import convert, intake, reuse
 from docmill.plans.batch import convert_batch
@@ -78,6 +79,40 @@ def test_nesting_of_any_depth_keeps_all_text(spark):
         assert [f"i{k}." in got for k in range(n)] == [True] * n
 
 
+LONG = "words that no pattern looks into"
+
+
+@pytest.mark.parametrize(
+    "source,markdown",
+    [
+        (f"<p>{LONG}</p><pre>{LONG}  and\n  {LONG}</pre>", f"{LONG}\n\n```\n{LONG}  and\n  {LONG}\n```"),
+        (f"<p>{LONG} \n {LONG}</p><p># {LONG}</p>", f"{LONG} {LONG}\n\n\\# {LONG}"),
+        (f"<a href=/u title='{LONG}'>{LONG}</a><ul><li>{LONG}<ol><li>{LONG}</ol></ul>",
+         f"[{LONG}](/u)\n\n- {LONG}\n  1. {LONG}"),
+        (f"<table><tr><td>{LONG}|{LONG}<tr><td>{LONG}<br>{LONG}</table>",
+         f"| {LONG}\\|{LONG} |\n| --- |\n| {LONG}<br>{LONG} |"),
+        (f"{LONG}\u0005{LONG}&#5;{LONG}&lt;{LONG}", f"{LONG}\u0005{LONG}\u0005{LONG}<{LONG}"),
+        (f"{LONG}\u2028# {LONG}", f"{LONG}\u2028\\# {LONG}"),
+        (f"<p>\u00013 {LONG}</p>", f"### {LONG}"),
+        # what is dropped behind a "<" that is not closed makes a tag of the text
+        (f"x <img <!-- > {LONG} -->src=i.png alt='{LONG}'> y", f"x ![{LONG}](i.png) y"),
+        (f"<img src=i.png>](data:x;base64,{LONG})", f"![](i.png)](data:x;base64,{LONG.replace(' ', '')})"),
+        (f"<!-- a > {LONG} --><script>a > {LONG}</script>{LONG}", LONG),
+    ],
+)
+def test_words_stay_where_they_were(spark, source, markdown):
+    assert html(spark, source) == markdown
+
+
+def test_patterns_pass_over_few_words(spark):
+    """Runs of words are taken out once; the patterns see numbers for them."""
+    source = "".join(f"<ul><li>{LONG}, {LONG} &amp; {LONG}</ul><p title='{LONG}'>{LONG}</p>" for _ in range(50))
+    df = spark.createDataFrame([(source,)], "html string").select(convert_html._runs(F.col("html"), F.lit(True)).alias("r"))
+    seen = df.select(convert_html._numbered(F.col("r")).alias("t"), F.size("r").alias("n")).first()
+    assert seen["n"] == 2 * 150 + 1
+    assert seen["t"].count("words") == 50 and len(seen["t"]) < len(source) / 2
+
+
 def test_html_table(spark):
     source = (
         "<p>before</p><table border=1><thead><tr><th>a</th><th> b </th></tr></thead>"

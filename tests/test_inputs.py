@@ -39,3 +39,14 @@ def test_assets_convert_once(spark, tables, monkeypatch):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "base64,!" not in plan and "regexp_replace" not in plan
     assert df.select("request_id").distinct().count() == 30
+
+
+def test_lines_of_a_whole_text_equal_those_one_by_one(spark):
+    texts = ["", "\n", "a", " 1. a \t b & <c> \r\n\n  \x0b\f\n- 5\n\td  e\t", "no letters: 5\n...", "12\n\u00e9 \u65e5\n \u2028x \n", None]
+    df = spark.createDataFrame([(text,) for text in texts], "text string")
+    one_by_one = F.filter(F.transform(F.split("text", "\n"), inputs._as_markup), lambda line: line != "")
+    rows = df.select("text", inputs._lines().alias("whole"), one_by_one.alias("each")).collect()
+    assert [r["whole"] for r in rows] == [r["each"] for r in rows]
+    assert rows[3]["whole"] == ["a b &amp; &lt;c&#62;", "d e"]
+    plan = df.select(inputs._lines())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("transform(split(") < plan.index("regexp_replace")  # patterns run before the split
